@@ -121,9 +121,17 @@ def _token_sql(variant, scope):
             f"WHEN regexp_full_match({bare}, '[A-Z][a-z]*') THEN upper({head}) || substr(o, length({head}) + 1) ELSE o END)[1]")
 
 
-def words_sql(text, variant, scope):
-    tokens = f"list_transform(regexp_extract_all({text}, '{_TOKEN_SQL}'), lambda t: {_token_sql(variant, scope)})"
-    return _weave(text, _TOKEN_SQL, tokens)
+def words_sql(source, key, column, variant, scope):
+    """Words and gaps as rows; each distinct word is scrambled once and joined back."""
+    return f"""
+WITH src AS (SELECT {key} AS k, {column} AS v FROM {source}),
+words AS (SELECT k, unnest(regexp_extract_all(v, '{_TOKEN_SQL}')) AS t,
+                 generate_subscripts(regexp_extract_all(v, '{_TOKEN_SQL}'), 1) AS j FROM src),
+gaps AS (SELECT k, unnest(string_split_regex(v, '{_TOKEN_SQL}')) AS g,
+                generate_subscripts(string_split_regex(v, '{_TOKEN_SQL}'), 1) AS j FROM src),
+dict AS (SELECT t, {_token_sql(variant, scope)} AS s FROM (SELECT DISTINCT t FROM words))
+SELECT k AS {key}, string_agg(g || coalesce(s, ''), '' ORDER BY j) AS {column}
+FROM gaps LEFT JOIN words USING (k, j) LEFT JOIN dict USING (t) GROUP BY k"""
 
 
 _WORD_QUERIES = {
@@ -139,7 +147,7 @@ _WORD_QUERIES = {
 def _register_words(name, variant):
     rule = Rule("text", "SCRAMBLE_WORDS", {"variant": variant}, "DOC")
 
-    @query(name, f"SELECT doc_id, {words_sql('text', variant, 'DOC')} AS text FROM documents")
+    @query(name, words_sql("documents", "doc_id", "text", variant, "DOC"))
     def _(t):
         return obf.obfuscate(t.documents.select("doc_id", "text"), [rule], SALT)
 
@@ -148,9 +156,10 @@ for _name, _variant in _WORD_QUERIES.items():
     _register_words(_name, _variant)
 
 
-@query("ob11_case_patterns", f"""
-SELECT page_id, {words_sql('title', 'ROTATE_LEFT', 'TITLE')} AS title FROM (
-  SELECT page_id, upper(split_part(url, '/', 3)) || ' ' || url || ' ' || upper(left(url, 1)) || substr(url, 2) AS title FROM pages)""")
+_TITLES = """(SELECT page_id, upper(split_part(url, '/', 3)) || ' ' || url || ' ' || upper(left(url, 1)) || substr(url, 2) AS title FROM pages)"""
+
+
+@query("ob11_case_patterns", words_sql(_TITLES, "page_id", "title", "ROTATE_LEFT", "TITLE"))
 def _(t):
     url = F.col("url")
     title = F.concat(F.upper(F.split_part(url, F.lit("/"), F.lit(3))), F.lit(" "), url, F.lit(" "),
@@ -159,7 +168,7 @@ def _(t):
                          [Rule("title", "SCRAMBLE_WORDS", {"variant": "ROTATE_LEFT"}, "TITLE")], SALT)
 
 
-@query("ob12_tokenisation", f"SELECT page_id, {words_sql('html', 'INTERNAL_SHUFFLE_KEEP_FIRST_LAST', 'html')} AS html FROM pages")
+@query("ob12_tokenisation", words_sql("pages", "page_id", "html", "INTERNAL_SHUFFLE_KEEP_FIRST_LAST", "html"))
 def _(t):
     return obf.obfuscate(t.pages.select("page_id", "html"), [Rule("html", "SCRAMBLE_WORDS")], SALT)
 
@@ -213,8 +222,8 @@ def _(t):
 
 @query("ob0_rule_table", f"""
 SELECT c_custkey, repeat('X', length(c_name) - 4) || right(c_name, 4) AS c_name,
-       left(sha256('{SALT}' || c_mktsegment), 10) AS c_mktsegment, {words_sql('email', 'FULL_SHUFFLE', 'CONTACT')} AS email,
-       phone FROM {PII_SQL}""")
+       left(sha256('{SALT}' || c_mktsegment), 10) AS c_mktsegment, w.email, phone
+FROM {PII_SQL} p JOIN ({words_sql(PII_SQL, 'c_custkey', 'email', 'FULL_SHUFFLE', 'CONTACT')}) w USING (c_custkey)""")
 def _(t):
     config = t.spark.sql("""
         SELECT * FROM VALUES
