@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tidemark.session import cut_lineage
 
@@ -68,77 +70,100 @@ def row_number_by(
     return cold.unionByName(big.select(*cold.columns))
 
 
-def _scan(df, keys, pos, local, summary, carried, combine, out, chunk_rows):
-    """Window inside chunks of ``pos``, plus what earlier chunks of the key hand on."""
-    chunk = F.floor(F.col(pos) / F.lit(chunk_rows))
-    rows = df.withColumn("_chunk", chunk)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(pos)
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # a key has rows / chunk_rows summary rows; those of a first chunk hand on nothing new
-    carry = (
-        rows.groupBy(*keys, "_chunk").agg(summary.alias("_sum"))
-        .withColumn("_carry", carried.over(before))
-        .filter(F.col("_carry").isNotNull())
-        .drop("_sum")
-    )
-    return (
-        rows.withColumn("_local", local(inside))
-        .join(carry, [*keys, "_chunk"], "left")
-        .withColumn(out, combine(F.col("_local"), F.col("_carry")))
-        .drop("_chunk", "_local", "_carry")
-    )
+@dataclass(frozen=True)
+class Scan:
+    """One output of an ordered scan: inside a chunk, and what earlier chunks hand on."""
 
+    value: Column
+    local: Callable[[str, WindowSpec], Column]
+    summary: Callable[[str, str], Column]
+    carried: Callable[[str], Column]
+    combine: Callable[[Column, Column], Column]
 
-def running_sum(
-    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
-    """Sum of ``value`` over all rows of the key up to this one."""
-    rows = df.withColumn("_v", value.cast("bigint"))
-    done = _scan(
-        rows, keys, pos,
-        lambda w: F.sum("_v").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        F.sum("_v"), F.sum("_sum"),
+
+def sum_so_far(value: Column) -> Scan:
+    """Sum of ``value`` over the rows of the key up to this one."""
+    return Scan(
+        value.cast("bigint"),
+        lambda v, w: F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        lambda v, pos: F.sum(v),
+        lambda s: F.sum(s),
         lambda here, carry: here + F.coalesce(carry, F.lit(0)),
-        out, chunk_rows,
     )
-    return done.drop("_v")
 
 
-def carry_forward(
-    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
+def last_so_far(value: Column) -> Scan:
     """Last non-null ``value`` of the key at or before this row."""
-    rows = df.withColumn("_v", value)
-    done = _scan(
-        rows, keys, pos,
-        lambda w: F.last("_v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col(pos))),
-        F.last("_sum", ignorenulls=True),
+    return Scan(
+        value,
+        lambda v, w: F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        lambda v, pos: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(pos))),
+        lambda s: F.last(s, ignorenulls=True),
         lambda here, carry: F.coalesce(here, carry),
-        out, chunk_rows,
     )
-    return done.drop("_v")
 
 
-def previous_value(
-    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, chunk_rows: int = CHUNK_ROWS
-) -> DataFrame:
-    """``value`` of the row just before this one within the key; null on the first row."""
-    rows = df.withColumn("_v", F.struct(value.alias("v")))
-    done = _scan(
-        rows, keys, pos,
-        lambda w: F.lag("_v").over(w),
-        F.max_by("_v", pos),
-        F.last("_sum"),
+def last_before(value: Column) -> Scan:
+    """Last non-null ``value`` of the key before this row."""
+    return Scan(
+        value,
+        lambda v, w: F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
+        lambda v, pos: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(pos))),
+        lambda s: F.last(s, ignorenulls=True),
+        lambda here, carry: F.coalesce(here, carry),
+    )
+
+
+def previous(value: Column) -> Scan:
+    """``value`` of the row just before this one; null on the first row."""
+    return Scan(
+        F.struct(value.alias("v")),
+        lambda v, w: F.lag(v).over(w),
+        lambda v, pos: F.max_by(v, pos),
+        lambda s: F.last(s),
         lambda here, carry: F.coalesce(here, carry)["v"],
-        out, chunk_rows,
     )
-    return done.drop("_v")
 
 
-def next_value(
-    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, chunk_rows: int = CHUNK_ROWS
+def ordered_scan(
+    df: DataFrame, keys: list[str], pos: str, scans: dict[str, Scan], chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """``value`` of the row just after this one within the key."""
+    """Add one column per scan over the rows of a key in ``pos`` order.
+
+    Rows are windowed in chunks of ``pos``, so a key of any size spreads over tasks; a
+    small summary per chunk carries state from one chunk to the next. All scans share
+    one shuffle, one summary and one join.
+    """
+    names = list(scans)
+    rows = df.withColumn("_chunk", F.floor(F.col(pos) / F.lit(chunk_rows))).withColumns(
+        {f"_v_{n}": scans[n].value for n in names})
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(pos)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        rows.groupBy(*keys, "_chunk").agg(*[scans[n].summary(f"_v_{n}", pos).alias(f"_s_{n}") for n in names])
+        .withColumns({f"_c_{n}": scans[n].carried(f"_s_{n}").over(before) for n in names})
+        # the first chunk of a key has nothing to take over
+        .filter(reduce(lambda a, b: a | b, [F.col(f"_c_{n}").isNotNull() for n in names]))
+        .select(*keys, "_chunk", *[f"_c_{n}" for n in names])
+    )
+    local = rows.withColumns({f"_l_{n}": scans[n].local(f"_v_{n}", inside) for n in names})
+    joined = local.join(carry, [*keys, "_chunk"], "left")
+    return joined.select(
+        *df.columns, *[scans[n].combine(F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n in names])
+
+
+def running_sum(df, keys, pos, value, out, chunk_rows=CHUNK_ROWS) -> DataFrame:
+    return ordered_scan(df, keys, pos, {out: sum_so_far(value)}, chunk_rows)
+
+
+def carry_forward(df, keys, pos, value, out, chunk_rows=CHUNK_ROWS) -> DataFrame:
+    return ordered_scan(df, keys, pos, {out: last_so_far(value)}, chunk_rows)
+
+
+def previous_value(df, keys, pos, value, out, chunk_rows=CHUNK_ROWS) -> DataFrame:
+    return ordered_scan(df, keys, pos, {out: previous(value)}, chunk_rows)
+
+
+def next_value(df, keys, pos, value, out, chunk_rows=CHUNK_ROWS) -> DataFrame:
     turned = df.withColumn("_back", -F.col(pos))
     return previous_value(turned, keys, "_back", value, out, chunk_rows).drop("_back")

@@ -42,7 +42,7 @@ def _single(df: DataFrame) -> DataFrame:
 
 
 def unload_csv(df: DataFrame, path: str, header: bool = True, single: bool = False) -> None:
-    (_single(df) if single else df).write.mode("overwrite").csv(path, header=header, emptyValue="")
+    (_single(df) if single else df).write.mode("overwrite").csv(path, header=header, emptyValue="", escape='"')
 
 
 def unload_lines(df: DataFrame, column: str, path: str, single: bool = False) -> None:

@@ -35,7 +35,7 @@ class CsvFormat:
     null_if: tuple[str, ...] = ("NULL", "null")
 
     def options(self) -> dict[str, str]:
-        return {"sep": self.delimiter, "quote": self.quote, "header": str(self.header).lower(), "multiLine": "false"}
+        return {"sep": self.delimiter, "quote": self.quote, "escape": self.quote, "header": str(self.header).lower(), "multiLine": "false"}
 
 
 def read_csv(spark: SparkSession, path: str, schema, fmt: CsvFormat = CsvFormat()) -> DataFrame:
