@@ -14,6 +14,7 @@ from tidemark.operators.ranks import (
     CHUNK_ROWS, last_before, last_so_far, ordered_scan, previous_value, row_number_by, running_sum, sum_so_far,
 )
 from tidemark.operators.relational import first_per_key
+from tidemark.session import cut_lineage
 
 DOC, NO, LINE = "doc_id", "line_no", "line"
 
@@ -143,7 +144,8 @@ def assemble(lines: DataFrame) -> DataFrame:
 
 def extract_report(lines: DataFrame) -> DataFrame:
     """Lines of all documents to the securities table."""
-    return assemble(section_ids(drop_noise(lines)).filter("section > 0"))
+    # eight readers share the sections, so they are written once
+    return assemble(cut_lineage(section_ids(drop_noise(lines)).filter("section > 0")))
 
 
 def document_status(securities: DataFrame, documents: DataFrame) -> DataFrame:
