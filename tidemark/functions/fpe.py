@@ -68,8 +68,8 @@ def _decrypt_rows(rows: np.ndarray, states: list[tuple]) -> np.ndarray:
     return rows
 
 
-def _numeric(col: Column, key: bytes, cipher) -> Column:
-    """Apply ``cipher`` to the digits and put them back between the other characters.
+def _numeric(key: bytes, cipher):
+    """UDF: apply ``cipher`` to the digits and put them back between the other characters.
 
     Values of one digit count form a matrix, so only the hashing is a loop.
     """
@@ -90,7 +90,7 @@ def _numeric(col: Column, key: bytes, cipher) -> Column:
         done[framed] = [_framed(old, new) for old, new in zip(values[framed], done[framed])]
         return done
 
-    return series_udf(change)(col.cast("string"))
+    return series_udf(change)
 
 
 def _framed(old: str, new: str) -> str:
@@ -101,15 +101,15 @@ def _framed(old: str, new: str) -> str:
 
 def fpe_numeric_encrypt(col: Column, key: bytes) -> Column:
     """Ten Feistel rounds over the digits; punctuation keeps its place."""
-    return _numeric(col, key, _encrypt_rows)
+    return cipher_udf("numeric_encrypt", key)(col.cast("string"))
 
 
 def fpe_numeric_decrypt(col: Column, key: bytes) -> Column:
     """Inverse of :func:`fpe_numeric_encrypt`."""
-    return _numeric(col, key, _decrypt_rows)
+    return cipher_udf("numeric_decrypt", key)(col.cast("string"))
 
 
-def _alnum(col: Column, key: bytes, sign: int) -> Column:
+def _alnum(key: bytes, sign: int):
     stream: list[int] = []  # grows to the longest value of the task
 
     def change(text: str) -> str:
@@ -124,16 +124,29 @@ def _alnum(col: Column, key: bytes, sign: int) -> Column:
             out.append(char)
         return "".join(out)
 
-    return text_udf(change)(col.cast("string"))
+    return text_udf(change)
 
 
 def fpe_alnum_encrypt(col: Column, key: bytes) -> Column:
     """Shift each letter or digit by a keystream of its position."""
-    return _alnum(col, key, 1)
+    return cipher_udf("alnum_encrypt", key)(col.cast("string"))
 
 
 def fpe_alnum_decrypt(col: Column, key: bytes) -> Column:
-    return _alnum(col, key, -1)
+    return cipher_udf("alnum_decrypt", key)(col.cast("string"))
+
+
+CIPHERS = {
+    "numeric_encrypt": lambda key: _numeric(key, _encrypt_rows),
+    "numeric_decrypt": lambda key: _numeric(key, _decrypt_rows),
+    "alnum_encrypt": lambda key: _alnum(key, 1),
+    "alnum_decrypt": lambda key: _alnum(key, -1),
+}
+
+
+def cipher_udf(name: str, key: bytes):
+    """The Arrow UDF of one reversible cipher under one key."""
+    return CIPHERS[name](key)
 
 
 def fpe_one_way(col: Column, key: Column) -> Column:

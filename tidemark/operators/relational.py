@@ -27,7 +27,7 @@ NATURAL_KINDS = {
 }
 SWAPPED_KINDS = {"RIGHT SEMI JOIN": "left_semi", "RIGHT ANTI JOIN": "left_anti"}
 # A cross join is taken only when one side has at most this many rows.
-MAX_CROSS_ROWS = 10_000
+MAX_CROSS_ROWS = 1_000
 # Deeper pages are found by rank in place of a top-k heap.
 MAX_TOP_ROWS = 100_000
 
@@ -63,6 +63,15 @@ def checked_cross(left: DataFrame, right: DataFrame, max_rows: int = MAX_CROSS_R
     raise ValueError(f"both sides of a cross join exceed {max_rows} rows")
 
 
+def attach_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame, such as run parameters or a grand total.
+
+    A scalar subquery runs once and fails on a second row; no join is planned.
+    """
+    row = one.select(F.struct("*").alias("one")).scalar()
+    return df.withColumn("_one", row).select(*df.columns, *[F.col("_one")[c].alias(c) for c in one.columns])
+
+
 def in_subquery(df: DataFrame, column: str, other: DataFrame, other_column: str, negate: bool = False) -> DataFrame:
     """``IN`` / ``NOT IN`` over another table.
 
@@ -72,10 +81,10 @@ def in_subquery(df: DataFrame, column: str, other: DataFrame, other_column: str,
     listed = other.select(F.col(other_column).alias("_in"))
     if not negate:
         return df.join(listed, df[column] == listed["_in"], "left_semi")
-    has_null = listed.agg(F.coalesce(F.bool_or(F.col("_in").isNull()), F.lit(False))).scalar()
-    has_any = listed.agg(F.count(F.lit(1)) > 0).scalar()
+    sizes = listed.agg(F.struct(F.count("*").alias("all"), F.count("_in").alias("known"))).scalar()
     kept = df.join(listed, df[column] == listed["_in"], "left_anti")
-    return kept.filter(~has_any | (~has_null & F.col(column).isNotNull()))
+    no_null = (sizes["all"] == sizes["known"]) & F.col(column).isNotNull()
+    return kept.filter((sizes["all"] == 0) | no_null)
 
 
 def anti_by_basename(left: DataFrame, left_path: str, right: DataFrame, right_path: str, on: list[str]) -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import generate as gen
 from tidemark.functions.generate import ColumnSpec
+from tidemark.functions.sql import register_functions
 from tidemark.operators import mapping as mp, obfuscate as obf, requests as req
 from tidemark.operators.mapping import Join, Mapping, Target
 from tidemark.operators.obfuscate import Rule
 from tidemark.operators.relational import join_frames
 from tidemark.plans import lineage as lineage_plans
-from tidemark.plans.protection import SALT
+from tidemark.plans.protection import KEY, SALT
 from tidemark.plans.registry import query
 from tidemark.session import work_path
 from tidemark.sinks import writers
@@ -81,7 +82,7 @@ def _kind_sql(kind, sql):
     if kind.startswith("RIGHT S") or kind.startswith("RIGHT A"):
         left, right = right, left
     if kind == "CROSS JOIN":
-        return f"SELECT count(*) AS n FROM {left} a CROSS JOIN {right} b"
+        return f"SELECT count(*) AS n FROM (SELECT max(n_nationkey) AS k FROM nation) a CROSS JOIN {right} b"
     on = "" if kind.startswith("NATURAL") else " ON a.k = b.k"
     return f"SELECT count(*) AS n FROM {left} a {sql} {right} b{on}"
 
@@ -91,8 +92,10 @@ def _(t):
     left = t.nation.select(F.col("n_nationkey").alias("k"))
     right = t.customer.select((F.col("c_nationkey") + 10).alias("k"), "c_custkey")
     parts = None
+    top = t.nation.agg(F.max("n_nationkey").alias("k"))
     for kind in _KINDS:
-        n = join_frames(left, right, kind, left["k"] == right["k"]).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+        side = top if kind == "CROSS JOIN" else left
+        n = join_frames(side, right, kind, side["k"] == right["k"]).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
         parts = n if parts is None else parts.unionByName(n)
     return parts
 
@@ -114,13 +117,6 @@ def _(t):
     return mp.run_mapping(mp.mapping_rows(t.spark, m), "M3", {"s.s.documents": t.documents, "s.s.labels": t.labels})
 
 
-@query("mp8_mapping_rows", """
-SELECT count(*) AS n FROM orders o JOIN (SELECT 1 AS one FROM range(12)) m ON o.o_orderkey % 10 = m.one""")
-def _(t):
-    rows = mp.mapping_rows(t.spark, ORDER_MAP)
-    return rows.join(t.orders.filter("o_orderkey % 10 = 1"), F.expr("length(MAPPING_ID) = 2 AND o_orderkey % 10 = 1")).agg(F.count("*").alias("n"))
-
-
 @query("mp9_function_stack", """
 SELECT p_partkey, round(abs(p_retailprice), 2) AS price, coalesce(nullif(p_type, 'SMALL'), 'none') AS kind FROM part""")
 def _(t):
@@ -138,6 +134,30 @@ def _(t):
     return req.new_requests(stored, fresh)
 
 
+# --- functions for SQL users --------------------------------------------------------
+
+@query("ud1_scalar_udf_in_sql", "SELECT c_custkey, c_name AS back FROM customer")
+def _(t):
+    register_functions(t.spark, KEY)
+    return t.spark.sql("SELECT c_custkey, tm_alnum_decrypt(tm_alnum_encrypt(c_name)) AS back FROM {c}", c=t.customer)
+
+
+@query("ud2_sql_function", """
+SELECT c_custkey, repeat('*', length(c_name) - 4) || right(c_name, 4) AS masked, repeat('#', length(c_mktsegment)) AS fixed FROM customer""")
+def _(t):
+    register_functions(t.spark, KEY)
+    return t.spark.sql("SELECT c_custkey, tm_mask_lastn(c_name, 4, '*') AS masked, tm_mask_fixed(c_mktsegment, '#') AS fixed FROM {c}", c=t.customer)
+
+
+@query("ud3_table_function", """
+SELECT page_id, unnest(['id,url', page_id || ',' || url]) AS line FROM pages WHERE page_id % 10 <> 9""")
+def _(t):
+    register_functions(t.spark, KEY)
+    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t)))).filter("member LIKE 'sub/%'")
+    lines = t.spark.sql("SELECT m.archive, l.line FROM {m} m, LATERAL tm_unzip_member(m.archive, m.member) l", m=members)
+    return lines.select(_page(), "line")
+
+
 # --- generation: rows come from a table, values from its key --------------------------
 
 ALL_TYPES = [ColumnSpec(k.lower(), k, False, 4) for k in gen.SPARK_TYPES] + [ColumnSpec("maybe", "INTEGER", True, 6)]

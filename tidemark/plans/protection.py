@@ -11,6 +11,8 @@ from tidemark.functions.hashing import derive_key, secret_column
 from tidemark.operators import encrypt, obfuscate as obf
 from tidemark.operators.obfuscate import Rule
 from tidemark.plans.registry import query
+from tidemark.session import work_path
+from tidemark.sinks import writers
 
 # demo values; a job passes its own secrets
 SALT = "demo-salt"
@@ -319,6 +321,16 @@ def _(t):
     return encrypt.decrypt_columns(sealed, encrypt.DEFAULT_DICTIONARY, KEY)
 
 
+@query("fp7_csv_to_csv", f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, phone, email, '0' || c_custkey AS account_number FROM {PII_SQL}")
+def _(t):
+    plain, sealed, back = (work_path(t.spark, n) for n in ("plain", "sealed", "back"))
+    frame = pii(t).select("c_custkey", "phone", "email", F.expr("'0' || c_custkey").alias("account_number"))
+    writers.unload_csv(frame, plain)
+    encrypt.encrypt_csv(t.spark, plain, sealed, encrypt.DEFAULT_DICTIONARY, KEY)
+    encrypt.encrypt_csv(t.spark, sealed, back, encrypt.DEFAULT_DICTIONARY, KEY, decrypt=True)
+    return t.spark.read.csv(back, header=True)
+
+
 @query("fp8_round_trip_errors", """
 SELECT count(*) AS "rows", 0 AS o_orderkey, 0 AS o_custkey, 0 AS o_orderpriority FROM orders""")
 def _(t):

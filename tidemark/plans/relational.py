@@ -216,7 +216,7 @@ SELECT o_orderkey, o_totalprice, p.top_price, o_totalprice = p.top_price AS is_t
 FROM orders CROSS JOIN (SELECT max(o_totalprice) AS top_price FROM orders) p""")
 def _(t):
     top = t.orders.agg(F.max("o_totalprice").alias("top_price"))
-    return (rel.join_frames(t.orders, top, "cross join")
+    return (rel.attach_one_row(t.orders.select("o_orderkey", "o_totalprice"), top)
             .select("o_orderkey", "o_totalprice", "top_price", (F.col("o_totalprice") == F.col("top_price")).alias("is_top")))
 
 

@@ -102,7 +102,7 @@ def _encoding(archive: zipfile.ZipFile, member: str) -> str:
     return "utf-8"
 
 
-def _lines(path: str, member: str, clean: bool, split_bytes: int | None, header: bool):
+def member_lines(path: str, member: str, clean: bool = True, split_bytes: int | None = None, header: bool = True):
     """(part, line_no, line) of one member; a part closes once it holds ``split_bytes``."""
     with open_shared(path) as handle, zipfile.ZipFile(handle) as archive:
         encoding, part, held = _encoding(archive, member), 1, 0
@@ -134,7 +134,7 @@ def read_members(
         for frame in frames:
             for path, member in zip(frame["archive"], frame["member"]):
                 rows = []
-                for part, number, line in _lines(path, member, clean, split_bytes, header):
+                for part, number, line in member_lines(path, member, clean, split_bytes, header):
                     rows.append((path, member, part, number, line))
                     if len(rows) == BATCH_LINES:
                         yield pd.DataFrame(rows, columns=["archive", "member", "part", "line_no", "line"])

@@ -25,8 +25,8 @@ def stream_lineage(access: DataFrame, target: str, checkpoint: str, lateness: st
     State drops repeats within the lateness bound; the anti join drops edges stored
     earlier, also when a batch is replayed after a failure.
     """
-    edges = lineage_edges(access).withWatermark("query_start_time", lateness)
-    fresh = edges.dropDuplicatesWithinWatermark(EDGE_KEYS)
+    edges = lineage_edges(access.withColumn("query_start_time", F.col("query_start_time").cast("timestamp")))
+    fresh = edges.withWatermark("query_start_time", lateness).dropDuplicatesWithinWatermark(EDGE_KEYS)
 
     def store(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
