@@ -23,7 +23,7 @@ ROUNDS = 10
 MAX_DIGITS = 65
 AES_ROUNDS = 6
 # halves of the AES digit cipher must fit decimal(38) after a 32-bit shift
-MAX_AES_DIGITS = 56
+MAX_AES_DIGITS = 54
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
@@ -163,19 +163,33 @@ def fpe_one_way(col: Column, key: Column) -> Column:
 
 
 def _power_of_ten(digits: Column) -> Column:
-    return F.rpad(F.lit("1"), digits + 1, F.lit("0")).cast("decimal(38,0)")
+    return F.rpad(F.lit("1"), digits + 1, F.lit("0"))
 
 
-def _aes_number(half: Column, round_no: Column, key: Column, modulus: Column) -> Column:
-    """AES-128 block of the half and the round number, as a number below ``modulus``."""
+def _aes_block(half: Column, round_no: Column, key: Column) -> Column:
+    """AES-128 block of the half and the round number, in hex."""
     block = F.rpad(F.concat(half, round_no.cast("string")), 16, "0")
     # ECB with PKCS appends a padding block; the first one is the plain block cipher
-    digest = F.substring(F.hex(F.aes_encrypt(block, key, F.lit("ECB"), F.lit("PKCS"))), 1, 32)
-    rest = F.lit(0).cast("decimal(38,0)")
-    for index in range(4):
-        part = hex_limb(digest, index).cast("decimal(10,0)")
-        rest = ((rest.cast("decimal(27,0)") * F.lit(1 << 32).cast("decimal(10,0)") + part) % modulus).cast("decimal(38,0)")
-    return rest
+    return F.hex(F.aes_encrypt(block, key, F.lit("ECB"), F.lit("PKCS")))
+
+
+def _shifted(source: Column, digest: Column, sign: int) -> Column:
+    """``source`` plus or minus the 128-bit digest, modulo its power of ten."""
+    def fold(kind: str) -> Column:
+        modulus = _power_of_ten(F.length(source)).cast(kind)
+        rest = F.lit(0).cast(kind)
+        for index in range(4):
+            part = hex_limb(digest, index)
+            rest = (rest * F.lit(1 << 32).cast("bigint" if kind == "bigint" else "decimal(10,0)")
+                    + part.cast("bigint" if kind == "bigint" else "decimal(10,0)")) % modulus
+            rest = rest.cast("decimal(27,0)" if kind != "bigint" else kind)
+        value = source.cast(kind)
+        mixed = value + rest if sign > 0 else value + modulus - rest
+        return (mixed % modulus).cast("decimal(38,0)" if kind != "bigint" else kind).cast("string")
+
+    # nine digits leave room for a 32-bit shift in a long
+    number = F.when(F.length(source) <= 9, fold("bigint")).otherwise(fold("decimal(28,0)"))
+    return F.lpad(number, F.length(source), F.lit("0"))
 
 
 def _aes_feistel(col: Column, key: Column, decrypt: bool) -> Column:
@@ -188,13 +202,8 @@ def _aes_feistel(col: Column, key: Column, decrypt: bool) -> Column:
 
     def step(halves: Column, round_no: Column) -> Column:
         source, other = (halves["r"], halves["l"]) if decrypt else (halves["l"], halves["r"])
-        size = F.length(source)
-        modulus = _power_of_ten(size)
-        number = _aes_number(other, round_no, key, modulus)
-        value = source.cast("decimal(38,0)")
-        mixed = F.when(value >= number, value - number).otherwise(value + modulus - number) if decrypt \
-            else (value + number) % modulus
-        new = F.lpad(mixed.cast("decimal(38,0)").cast("string"), size, F.lit("0"))
+        # array expressions evaluate every mention, so the cipher runs under a name of its own
+        new = F.transform(F.array(_aes_block(other, round_no, key)), lambda d: _shifted(source, d, -1 if decrypt else 1))[0]
         return F.struct((new if decrypt else other).alias("l"), (other if decrypt else new).alias("r"))
 
     order = F.sequence(F.lit(AES_ROUNDS - 1), F.lit(0)) if decrypt else F.sequence(F.lit(0), F.lit(AES_ROUNDS - 1))

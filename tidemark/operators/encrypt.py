@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import aes, fpe
 from tidemark.functions.hashing import secret_column
+from tidemark.session import spread_small
 
 # fixed: fields treated as sensitive when no dictionary is given
 DEFAULT_DICTIONARY = {
@@ -58,12 +59,12 @@ def _decrypted(col: Column, kind: str, key: bytes) -> Column:
 def encrypt_columns(df: DataFrame, dictionary: dict[str, str], key: bytes) -> DataFrame:
     """Encrypt every column the dictionary names, in one projection."""
     kinds = sensitive_columns(df.columns, dictionary)
-    return df.withColumns({c: _encrypted(F.col(c), kind, key) for c, kind in kinds.items()})
+    return spread_small(df).withColumns({c: _encrypted(F.col(c), kind, key) for c, kind in kinds.items()})
 
 
 def decrypt_columns(df: DataFrame, dictionary: dict[str, str], key: bytes) -> DataFrame:
     kinds = sensitive_columns(df.columns, dictionary)
-    return df.withColumns({c: _decrypted(F.col(c), kind, key) for c, kind in kinds.items()})
+    return spread_small(df).withColumns({c: _decrypted(F.col(c), kind, key) for c, kind in kinds.items()})
 
 
 def round_trip_errors(df: DataFrame, dictionary: dict[str, str], key: bytes) -> DataFrame:
@@ -72,7 +73,7 @@ def round_trip_errors(df: DataFrame, dictionary: dict[str, str], key: bytes) ->
     for c, kind in sensitive_columns(df.columns, dictionary).items():
         back = _decrypted(_encrypted(F.col(c), kind, key), kind, key)
         checks.append(F.count(F.when(~F.col(c).cast("string").eqNullSafe(back), 1)).alias(c))
-    return df.agg(F.count("*").alias("rows"), *checks)
+    return spread_small(df).agg(F.count("*").alias("rows"), *checks)
 
 
 def encrypt_csv(

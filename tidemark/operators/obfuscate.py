@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions import masking, scramble
 from tidemark.functions.hashing import secret_column
 from tidemark.operators.ranks import global_rank
+from tidemark.session import spread_small
 
 MAX_RULES = 10_000
 
@@ -88,7 +89,8 @@ def _rule_columns(df: DataFrame, rules: list[Rule], salt: str) -> dict[str, Colu
 
 def obfuscate(df: DataFrame, rules: list[Rule], salt: str) -> DataFrame:
     """Apply the rules in one projection; columns without a rule pass unchanged."""
-    return df.withColumns(_rule_columns(df, rules, salt))
+    costly = any(r.rule.upper().startswith("SCRAMBLE") for r in rules)
+    return (spread_small(df) if costly else df).withColumns(_rule_columns(df, rules, salt))
 
 
 def before_after(df: DataFrame, rules: list[Rule], salt: str) -> DataFrame:

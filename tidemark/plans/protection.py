@@ -11,7 +11,7 @@ from tidemark.functions.hashing import derive_key, secret_column
 from tidemark.operators import encrypt, obfuscate as obf
 from tidemark.operators.obfuscate import Rule
 from tidemark.plans.registry import query
-from tidemark.session import work_path
+from tidemark.session import spread_small, work_path
 from tidemark.sinks import writers
 
 # demo values; a job passes its own secrets
@@ -356,7 +356,7 @@ def _order_digits(t):
     """Order keys as digit strings of mixed, also odd, lengths."""
     digits = F.concat(F.lit("9"), F.col("o_orderkey").cast("string"), F.lpad(F.col("o_custkey").cast("string"), 5, "0"))
     key = secret_column(t.spark, derive_key(PHRASE)[:16])
-    return t.orders.select("o_orderkey", digits.alias("digits")).withColumn("_key", key)
+    return spread_small(t.orders.select("o_orderkey", digits.alias("digits"))).withColumn("_key", key)
 
 
 @query("fp10_aes_digits_encrypt")

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# estimated input size up to which costly per-row work is spread by a shuffle
+SMALL_BYTES = 256 * 1024 * 1024
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,6 +55,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), f"tidemark-{name}-{uuid.uuid4().hex}")
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a small input of costly per-row work to all cores.
+
+    A file below one scan partition would run in one task. Larger inputs already have a
+    task per 128 MB, and stay as they are read.
+    """
+    if df.isStreaming:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > SMALL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder, so a lost executor does not replay the plan."""
     spark = df.sparkSession
