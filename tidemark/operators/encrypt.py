@@ -91,7 +91,7 @@ def encrypt_by_column(df: DataFrame, iv_table: DataFrame, key: bytes) -> DataFra
     names = {c.upper(): c for c in df.columns}
     listed = iv_table.filter(F.upper("COLUMN_NAME").isin(list(names))).collect()
     secret = secret_column(df.sparkSession, key)
-    return df.withColumns({
+    return spread_small(df).withColumns({
         names[row["COLUMN_NAME"].upper()]: F.hex(aes.aes_cbc_det(
             F.col(names[row["COLUMN_NAME"].upper()]), secret, F.lit(row["COLUMN_IV_KEY"]).cast("binary")))
         for row in listed

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.ranks import global_rank
 
@@ -95,22 +95,22 @@ def anti_by_basename(left: DataFrame, left_path: str, right: DataFrame, right_pa
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row with the smallest ``order`` per key; partial aggregation absorbs hot keys."""
-    return _pick(df, keys, order, F.min_by)
+    """The row with the smallest ``order`` per key."""
+    return _top_row(df, keys, [F.col(c).asc_nulls_last() for c in order], order)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row with the largest ``order`` per key."""
-    return _pick(df, keys, order, F.max_by)
+    return _top_row(df, keys, [F.col(c).desc_nulls_last() for c in order], order)
 
 
-def _pick(df, keys, order, chooser):
-    rest = [c for c in df.columns if c not in keys]
+def _top_row(df, keys, order, named):
+    """``row_number() = 1``: Spark limits groups to one row before the shuffle, so a hot key stays small."""
     # the other sortable columns break ties, so the choice does not depend on row order
-    ties = [f.name for f in df.schema.fields
-            if f.name not in order and f.dataType.typeName() not in ("map", "variant")]
-    picked = df.groupBy(*keys).agg(chooser(F.struct(*rest), F.struct(*order, *ties)).alias("_row"))
-    return picked.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    ties = [F.col(f.name) for f in df.schema.fields
+            if f.name not in (*keys, *named) and f.dataType.typeName() not in ("map", "variant")]
+    window = Window.partitionBy(*keys).orderBy(*order, *ties)
+    return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
 def sort_by(df: DataFrame, columns: list, ascending: list | None = None) -> DataFrame:

@@ -130,12 +130,17 @@ def debenture_identifiers(lines: DataFrame) -> DataFrame:
 
 def assemble(lines: DataFrame) -> DataFrame:
     """Securities with account and date: identifiers and values meet by rank within a section."""
-    identifiers = reduce(DataFrame.unionByName, [
-        frame.withColumn("kind", F.lit(kind)) for kind, frame in
-        ((1, fund_identifiers(lines)), (2, cash_identifiers(lines)), (3, debenture_identifiers(lines)))])
-    order = ["kind", NO]
-    left = row_number_by(identifiers, [DOC, "section"], order, "rank").drop("kind", NO)
-    right = row_number_by(market_values(lines), [DOC, "section"], order, "rank").drop("kind", NO)
+    empty = F.lit(None).cast("string")
+    parts = [frame.select(DOC, "section", NO, F.lit(kind).alias("kind"), F.lit(True).alias("named"), "cusip", "security_description",
+                          empty.alias("collateral_type"), empty.alias("market_value"))
+             for kind, frame in ((1, fund_identifiers(lines)), (2, cash_identifiers(lines)), (3, debenture_identifiers(lines)))]
+    parts.append(market_values(lines).select(DOC, "section", NO, "kind", F.lit(False).alias("named"), empty.alias("cusip"),
+                                             empty.alias("security_description"), "collateral_type", "market_value"))
+    # rank by kind, then line: the kind goes above the line number in one position
+    items = reduce(DataFrame.unionByName, parts).withColumn("_at", F.shiftleft(F.col("kind").cast("bigint"), 40) + F.col(NO))
+    ranked = running_sum(cut_lineage(items), [DOC, "section", "named"], "_at", F.lit(1), "rank")
+    left = ranked.filter("named").select(DOC, "section", "rank", "cusip", "security_description")
+    right = ranked.filter("NOT named").select(DOC, "section", "rank", "collateral_type", "market_value")
     securities = left.join(right, [DOC, "section", "rank"], "full")
     heads = as_of_dates(lines).join(account_names(lines), [DOC, "section"], "full")
     return heads.join(securities, [DOC, "section"], "right").select(
@@ -208,7 +213,8 @@ def merge_continuations(df: DataFrame, keys: list[str], pos: str, key: str, fiel
 
 def words_to_lines(words: DataFrame, keys: list[str], tolerance: float = 3.0) -> DataFrame:
     """Words (top, x0, text) to lines: a gap in ``top`` above the tolerance starts a new line."""
-    placed = row_number_by(words, keys, ["top", "x0", "text"], "_pos")
+    # each scan reads its input twice, so the ranked words are written once
+    placed = cut_lineage(row_number_by(words, keys, ["top", "x0", "text"], "_pos"))
     gaps = previous_value(placed, keys, "_pos", F.col("top"), "_above")
     new = F.col("_above").isNull() | (F.col("top") - F.col("_above") > tolerance)
     numbered = running_sum(gaps, keys, "_pos", new.cast("int"), "line_no")
@@ -231,13 +237,13 @@ def label_tables(labels: DataFrame, tables: DataFrame, max_scan: float = 700.0)
                           F.struct("top", "bottom", *extra).alias("_t"))
     # at one height the table comes first: a label counts as above only when strictly so
     events = row_number_by(marks.unionByName(boxes), page, [F.col("y"), F.col("_kind").desc(), F.col("label")], "_in_page")
-    near = ordered_scan(events, page, "_in_page", {
+    near = ordered_scan(cut_lineage(events), page, "_in_page", {
         "_near": last_so_far(F.when(F.col("_kind") == 0, F.struct("y", "label")))})
     last = tables.groupBy(*page).agg(F.max("bottom").alias("_last"))
     held = near.join(last, page, "left").withColumn(
         "_set", F.when(F.col("_kind") == 1, F.when(F.col("y") - F.col("_near.y") <= max_scan, F.col("_near.label")))
         .when(F.col("_last").isNull() | (F.col("y") > F.col("_last")), F.col("label")))
-    ordered = row_number_by(held, [DOC], [F.col("page"), F.col("_kind").desc(), F.col("_in_page")], "_n")
-    active = ordered_scan(ordered, [DOC], "_n", {"active_label": last_so_far(F.col("_set"))})
+    ordered = row_number_by(cut_lineage(held), [DOC], [F.col("page"), F.col("_kind").desc(), F.col("_in_page")], "_n")
+    active = ordered_scan(cut_lineage(ordered), [DOC], "_n", {"active_label": last_so_far(F.col("_set"))})
     return active.filter("_kind = 1").select(
         *page, F.col("_t.top").alias("top"), F.col("_t.bottom").alias("bottom"), *[F.col("_t")[c].alias(c) for c in extra], "active_label")
