@@ -88,7 +88,7 @@ def sum_so_far(value: Column) -> Scan:
         lambda v, w: F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         lambda v, pos: F.sum(v),
         lambda s: F.sum(s),
-        lambda here, carry: here + F.coalesce(carry, F.lit(0)),
+        lambda here, carry: F.coalesce(here + carry, here, carry),
     )
 
 

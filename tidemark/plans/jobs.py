@@ -305,7 +305,7 @@ def _(t):
 def _(t):
     members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t)))).filter("member LIKE 'sub/%'")
     path = work_path(t.spark, "clean")
-    writers.unload_lines(arc.read_members(members), "line", path)
+    writers.unload_lines(arc.good_lines(arc.read_members(members)), "line", path)
     return t.spark.read.text(path)
 
 

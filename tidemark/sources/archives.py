@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import codecs
 import io
+import itertools
 import re
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,7 +21,40 @@ READ_BLOCK = 16 * 1024 * 1024
 SPLIT_BYTES = 250 * 1024 * 1024
 BATCH_LINES = 10_000
 MEMBER_SCHEMA = "archive string, member string, size long, compressed long, error string"
-LINE_SCHEMA = "archive string, member string, part int, line_no long, line string"
+LINE_SCHEMA = "archive string, member string, part int, line_no long, line string, error string"
+# what a damaged, encrypted or unknown member raises while it is read
+MEMBER_ERRORS = (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError)
+
+
+class SharedFile(io.RawIOBase):
+    """A pyarrow file with the errors the zip reader expects of a Python file."""
+
+    def __init__(self, handle):
+        self._handle = handle
+
+    def readable(self):
+        return True
+
+    def seekable(self):
+        return True
+
+    def tell(self):
+        return self._handle.tell()
+
+    def seek(self, offset, whence=io.SEEK_SET):
+        start = {io.SEEK_SET: 0, io.SEEK_CUR: self._handle.tell(), io.SEEK_END: self._handle.size()}[whence]
+        if start + offset < 0:
+            raise OSError("seek before the start of the file")
+        return self._handle.seek(start + offset)
+
+    def readinto(self, buffer):
+        data = self._handle.read(len(buffer))
+        buffer[:len(data)] = data
+        return len(data)
+
+    def close(self):
+        self._handle.close()
+        super().close()
 
 
 def open_shared(path: str):
@@ -28,9 +63,11 @@ def open_shared(path: str):
 
     local = re.sub(r"^file:/+", "/", path)
     if local.startswith("/"):
-        return fs.LocalFileSystem().open_input_file(local)
-    system, inner = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
-    return system.open_input_file(inner)
+        handle = fs.LocalFileSystem().open_input_file(local)
+    else:
+        system, inner = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
+        handle = system.open_input_file(inner)
+    return io.BufferedReader(SharedFile(handle), 1 << 20)
 
 
 def list_archives(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
@@ -125,30 +162,39 @@ def read_members(
 ) -> DataFrame:
     """Lines (archive, member, part, line_no, line) of the members.
 
-    ``clean`` strips lines and drops blank and metadata ones. The member list is small,
-    so the number of tasks is set here: adaptive execution would join it into one.
+    ``clean`` strips lines and drops blank and metadata ones. A member that cannot be
+    read to its end gives a row with ``error`` in place of a failed job. The member list
+    is small, so the number of tasks is set here: adaptive execution would join it into one.
     """
     tasks = tasks or 4 * members.sparkSession.sparkContext.defaultParallelism
+    columns = ["archive", "member", "part", "line_no", "line", "error"]
+
+    def rows_of(path, member):
+        try:
+            for part, number, line in member_lines(path, member, clean, split_bytes, header):
+                yield path, member, part, number, line, None
+        except MEMBER_ERRORS as error:
+            yield path, member, None, None, None, f"{type(error).__name__}: {error}"
 
     def read(frames):
         for frame in frames:
             for path, member in zip(frame["archive"], frame["member"]):
-                rows = []
-                for part, number, line in member_lines(path, member, clean, split_bytes, header):
-                    rows.append((path, member, part, number, line))
-                    if len(rows) == BATCH_LINES:
-                        yield pd.DataFrame(rows, columns=["archive", "member", "part", "line_no", "line"])
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["archive", "member", "part", "line_no", "line"])
+                rows = rows_of(path, member)
+                while batch := list(itertools.islice(rows, BATCH_LINES)):
+                    made = pd.DataFrame(batch, columns=columns)
+                    yield made.astype({"part": "Int32", "line_no": "Int64"})
 
     return members.select("archive", "member").repartition(tasks, "archive", "member").mapInPandas(read, LINE_SCHEMA)
 
 
+def good_lines(lines: DataFrame) -> DataFrame:
+    return lines.filter("error IS NULL").drop("error")
+
+
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned lines of every file member of the archives below ``path``."""
     members = list_members(list_archives(spark, path)).filter("member IS NOT NULL AND member NOT LIKE '%/'")
-    return read_members(members).drop("part")
+    return good_lines(read_members(members)).drop("part")
 
 
 def route_members(members: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -169,8 +215,8 @@ def target_name(target: str, day: str, archive: Column, member: Column, part: Co
 def split_members(members: DataFrame, target: str, day: str, split_bytes: int = SPLIT_BYTES, header: bool = True) -> DataFrame:
     """Lines by target file; large members are cut at record ends and repeat their header in each part."""
     routed = route_members(members, split_bytes)
-    whole = read_members(routed.filter("NOT is_split"), clean=False).withColumn("is_split", F.lit(False))
-    parts = read_members(routed.filter("is_split"), clean=False, split_bytes=split_bytes, header=header)
+    whole = good_lines(read_members(routed.filter("NOT is_split"), clean=False)).withColumn("is_split", F.lit(False))
+    parts = good_lines(read_members(routed.filter("is_split"), clean=False, split_bytes=split_bytes, header=header))
     if header:
         # the header line goes to every part; other lines stay where they are
         last = parts.groupBy("archive", "member").agg(F.max("part").alias("_last"))
@@ -187,7 +233,13 @@ def manifest(lines: DataFrame) -> DataFrame:
                         F.col("target").alias("target_full_csv_file_name"), "is_split").distinct()
 
 
-def archive_outcomes(members: DataFrame, archive: bool = True) -> DataFrame:
-    """Where each source archive goes: archived, rejected, or left in place."""
-    return members.groupBy("archive").agg(F.max("error").alias("error"), F.count("member").alias("members")).withColumn(
+def archive_outcomes(members: DataFrame, lines: DataFrame | None = None, archive: bool = True) -> DataFrame:
+    """Where each source archive goes: archived, rejected, or left in place.
+
+    ``lines`` as read by :func:`read_members` adds the errors met inside members.
+    """
+    found = members.select("archive", "member", "error")
+    if lines is not None:
+        found = found.unionByName(lines.filter("error IS NOT NULL").select("archive", F.lit(None).cast("string").alias("member"), "error"))
+    return found.groupBy("archive").agg(F.max("error").alias("error"), F.count("member").alias("members")).withColumn(
         "outcome", F.when(F.col("error").isNotNull(), "rejected").otherwise("archived" if archive else "left in place"))
