@@ -45,7 +45,7 @@ SPARK_TYPES = {
 
 def spec_schema(spec: list[ColumnSpec]) -> T.StructType:
     fields = ", ".join(f"`{c.name}` {SPARK_TYPES[c.type]}{'' if c.nullable else ' NOT NULL'}" for c in spec)
-    return T._parse_datatype_string(fields)
+    return T.StructType.fromDDL(fields)
 
 
 class Draws:

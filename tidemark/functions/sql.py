@@ -18,7 +18,7 @@ SQL_FUNCTIONS = {
 }
 
 
-@udtf(returnType="line_no long, line string")
+@udtf(returnType="line_no long, line string", useArrow=True)
 class UnzipMember:
     """Cleaned lines of one archive member, streamed."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 FIELD_SEPARATOR = '"|"'
 SUCCESS, FAILED = 1, 3
@@ -110,9 +110,7 @@ AUDIT_SCHEMA = (
 
 def audit_rows(spark: SparkSession, runs: list[dict]) -> DataFrame:
     """Job log rows: status 1 and SUCCESS, or status 3 and the error. One row per run of the caller."""
-    from pyspark.sql.types import _parse_datatype_string
-
-    schema = _parse_datatype_string(AUDIT_SCHEMA)
+    schema = T.StructType.fromDDL(AUDIT_SCHEMA)
     rows = []
     for run in runs:
         error = run.get("error")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -113,22 +114,25 @@ def _top_row(df, keys, order, named):
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
+# how a column shows the direction it carries
+DIRECTION = re.compile(r" (ASC|DESC) NULLS (FIRST|LAST)$")
+
+
 def sort_by(df: DataFrame, columns: list, ascending: list | None = None) -> DataFrame:
     """Sort; an ``ascending`` list wins over a direction a column already carries."""
     if ascending is None:
         return df.orderBy(*columns)
-    # Spark applies the list to the plain column, and refuses one that is already ordered
-    return df.orderBy(*[_directed(c, bool(up)) for c, up in zip(columns, ascending, strict=True)])
+    return df.orderBy(*[
+        _plain(c).asc_nulls_last() if up else _plain(c).desc_nulls_last()
+        for c, up in zip(columns, ascending, strict=True)])
 
 
-def _directed(column, up: bool) -> Column:
+def _plain(column) -> Column:
+    """The column without its direction; Spark cannot sort by a column that carries two."""
     if isinstance(column, str):
-        column = F.col(column)
-    node = column._jc.node() if hasattr(column._jc, "node") else None
-    if node is not None and node.getClass().getSimpleName() == "SortOrder":
-        text = column._jc.toString()
-        column = F.expr(text.rsplit(" NULLS ", 1)[0].rsplit(" ", 1)[0])
-    return column.asc_nulls_last() if up else column.desc_nulls_last()
+        return F.col(column)
+    shown = str(column).removeprefix("Column<'").removesuffix("'>")
+    return F.expr(DIRECTION.sub("", shown)) if DIRECTION.search(shown) else column
 
 
 def page(df: DataFrame, order: list, limit: int, offset: int = 0) -> DataFrame:

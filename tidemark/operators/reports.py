@@ -45,15 +45,20 @@ def between_markers(lines: DataFrame, start: str, end: str, mode: str = "contain
         is_start, is_end, valid = F.col(LINE) == start, F.startswith(LINE, F.lit(end)), F.col("_s") <= F.col("_e")
     else:
         raise ValueError(f"unknown mode {mode}")
-    one = F.lit(1)
-    starts = running_sum(lines.filter(is_start).select(DOC, F.col(NO).alias("_s")), [DOC], "_s", one, "pair")
-    ends = running_sum(lines.filter(is_end).select(DOC, F.col(NO).alias("_e")), [DOC], "_e", one, "pair")
-    ranges = starts.join(ends, [DOC, "pair"]).filter(valid)
+    marks = lines.filter(is_start | is_end).select(DOC, F.col(NO).cast("bigint").alias(NO), is_start.alias("_start"), is_end.alias("_end"))
+    counted = ordered_scan(marks, [DOC], NO, {
+        "_ns": sum_so_far(F.col("_start").cast("int")), "_ne": sum_so_far(F.col("_end").cast("int"))})
+    # the i-th start and the i-th end meet in one group; a line may be both
+    ends = F.array_compact(F.array(
+        F.when(F.col("_start"), F.struct(F.col("_ns").alias("pair"), F.col(NO).alias("s"), F.lit(None).cast("bigint").alias("e"))),
+        F.when(F.col("_end"), F.struct(F.col("_ne").alias("pair"), F.lit(None).cast("bigint").alias("s"), F.col(NO).alias("e")))))
+    ranges = (counted.select(DOC, F.explode(ends).alias("m")).groupBy(DOC, F.col("m.pair").alias("pair"))
+              .agg(F.max("m.s").alias("_s"), F.max("m.e").alias("_e")).filter(valid))
     # a range becomes its line numbers, block by block, and those an equi join: no range join within a document
     blocks = ranges.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_s") / CHUNK_ROWS), F.floor(F.col("_e") / CHUNK_ROWS))))
     numbers = blocks.select(DOC, "pair", F.explode(F.sequence(
-        F.greatest(F.col("_s").cast("bigint"), F.col("_b") * CHUNK_ROWS),
-        F.least(F.col("_e").cast("bigint"), F.col("_b") * CHUNK_ROWS + (CHUNK_ROWS - 1)))).alias(NO))
+        F.greatest(F.col("_s"), F.col("_b") * CHUNK_ROWS),
+        F.least(F.col("_e"), F.col("_b") * CHUNK_ROWS + (CHUNK_ROWS - 1)))).alias(NO))
     return numbers.join(lines.withColumn(NO, F.col(NO).cast("bigint")), [DOC, NO]).select(DOC, "pair", *[c for c in lines.columns if c != DOC])
 
 
@@ -107,7 +112,7 @@ def fund_identifiers(lines: DataFrame) -> DataFrame:
     """Fund identifier and description, with the continuation lines that follow the main line."""
     inside = between_markers(lines, FUND, f"{FUND} $", "equals_prefix").filter(~_contains(FUND) & ~_contains(RATING))
     main = F.size(F.filter(F.split(F.btrim(LINE), r"\s+"), lambda token: token != "")) >= 10
-    grouped = running_sum(inside.withColumn("_main", main), [DOC], NO, F.col("_main").cast("int"), "_group")
+    grouped = running_sum(cut_lineage(inside.withColumn("_main", main)), [DOC], NO, F.col("_main").cast("int"), "_group")
     text = F.when(F.col("_main"), F.regexp_replace(
         F.split_part(F.get(F.split(LINE, " ", 2), F.lit(1)), F.lit("%"), F.lit(1)), r"\d.*", "")
     ).otherwise(F.replace(LINE, F.lit(NOT_RATED), F.lit("")))

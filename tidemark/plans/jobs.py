@@ -204,18 +204,12 @@ def _(t):
 
 def page_archives(t):
     """Write one archive per page: two CSV members, a note and a resource fork; every tenth is cut short."""
-    from pyarrow import fs
-
     root = work_path(t.spark, "zips")
-    local = root.removeprefix("file:")
-    if "://" in root:
-        system, folder = fs.FileSystem.from_uri(root)
-    else:
-        system, folder = fs.LocalFileSystem(), local
+    system, folder = arc.shared_system(root)
     system.create_dir(folder, recursive=True)
 
     def pack(frames):
-        out = fs.FileSystem.from_uri(root)[0] if "://" in root else fs.LocalFileSystem()
+        out, _ = arc.shared_system(root)
         for frame in frames:
             for page, url, html in zip(frame["page_id"], frame["url"], frame["html"]):
                 held = io.BytesIO()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import reports as rep
 from tidemark.plans.registry import query
+from tidemark.session import cut_lineage
 from tidemark.sources.tables import text_lines
 
 
@@ -55,7 +56,7 @@ def report_lines(t):
 
 
 def sections(t):
-    return rep.section_ids(rep.drop_noise(report_lines(t))).filter("section > 0")
+    return cut_lineage(rep.section_ids(rep.drop_noise(report_lines(t))).filter("section > 0"))
 
 
 @query("txt4_account_names", """

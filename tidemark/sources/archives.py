@@ -57,17 +57,20 @@ class SharedFile(io.RawIOBase):
         super().close()
 
 
-def open_shared(path: str):
-    """A seekable reader on local or object storage."""
+def shared_system(path: str):
+    """File system and inner path of a local or object-storage path."""
     from pyarrow import fs
 
     local = re.sub(r"^file:/+", "/", path)
     if local.startswith("/"):
-        handle = fs.LocalFileSystem().open_input_file(local)
-    else:
-        system, inner = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
-        handle = system.open_input_file(inner)
-    return io.BufferedReader(SharedFile(handle), 1 << 20)
+        return fs.LocalFileSystem(), local
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
+
+
+def open_shared(path: str):
+    """A seekable reader."""
+    system, inner = shared_system(path)
+    return io.BufferedReader(SharedFile(system.open_input_file(inner)), 1 << 20)
 
 
 def list_archives(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:

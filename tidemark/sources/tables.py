@@ -40,7 +40,7 @@ class CsvFormat:
 
 def read_csv(spark: SparkSession, path: str, schema, fmt: CsvFormat = CsvFormat()) -> DataFrame:
     """CSV with a declared schema; null tokens are replaced before the cast to the declared type."""
-    declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields])
     rows = spark.read.schema(as_text).options(**fmt.options()).csv(path)
     return rows.select(*[
