@@ -471,10 +471,10 @@ def _(t):
         F.col("o_custkey").asc_nulls_last(), F.col("o_totalprice").desc_nulls_last())
 
 
-@query("so2_ascending_list", "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 49 ORDER BY l_quantity, l_orderkey")
+@query("so2_ascending_list", "SELECT l_orderkey, l_quantity FROM lineitem ORDER BY l_quantity, l_orderkey")
 def _(t):
-    big = t.lineitem.filter("l_quantity > 49").select("l_orderkey", "l_quantity")
-    return rel.sort_by(big, [F.col("l_quantity"), F.col("l_orderkey").desc()], ascending=[1, 1])
+    lines = t.lineitem.select("l_orderkey", "l_quantity")
+    return rel.sort_by(lines, [F.col("l_quantity"), F.col("l_orderkey").desc()], ascending=[1, 1])
 
 
 @query("so3_top_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")

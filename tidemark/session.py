@@ -24,6 +24,9 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # long texts: bound a batch sent to Python by size, not by ten thousand rows
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
         # keys never reach a plan, but a caller's own literal might
         "spark.sql.redaction.string.regex": "(?i)(secret|passphrase|hexkey)[^\\s,)]*",
         **conf,

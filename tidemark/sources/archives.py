@@ -143,9 +143,9 @@ def _encoding(archive: zipfile.ZipFile, member: str) -> str:
 
 
 def member_lines(path: str, member: str, clean: bool = True, split_bytes: int | None = None, header: bool = True):
-    """(part, line_no, line) of one member; a part closes once it holds ``split_bytes``."""
+    """(part, line_no, line) of one member; a part closes once it holds ``split_bytes``, the next repeats the header."""
     with open_shared(path) as handle, zipfile.ZipFile(handle) as archive:
-        encoding, part, held = _encoding(archive, member), 1, 0
+        encoding, part, held, head = _encoding(archive, member), 1, 0, None
         with archive.open(member) as stream:
             for number, line in enumerate(io.TextIOWrapper(stream, encoding, newline="\n")):
                 line = line.removesuffix("\n")
@@ -153,11 +153,15 @@ def member_lines(path: str, member: str, clean: bool = True, split_bytes: int |
                     line = line.strip()
                     if not line or line.startswith("Mac OS") or "ATTR" in line:
                         continue
-                if split_bytes and held >= split_bytes:
-                    part, held = part + 1, 0
-                yield part, number, line
-                if not (header and number == 0):
+                if header and number == 0:
+                    head = line
+                elif split_bytes:
+                    if held >= split_bytes:
+                        part, held = part + 1, 0
+                        if head is not None:
+                            yield part, 0, head
                     held += len(line.encode(encoding)) + 1
+                yield part, number, line
 
 
 def read_members(
@@ -220,12 +224,6 @@ def split_members(members: DataFrame, target: str, day: str, split_bytes: int =
     routed = route_members(members, split_bytes)
     whole = good_lines(read_members(routed.filter("NOT is_split"), clean=False)).withColumn("is_split", F.lit(False))
     parts = good_lines(read_members(routed.filter("is_split"), clean=False, split_bytes=split_bytes, header=header))
-    if header:
-        # the header line goes to every part; other lines stay where they are
-        last = parts.groupBy("archive", "member").agg(F.max("part").alias("_last"))
-        heads = parts.filter("line_no = 0").join(last, ["archive", "member"]).withColumn(
-            "part", F.explode(F.sequence(F.lit(1), F.col("_last")))).drop("_last")
-        parts = parts.filter("line_no > 0").unionByName(heads)
     lines = whole.unionByName(parts.withColumn("is_split", F.lit(True)))
     return lines.withColumn("target", target_name(target, day, F.col("archive"), F.col("member"), F.col("part"), F.col("is_split")))
 
