@@ -9,6 +9,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.session import spread_small
+
 ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 UPPER, LOWER, DIGITS = ALNUM[:26], ALNUM[26:52], ALNUM[52:]
 # fixed values of the generator
@@ -145,7 +147,7 @@ def generate_for(df: DataFrame, row: str, spec: list[ColumnSpec], seed: int) ->
             continue
         value = from_template(draws, c.pattern) if c.pattern else random_value(draws, c.type, c.length)
         made[c.name] = F.when(draws.unit("null") >= NULL_SHARE, value) if c.nullable else value
-    return df.select("*", *[col.alias(name) for name, col in made.items()])
+    return spread_small(df).select("*", *[col.alias(name) for name, col in made.items()])
 
 
 def generate(spark: SparkSession, spec: list[ColumnSpec], n: int, seed: int) -> DataFrame:

@@ -101,7 +101,9 @@ def _(t):
 
 @query("sd10_summary_or_mismatches", f"""
 SELECT CAST(NULL AS VARCHAR) AS validation_result, col AS missing_column, n || ' / ' || {_FILES} || ' files' AS file_count_mismatch
-FROM {_INFO} WHERE n < {_FILES}""")
+FROM {_INFO} WHERE n < {_FILES}
+UNION ALL SELECT '✅ All files (' || {_FILES} || ') have all columns (' || count(*) || ')', NULL, NULL FROM {_INFO}
+HAVING min(n) = max(n) AND min(n) = {_FILES}""")
 def _(t):
     return drift.summary_or_mismatches(fc(t))
 
@@ -113,7 +115,8 @@ def _(t):
     return drift.summary_or_counts(even(t))
 
 
-@query("sd11_summary_or_missing", f"SELECT CAST(NULL AS VARCHAR) AS result, file AS file_name, col AS missing_column FROM {_MISSING}")
+@query("sd11_summary_or_missing", f"SELECT CAST(NULL AS VARCHAR) AS result, file AS file_name, col AS missing_column FROM {_MISSING} "
+       f"UNION ALL SELECT count(*) || ' columns in all files', NULL, NULL FROM {_INFO} HAVING min(n) = max(n) AND min(n) = {_FILES}")
 def _(t):
     return drift.summary_or_missing(fc(t))
 

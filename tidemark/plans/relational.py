@@ -295,8 +295,8 @@ def _(t):
 
 @query("jn12_basename_anti", """
 SELECT u.path, u.priority FROM (SELECT 'in/' || o_orderstatus || '/f' || o_orderkey || '.csv' AS path, o_orderpriority AS priority FROM orders) u
-WHERE NOT EXISTS (SELECT 1 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-                  WHERE o.o_orderpriority = u.priority AND u.path LIKE '%/f' || l.l_orderkey || '.csv')""")
+ANTI JOIN (SELECT DISTINCT 'f' || l_orderkey || '.csv' AS base, o_orderpriority FROM lineitem JOIN orders ON o_orderkey = l_orderkey) d
+ON split_part(u.path, '/', -1) = d.base AND u.priority = d.o_orderpriority""")
 def _(t):
     listed = t.orders.select(
         F.concat(F.lit("in/"), "o_orderstatus", F.lit("/f"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("path"),

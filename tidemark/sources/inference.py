@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.session import spread_small
 from tidemark.sources.tables import CsvFormat, read_file_lines
 
 # narrowest first; a column takes the first type all its values fit
@@ -30,7 +31,7 @@ def _fits(value: Column, kind: str) -> Column:
 
 def infer_files(spark: SparkSession, path: str, fmt: CsvFormat = CsvFormat()) -> DataFrame:
     """FC(file, ordinal, column, type): one pass of map-side combined flags over all files."""
-    rows = read_file_lines(spark, path).filter(F.length("line") > 0).select("file", "pos", _fields(F.col("line"), fmt).alias("fields"))
+    rows = spread_small(read_file_lines(spark, path).filter(F.length("line") > 0)).select("file", "pos", _fields(F.col("line"), fmt).alias("fields"))
     first = rows.groupBy("file").agg(F.min(F.struct("pos", "fields")).alias("first"))
     first = first.select("file", F.col("first.pos").alias("first_pos"), F.col("first.fields").alias("names"))
     if not fmt.header:
