@@ -185,11 +185,10 @@ def read_members(
 
     def read(frames):
         for frame in frames:
-            for path, member in zip(frame["archive"], frame["member"]):
-                rows = rows_of(path, member)
-                while batch := list(itertools.islice(rows, BATCH_LINES)):
-                    made = pd.DataFrame(batch, columns=columns)
-                    yield made.astype({"part": "Int32", "line_no": "Int64"})
+            # batches run over members, as many of them are short
+            rows = itertools.chain.from_iterable(map(rows_of, frame["archive"], frame["member"]))
+            while batch := list(itertools.islice(rows, BATCH_LINES)):
+                yield pd.DataFrame(batch, columns=columns).astype({"part": "Int32", "line_no": "Int64"})
 
     return members.select("archive", "member").repartition(tasks, "archive", "member").mapInPandas(read, LINE_SCHEMA)
 
