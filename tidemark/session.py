@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 # estimated input size up to which costly per-row work is spread by a shuffle
 SMALL_BYTES = 256 * 1024 * 1024
+# applications that have the package already
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -36,7 +39,18 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors once, so UDFs import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        parent = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark")
+        context.addPyFile(shutil.make_archive(archive, "zip", parent, "tidemark"))
+        _SHIPPED.add(context.applicationId)
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:
