@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``limit`` bytes of text each; a longer text comes alone."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).cast(pa.int64()))
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64()))
     if not len(sizes):
         return
     ends, start = np.cumsum(sizes), 0
@@ -34,7 +35,7 @@ def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if texts.null_count:
-        texts = pa.compute.fill_null(texts, b"")
+        texts = pc.fill_null(texts, b"")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
