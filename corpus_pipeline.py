@@ -5,20 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, language, minhash, mixing
+from tidemark.llm.text import row_key
 from tidemark.session import ship_package, work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with an accepted language, which ``lang`` then names."""
+    model = language.fit(docs.select("text", language.tag(docs.lang).alias("label")))
+    found = language.identify(docs, model, declared=docs.lang, name=docs.source)
+    named = [F.col("_language").alias("lang") if c == "lang" else F.col(c) for c in docs.columns]
+    return found.where("_accepted").select(*named)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; of repeated rows, one."""
+    groups = minhash.groups(docs).where("kept").select("k1", "k2").distinct()
+    keyed = docs.select("*", *row_key(docs.doc_id.cast("long"), docs.text.cast("string")))
+    first = Window.partitionBy("k1", "k2").orderBy("k1")
+    return keyed.join(groups, ["k1", "k2"]).withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in files that follow each other in the order of the mix."""
+    mixed = mixing.mix(docs, mixing.tempered(docs, docs.source), docs.source, F.xxhash64("doc_id", "text"))
+    return mixed.repartitionByRange("_slot", "_rank").sortWithinPartitions("_slot", "_rank").select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with the length and digests of what they decode to."""
+    """Token ids of every text, as counts and digests of the ids and of what they decode to."""
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language", identify),
+    ("near_duplicates", deduplicate),
+    ("mixing", mix_sources),
     ("bpe", encode),
 ]
 #: No stage but the numbering of documents can be said in SQL; tests hold each to a brute-force version.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, language, minhash, mixing
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.select("text", language.tag(docs.lang).alias("label")))
+    rows = docs.select("doc_id", "text", "lang", "source")
+    found = language.identify(rows, model, declared=rows.lang, name=rows.source)
+    return found.select("doc_id", F.col("_language").alias("language"), F.round("_confidence", 6).alias("confidence"),
+                        F.col("_letters").alias("n_letters"), F.col("_accepted").alias("kept"))
+
+
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    mixed = mixing.mix(docs, mixing.tempered(docs, docs.source), docs.source, F.xxhash64("doc_id"))
+    return mixed.select("doc_id", F.col("_source").alias("source"), *[F.col(f"_{c}").alias(c) for c in ("rank", "block", "slot", "release", "deadline", "on_target")])
+
+
+@query
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.groups(table(spark, folder, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
