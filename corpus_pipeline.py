@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, minhash, mixing
+from tidemark.llm import bpe, language, minhash, mixing, suffixes
 from tidemark.llm.text import row_key
 from tidemark.session import ship_package, work_path
 
@@ -31,6 +31,14 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.join(groups, ["k1", "k2"]).withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
 
 
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages of 400 bytes that also stand elsewhere; ``n_chars`` is counted anew."""
+    cut = suffixes.remove(docs, whole_characters=True)
+    left = F.when(F.col("text").isNotNull(), F.col("_kept").cast("string"))
+    new = {"text": left, "n_chars": F.when(F.size("_removed") > 0, F.char_length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
+    return cut.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in files that follow each other in the order of the mix."""
     mixed = mixing.mix(docs, mixing.tempered(docs, docs.source), docs.source, F.xxhash64("doc_id", "text"))
@@ -45,6 +53,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("language", identify),
     ("near_duplicates", deduplicate),
+    ("suffix_array", cut_repeats),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]

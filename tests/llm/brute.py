@@ -27,3 +27,21 @@ def near_groups(docs):
                 i_, j_ = find(i), find(j)
                 root[max(i_, j_)] = min(i_, j_)
     return {i: (len(s), find(i)) for i, s in sets}
+
+
+def cut_repeats(docs, window):
+    """docs: (doc_id, text). {doc_id: (n_bytes, n_removed, n_spans, kept)}"""
+    raws = [(i, (t or "").encode()) for i, t in docs]
+    seen = {}
+    for _, raw in raws:
+        for p in range(len(raw) - window + 1):
+            seen[raw[p : p + window]] = seen.get(raw[p : p + window], 0) + 1
+    out = {}
+    for i, raw in raws:
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - window + 1):
+            if seen[raw[p : p + window]] > 1:
+                gone[p : p + window] = b"\1" * window
+        spans = sum(1 for p, g in enumerate(gone) if g and (p == 0 or not gone[p - 1]))
+        out[i] = len(raw), sum(gone), spans, bytes(b for b, g in zip(raw, gone) if not g)
+    return out

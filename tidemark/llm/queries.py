@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, minhash, mixing
+from tidemark.llm import bpe, language, minhash, mixing, suffixes
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.groups(table(spark, folder, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.remove(table(spark, folder, "documents").select("doc_id", "text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return cut.select("doc_id", size.alias("n_bytes"), (size - F.length("_kept")).cast("long").alias("n_removed"),
+                      F.size("_removed").cast("long").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
