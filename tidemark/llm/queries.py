@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, minhash, mixing, slices, suffixes
+from tidemark.llm import bpe, language, minhash, mixing, slices, suffixes, warc
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.read(warc.index(warc.write(table(spark, folder, "pages"))))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 @query
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
