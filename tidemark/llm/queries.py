@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, minhash, mixing, slices, suffixes, warc
+from tidemark.llm import bpe, imatch, language, minhash, mixing, packing, slices, suffixes, toxicity, warc
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,26 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return cut.select("doc_id", size.alias("n_bytes"), (size - F.length("_kept")).cast("long").alias("n_removed"),
                       F.size("_removed").cast("long").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(table(spark, folder, "documents"))
+    return packed.select(
+        "sequence", F.col("segments.id").alias("doc_ids"), F.col("segments.start").alias("starts"), "cu_seqlens",
+        F.element_at("cu_seqlens", -1).alias("n_ids"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"))
+
+
+@query
+def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.compare(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -85,9 +85,15 @@ def words(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tupl
 
     A-Z count as a-z. Words are hashed by differences of one running polynomial sum.
     """
+    (hashes,), at = beginnings(raw, offsets, gap)
+    return hashes, at
+
+
+def beginnings(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE, cuts: tuple[int, ...] = ()) -> tuple[list[np.ndarray], np.ndarray]:
+    """As ``words``, and for each cut the hashes of the words' first bytes, so many at most."""
     n = len(raw)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return [np.empty(0, np.uint64)] * (1 + len(cuts)), np.zeros(len(offsets), np.int64)
     inside = ~gap[raw]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -99,7 +105,8 @@ def words(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tupl
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_TABLE[LOWER[raw]] * up[:n], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), np.searchsorted(starts, offsets)
+    hashed = lambda stops: mix((total[stops] - total[starts]) * down[starts])
+    return [hashed(ends), *[hashed(np.minimum(ends, starts + c)) for c in cuts]], np.searchsorted(starts, offsets)
 
 
 def row_key(*columns: Column) -> list[Column]:
