@@ -33,9 +33,14 @@ def test_members_and_outcomes(spark, zips):
         arc.select_members(members, ["three.csv"])
     with pytest.raises(FileNotFoundError):
         arc.list_archives(spark, zips, ["c.zip"])
-    outcome = {r.archive.rsplit("/", 1)[-1]: r.outcome for r in arc.archive_outcomes(members).collect()}
+    with pytest.raises(FileNotFoundError):
+        arc.list_archives(spark, zips, ["a.zip", "c.zip"])
+    with pytest.raises(FileNotFoundError):
+        arc.select_members(members, ["one.csv", "three.csv"])
+    read = arc.read_members(arc.select_members(members))
+    outcome = {r.archive.rsplit("/", 1)[-1]: r.outcome for r in arc.archive_outcomes(members, read).collect()}
     assert outcome == {"a.zip": "archived", "bad.zip": "rejected", "none.ZIP": "archived"}
-    assert {r.outcome for r in arc.archive_outcomes(members, archive=False).collect()} == {"rejected", "left in place"}
+    assert {r.outcome for r in arc.archive_outcomes(members, read, archive=False).collect()} == {"rejected", "left in place"}
 
 
 def test_a_damaged_member_rejects_its_archive_only(spark, zips):
@@ -54,7 +59,26 @@ def test_a_damaged_member_rejects_its_archive_only(spark, zips):
 
 def test_lines_are_decoded_and_cleaned(spark, zips):
     rows = arc.zip_lines(spark, zips).filter("member = 'dir/two.CSV'").orderBy("line_no").collect()
-    assert [r.line for r in rows] == ["naïve", "x"]
+    assert [r.line for r in rows] == ["naïve", "x", "has ATTR", "Mac OS junk"]
+    members = arc.select_members(arc.list_members(arc.list_archives(spark, zips)), ["two.CSV"])
+    assert sorted(r.line for r in arc.read_members(members, drop=("Mac OS",)).collect()) == ["has ATTR", "naïve", "x"]
+
+
+def test_a_wrong_checksum_in_a_large_latin_member_gives_no_line(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(arc, "READ_BLOCK", 1 << 12)
+    with zipfile.ZipFile(tmp_path / "d.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("x.csv", ("é" + "0123456789\n" * 20_000).encode("latin-1"))
+    data = bytearray((tmp_path / "d.zip").read_bytes())
+    data[150_000] ^= 1
+    (tmp_path / "d.zip").write_bytes(bytes(data))
+    with pytest.raises(arc.MEMBER_ERRORS):
+        next(arc.member_lines(str(tmp_path / "d.zip"), "x.csv"))
+    members = arc.list_members(arc.list_archives(spark, str(tmp_path)))
+    read = arc.read_members(arc.select_members(members))
+    assert [(r.line, r.error is None) for r in read.collect()] == [(None, False)]
+    assert arc.archive_outcomes(members, read).first().outcome == "rejected"
+    written = arc.write_members(arc.select_members(members), str(tmp_path / "out"), "20240101").collect()
+    assert [(r.target, r.error is None) for r in written] == [(None, False)] and not (tmp_path / "out").exists()
 
 
 def test_parts_repeat_the_header_and_lose_nothing(spark, zips):

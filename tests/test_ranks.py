@@ -58,19 +58,18 @@ def test_not_in_with_nulls(spark):
     assert rel.in_subquery(df, "a", listed.filter("x = 9"), "x", negate=True).count() == 3
 
 
-def test_cross_join_needs_a_small_side(spark):
-    import pytest
+def test_deep_page_uses_ranks(spark):
+    rows = rel.deep_page(spark.range(100), ["id"], 5, 50).collect()
+    assert sorted(r.id for r in rows) == [50, 51, 52, 53, 54]
+    assert [r.id for r in rel.page(spark.range(100), ["id"], 5, 50).collect()] == [50, 51, 52, 53, 54]
 
-    big = spark.range(2000)
-    with pytest.raises(ValueError):
-        rel.checked_cross(big, big)
-    assert rel.checked_cross(big, spark.range(2)).count() == 4000
 
+def test_null_keys_are_carried_over_chunks(spark):
+    from tidemark.operators import ranks
 
-def test_deep_page_uses_ranks(spark, monkeypatch):
-    monkeypatch.setattr(rel, "MAX_TOP_ROWS", 10)
-    rows = rel.page(spark.range(100), ["id"], 5, 50).collect()
-    assert sorted(r.id for r in rows) == [50, 51, 52, 53, 54]
+    df = spark.createDataFrame([(k, i, 1) for k in (None, "a") for i in range(6)], "k string, pos long, v int")
+    got = ranks.running_sum(df, ["k"], "pos", F.col("v"), "s", chunk_rows=2).orderBy("k", "pos").collect()
+    assert [r.s for r in got] == [1, 2, 3, 4, 5, 6] * 2
 
 
 def test_one_row_is_checked(spark):

@@ -19,8 +19,8 @@ from tidemark.functions.hashing import digest_mod, hex_limb
 
 # fixed values of the digit cipher
 ROUNDS = 10
-# an HMAC-SHA-256 has 32 bytes, one per digit of the left half
-MAX_DIGITS = 65
+# an HMAC-SHA-256 has 32 bytes, one per digit of the left half; more digits take numbered blocks
+BLOCK_DIGITS = 32
 AES_ROUNDS = 6
 # halves of the AES digit cipher must fit decimal(38) after a 32-bit shift
 MAX_AES_DIGITS = 54
@@ -44,12 +44,16 @@ def _stream(parts: np.ndarray, width: int, state: tuple) -> np.ndarray:
     """``width`` digits of HMAC for each row of digits."""
     inner, outer = state
     text, step, out = (parts + ord("0")).astype(np.uint8).tobytes(), parts.shape[1], []
+    blocks = max(1, -(-width // BLOCK_DIGITS))
     for start in range(0, len(text), step):
-        first, second = inner.copy(), outer.copy()
-        first.update(text[start:start + step])
-        second.update(first.digest())
-        out.append(second.digest())
-    return np.frombuffer(b"".join(out), np.uint8).reshape(len(parts), 32)[:, :width] % 10
+        for block in range(blocks):
+            first, second = inner.copy(), outer.copy()
+            first.update(text[start:start + step])
+            if block:
+                first.update(f":{block}".encode())
+            second.update(first.digest())
+            out.append(second.digest())
+    return np.frombuffer(b"".join(out), np.uint8).reshape(len(parts), 32 * blocks)[:, :width] % 10
 
 
 def _encrypt_rows(rows: np.ndarray, states: list[tuple]) -> np.ndarray:
@@ -79,8 +83,6 @@ def _numeric(key: bytes, cipher):
         done = values.copy()
         for size, group in digits.groupby(digits.str.len()):
             size = int(size)
-            if size > MAX_DIGITS:
-                raise ValueError(f"the digit cipher takes at most {MAX_DIGITS} digits, got {size}")
             if size < 2:
                 continue
             rows = np.frombuffer("".join(group).encode(), np.uint8).reshape(-1, size) - ord("0")

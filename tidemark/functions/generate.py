@@ -104,7 +104,12 @@ def random_value(draws: Draws, kind: str, length: int) -> Column:
         rounded = [F.round(value, d).cast("decimal(38,4)") for d in range(1, min(4, length) + 1)]
         return F.element_at(F.array(*rounded), (draws.below(len(rounded), "scale") + 1).cast("int"))
     if kind == "INTEGER":
-        return draws.below(10 ** min(length, 18))
+        if length > 38:
+            raise ValueError("an INTEGER has at most 38 digits")
+        if length <= 18:
+            return draws.below(10**length)
+        high = draws.below(10 ** (length - 18), "high") if length <= 36 else draws.below(10**18, "high") + draws.below(10 ** (length - 36), "top") * F.lit(10**18).cast("decimal(38,0)")
+        return (high.cast("decimal(38,0)") * F.lit(10**18).cast("decimal(19,0)") + draws.below(10**18).cast("decimal(18,0)")).cast("decimal(38,0)")
     if kind == "FLOAT":
         return draws.unit() * F.lit(length * 100.0)
     if kind == "DATE":

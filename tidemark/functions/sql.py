@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
 from tidemark.functions.fpe import CIPHERS, cipher_udf
-from tidemark.sources.archives import member_lines
+from tidemark.sources.archives import MEMBER_ERRORS, member_lines
 
 # SQL bodies are expanded into the caller's plan
 SQL_FUNCTIONS = {
@@ -18,13 +18,16 @@ SQL_FUNCTIONS = {
 }
 
 
-@udtf(returnType="line_no long, line string", useArrow=True)
+@udtf(returnType="line_no long, line string, error string", useArrow=True)
 class UnzipMember:
-    """Cleaned lines of one archive member, streamed."""
+    """Cleaned lines of one archive member, streamed; one row with the error if it can't be read."""
 
     def eval(self, archive: str, member: str):
-        for _, number, line in member_lines(archive, member):
-            yield number, line
+        try:
+            for _, number, line in member_lines(archive, member):
+                yield number, line, None
+        except MEMBER_ERRORS as error:
+            yield None, None, f"{type(error).__name__}: {error}"
 
 
 def register_functions(spark: SparkSession, key: bytes) -> None:

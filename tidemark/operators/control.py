@@ -152,10 +152,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     piece = spark.read.text(path, lineSep='\nD"|').select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"), "value")
-    start = F.regexp_extract("value", r'^([HT])"\|', 1)
+    # only the piece at the file's beginning still has its own marker; later ones begin inside a data record
+    first = piece.filter("block = 0").groupBy("file").agg(F.min("place").alias("first_place"))
+    piece = piece.join(first, "file", "left")
+    at_start = F.coalesce((F.col("block") == 0) & (F.col("place") == F.col("first_place")), F.lit(False))
+    start = F.when(at_start, F.regexp_extract("value", r'^([HT])"\|', 1)).otherwise("")
     parts = F.split("value", r'\r?\nT"\|', 2)
     body = F.when(start == "H", parts[0]).when(start == "T", F.lit(None)) \
-        .otherwise(F.when(parts[0].startswith('D"|'), parts[0]).otherwise(F.concat(F.lit('D"|'), parts[0])))
+        .otherwise(F.when(at_start & parts[0].startswith('D"|'), parts[0]).otherwise(F.concat(F.lit('D"|'), parts[0])))
     trailer = F.when(start == "T", F.col("value")).otherwise(F.concat(F.lit('T"|'), F.get(parts, F.lit(1))))
     rows = F.array(
         F.struct(F.when(start == "H", "H").otherwise("D").alias("kind"), _flat(body).alias("record")),

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.functions import aes, fpe
 from tidemark.functions.hashing import secret_column
 from tidemark.session import spread_small
+from tidemark.sinks.writers import unload_csv
+from tidemark.sources.tables import CsvFormat
 
 # fixed: fields treated as sensitive when no dictionary is given
 DEFAULT_DICTIONARY = {
@@ -27,16 +29,19 @@ DEFAULT_DICTIONARY = {
     "date_of_birth": "numeric",
     "dob": "numeric",
 }
-MAX_DICTIONARY_ROWS = 100_000
 
 
-def read_dictionary(spark: SparkSession, path: str | None) -> dict[str, str]:
-    """Field name → type from a CSV of field_name, type, format, description."""
+def read_dictionary(spark: SparkSession, path: str | None, columns: Iterable[str] | None = None) -> dict[str, str]:
+    """Field name → type from a CSV of field_name, type, format, description.
+
+    With ``columns`` only their rows reach the driver, however long the dictionary is.
+    """
     if path is None:
         return dict(DEFAULT_DICTIONARY)
-    rows = spark.read.csv(path, header=True).select("field_name", "type").limit(MAX_DICTIONARY_ROWS + 1).collect()
-    if len(rows) > MAX_DICTIONARY_ROWS:
-        raise ValueError(f"the dictionary has more than {MAX_DICTIONARY_ROWS} fields")
+    rows = spark.read.csv(path, header=True).filter("field_name IS NOT NULL").select("field_name", "type")
+    if columns is not None:
+        rows = rows.filter(F.lower(F.btrim("field_name")).isin([c.strip().lower() for c in columns]))
+    rows = rows.collect()
     return {r["field_name"].strip().lower(): (r["type"] or "").strip().lower() for r in rows}
 
 
@@ -79,10 +84,15 @@ def round_trip_errors(df: DataFrame, dictionary: dict[str, str], key: bytes) ->
 def encrypt_csv(
     spark: SparkSession, source: str, target: str, dictionary: dict[str, str], key: bytes, decrypt: bool = False
 ) -> DataFrame:
-    """CSV to CSV; all columns are read as strings, so leading zeros survive."""
-    rows = spark.read.csv(source, header=True)
+    """CSV to CSV; all columns are read as strings, so leading zeros survive.
+
+    Fields may hold quotes, separators and line breaks; a quoted empty field stays apart from a
+    missing one. A file is read by one task, as its fields may hold line breaks.
+    """
+    options = CsvFormat(line_breaks=True).options()
+    rows = spark.read.options(**options, emptyValue="", nullValue=None).csv(source)
     done = (decrypt_columns if decrypt else encrypt_columns)(rows, dictionary, key)
-    done.write.mode("overwrite").csv(target, header=True)
+    unload_csv(done, target)
     return done
 
 
@@ -91,8 +101,10 @@ def encrypt_by_column(df: DataFrame, iv_table: DataFrame, key: bytes) -> DataFra
     names = {c.upper(): c for c in df.columns}
     listed = iv_table.filter(F.upper("COLUMN_NAME").isin(list(names))).collect()
     secret = secret_column(df.sparkSession, key)
-    return spread_small(df).withColumns({
-        names[row["COLUMN_NAME"].upper()]: F.hex(aes.aes_cbc_det(
-            F.col(names[row["COLUMN_NAME"].upper()]), secret, F.lit(row["COLUMN_IV_KEY"]).cast("binary")))
-        for row in listed
-    })
+    def sealed(row) -> Column:
+        plain = F.col(names[row["COLUMN_NAME"].upper()])
+        cipher = F.hex(aes.aes_cbc_det(plain, secret, F.lit(row["COLUMN_IV_KEY"]).cast("binary")))
+        # null comes from the plain value alone: a join then tests that, and not the cipher once more
+        return F.when(plain.isNotNull(), F.coalesce(cipher, F.lit("")))
+
+    return df.withColumns({names[row["COLUMN_NAME"].upper()]: sealed(row) for row in listed})

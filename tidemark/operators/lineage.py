@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.ranks import global_rank
 from tidemark.operators.relational import latest_per_key
@@ -13,10 +13,11 @@ DOMAINS = ("Table", "View")
 EDGE_KEYS = ["query_id", "source_object", "target_object"]
 
 
-def _objects(column: str) -> Column:
-    """Named tables and views of one object array."""
-    kept = F.filter(column, lambda o: o["objectDomain"].isin(*DOMAINS) & o["objectName"].isNotNull())
-    return F.transform(kept, lambda o: o["objectName"])
+def _named(rows: DataFrame, objects: str, out: str) -> DataFrame:
+    """One row for each named table or view of an object array; the filter stays in generated code."""
+    each = rows.withColumn("_o", F.explode(objects)).drop(objects)
+    kept = each.filter(F.col("_o")["objectDomain"].isin(*DOMAINS) & F.col("_o")["objectName"].isNotNull())
+    return kept.withColumn(out, F.col("_o")["objectName"]).drop("_o")
 
 
 def lineage_edges(access: DataFrame, since=None) -> DataFrame:
@@ -26,11 +27,9 @@ def lineage_edges(access: DataFrame, since=None) -> DataFrame:
     query and nothing is shuffled.
     """
     rows = access if since is None else access.filter(F.col("query_start_time") >= F.lit(since))
-    read = rows.select("query_id", "query_start_time", "user_name",
-                       F.explode(_objects("direct_objects_accessed")).alias("source_object"), "objects_modified")
-    return read.select("query_id", "query_start_time", "user_name", "source_object",
-                       F.explode(_objects("objects_modified")).alias("target_object"),
-                       F.lit(EDGE_TYPE).alias("edge_type"))
+    rows = rows.select("query_id", "query_start_time", "user_name", "direct_objects_accessed", "objects_modified")
+    both = _named(_named(rows, "direct_objects_accessed", "source_object"), "objects_modified", "target_object")
+    return both.select("query_id", "query_start_time", "user_name", "source_object", "target_object", F.lit(EDGE_TYPE).alias("edge_type"))
 
 
 def refresh_edges(edges: DataFrame, fresh: DataFrame, load_ts) -> DataFrame:
@@ -39,7 +38,11 @@ def refresh_edges(edges: DataFrame, fresh: DataFrame, load_ts) -> DataFrame:
 
 
 def latest_edges(edges: DataFrame) -> DataFrame:
-    return latest_per_key(edges, EDGE_KEYS, ["query_start_time"])
+    """The newest edge of each key; dealing the log by ``query_id`` beforehand saves the shuffle of edges."""
+    # the edge type is the same everywhere and breaks no tie
+    kind = "edge_type" in edges.columns
+    latest = latest_per_key(edges.drop("edge_type"), EDGE_KEYS, ["query_start_time"])
+    return latest.withColumn("edge_type", F.lit(EDGE_TYPE)).select(*edges.columns) if kind else latest
 
 
 def upstream(edges: DataFrame, target: str | None = None) -> DataFrame:
@@ -52,11 +55,12 @@ def downstream(edges: DataFrame, source: str | None = None) -> DataFrame:
     return kept.select("target_object").distinct().orderBy("target_object")
 
 
-def graph_edges(edges: DataFrame, since, max_edges: int = 5000) -> DataFrame:
-    """Edges of a window, at most ``max_edges`` of them, for one drawing."""
+def graph_edges(edges: DataFrame, since, max_edges: int | None = None) -> DataFrame:
+    """Edges of a window in order; a drawing may ask for the first ``max_edges``."""
     kept = edges.filter((F.col("query_start_time") >= F.lit(since)) & F.col("source_object").isNotNull()
                         & F.col("target_object").isNotNull())
-    return kept.orderBy("source_object", "target_object", "query_id").limit(max_edges).select("source_object", "target_object")
+    ordered = kept.orderBy("source_object", "target_object", "query_id")
+    return (ordered if max_edges is None else ordered.limit(max_edges)).select("source_object", "target_object")
 
 
 def graph_nodes(edges: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.relational import join_frames
 
-MAX_MAPPING_ROWS = 100_000
 MAPPING_SCHEMA = (
     "MAPPING_ID string, CONFIG_KEY string, CONFIG_VALUE string, TARGET_COLUMN string, "
     "TGT_ORDIANAL_POSITION int, SOURCE_COLUMN string, TRANSFORMATION string"
@@ -64,11 +63,9 @@ _JOIN = re.compile(r"^\s*(?P<kind>[A-Za-z ]*?JOIN)\s+(?P<table>\S+)(?:\s+AS\s+\S
 
 def read_mapping(mapping_df: DataFrame, mapping_id: str) -> Mapping:
     """One mapping from its rows, which are few and read once."""
-    rows = mapping_df.filter(F.col("MAPPING_ID") == mapping_id).limit(MAX_MAPPING_ROWS + 1).collect()
+    rows = mapping_df.filter(F.col("MAPPING_ID") == mapping_id).collect()
     if not rows:
         raise ValueError(f"no mapping {mapping_id}")
-    if len(rows) > MAX_MAPPING_ROWS:
-        raise ValueError(f"mapping {mapping_id} has more than {MAX_MAPPING_ROWS} rows")
     value = {r["CONFIG_KEY"]: r["CONFIG_VALUE"] for r in rows}
     joins = []
     for r in rows:

@@ -12,8 +12,6 @@ from tidemark.functions.hashing import secret_column
 from tidemark.operators.ranks import global_rank
 from tidemark.session import spread_small
 
-MAX_RULES = 10_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -25,17 +23,15 @@ class Rule:
 
 
 def load_rules(config: DataFrame, dataset: str) -> list[Rule]:
-    """Enabled rules of one dataset; ``obf_params`` may be a variant or JSON text."""
+    """Enabled rules of one dataset, which has one a column; ``obf_params`` may be a variant or JSON text."""
     params = F.col("obf_params")
     if config.schema["obf_params"].dataType.typeName() == "variant":
         params = F.to_json(params)
     rows = (
         config.filter((F.col("dataset_name") == dataset) & F.coalesce(F.col("enabled"), F.lit(True)))
         .select("column_name", "obf_rule", params.alias("params"), "scope_key", "max_length")
-        .limit(MAX_RULES + 1).collect()
+        .collect()
     )
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"dataset {dataset} has more than {MAX_RULES} rules")
     return [Rule(r["column_name"], r["obf_rule"], json.loads(r["params"] or "{}"), r["scope_key"], r["max_length"])
             for r in rows]
 

@@ -147,9 +147,12 @@ def ordered_scan(
         .select(*keys, "_chunk", *[f"_c_{n}" for n in names])
     )
     local = rows.withColumns({f"_l_{n}": scans[n].local(f"_v_{n}", inside) for n in names})
-    joined = local.join(carry, [*keys, "_chunk"], "left")
+    named = carry.select("_chunk", *[F.col(k).alias(f"_k_{k}") for k in keys], *[f"_c_{n}" for n in names]).withColumnRenamed("_chunk", "_k_chunk")
+    # null is a key like any other
+    match = reduce(lambda a, b: a & b, [local[k].eqNullSafe(named[f"_k_{k}"]) for k in keys], local["_chunk"] == named["_k_chunk"])
+    joined = local.join(named, match, "left")
     return joined.select(
-        *df.columns, *[scans[n].combine(F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n in names])
+        *[local[c] for c in df.columns], *[scans[n].combine(F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n in names])
 
 
 def running_sum(df, keys, pos, value, out, chunk_rows=CHUNK_ROWS) -> DataFrame:

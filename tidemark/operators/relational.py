@@ -27,10 +27,6 @@ NATURAL_KINDS = {
     "NATURAL FULL JOIN": "full",
 }
 SWAPPED_KINDS = {"RIGHT SEMI JOIN": "left_semi", "RIGHT ANTI JOIN": "left_anti"}
-# A cross join is taken only when one side has at most this many rows.
-MAX_CROSS_ROWS = 1_000
-# Deeper pages are found by rank in place of a top-k heap.
-MAX_TOP_ROWS = 100_000
 
 
 def join_frames(left: DataFrame, right: DataFrame, kind: str, on=None) -> DataFrame:
@@ -43,7 +39,7 @@ def join_frames(left: DataFrame, right: DataFrame, kind: str, on=None) -> DataFr
     if name in SWAPPED_KINDS:
         return right.join(left, on, SWAPPED_KINDS[name])
     if name == "CROSS JOIN":
-        return checked_cross(left, right)
+        return left.crossJoin(right)
     raise ValueError(f"unknown join kind: {kind}")
 
 
@@ -54,16 +50,6 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, shared, how)
 
 
-def checked_cross(left: DataFrame, right: DataFrame, max_rows: int = MAX_CROSS_ROWS) -> DataFrame:
-    """Every pair, with the counted small side sent to each task."""
-    for small, order in ((right, False), (left, True)):
-        if small.limit(max_rows + 1).count() <= max_rows:
-            if order:
-                return F.broadcast(left).crossJoin(right)
-            return left.crossJoin(F.broadcast(right))
-    raise ValueError(f"both sides of a cross join exceed {max_rows} rows")
-
-
 def attach_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame, such as run parameters or a grand total.
 
@@ -137,8 +123,11 @@ def _plain(column) -> Column:
 
 def page(df: DataFrame, order: list, limit: int, offset: int = 0) -> DataFrame:
     """Rows ``offset+1 .. offset+limit`` in order."""
-    if limit + offset <= MAX_TOP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
+    return df.orderBy(*order).offset(offset).limit(limit)
+
+
+def deep_page(df: DataFrame, order: list, limit: int, offset: int) -> DataFrame:
+    """The same rows by their rank, for offsets too deep for one task's heap."""
     ranked = global_rank(df, order, "_rank")
     return ranked.filter(F.col("_rank").between(offset + 1, offset + limit)).drop("_rank")
 

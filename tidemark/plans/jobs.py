@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.functions import generate as gen
 from tidemark.functions.generate import ColumnSpec
@@ -19,7 +19,7 @@ from tidemark.plans.protection import KEY, SALT
 from tidemark.plans.registry import query
 from tidemark.session import work_path
 from tidemark.sinks import writers
-from tidemark.sources import archives as arc
+from tidemark.sources import archives as arc, tables as src
 from tidemark.streaming import jobs
 
 # --- mapping ----------------------------------------------------------------------
@@ -150,11 +150,13 @@ def _(t):
 
 
 @query("ud3_table_function", """
-SELECT page_id, unnest(['id,url', page_id || ',' || url]) AS line FROM pages WHERE page_id % 10 <> 9""")
+SELECT page_id, unnest(['id,url', page_id || ',' || url]) AS line FROM pages WHERE page_id % 10 <> 9 UNION ALL
+SELECT page_id, trim(x, ' ' || chr(9) || chr(13)) FROM (SELECT page_id, unnest(string_split(html, chr(10))) AS x FROM pages WHERE page_id % 10 <> 9)
+WHERE trim(x, ' ' || chr(9) || chr(13)) <> ''""")
 def _(t):
     register_functions(t.spark, KEY)
-    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t)))).filter("member LIKE 'sub/%'")
-    lines = t.spark.sql("SELECT m.archive, l.line FROM {m} m, LATERAL tm_unzip_member(m.archive, m.member) l", m=members)
+    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t))))
+    lines = t.spark.sql("SELECT m.archive, l.line FROM {m} m, LATERAL tm_unzip_member(m.archive, m.member) l WHERE l.error IS NULL", m=members)
     return lines.select(_page(), "line")
 
 
@@ -235,7 +237,8 @@ def _page(column="archive"):
 SELECT page_id, trim(x, ' ' || chr(9) || chr(13)) AS line, member FROM (
   SELECT page_id, 'page.csv' AS member, unnest(string_split(html, chr(10))) AS x FROM pages UNION ALL
   SELECT page_id, 'sub/p' || page_id || '.csv', unnest(['id,url', page_id || ',' || url]) FROM pages UNION ALL SELECT page_id, 'note.txt', 'note' FROM pages)
-WHERE page_id % 10 <> 9 AND trim(x, ' ' || chr(9) || chr(13)) <> '' AND NOT contains(x, 'ATTR')""")
+WHERE page_id % 10 <> 9 AND trim(x, ' ' || chr(9) || chr(13)) <> '' UNION ALL
+SELECT page_id, NULL, NULL FROM pages WHERE page_id % 10 = 9""")
 def _(t):
     return arc.zip_lines(t.spark, page_archives(t)).select(_page(), "line", "member")
 
@@ -274,6 +277,25 @@ def _(t):
     return files.filter(~F.col("is_split") | F.col("target").endswith("part001.csv")).select(_page(), "target", "has_header", "is_split")
 
 
+@query("zip6_written_targets", r"""
+SELECT page_id, CASE WHEN octet_length(encode(html)) >= 3000 THEN 'page' ELSE 'page.csv' END AS stem, unnest(string_split(rtrim(html, chr(10)), chr(10))[2:]) AS line
+FROM pages WHERE page_id % 10 <> 9 UNION ALL
+SELECT page_id, CASE WHEN octet_length(encode(html)) >= 3000 THEN 'page' ELSE 'page.csv' END, 'header: ' || string_split(html, chr(10))[1]
+FROM pages WHERE page_id % 10 <> 9""")
+def _(t):
+    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t))), ["page.csv"])
+    root = work_path(t.spark, "targets")
+    written = arc.write_members(members, root, "20020101", split_bytes=3000).filter("error IS NULL")
+    written.write.parquet(f"{root}-list")  # each file is written once
+    lines = src.read_file_lines(t.spark, f"{root}/20020101/*/{{*.csv,page/*.csv}}")
+    first = F.row_number().over(Window.partitionBy("file").orderBy("pos")) == 1
+    page = F.regexp_extract("file", r"/a(\d+)/", 1).cast("bigint").alias("page_id")
+    stem = F.regexp_extract("file", r"/a\d+/([^/]+)", 1).alias("stem")
+    rows = lines.withColumn("first", first).select(page, stem, F.when(F.col("first"), F.concat(F.lit("header: "), "line")).otherwise(F.col("line")).alias("line"), "first")
+    # every part repeats the header; it counts once
+    return rows.filter("NOT first").drop("first").unionByName(rows.filter("first").drop("first").distinct())
+
+
 @query("zip7_route_by_size", "SELECT page_id, octet_length(encode(html)) >= 3000 AS is_split FROM pages WHERE page_id % 10 <> 9")
 def _(t):
     members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t))), ["page.csv"])
@@ -281,10 +303,10 @@ def _(t):
 
 
 @query("zip8_manifest", """
-SELECT page_id, 'sub/p' || page_id || '.csv' AS source_full_csv_file_name, 'out/20020101/a' || page_id || '/sub/p' || page_id || '.csv' AS target_full_csv_file_name,
-  false AS is_split FROM pages WHERE page_id % 10 <> 9""")
+SELECT page_id, m AS source_full_csv_file_name, 'out/20020101/a' || page_id || '/' || m AS target_full_csv_file_name,
+  false AS is_split FROM (SELECT page_id, unnest(['sub/p' || page_id || '.csv', 'page.csv']) AS m FROM pages WHERE page_id % 10 <> 9)""")
 def _(t):
-    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t)))).filter("member LIKE 'sub/%'")
+    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t))))
     return arc.manifest(arc.split_members(members, "out", "20020101")).select(
         _page(), "source_full_csv_file_name", "target_full_csv_file_name", "is_split")
 
@@ -292,12 +314,15 @@ def _(t):
 @query("zip9_archive_outcomes", """
 SELECT page_id, CASE WHEN page_id % 10 = 9 THEN 'rejected' ELSE 'archived' END AS outcome, CASE WHEN page_id % 10 = 9 THEN 0 ELSE 4 END AS members FROM pages""")
 def _(t):
-    return arc.archive_outcomes(arc.list_members(arc.list_archives(t.spark, page_archives(t)))).select(_page(), "outcome", "members")
+    members = arc.list_members(arc.list_archives(t.spark, page_archives(t)))
+    return arc.archive_outcomes(members, arc.read_members(arc.select_members(members))).select(_page(), "outcome", "members")
 
 
-@query("zip10_clean_csv", "SELECT page_id || ',' || url AS value FROM pages WHERE page_id % 10 <> 9 UNION ALL SELECT 'id,url' FROM pages WHERE page_id % 10 <> 9")
+@query("zip10_clean_csv", """SELECT page_id || ',' || url AS value FROM pages WHERE page_id % 10 <> 9 UNION ALL SELECT 'id,url' FROM pages WHERE page_id % 10 <> 9 UNION ALL
+SELECT trim(x, ' ' || chr(9) || chr(13)) FROM (SELECT unnest(string_split(html, chr(10))) AS x FROM pages WHERE page_id % 10 <> 9)
+WHERE trim(x, ' ' || chr(9) || chr(13)) <> ''""")
 def _(t):
-    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t)))).filter("member LIKE 'sub/%'")
+    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t))))
     path = work_path(t.spark, "clean")
     writers.unload_lines(arc.good_lines(arc.read_members(members)), "line", path)
     return t.spark.read.text(path)
@@ -327,7 +352,7 @@ def _(t):
     for half in ("user_name = 'A'", "user_name != 'A'"):
         rows.filter(half).write.mode("append").parquet(log)
         stream = t.spark.readStream.schema(rows.schema).parquet(log)
-        jobs.stream_lineage(stream, target, mark, "4000 days").awaitTermination()
+        jobs.stream_lineage(stream, target, mark).awaitTermination()
     return t.spark.read.parquet(target).select("query_id", "source_object", "target_object")
 
 

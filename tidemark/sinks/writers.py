@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.relational import first_per_key
 
-# A single output file is written by one task, so only a result of checked size is.
-MAX_SINGLE_FILE_ROWS = 5_000_000
-
 
 def ctas(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
@@ -34,21 +31,15 @@ def insert_select(df: DataFrame, name: str) -> None:
     df.write.mode("append").insertInto(name)
 
 
-def _single(df: DataFrame) -> DataFrame:
-    rows = df.limit(MAX_SINGLE_FILE_ROWS + 1).count()
-    if rows > MAX_SINGLE_FILE_ROWS:
-        raise ValueError(f"a single file takes at most {MAX_SINGLE_FILE_ROWS} rows; write parts")
-    return df.coalesce(1)
-
-
 def unload_csv(df: DataFrame, path: str, header: bool = True, single: bool = False) -> None:
-    (_single(df) if single else df).write.mode("overwrite").csv(path, header=header, emptyValue="", escape='"')
+    """CSV parts, or by the caller's choice one file, which one task then writes."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, header=header, emptyValue="", escape='"')
 
 
 def unload_lines(df: DataFrame, column: str, path: str, single: bool = False) -> None:
     """One text line per row: no escapes, no compression."""
     lines = df.select(F.col(column).cast("string").alias("value"))
-    (_single(lines) if single else lines).write.mode("overwrite").option("compression", "none").text(path)
+    (lines.coalesce(1) if single else lines).write.mode("overwrite").option("compression", "none").text(path)
 
 
 def write_dated(df: DataFrame, path: str, load_date: str, name: str) -> None:
@@ -69,56 +60,31 @@ def merge_new(name: str, source: DataFrame, keys: list[str]) -> None:
     append(new_rows(source.sparkSession.table(name), source, keys), name)
 
 
-# fixed: source type family → words, one of which the target type must contain
-FAMILIES = {
-    "VARCHAR": ("CHAR", "STRING", "TEXT"),
-    "NUMBER": ("NUMBER", "DECIMAL", "NUMERIC"),
-    "INTEGER": ("INT",),
-    "FLOAT": ("FLOAT", "DOUBLE"),
-    "DATE": ("DATE",),
-    "TIMESTAMP": ("TIMESTAMP",),
-    "BOOLEAN": ("BOOL",),
-    "VARIANT": ("VARIANT",),
-    "ARRAY": ("ARRAY",),
-    "OBJECT": ("OBJECT", "MAP", "STRUCT"),
-}
-
-
-def type_family(type_name: str) -> str:
-    """Family of a free-text type name; an unknown name counts as VARCHAR."""
-    name = type_name.upper()
-    if any(word in name for word in ("ARRAY", "MAP", "STRUCT")):
-        # nested Spark types spell out their element types
-        return "ARRAY" if name.startswith("ARRAY") else "OBJECT"
-    for family, words in (
-        ("VARCHAR", ("VARCHAR", "STRING", "TEXT", "CHAR")), ("INTEGER", ("INT",)), ("FLOAT", ("FLOAT", "DOUBLE")),
-        ("NUMBER", ("NUMBER", "DECIMAL", "NUMERIC")),
-    ):
-        if any(word in name for word in words):
-            return family
-    if "DATE" in name and "TIME" not in name:
-        return "DATE"
-    for family in ("TIMESTAMP_NTZ", "TIMESTAMP_LTZ", "TIMESTAMP_TZ", "TIMESTAMP"):
-        if family in name:
-            return family
-    for family, word in (("BOOLEAN", "BOOL"), ("VARIANT", "VARIANT"), ("OBJECT", "OBJECT")):
-        if word in name:
-            return family
-    return "VARCHAR"
+def fits(source: T.DataType, target: T.DataType) -> bool:
+    """Whether values of one type can be stored in the other without another meaning."""
+    text, whole, real = (T.StringType, T.CharType, T.VarcharType), T.IntegralType, T.FractionalType
+    if isinstance(source, text):
+        return isinstance(target, text)
+    if isinstance(source, T.DecimalType):
+        return isinstance(target, T.DecimalType) and target.precision - target.scale >= source.precision - source.scale
+    if isinstance(source, whole):
+        return isinstance(target, (whole, real))
+    if isinstance(source, real):
+        return isinstance(target, real) and not isinstance(target, T.DecimalType)
+    if isinstance(source, (T.TimestampType, T.TimestampNTZType)):
+        return isinstance(target, (T.TimestampType, T.TimestampNTZType))
+    if isinstance(source, (T.MapType, T.StructType)):
+        return isinstance(target, (T.MapType, T.StructType))
+    return type(source) is type(target)
 
 
 def check_compatible(source: T.StructType, target: T.StructType) -> tuple[bool, str]:
-    """Every source column exists in the target with its type family; the first misfit is named."""
-    kinds = {f.name: f.dataType.simpleString().upper() for f in target.fields}
-    missing = [f.name for f in source.fields if f.name not in kinds]
-    if missing:
-        return False, f"Columns not found in target table: {', '.join(missing)}"
-    for f in source.fields:
-        family = type_family(f.dataType.simpleString())
-        words = FAMILIES["TIMESTAMP" if family.startswith("TIMESTAMP") else family]
-        if not any(word in kinds[f.name] for word in words):
-            return False, f"Column '{f.name}' type mismatch: {family} vs {kinds[f.name]}"
-    return True, "Tables are compatible"
+    """Every source column exists in the target and fits it; all misfits are named."""
+    kinds = {f.name: f.dataType for f in target.fields}
+    unknown = [f"{f.name} is not in the target" for f in source.fields if f.name not in kinds]
+    unlike = [f"{f.name}: {f.dataType.simpleString()} does not fit {kinds[f.name].simpleString()}"
+              for f in source.fields if f.name in kinds and not fits(f.dataType, kinds[f.name])]
+    return not unknown + unlike, "; ".join(unknown + unlike)
 
 
 def create_from_spec(spark: SparkSession, name: str, spec) -> DataFrame:

@@ -81,9 +81,12 @@ def list_archives(spark: SparkSession, path: str, names: list[str] | None = None
     )
     if names is None:
         return found
-    kept = found.filter(F.split_part("archive", F.lit("/"), F.lit(-1)).isin(names))
-    if kept.limit(1).count() == 0:
-        raise FileNotFoundError(f"none of {names} found below {path}")
+    base = F.split_part("archive", F.lit("/"), F.lit(-1))
+    kept = found.filter(base.isin(names))
+    # at most one row for each name asked for
+    absent = sorted(set(names) - {r.name for r in kept.select(base.alias("name")).distinct().collect()})
+    if absent:
+        raise FileNotFoundError(f"{absent} not found below {path}")
     return kept
 
 
@@ -112,38 +115,49 @@ def clean_name(member: Column) -> Column:
 def is_csv_member(member: Column) -> Column:
     """CSV files, without directories and resource forks."""
     name = F.replace(member, F.lit("\\"), F.lit("/"))
-    base = F.split_part(clean_name(member), F.lit("/"), F.lit(-1))
-    return (F.lower(name).endswith(".csv") & ~name.startswith("__MACOSX/") & ~base.startswith("._"))
+    return F.lower(name).endswith(".csv") & ~is_fork(member)
 
 
 def select_members(members: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """CSV members, all or those whose full or base name is listed; none found is an error."""
+    """CSV members, all or those whose full or base name is listed; a name that is nowhere is an error."""
     kept = members.filter(F.col("member").isNotNull() & is_csv_member(F.col("member")))
     if names is None:
         return kept
     wanted = [n.replace("\\", "/").strip("/") for n in names if n.strip()]
     name = clean_name(F.col("member"))
-    kept = kept.filter(name.isin(wanted) | F.split_part(name, F.lit("/"), F.lit(-1)).isin(wanted))
-    if kept.limit(1).count() == 0:
-        raise FileNotFoundError("no matching CSV members for the requested names")
+    base = F.split_part(name, F.lit("/"), F.lit(-1))
+    kept = kept.filter(name.isin(wanted) | base.isin(wanted))
+    met = kept.select(F.explode(F.array_intersect(F.array(name, base), F.array(*map(F.lit, wanted)))).alias("n")).distinct() if wanted else None
+    absent = sorted(set(wanted) - {r.n for r in met.collect()}) if wanted else ["(no name)"]
+    if absent:
+        raise FileNotFoundError(f"no CSV member is named {absent}")
     return kept
 
 
 def _encoding(archive: zipfile.ZipFile, member: str) -> str:
-    """UTF-8 when the whole member decodes, else Latin-1; read in blocks."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
+    """UTF-8 when the whole member decodes, else Latin-1; read in blocks.
+
+    The member is read to its end in either case: a wrong checksum is met here, before any
+    of its lines is given out.
+    """
+    decoder, encoding = codecs.getincrementaldecoder("utf-8")(), "utf-8"
     with archive.open(member) as stream:
-        try:
-            while block := stream.read(READ_BLOCK):
-                decoder.decode(block)
-            decoder.decode(b"", final=True)
-        except UnicodeDecodeError:
-            return "latin-1"
-    return "utf-8"
+        while True:
+            block = stream.read(READ_BLOCK)
+            if encoding == "utf-8":
+                try:
+                    decoder.decode(block, final=not block)
+                except UnicodeDecodeError:
+                    encoding = "latin-1"
+            if not block:
+                return encoding
 
 
-def member_lines(path: str, member: str, clean: bool = True, split_bytes: int | None = None, header: bool = True):
-    """(part, line_no, line) of one member; a part closes once it holds ``split_bytes``, the next repeats the header."""
+def member_lines(path: str, member: str, clean: bool = True, split_bytes: int | None = None, header: bool = True, drop: tuple[str, ...] = ()):
+    """(part, line_no, line) of one member; a part closes once it holds ``split_bytes``, the next repeats the header.
+
+    ``clean`` strips lines and leaves out blank ones, ``drop`` those that begin with one of its texts.
+    """
     with open_shared(path) as handle, zipfile.ZipFile(handle) as archive:
         encoding, part, held, head = _encoding(archive, member), 1, 0, None
         with archive.open(member) as stream:
@@ -151,8 +165,10 @@ def member_lines(path: str, member: str, clean: bool = True, split_bytes: int |
                 line = line.removesuffix("\n")
                 if clean:
                     line = line.strip()
-                    if not line or line.startswith("Mac OS") or "ATTR" in line:
+                    if not line:
                         continue
+                if drop and line.startswith(drop):
+                    continue
                 if header and number == 0:
                     head = line
                 elif split_bytes:
@@ -165,12 +181,13 @@ def member_lines(path: str, member: str, clean: bool = True, split_bytes: int |
 
 
 def read_members(
-    members: DataFrame, clean: bool = True, split_bytes: int | None = None, header: bool = True, tasks: int | None = None
+    members: DataFrame, clean: bool = True, split_bytes: int | None = None, header: bool = True, tasks: int | None = None,
+    drop: tuple[str, ...] = (),
 ) -> DataFrame:
     """Lines (archive, member, part, line_no, line) of the members.
 
-    ``clean`` strips lines and drops blank and metadata ones. A member that cannot be
-    read to its end gives a row with ``error`` in place of a failed job. The member list
+    ``clean`` strips lines and drops blank ones. A member that cannot be read to its end
+    gives one row with ``error`` and no line. The member list
     is small, so the number of tasks is set here: adaptive execution would join it into one.
     """
     tasks = tasks or 4 * members.sparkSession.sparkContext.defaultParallelism
@@ -178,7 +195,7 @@ def read_members(
 
     def rows_of(path, member):
         try:
-            for part, number, line in member_lines(path, member, clean, split_bytes, header):
+            for part, number, line in member_lines(path, member, clean, split_bytes, header, drop):
                 yield path, member, part, number, line, None
         except MEMBER_ERRORS as error:
             yield path, member, None, None, None, f"{type(error).__name__}: {error}"
@@ -197,10 +214,27 @@ def good_lines(lines: DataFrame) -> DataFrame:
     return lines.filter("error IS NULL").drop("error")
 
 
+def member_errors(lines: DataFrame) -> DataFrame:
+    """One row for each member that could not be read."""
+    return lines.filter("error IS NOT NULL").select("archive", "member", "error")
+
+
+def is_fork(member: Column) -> Column:
+    """Resource forks that some packers add beside the files."""
+    name = F.replace(member, F.lit("\\"), F.lit("/"))
+    return name.startswith("__MACOSX/") | F.split_part(name, F.lit("/"), F.lit(-1)).startswith("._")
+
+
 def zip_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Cleaned lines of every file member of the archives below ``path``."""
-    members = list_members(list_archives(spark, path)).filter("member IS NOT NULL AND member NOT LIKE '%/'")
-    return good_lines(read_members(members)).drop("part")
+    """Cleaned lines of every file member of the archives below ``path``, but of resource forks.
+
+    Members and archives that can't be read have no lines; a row with ``error`` stands for each.
+    """
+    members = list_members(list_archives(spark, path))
+    files = members.filter(F.col("member").isNotNull() & ~F.col("member").endswith("/") & ~is_fork(F.col("member")))
+    broken = members.filter("error IS NOT NULL").select(
+        "archive", "member", F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("string").alias("line"), "error")
+    return read_members(files).drop("part").unionByName(broken)
 
 
 def route_members(members: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -227,19 +261,62 @@ def split_members(members: DataFrame, target: str, day: str, split_bytes: int =
     return lines.withColumn("target", target_name(target, day, F.col("archive"), F.col("member"), F.col("part"), F.col("is_split")))
 
 
+TARGET_SCHEMA = "archive string, member string, target string, is_split boolean, lines long, error string"
+
+
+def write_members(members: DataFrame, target: str, day: str, split_bytes: int = SPLIT_BYTES, header: bool = True, tasks: int | None = None) -> DataFrame:
+    """Write each member below ``target`` as :func:`target_name` says; one row for each file written.
+
+    A task streams its member line by line into the target files, so a member of any size is
+    written by one task in bounded memory. Files are written whole or not at all: a member that
+    can't be read gives a row with ``error`` before any file is opened, and a task that runs
+    again writes the same files again.
+    """
+    tasks = tasks or 4 * members.sparkSession.sparkContext.defaultParallelism
+    routed = route_members(members, split_bytes).select(
+        "archive", "member", "is_split", target_name(target, day, F.col("archive"), F.col("member"), F.lit("#"), F.col("is_split")).alias("target"))
+
+    def copied(archive, member, is_split, name):
+        rows, out, now = [], None, None
+        try:
+            for part, _, line in member_lines(archive, member, False, split_bytes if is_split else None, header):
+                if part != now:
+                    if out is not None:
+                        out.close()
+                    path = name.replace("_part##.csv", f"_part{part:03d}.csv").replace("_part00#.csv", f"_part{part:03d}.csv") if is_split else name
+                    system, inner = shared_system(path)
+                    system.create_dir(inner.rpartition("/")[0], recursive=True)
+                    out, now = system.open_output_stream(inner), part
+                    rows.append([archive, member, path, is_split, 0, None])
+                out.write((line + "\n").encode())
+                rows[-1][4] += 1
+        except MEMBER_ERRORS as error:
+            rows = [[archive, member, None, is_split, None, f"{type(error).__name__}: {error}"]]
+        finally:
+            if out is not None:
+                out.close()
+        return rows
+
+    def run(frames):
+        for frame in frames:
+            found = itertools.chain.from_iterable(map(copied, *(frame[c] for c in ("archive", "member", "is_split", "target"))))
+            yield pd.DataFrame(found, columns=["archive", "member", "target", "is_split", "lines", "error"]).astype({"lines": "Int64"})
+
+    return routed.repartition(tasks, "archive", "member").mapInPandas(run, TARGET_SCHEMA)
+
+
 def manifest(lines: DataFrame) -> DataFrame:
     """Source member, target file and whether it is a part."""
     return lines.select("archive", clean_name(F.col("member")).alias("source_full_csv_file_name"),
                         F.col("target").alias("target_full_csv_file_name"), "is_split").distinct()
 
 
-def archive_outcomes(members: DataFrame, lines: DataFrame | None = None, archive: bool = True) -> DataFrame:
+def archive_outcomes(members: DataFrame, read: DataFrame, archive: bool = True) -> DataFrame:
     """Where each source archive goes: archived, rejected, or left in place.
 
-    ``lines`` as read by :func:`read_members` adds the errors met inside members.
+    ``read``: what :func:`read_members` or :func:`write_members` gave, as damage inside a member shows only there.
     """
     found = members.select("archive", "member", "error")
-    if lines is not None:
-        found = found.unionByName(lines.filter("error IS NOT NULL").select("archive", F.lit(None).cast("string").alias("member"), "error"))
+    found = found.unionByName(member_errors(read).select("archive", F.lit(None).cast("string").alias("member"), "error"))
     return found.groupBy("archive").agg(F.max("error").alias("error"), F.count("member").alias("members")).withColumn(
         "outcome", F.when(F.col("error").isNotNull(), "rejected").otherwise("archived" if archive else "left in place"))

@@ -33,9 +33,12 @@ class CsvFormat:
     quote: str = '"'
     header: bool = True
     null_if: tuple[str, ...] = ("NULL", "null")
+    #: quoted fields may hold line breaks; a file is then read by one task
+    line_breaks: bool = False
 
     def options(self) -> dict[str, str]:
-        return {"sep": self.delimiter, "quote": self.quote, "escape": self.quote, "header": str(self.header).lower(), "multiLine": "false"}
+        return {"sep": self.delimiter, "quote": self.quote, "escape": self.quote, "header": str(self.header).lower(),
+                "multiLine": str(self.line_breaks).lower()}
 
 
 def read_csv(spark: SparkSession, path: str, schema, fmt: CsvFormat = CsvFormat()) -> DataFrame:
@@ -95,14 +98,15 @@ def read_file_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def history(df: DataFrame, time: str, *, tag: Column | None = None, since=None, limit: int = 1000) -> DataFrame:
-    """Log rows by tag or start time, newest first."""
+def history(df: DataFrame, time: str, *, tag: Column | None = None, since=None, limit: int | None = None) -> DataFrame:
+    """Log rows by tag or start time, newest first; a page of them where ``limit`` asks for one."""
     if tag is not None:
         df = df.filter(tag)
     if since is not None:
         df = df.filter(F.col(time) >= F.lit(since))
     others = [F.col(c) for c in df.columns if c != time]
-    return df.orderBy(F.col(time).desc(), *others).limit(limit)
+    ordered = df.orderBy(F.col(time).desc(), *others)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def sample_rows(df: DataFrame, n: int) -> DataFrame:
