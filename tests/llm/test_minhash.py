@@ -44,6 +44,22 @@ def test_chain_of_links_beyond_the_leader(spark):
     assert {r.component_id for r in minhash.groups(table(spark, docs)).collect()} == {0}
 
 
+def test_family_of_copies_of_copies(spark):
+    pick = random.Random(8)
+    words = lambda n: ["".join(pick.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    family = [words(150)]
+    for _ in range(90):
+        copy = list(pick.choice(family))
+        for _ in range(pick.randint(1, 9)):
+            at = pick.randrange(len(copy))
+            copy[at : at + pick.choice([1, 1, 1, 4])] = words(pick.choice([0, 1, 1, 2]))
+        family.append(copy)
+    docs = [(i, " ".join(w)) for i, w in enumerate(family)]
+    want = near_groups(docs)
+    assert 5 < len({c for _, c in want.values()}) < 85
+    assert {r.id: (r.n_shingles, r.component_id) for r in minhash.groups(table(spark, docs)).collect()} == want
+
+
 def test_null_ids_repeated_rows_and_empty_tables(spark):
     t = "one two three four five six seven"
     got = minhash.groups(table(spark, [(None, t), (4, t), (4, t), (3, t + " eight"), (None, "alone"), (None, None), (9, None)])).collect()

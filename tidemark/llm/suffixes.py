@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text
-from tidemark.session import work_path
+from tidemark.session import cut_lineage, work_path
 
 WINDOW, GRAM = 400, 64
-#: Suffixes sorted together at least, and those with one leading gram beyond which its windows are cut finer.
-BLOCK, HOT, PARTS = 4096, 4096, 8
-#: Suffixes that a bucket has on average.
-BUCKET = 20_000
+#: Suffixes sorted together at least, and those that a bucket has on average.
+BLOCK, BUCKET = 4096, 20_000
+#: A leading gram of more suffixes than a bucket has its windows cut to so many finer ranges.
+HOT, PARTS = BUCKET, 8
 _NEVER = np.iinfo(np.uint64).max
 
 
@@ -234,10 +234,11 @@ def _finer(window: int, span: int):
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """For each lead that several rows have: rows of equal surroundings (n), and kinds of surroundings."""
+    """For each lead and surroundings: rows that have them (n), and the kinds of surroundings of the lead."""
     n = rows.groupBy("lead", "whole").agg(F.count("*").alias("n"))
-    kinds = n.groupBy("lead").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).where("total > 1")
-    return n.join(kinds, "lead")
+    # a written table: a join of two plain exchanges lets Spark split a hot lead
+    kinds = cut_lineage(n.groupBy("lead").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    return n.join(kinds, "lead", "left").withColumn("kinds", F.coalesce("kinds", F.lit(1)))
 
 
 def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -247,7 +248,7 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
     texts.mapInArrow(_scan(window, gram), "k1 long, k2 long, at long, left long, size long, lead long, whole long") \
         .write.parquet(f"{path}-anchors")
     found = spark.read.parquet(f"{path}-anchors")
-    often = found.groupBy("lead").agg(F.count("*").alias("c")).where("c > 1").select("lead")
+    often = cut_lineage(found.groupBy("lead").agg(F.count("*").alias("c")).where("c > 1").select("lead"))
     found.join(often, "lead").write.parquet(f"{path}-often")
     found = spark.read.parquet(f"{path}-often")
     known = _classes(found)
