@@ -162,8 +162,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     row = row.withColumn("_lent", F.array(*lent))
     prior = [(by_host[j] + WEIGHT * F.col("_lent")[j]) / (sum(by_host[1:], by_host[0]) + WEIGHT) for j in range(len(languages))]
     row = row.withColumn("_prior", F.array(*prior))
-    # the posterior by text and tag times the prior; sums of logs are safe where a share is tiny
-    row = row.withColumn("_fused", norm(F.zip_with("_post", "_prior", lambda a, b: a * b)))
+    # the posterior by text and tag times the prior; a text without letters has the prior alone
+    told = F.when(F.col("_letters") > 0, F.zip_with("_post", "_prior", lambda a, b: a * b)).otherwise(F.col("_prior"))
+    row = row.withColumn("_fused", norm(told))
     best = F.array_max("_fused")
     sure = F.when(F.col("_letters") > 0, best).otherwise(0.0)
     named = F.when(F.col("_letters") > 0, F.element_at(listed, F.array_position("_fused", best).cast("int"))).otherwise("und")
