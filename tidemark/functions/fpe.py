@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from tidemark.functions.arrow import series_udf, text_udf
+from tidemark.functions.arrow import series_udf
 from tidemark.functions.hashing import digest_mod, hex_limb
 
 # fixed values of the digit cipher
@@ -112,21 +112,28 @@ def fpe_numeric_decrypt(col: Column, key: bytes) -> Column:
 
 
 def _alnum(key: bytes, sign: int):
+    """UDF: shift letters and digits by a keystream of their place; values of one length form a matrix."""
     stream: list[int] = []  # grows to the longest value of the task
 
-    def change(text: str) -> str:
-        while len(stream) < len(text):
-            stream.append(hmac.digest(key, f"alpha:{len(stream)}".encode(), "sha256")[0])
-        out = []
-        for char, byte in zip(text, stream):
+    def change(values: pd.Series) -> pd.Series:
+        done = values.copy()
+        for size, group in values.groupby(values.str.len()):
+            size = int(size)
+            if not size:
+                continue
+            while len(stream) < size:
+                stream.append(hmac.digest(key, f"alpha:{len(stream)}".encode(), "sha256")[0])
+            rows = np.frombuffer("".join(group).encode("utf-32-le"), "<u4").reshape(-1, size).astype(np.int64)
+            shift, out = sign * np.array(stream[:size]), rows
             for alphabet in (LOWER, UPPER, DIGITS):
-                if char in alphabet:
-                    char = alphabet[(alphabet.index(char) + sign * byte) % len(alphabet)]
-                    break
-            out.append(char)
-        return "".join(out)
+                place = rows - ord(alphabet[0])
+                inside = (place >= 0) & (place < len(alphabet))
+                out = np.where(inside, ord(alphabet[0]) + (place + shift) % len(alphabet), out)
+            text = out.astype("<u4").tobytes().decode("utf-32-le")
+            done[group.index] = [text[i:i + size] for i in range(0, len(text), size)]
+        return done
 
-    return text_udf(change)
+    return series_udf(change)
 
 
 def fpe_alnum_encrypt(col: Column, key: bytes) -> Column:

@@ -56,14 +56,14 @@ def ship_package(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may fall back to a folder below its warehouse.
     """
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark")
     return spark.sparkContext.getCheckpointDir()
 
 
