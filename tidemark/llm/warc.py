@@ -13,11 +13,11 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import work_path
+from tidemark.sources.archives import shared_system
 
 #: Bytes of records from which a package is closed; the member names of records and index.
 PACKAGE = 32 << 20
@@ -143,10 +143,6 @@ def parse(raw: bytes) -> dict:
 # --- jobs -------------------------------------------------------------------------------
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def _writer(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, lines, at = [], [], 0
@@ -154,7 +150,7 @@ def _writer(folder: str):
         def close() -> pa.RecordBatch:
             # a task that runs again takes other names; only the names it returns count
             path = f"{folder}/{uuid.uuid4().hex}.wacz"
-            place, name = _open(path)
+            place, name = shared_system(path)
             place.create_dir(name.rpartition("/")[0], recursive=True)
             with place.open_output_stream(name) as out:
                 out.write(pack([(RECORDS, b"".join(parts)), (INDEX, "".join(sorted(lines)).encode())]))
@@ -201,7 +197,7 @@ def write(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col: st
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            place, name = _open(path)
+            place, name = shared_system(path)
             with place.open_input_file(name) as file:
                 members = directory(file)
                 for index in (m for m in members if m.startswith("indexes/")):
@@ -234,7 +230,7 @@ def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if opened is None or opened[0] != path:
                 if opened is not None:
                     opened[1].close()
-                place, name = _open(path)
+                place, name = shared_system(path)
                 opened = path, place.open_input_file(name)
             rows.append(parse(gzip.decompress(opened[1].read_at(length, offset))))
             held += len(rows[-1]["payload"] or b"")
