@@ -77,3 +77,13 @@ def test_one_row_is_checked(spark):
 
     with pytest.raises(Exception, match="(?i)more than one row"):
         rel.attach_one_row(spark.range(3), spark.range(2).toDF("x")).collect()
+
+
+def test_merge_finds_a_repeated_key(spark):
+    import pytest
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, "x"), (3, "y"), (None, "z")], "k int, w string")
+    assert sorted(tuple(r)[1:] for r in rel.merge_one_to_one(left, right, ["k"], "left").collect()) == [("a", "x"), ("b", None), ("c", None)]
+    with pytest.raises(Exception, match="right side repeats"):
+        rel.merge_one_to_one(left, right.union(right), ["k"]).collect()

@@ -50,6 +50,33 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, shared, how)
 
 
+def conditional_left_join(left: DataFrame, right: DataFrame, flag: Column, on: Column) -> DataFrame:
+    """All left rows; those with ``flag`` meet the right rows of ``on``, the others none."""
+    return left.join(right, F.coalesce(flag, F.lit(False)) & on, "left")
+
+
+def merge_one_to_one(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, each of which may stand in one row of either side; a repeated key ends the job.
+
+    Each side is grouped by the keys, which the join then finds in place, so the check costs no
+    further shuffle. Rows with a null key meet nothing and are not checked.
+    """
+    def once(df: DataFrame, name: str) -> DataFrame:
+        rest = [c for c in df.columns if c not in keys]
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        single = df.filter(known).groupBy(*keys).agg(F.count("*").alias("_n"), F.first(F.struct(F.lit(1).alias("_"), *rest)).alias("_r"))
+        message = F.concat(F.lit(f"a key of the {name} side repeats: "), F.to_json(F.struct(*keys)))
+        checked = single.filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        kept = checked.select(*keys, *[F.col("_r")[c].alias(c) for c in rest])
+        return kept.unionByName(df.filter(~known).select(*keys, *rest)) if (name, how) in KEPT_SIDES else kept
+
+    return once(left, "left").join(once(right, "right"), keys, how)
+
+
+# sides whose rows without a key stay in the result
+KEPT_SIDES = {("left", "left"), ("right", "right"), ("left", "full"), ("right", "full")}
+
+
 def attach_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame, such as run parameters or a grand total.
 

@@ -516,3 +516,18 @@ def _(t):
     nation = lambda c: F.concat(F.lit("n"), F.col(c).cast("string"))
     both = t.customer.select(F.explode(F.array(F.concat(F.lit("c"), F.col("c_custkey").cast("string")), nation("c_nationkey"))).alias("node"))
     return t.supplier.select(nation("s_nationkey").alias("node")).union(both).distinct()
+
+
+@query("jn13_conditional_left_join", """
+SELECT o_orderkey, c_name FROM orders LEFT JOIN customer ON o_orderstatus = 'O' AND o_custkey = c_custkey AND c_acctbal < o_totalprice""")
+def _(t):
+    o, c = t.orders, t.customer
+    on = (o.o_custkey == c.c_custkey) & (c.c_acctbal < o.o_totalprice)
+    return rel.conditional_left_join(o, c, o.o_orderstatus == "O", on).select("o_orderkey", "c_name")
+
+
+@query("jn16_merge_one_to_one", """
+SELECT c_custkey, c_name, n FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""")
+def _(t):
+    counts = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    return rel.merge_one_to_one(t.customer.select("c_custkey", "c_name"), counts, ["c_custkey"], "left")
