@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,12 +10,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, language, minhash, mixing, suffixes
+from tidemark.llm import work
 from tidemark.llm.text import row_key
 from tidemark.session import ship_package, work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Work folders of the stage before, whose result is written by the time the next begins.
+_BEFORE: list[str] = []
 
 
+def stage(fn: Stage) -> Stage:
+    """A stage that first removes the work tables of the one before; one pipeline runs in a session at a time."""
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        work.discard(*_BEFORE)
+        others = set(work.MADE)
+        out = fn(spark, docs, sf_dir)
+        _BEFORE[:] = [p for p in work.MADE if p not in others]
+        return out
+
+    return run_stage
+
+
+@stage
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an accepted language, which ``lang`` then names."""
     model = language.fit(docs.select("text", language.tag(docs.lang).alias("label")))
@@ -23,6 +42,7 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where("_accepted").select(*named)
 
 
+@stage
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; of repeated rows, one."""
     groups = minhash.groups(docs).where("kept").select("k1", "k2").distinct()
@@ -31,6 +51,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.join(groups, ["k1", "k2"]).withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
 
 
+@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages of 400 bytes that also stand elsewhere; ``n_chars`` is counted anew."""
     cut = suffixes.remove(docs, whole_characters=True)
@@ -39,12 +60,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in files that follow each other in the order of the mix."""
     mixed = mixing.mix(docs, mixing.tempered(docs, docs.source), docs.source, F.xxhash64("doc_id", "text"))
     return mixed.repartitionByRange("_slot", "_rank").sortWithinPartitions("_slot", "_rank").select(*docs.columns)
 
 
+@stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, as counts and digests of the ids and of what they decode to."""
     return bpe.digests(bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -64,8 +87,8 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is a Parquet table in the shared folder."""
     docs = ship_package(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for name, step in STAGES[:-1]:
         path = work_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text
-from tidemark.session import work_path
+from tidemark.llm.work import fresh
 
 #: Buckets of letter trigrams, rows the text model is fitted on, languages it may have.
 BUCKETS, FIT_ROWS, MOST = 1 << 14, 20_000, 200
@@ -133,7 +133,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                       F.coalesce(name if name is not None else F.lit(""), F.lit("")).alias("_host"),
                       (tag(declared) if declared is not None else F.lit(None).cast("string")).alias("_declared"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    path = work_path(spark, "language")
+    path = fresh(spark, "language")
     row.mapInArrow(_scores(languages, logs, own, spark),
                    f"{kinds}, _host string, _declared string, _letters long, _like array<double>").write.parquet(path)
     row = spark.read.parquet(path)

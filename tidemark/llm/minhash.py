@@ -7,12 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import text
 from tidemark.llm.graph import components
-from tidemark.session import cut_lineage, work_path
+from tidemark.llm.work import discard, fresh
+from tidemark.session import cut_lineage
 
 WORDS, SLOTS, ROWS = 5, 128, 4
 #: Share of two shingle sets in percent from which they are linked.
@@ -115,15 +116,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text.chunks(batch):
             sets = shingles(*text.buffer(part.column("text")))
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "hashes"])
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "hashes"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("left"), batch.column("right")):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = len(x) + len(y) - len(np.union1d(x, y))
+            x, y = np.asarray(x.values), np.asarray(y.values)
+            both = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -133,7 +134,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right"))
     near = pairs.join(left, "a").join(right, "b").where(
-        (100 * F.length("left") >= PERCENT * F.length("right")) & (100 * F.length("right") >= PERCENT * F.length("left")))
+        (100 * F.size("left") >= PERCENT * F.size("right")) & (100 * F.size("right") >= PERCENT * F.size("left")))
     return near.select("a", "b", "left", "right").mapInArrow(_linked, "a long, b long")
 
 
@@ -141,15 +142,84 @@ def _pairs(left: F.Column, right: F.Column) -> list:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
 
+def _split(held: DataFrame, labels: DataFrame, order: F.Column) -> tuple[DataFrame, DataFrame]:
+    """Members with their component, and the buckets that hold several components, with the member first in ``order``."""
+    now = held.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = now.groupBy("band").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.min_by(F.struct("node", "label"), F.struct(order, "node")).alias("first")).where("low <> high")
+    return now, split.select("band", F.col("first.node").alias("leader"), F.col("first.label").alias("leader_label"))
+
+
+def _to_leaders(now: DataFrame, split: DataFrame) -> DataFrame:
+    """Each member of a split bucket with the bucket's leader, if that is in another component."""
+    return now.join(split, "band").where("label <> leader_label").select(*_pairs(F.col("node"), F.col("leader"))).distinct()
+
+
+def _to_central(now: DataFrame, split: DataFrame, sets: DataFrame) -> DataFrame:
+    return _to_leaders(now, split)
+
+
+def _across(now: DataFrame, split: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of nodes of split buckets that may be linked though in two components, by an exact prefix filter.
+
+    Shingles are ordered from the rarest among these nodes. Two linked sets of m and n have at
+    least 75 / 175 (m + n) shingles in common; so the first of those in order has as many, itself
+    counted, still to come in both sets, and stands among the first few of either. Pairs of one component are
+    not written: one end is outside the largest component that the shingle is met in.
+    """
+    nodes = now.join(split, "band").groupBy("node").agg(F.min("label").alias("label"), F.min("m").alias("m"))
+    known = cut_lineage(sets.join(nodes, "node").select("node", "label", "m", F.size("hashes").alias("n"), "hashes"))
+    each = known.select("node", "label", "m", "n", F.explode("hashes").alias("h"))
+    rare = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+    # of a set's n shingles those alone in it come first of all
+    counted = each.join(rare, "h")
+    shared = counted.groupBy("node").agg(F.count("*").alias("shared"))
+    order = Window.partitionBy("node").orderBy("c", "h")
+    placed = counted.join(shared, "node").withColumn("place", F.col("n") - F.col("shared") + F.row_number().over(order) - 1)
+    partner = F.greatest(F.col("m"), F.ceil(F.col("n") * PERCENT / 100))
+    head = placed.where((100 + PERCENT) * (F.col("n") - F.col("place")) >= PERCENT * (F.col("n") + partner)).select("h", "node", "label", "n", "place")
+    sizes = nodes.groupBy("label").agg(F.count("*").alias("nodes"))
+    head = cut_lineage(head.join(sizes, "label"))
+    mixed = head.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max_by("label", F.struct("nodes", "label")).alias("main")) \
+        .where("low <> high").select("h", "main")
+    left = head.join(mixed, "h").where("label <> main")
+    right = head.select(F.col("h").alias("other_h"), *[F.col(c).alias(f"other_{c}") for c in ("node", "label", "n", "place")])
+    rest = F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place"))
+    near = (F.col("label") != F.col("other_label")) & ((100 + PERCENT) * rest >= PERCENT * (F.col("n") + F.col("other_n")))
+    return left.join(right, (F.col("h") == F.col("other_h")) & near).select(*_pairs(F.col("node"), F.col("other_node"))).distinct()
+
+
+def _able(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, m, apart): members that may still be linked to another one, the least size of a partner, and the share of shingles they have alone.
+
+    Of a set of n shingles, u in no other member's: a set of m can't have more than n - u of
+    them in common with it, and both together have m + u at least. A linked set has at least
+    75 % of n, and no partner is smaller than the least member of the node's buckets.
+    """
+    nodes = members.select("node").distinct()
+    known = cut_lineage(sets.join(nodes, "node").select("node", "hashes"))
+    alone = known.select("node", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")) \
+        .where("c = 1").groupBy("node").agg(F.count("*").alias("u"))
+    sizes = known.select("node", F.size("hashes").alias("n"))
+    sized = members.select("band", "node").join(sizes, "node")
+    least = sized.groupBy("band").agg(F.min("n").alias("m"))
+    near = sized.join(least, "band").groupBy("node").agg(F.min("m").alias("m"), F.min("n").alias("n")).join(alone, "node", "left")
+    u = F.coalesce("u", F.lit(0))
+    partner = F.greatest(F.col("m"), F.ceil(F.col("n") * PERCENT / 100))
+    return near.where(100 * (F.col("n") - u) >= PERCENT * (partner + u)).select("node", "m", (u / F.col("n")).alias("apart"))
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Near-duplicate groups of whole texts: k1, k2, id, n_shingles, component_id, kept.
 
     Texts with the same shingle set are one node (64 bits of a 128-bit digest; a clash of two
     sets would join them). Nodes that share any of 32 bands are candidates; a pair at the
     threshold is missed with probability 5e-6, at 0.8 with 5e-8. In each bucket all nodes
-    are held against one leader, twice with other leaders; then every pair of a bucket that
-    is still in two components is verified too, so no link among candidates is lost and
-    no pair within a component is written. ``component_id`` is the least id of the group;
+    are held against one leader. Nodes of buckets that still hold several components leave if
+    they have too many shingles alone to be linked to anything there; the others are held
+    against the most central node. What is still in two components then goes through an exact
+    prefix filter, so no link among candidates is lost and no pair within a component is written. ``component_id`` is the least id of the group;
     ``kept`` marks its row. k1 and k2 stand for the row's id and text.
 
     Null or wordless texts are groups of their own. Null ids come after all others: a group
@@ -159,46 +229,34 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     spark = docs.sparkSession
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     texts = texts.select(*text.row_key(F.col("id"), F.col("text")), "id", "text")
-    path = work_path(spark, "minhash")
-    texts.mapInArrow(_described, "k1 long, k2 long, id long, n_shingles long, node long, more long, bands array<long>").write.parquet(f"{path}-rows")
-    rows = spark.read.parquet(f"{path}-rows")
+    path = fresh(spark, "minhash")
+    texts.mapInArrow(_described, "k1 long, k2 long, id long, n_shingles long, node long, more long, bands array<long>").write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
 
     held = rows.where("node is not null").select("node", F.explode("bands").alias("band"))
     full = held.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band")
     # members of buckets with at least two nodes
-    held.join(full, "band").distinct().write.parquet(f"{path}-held")
-    held = spark.read.parquet(f"{path}-held")
+    held.join(full, "band").distinct().write.parquet(f"{path}/held")
+    held = spark.read.parquet(f"{path}/held")
     wanted = held.select("node").distinct()
     chosen = rows.join(wanted, "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", "k.*")
-    texts.join(chosen, ["k1", "k2"]).select("node", "text").mapInArrow(_sets, "node long, hashes binary") \
-        .dropDuplicates(["node"]).write.parquet(f"{path}-sets")
-    sets = spark.read.parquet(f"{path}-sets")
-
-    label, links, tried = F.coalesce("label", "node"), None, None
-    labels = spark.createDataFrame([], "node long, label long")
-    for turn in range(3):
-        now = held.join(labels, "node", "left").select("band", "node", label.alias("label"))
-        split = now.groupBy("band").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("leader")).where("low <> high").select("band", "leader")
-        if turn < 2:
-            pairs = now.join(split, "band").where("node <> leader").select(*_pairs(F.col("node"), F.col("leader"))).distinct()
-            if turn:  # only across components
-                pairs = pairs.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left") \
-                    .join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left") \
-                    .where("coalesce(la, a) <> coalesce(lb, b)").select("a", "b")
-        else:
-            left = now.join(split.select("band"), "band")
-            right = left.select("band", F.col("node").alias("other"), F.col("label").alias("other_label"))
-            pairs = left.join(right, "band").where("label < other_label").select(*_pairs(F.col("node"), F.col("other"))).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        found = cut_lineage(_verified(pairs, sets))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+    texts.join(chosen, ["k1", "k2"]).select("node", "text").mapInArrow(_sets, "node long, hashes array<long>") \
+        .dropDuplicates(["node"]).write.parquet(f"{path}/sets")
+    sets = spark.read.parquet(f"{path}/sets")
+
+    label = F.coalesce("label", "node")
+    now, split = _split(held, spark.createDataFrame([], "node long, label long"), F.xxhash64("node"))
+    tried = cut_lineage(_to_leaders(now, split))
+    labels = components(cut_lineage(_verified(tried, sets)))
+    now, split = _split(held, labels, F.xxhash64("node"))
+    held = cut_lineage(now.join(_able(now.join(split, "band"), sets), "node").drop("label"))
+    for more in (_to_central, _across):
+        now, split = _split(held, labels, F.col("apart"))
+        pairs = cut_lineage(more(now, split, sets).join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(pairs)
+        labels = components(cut_lineage(_verified(pairs, sets)), labels)
 
+    discard(f"{path}/held", f"{path}/sets")  # the labels are checkpointed
     grouped = rows.join(labels, "node", "left").select("k1", "k2", "id", "n_shingles", label.alias("label"))
     order = F.struct(F.col("id").isNull(), "id", "k1", "k2")
     least = grouped.where("label is not null").groupBy("label").agg(F.min("id").alias("component_id"), F.min(order).alias("keeper"))

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import text
-from tidemark.session import cut_lineage, work_path
+from tidemark.llm.work import discard, fresh
+from tidemark.session import cut_lineage
 
 WINDOW, GRAM = 400, 64
 #: Suffixes sorted together at least, and those that a bucket has on average.
@@ -244,13 +245,14 @@ def _classes(rows: DataFrame) -> DataFrame:
 def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(k1, k2, start, stop) of stretches made of repeated windows; ``texts`` has k1, k2, text. They may overlap."""
     spark = texts.sparkSession
-    path = work_path(spark, "suffixes")
+    path = fresh(spark, "suffixes")
     texts.mapInArrow(_scan(window, gram), "k1 long, k2 long, at long, left long, size long, lead long, whole long") \
-        .write.parquet(f"{path}-anchors")
-    found = spark.read.parquet(f"{path}-anchors")
+        .write.parquet(f"{path}/anchors")
+    found = spark.read.parquet(f"{path}/anchors")
     often = cut_lineage(found.groupBy("lead").agg(F.count("*").alias("c")).where("c > 1").select("lead"))
-    found.join(often, "lead").write.parquet(f"{path}-often")
-    found = spark.read.parquet(f"{path}-often")
+    found.join(often, "lead").write.parquet(f"{path}/often")
+    found = spark.read.parquet(f"{path}/often")
+    discard(f"{path}/anchors")
     known = _classes(found)
     kept = found.join(known, ["lead", "whole"])
     out = [kept.where("n > 1").select("k1", "k2", (F.col("at") - F.col("left")).alias("start"), (F.col("at") - F.col("left") + F.col("size")).alias("stop"))]
@@ -258,8 +260,8 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
     one = kept.where("kinds > 1").groupBy("lead", "whole").agg(
         F.min(F.struct("k1", "k2", "at", "left", "size")).alias("r"), (F.first("n") == 1).alias("lone"), (F.first("kinds") > HOT).alias("hot"))
     wanted = one.groupBy("r.k1", "r.k2").agg(F.collect_list(F.struct("r.at", "r.left", "r.size", "lone", "hot")).alias("wanted"))
-    texts.join(wanted, ["k1", "k2"]).mapInArrow(_cut(gram), _BODY + ", hot boolean").write.parquet(f"{path}-bodies")
-    rows, span, level = spark.read.parquet(f"{path}-bodies"), window - gram, 0
+    texts.join(wanted, ["k1", "k2"]).mapInArrow(_cut(gram), _BODY + ", hot boolean").write.parquet(f"{path}/bodies")
+    rows, span, level = spark.read.parquet(f"{path}/bodies"), window - gram, 0
     while True:
         hot, rest = rows.where("hot"), rows.where("not hot").drop("hot")
         buckets = max(1, -(-rest.count() // BUCKET), spark.sparkContext.defaultParallelism)
@@ -269,8 +271,8 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
             break
         level += 1
         run, span = _finer(window, span)
-        hot.mapInArrow(run, _BODY + ", lead long, whole long").write.parquet(f"{path}-fine{level}")
-        fine = spark.read.parquet(f"{path}-fine{level}")
+        hot.mapInArrow(run, _BODY + ", lead long, whole long").write.parquet(f"{path}/fine{level}")
+        fine = spark.read.parquet(f"{path}/fine{level}")
         known = _classes(fine)
         again = fine.join(known, ["lead", "whole"])
         out.append(again.where("n > 1 and lone").select(
@@ -279,8 +281,8 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
             F.min(F.struct("k1", "k2", "at", "left", "body", "lone", "first", "moved")).alias("r"), (F.first("n") == 1).alias("single"),
             (F.first("kinds") > HOT).alias("hot")) \
             .select("r.k1", "r.k2", "r.at", "r.left", "r.body", (F.col("r.lone") & F.col("single")).alias("lone"), "r.first", "r.moved", "hot") \
-            .write.parquet(f"{path}-bodies{level}")
-        rows = spark.read.parquet(f"{path}-bodies{level}")
+            .write.parquet(f"{path}/bodies{level}")
+        rows = spark.read.parquet(f"{path}/bodies{level}")
     total = out[0]
     for more in out[1:]:
         total = total.unionByName(more)

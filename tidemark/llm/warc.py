@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import work_path
+from tidemark.llm.work import fresh
 from tidemark.sources.archives import shared_system
 
 #: Bytes of records from which a package is closed; the member names of records and index.
@@ -182,7 +182,7 @@ def write(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col: st
     if all ids of a group are null, all are responses. An empty table gives no packages.
     """
     spark = pages.sparkSession
-    folder = folder or work_path(spark, "warc")
+    folder = folder or fresh(spark, "warc")
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"),
                         F.coalesce(pages[html_col].cast("string"), F.lit("")).cast("binary").alias("html"))
     rows = rows.withColumn("same", F.sha2("html", 256))
