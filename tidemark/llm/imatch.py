@@ -168,8 +168,8 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rar
                 ["id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
         size, over = 0, None
-        for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("bucket", "guard", "id", "text")]):
+        for part in (p for batch in batches for p in text.chunks(batch)):
+            for row in zip(*[part.column(c).to_pylist() for c in ("bucket", "guard", "id", "text")]):
                 if row[0] == over:  # further copies of the next bucket's first row
                     continue
                 held.append(row)
