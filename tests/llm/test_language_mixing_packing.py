@@ -49,6 +49,18 @@ def test_language_of_empty_tables(spark, model):
     assert none[0] == [] and language.identify(spark.createDataFrame([("a",)], "text string"), none).first()._language == "und"
 
 
+def test_rare_languages_of_a_large_table_are_known(spark):
+    rare = [(f"zorg{i} zorg{i} kwyx", f"r{i:02}") for i in range(20)]
+    docs = spark.range(60_000).select(F.concat(F.lit("the house "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("label"))
+    docs = docs.union(spark.createDataFrame(rare, "text string, label string")).repartition(5)
+    languages, logs = language.fit(docs)
+    assert languages == ["en", *[x for _, x in rare]]
+    sums = np.full(language.BUCKETS, language.SMOOTH)
+    raw = np.frombuffer(b"the house ", np.uint8)
+    np.add.at(sums, language.grams(raw, np.array([0, len(raw)]))[0], 60_000)
+    assert np.allclose(logs[:, 0], np.log(sums / sums.sum()))
+
+
 def test_parts_of_addresses_and_markup(spark):
     rows = spark.createDataFrame([("https://u@WWW.A.Example.de:80/x", '<HTML class="a" lang="de-AT">'), (None, None), ("no address", "<p>")], "u string, h string")
     host = language.host(F.col("u"))

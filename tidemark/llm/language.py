@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import text
 from tidemark.llm.work import fresh
 
-#: Buckets of letter trigrams, rows the text model is fitted on, languages it may have.
-BUCKETS, FIT_ROWS, MOST = 1 << 14, 20_000, 200
+#: Buckets of letter trigrams, languages the text model may have.
+BUCKETS, MOST = 1 << 14, 200
 #: Pseudo-counts that each level of the prior lends the level below, and the fewest of a bucket.
 WEIGHT, SMOOTH = 20.0, 0.5
 #: Trigrams overlap and depend on each other: the share of their evidence that counts.
@@ -54,36 +54,33 @@ def markup(html: Column) -> Column:
     return F.nullif(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)", 1), F.lit(""))
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
+def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and the log share of each trigram bucket in them (buckets x languages).
 
-    ``labelled`` has text and label. Fitted on about ``rows`` rows chosen by a hash of their
-    content, or all if there are fewer; counts are summed by Spark, and at most
-    ``MOST`` x ``BUCKETS`` sums reach the driver. More languages are an error.
+    ``labelled`` has text and label. Every labelled row counts, so a language is known however
+    small its share of the table is; only one whose texts have no letters isn't. A task sums its
+    own rows first, the sums are added by Spark, and at most ``MOST`` x ``BUCKETS`` of them
+    reach the driver. More languages are an error.
     """
-    labelled = labelled.where("label is not null and text is not null")
-    share = min(1.0, rows / max(1, labelled.count()))
-    picked = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(share * 1_000_000))
+    labelled = labelled.where("label is not null and text is not null").select("text", "label")
+    if labelled.select("label").distinct().limit(MOST + 1).count() > MOST:
+        raise ValueError(f"more than {MOST} languages")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in text.chunks(batch):
                 bucket, owner = grams(*text.buffer(part.column("text")))
-                names = part.column("label").to_pylist()
-                codes = np.unique(names, return_inverse=True)[1]
-                for code, name in enumerate(sorted(set(names))):
-                    got = np.bincount(bucket[codes[owner] == code], minlength=BUCKETS)
-                    sums[name] = sums[name] + got if name in sums else got
-                    if len(sums) > MOST:
-                        raise ValueError(f"more than {MOST} languages")
+                label = part.column("label").dictionary_encode()
+                names, codes = label.dictionary.to_pylist(), np.asarray(label.indices, np.int64)
+                got = np.bincount(codes[owner] * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
+                for name, n in zip(names, got):
+                    sums[name] = sums[name] + n if name in sums else n.copy()
         for name, got in sums.items():
             at = np.flatnonzero(got)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(got[at])], ["label", "bucket", "n"])
 
-    counts = picked.select("text", "label").mapInArrow(count, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    if counts.select("label").distinct().limit(MOST + 1).count() > MOST:
-        raise ValueError(f"more than {MOST} languages")
+    counts = labelled.mapInArrow(count, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     found = counts.toArrow().to_pandas()
     languages = sorted(set(found["label"]))
     sums = np.full((BUCKETS, len(languages)), SMOOTH)
