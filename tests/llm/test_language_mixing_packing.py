@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -108,6 +109,33 @@ def test_mix_keeps_every_row_and_its_weights(spark, monkeypatch):
     assert mixing.mix(docs.limit(0), weights, docs.source, F.xxhash64("id")).collect() == []
 
 
+def test_blocks_follow_the_given_weights_over_many_turns():
+    for weights in ({f"s{i:02}": 1.0 for i in range(20)}, {"hot": 3000**0.5, **{f"s{i}": (20 + i) ** 0.5 for i in range(30)}}, {"a": 1.0, "b": 0.3, "rare": 1e-4}):
+        share = mixing.parts(weights)
+        total, n = sum(weights.values()), 30_000
+        whole, seen = sum(share.values()), Counter()
+        assert all(abs(share[s] / whole - w / total) < 1e-12 for s, w in weights.items())
+        for at, (slot, s, j, release, due) in enumerate(itertools.islice(mixing.blocks_in_order(share, dict.fromkeys(share, n)), n)):
+            assert slot == at and j == seen[s] and release <= slot < due
+            seen[s] += 1
+            if at % 97 == 0:
+                assert all(abs(seen[x] - (at + 1) * w / total) < 1.001 for x, w in weights.items())
+        assert all(abs(seen[x] - n * w / total) < 1.001 for x, w in weights.items())
+
+
+def test_mix_holds_the_given_weights_to_its_end(spark):
+    names = [f"s{i:02}" for i in range(20)]
+    docs = spark.range(40_000).select("id", F.concat(F.lit("s"), F.lpad((F.col("id") % 20).cast("string"), 2, "0")).alias("source"))
+    got = mixing.mix(docs, dict.fromkeys(names, 1.0), docs.source, F.xxhash64("id"), block=1).select("_source", "_slot", "_on_target").collect()
+    assert sorted(r._slot for r in got) == list(range(40_000)) and all(r._on_target for r in got)
+    seen = Counter()
+    for r in sorted(got, key=lambda r: r._slot):
+        seen[r._source] += 1
+        assert abs(seen[r._source] - (r._slot + 1) / 20) < 1
+    late = mixing.mix(docs.where("source = 's00'"), {"s00": 1, "none": 1}, docs.source, F.xxhash64("id")).select("_slot", "_on_target").collect()
+    assert not any(r._on_target for r in late)
+
+
 # --- packing ------------------------------------------------------------------------------
 
 
