@@ -51,6 +51,21 @@ def test_lexicon_counts_all_texts(spark):
     assert inside == {"aa": False, "bb": True, "cc": False, "dd": False, "ee": False}
 
 
+def test_terms_in_one_text_stay_out_of_a_large_vocabulary(spark):
+    # 120,000 terms in one text each, 5,000 in two texts each
+    letters = F.translate(F.lpad(F.col("id").cast("string"), 7, "0"), "0123456789", "abcdefghij")
+    once = spark.range(120_000).groupBy(F.floor(F.col("id") / 400)).agg(F.concat_ws(" ", F.collect_list(letters)).alias("text")).select("text")
+    twice = spark.range(2).crossJoin(spark.range(5_000).select(F.concat(F.lit("z"), letters).alias("w"))).groupBy("id").agg(F.concat_ws(" ", F.collect_list("w")).alias("text")).select("text")
+    docs = once.union(twice).repartition(3)
+    kept = imatch.lexicon(docs)
+    texts = [r.text for r in docs.collect()]
+    import pyarrow as pa
+
+    inside = [int(np.sum(kept[imatch.terms(pa.array([t]))[0]])) for t in texts]
+    assert sorted(inside) == [0] * 300 + [5_000] * 2
+    assert len(kept.kept) == 5_000
+
+
 def test_toxicity_is_learned_from_training_rows_only(spark):
     pick = random.Random(2)
     texts = made(1200, seed=3)

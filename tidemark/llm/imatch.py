@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text
 
-#: Bits of a term's number: terms are hashed, so the lexicon is a bitmap of fixed size.
-BITS = 22
+#: Terms, each once a text, that a task counts at a time.
+PENDING = 1 << 21
 #: A term is kept if it is in at least two texts and at most this share of all.
 RARE, COMMON = 2, 0.02
 #: Lexicons of a scale, and the terms that a lexicon keeps of a text at its own scale.
@@ -25,40 +25,62 @@ _STEP = np.uint64(0xE7037ED1A0B428DB)
 
 
 def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct terms of each text in ascending order, and the number of the text they are in."""
-    words, at = text.words(*text.buffer(texts), text.NOT_LETTER)
+    """The 64-bit hashes of each text's distinct terms in ascending order, and the number of the text they are in."""
+    term, at = text.words(*text.buffer(texts), text.NOT_LETTER)
     owner = np.repeat(np.arange(len(texts)), np.diff(at))
-    both = np.unique(owner << BITS | (words >> np.uint64(64 - BITS)).astype(np.int64))
-    return both & ((1 << BITS) - 1), both >> BITS
+    order = np.lexsort((term, owner))
+    term, owner = term[order], owner[order]
+    new = np.ones(len(term), bool)
+    new[1:] = (term[1:] != term[:-1]) | (owner[1:] != owner[:-1])
+    return term[new], owner[new]
 
 
-def lexicon(docs: DataFrame, text_col: str = "text", rare: int = RARE, common: float = COMMON) -> np.ndarray:
-    """Bitmap (2^22 bits) of the terms inside the band, from counts over all documents.
+class Lexicon:
+    """The terms inside the band, as sorted 64-bit hashes: ``kept[terms]`` tells which are among them."""
 
-    A task sums its own texts first; the sums are added by Spark, and the bitmap reaches the
-    driver as at most 65,536 words of 64 bits.
+    def __init__(self, kept: np.ndarray):
+        self.kept = np.sort(kept)
+
+    def __getitem__(self, term: np.ndarray) -> np.ndarray:
+        if not len(self.kept):
+            return np.zeros(np.shape(term), bool)
+        at = np.searchsorted(self.kept, term)
+        return self.kept[np.minimum(at, len(self.kept) - 1)] == term
+
+
+def lexicon(docs: DataFrame, text_col: str = "text", rare: int = RARE, common: float = COMMON) -> Lexicon:
+    """The terms inside the band, from the counts of every term over all documents.
+
+    Terms are counted by their full 64-bit hashes, so the band doesn't change with the size of
+    the vocabulary. A task sums its own texts first, at most ``PENDING`` terms at a time; the
+    sums are added by Spark. The driver and each worker hold 8 bytes for a term of the band.
     """
     total = docs.where(docs[text_col].isNotNull()).count()
     most = max(rare, math.floor(common * total))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(1 << BITS, np.int64)
+        held: list[np.ndarray] = []
+
+        def sums() -> Iterator[pa.RecordBatch]:
+            term, n = np.unique(np.concatenate(held), return_counts=True)
+            for i in range(0, len(term), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(term[i : i + 100_000].view(np.int64)), pa.array(n[i : i + 100_000])], ["term", "n"])
+
         for batch in batches:
             for part in text.chunks(batch):
-                np.add.at(sums, terms(part.column("text"))[0], 1)
-        at = np.flatnonzero(sums)
-        for i in range(0, len(at), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(sums[at[i : i + 100_000]])], ["term", "n"])
+                held.append(terms(part.column("text"))[0])
+                if sum(map(len, held)) >= PENDING:
+                    yield from sums()
+                    held.clear()
+        if held:
+            yield from sums()
 
     counts = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    inside = counts.where(F.col("n").between(rare, most))
-    words = inside.groupBy(F.shiftright("term", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(term & 63 as int))")).alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITS - 6), np.int64)
-    bitmap[np.asarray(words.column("word"), np.int64)] = np.asarray(words.column("bits"), np.int64)
-    return np.unpackbits(bitmap.view(np.uint8), bitorder="little").astype(bool)
+    inside = counts.where(F.col("n").between(rare, most)).select("term").toArrow()
+    return Lexicon(np.asarray(inside.column("term"), np.int64).view(np.uint64))
 
 
-def fingerprints(texts: pa.Array, kept: np.ndarray) -> list[str]:
+def fingerprints(texts: pa.Array, kept: Lexicon) -> list[str]:
     """One fingerprint a text: scale, and the hash of what each lexicon keeps, at two scales.
 
     Lexicon k at scale e keeps a term with probability 2^-e, by a hash of its own. A text
@@ -75,8 +97,8 @@ def fingerprints(texts: pa.Array, kept: np.ndarray) -> list[str]:
         bound = (np.iinfo(np.uint64).max >> (scale + shift).astype(np.uint64))[owner]
         out = np.zeros((len(texts), LEXICONS), np.uint64)
         for k, seed in enumerate(_SEEDS):
-            chosen = text.mix(term.astype(np.uint64) * _STEP ^ seed) <= bound
-            own, t = owner[chosen], term[chosen].astype(np.uint64)
+            chosen = text.mix(term * _STEP ^ seed) <= bound
+            own, t = owner[chosen], term[chosen]
             if not len(own):
                 continue
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
