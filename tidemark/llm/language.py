@@ -73,7 +73,10 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
                 bucket, owner = grams(*text.buffer(part.column("text")))
                 label = part.column("label").dictionary_encode()
                 names, codes = label.dictionary.to_pylist(), np.asarray(label.indices, np.int64)
-                got = np.bincount(codes[owner] * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
+                at = codes[owner]
+                at *= BUCKETS
+                at += bucket
+                got = np.bincount(at, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
                 for name, n in zip(names, got):
                     sums[name] = sums[name] + n if name in sums else n.copy()
         for name, got in sums.items():
