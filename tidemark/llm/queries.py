@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, imatch, language, minhash, mixing, packing, slices, suffixes, toxicity, warc
+from tidemark.llm import bpe, centroids, imatch, language, minhash, mixing, packing, pieces, slices, suffixes, toxicity, warc
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,17 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, folder, "labels"))
     return toxicity.score(docs, model).select(
         F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pieces.digests(pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), check=True))
+
+
+@query
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+ORACLES["op12_centroids"] = centroids.oracle()
