@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, centroids, imatch, language, minhash, mixing, packing, pieces, slices, suffixes, toxicity, warc
+from tidemark.llm import bpe, centroids, imatch, language, minhash, mixing, packing, pieces, slices, suffixes, toxicity, variants, warc
 from tidemark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,13 +30,13 @@ def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op1_top_k"] = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS c
            FROM embeddings
            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND vec_id IS NOT NULL),
-s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum(list_transform(list_zip(q.c, v.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.c, v.c), lambda p: p[1] * p[2])) AS score
       FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-FROM s QUALIFY rank <= 5"""
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+FROM s WHERE score BETWEEN -9223372036854775808 AND 9223372036854775807 QUALIFY rank <= 5"""
 
 
 @query
@@ -116,3 +116,11 @@ def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_centroids"] = centroids.oracle()
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group(table(spark, folder, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = variants.oracle()
