@@ -8,17 +8,15 @@ from tidemark.llm import slices
 
 
 def brute(rows, k=5):
-    kept = {}
+    kept = []
     for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        codes = [math.floor(256 * x) for x in v]
-        kept[i] = max(kept.get(i, codes), codes)
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((i, [math.floor(256 * x) for x in v]))
     out = []
-    for q, a in kept.items():
-        if q % 50 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in kept.items() if i != q)
-            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    for q in {i for i, _ in kept if i % 50 == 0}:
+        scores = [(-sum(x * y for x, y in zip(a, b)), i) for j, a in kept if j == q for i, b in kept if i != q]
+        scores = sorted(s for s in scores if -(1 << 63) < s[0] <= 1 << 63)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -39,6 +37,17 @@ def test_matches_brute_force(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_repeated_ids_and_large_components(spark, monkeypatch):
+    monkeypatch.setattr(slices, "BLOCK", 40)
+    pick = random.Random(4)
+    value = lambda: float(np.float32(pick.choice([0, 1, 3e-3, 1e8, -1e8, 4e7, 1e14, -1e15]) * pick.random()))
+    rows = [(i % 120, [value() for _ in range(5)]) for i in range(260)] + [(2, [4e7] * 5), (50, [1e-2] * 5), (7, [1e8] * 5), (100, [1e8] * 5), (100, [-1e8] * 5)]
+    rows += [(9, rows[0][1])] * 90
+    want = brute(rows)
+    assert max(s for *_, s in want) > 1 << 61
+    assert run(spark, rows) == want
+
+
 def test_few_rows_and_none(spark):
     assert run(spark, [(0, [1.0, 2.0])]) == []
     assert run(spark, [(0, [1.0, 2.0]), (1, [-1.0, 0.25])]) == [(0, 1, 1, -65536 + 512 * 64)]

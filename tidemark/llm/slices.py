@@ -11,21 +11,20 @@ from pyspark.sql import functions as F
 
 #: Vectors of an index block and queries of a group; a task holds one of each.
 BLOCK, GROUP = 16_384, 512
+#: Bound of the integers: slices of differences have 62 bits at most. A score beyond ``LONG`` is no long.
+LARGEST, LONG = 1 << 61, 1 << 63
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: float = 256.0) -> DataFrame:
     """(id, codes): floor(scale * x) of every component as double; rows that can take part only.
 
-    Rows without id or vector, or with a null, NaN, infinite or too large component, take no
-    part. Too large: scores of such codes might not fit a long. Of rows with the same id
-    the one with the greatest codes takes part.
+    Rows without id or vector, or with a null, NaN or infinite component, take no part; nor do those
+    with a component of which the integer is beyond ``LARGEST``. Rows with the same id all take part.
     """
     codes = F.transform(vectors[vector_col], lambda x: F.floor(x.cast("double") * F.lit(scale)))
-    # 2^62 bounds size * code^2
-    most = F.sqrt(F.lit(float(1 << 62)) / F.greatest(F.size(vectors[vector_col]), F.lit(1)))
-    sound = F.forall(vectors[vector_col], lambda x: x.isNotNull() & (F.abs(x.cast("double") * F.lit(scale)) < most))
+    sound = F.forall(vectors[vector_col], lambda x: x.isNotNull() & (F.abs(x.cast("double") * F.lit(scale)) < float(LARGEST)))
     return vectors.where(vectors[id_col].isNotNull() & vectors[vector_col].isNotNull() & sound) \
-        .select(vectors[id_col].cast("long").alias("id"), codes.alias("codes")).groupBy("id").agg(F.max("codes").alias("codes"))
+        .select(vectors[id_col].cast("long").alias("id"), codes.alias("codes"))
 
 
 def _codes(column: pa.ChunkedArray, width: int | None = None) -> np.ndarray:
@@ -67,7 +66,8 @@ class Index:
         """
         size, negative = np.abs(query), query < 0
         full = (np.uint64(1) << self.bits.astype(np.uint64)) - np.uint64(1)
-        constant = int((query * self.low).sum() - (size * full.astype(np.int64) * negative).sum())
+        exact = lambda a, b: sum(x * y for x, y in zip(a.tolist(), b.tolist()))
+        constant = exact(query, self.low) - exact(size, full * negative)
         terms: dict[int, list[np.ndarray]] = {}
         for j in range(int(size.max(initial=0)).bit_length()):
             dims = np.flatnonzero((size >> j & 1).astype(bool) & (self.bits > 0))
@@ -92,12 +92,36 @@ class Index:
             w += 1
         return out, constant
 
+    def _at_least(self, slices: list[np.ndarray], least: int) -> np.ndarray:
+        """Bitmap of the rows of which the sum of slices is at least ``least``."""
+        if least <= 0:
+            return self.present
+        if least >> len(slices):
+            return np.zeros(self.words, np.uint64)
+        above, equal = np.zeros(self.words, np.uint64), self.present.copy()
+        for w in reversed(range(len(slices))):
+            if least >> w & 1:
+                equal &= slices[w]
+            else:
+                above |= equal & slices[w]
+                equal &= ~slices[w]
+        return above | equal
+
     def top(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the block's best ``k`` rows without ``own``; ties to smaller ids."""
+        """Ids and scores of the block's best ``k`` rows without those of id ``own``; ties to smaller ids.
+
+        Rows whose score doesn't fit a long are left out.
+        """
         slices, constant = self.sums(query)
         open_, sure = self.present.copy(), np.zeros(self.words, np.uint64)
-        if own is not None and (at := int(np.searchsorted(self.ids, own))) < len(self.ids) and self.ids[at] == own:
-            open_[at >> 6] &= ~(np.uint64(1) << np.uint64(at & 63))
+        if own is not None:
+            first, last = np.searchsorted(self.ids, [own, own + 1])
+            if first < last:
+                mine = np.zeros(len(self.ids), bool)
+                mine[first:last] = True
+                open_ &= ~self._bitmap(mine)
+        if constant + (1 << len(slices)) > LONG or constant < -LONG:
+            open_ &= self._at_least(slices, -LONG - constant) & ~self._at_least(slices, LONG - constant)
         wanted = k
         for s in reversed(slices):
             ones = open_ & s
@@ -113,9 +137,13 @@ class Index:
         places = np.unpackbits(sure.view(np.uint8), bitorder="little").nonzero()[0]
         if wanted:  # rows still open have equal scores, and stand in order of ids
             places = np.concatenate([places, np.unpackbits(open_.view(np.uint8), bitorder="little").nonzero()[0][:wanted]])
-        scores = np.full(len(places), constant, np.int64)
+        bits = np.zeros((len(places), len(slices)), np.uint64)
         for w, s in enumerate(slices):
-            scores += ((s[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << w
+            bits[:, w] = (s[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1)
+        if len(slices) < 62 and abs(constant) < LONG >> 1:
+            scores = constant + (bits.astype(np.int64) << np.arange(len(slices))).sum(axis=1)
+        else:
+            scores = np.array([constant + sum(1 << w for w in np.flatnonzero(row).tolist()) for row in bits], np.int64)
         return self.ids[places], scores
 
 
@@ -145,7 +173,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_i
     ``queries`` is a condition on ``id``. Every block of vectors meets every group of queries in one task, so
     memory is bounded by both; a block gives at most ``k`` rows for each query, and those of
     all blocks are ranked by score and then smaller id. Rows are compared as ``quantised``
-    says; a shorter vector counts as padded by zeros. An empty table gives no rows, and a
+    says; a shorter vector counts as padded by zeros, and a pair whose score doesn't fit a long is no candidate. Rows
+    with a query's id are none of its candidates; query rows with one id are one query, of which each pair counts. An empty table gives no rows, and a
     query without other rows none either. Other columns are not read.
     """
     rows = quantised(vectors, id_col, vector_col, scale)
@@ -153,7 +182,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_i
     asked = rows.where(queries)
     groups = max(1, -(-asked.count() // GROUP))
     blocks = max(1, -(-total // BLOCK))
-    spread = lambda df, n: df.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(n))).groupBy("part").applyInArrow(_pack, _PACKED)
+    # repeated ids and vectors spread as others do: the row's place in the scan tells them apart
+    spread = lambda df, n: df.withColumn("part", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n))).groupBy("part").applyInArrow(_pack, _PACKED)
     # each block is copied to every group, each group to every block
     left = spread(rows, blocks).withColumn("other", F.explode(_numbers(groups))).withColumnRenamed("part", "block").withColumnRenamed("other", "group")
     right = spread(asked, groups).withColumn("other", F.explode(_numbers(blocks))).withColumnRenamed("part", "group").withColumnRenamed("other", "block")
