@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import imatch, toxicity
@@ -97,3 +98,9 @@ def test_toxicity_without_labels_and_rows(spark):
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.score < 0.3 for r in toxicity.score(docs, model).collect()} == {True}
     assert toxicity.score(docs.limit(0), model).collect() == []
+
+
+@pytest.mark.parametrize("there", [1, 10_000, 10_001, 4 * 10**10, 10**11, 10**13])
+def test_the_drawn_share_holds_at_any_size(there):
+    share = (toxicity.bound(10_000, there) + (1 << 63) + 1) / (1 << 64)
+    assert share == pytest.approx(min(1, 10_000 / there), rel=1e-6)

@@ -84,7 +84,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     Every task packs its rows in pools of about ``pool`` ids, so no text moves between
     machines and memory is bounded by a pool and the longest text. Returns ``sequence`` (unique), ``ids``
     (little-endian unsigned 16-bit, filled up by ``fill``), ``cu_seqlens`` (where segments
-    begin and the last ends), ``positions`` (as ids; from 0 in every segment, 0 in the filling) and
+    begin and the last ends), ``positions`` (as ids, but of 32 bits if ``length`` is over 65,536; from 0 in every segment, 0 in the filling) and
     ``segments`` (id, start within the text's ids, length). Null and empty texts are one
     ``end``; null ids and repeated rows stay; other columns are not read; an empty table gives
     no rows. ``encode`` maps bytes to ids under 65,536.
@@ -102,7 +102,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
             for at in range(0, len(bins), 512):
                 some = bins[at : at + 512]
                 matrix = np.full((len(some), length), fill, "<u2")
-                places = np.zeros((len(some), length), "<u2")
+                places = np.zeros((len(some), length), "<u2" if length <= 1 << 16 else "<u4")
                 starts, segments = [], []
                 for row, members in enumerate(some):
                     edge = [0]

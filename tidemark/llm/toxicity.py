@@ -130,6 +130,11 @@ def calibrate(model: Model, word: np.ndarray, owner: np.ndarray, label: np.ndarr
     return model
 
 
+def bound(want: int, there: int) -> int:
+    """The 64-bit hash up to which about ``want`` of ``there`` rows have theirs; at least one in 2^64."""
+    return min((1 << 63) - 1, (want << 64) // max(1, there) - (1 << 63))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Model:
     """The classifier, from rows that are not held out.
@@ -143,12 +148,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         .agg((F.max(label_col) > 0).cast("int").alias("label")).where(~held_out(F.col("id")))
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     prior = counts.get(1, 0) / max(1, sum(counts.values()))
-    share = lambda want, there: F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, want / max(1, there))))
-    picked = known.where(F.when(F.col("label") == 1, share(labelled, counts.get(1, 0))).otherwise(share(labelled, counts.get(0, 0))))
+    drawn = lambda want, there: F.xxhash64("id", F.lit(7)) <= F.lit(bound(want, there))
+    picked = known.where(F.when(F.col("label") == 1, drawn(labelled, counts.get(1, 0))).otherwise(drawn(labelled, counts.get(0, 0))))
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     # at most about 2 x labelled rows of 12 bytes
     joined = texts.join(F.broadcast(picked), "id", "left").where(F.col("id").isNotNull() & ~held_out(F.col("id")))
-    rows = joined.where(F.col("label").isNotNull() | share(unlabelled, docs.count()))
+    rows = joined.where(F.col("label").isNotNull() | drawn(unlabelled, docs.count()))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
