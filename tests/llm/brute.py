@@ -45,3 +45,31 @@ def cut_repeats(docs, window):
         spans = sum(1 for p, g in enumerate(gone) if g and (p == 0 or not gone[p - 1]))
         out[i] = len(raw), sum(gone), spans, bytes(b for b, g in zip(raw, gone) if not g)
     return out
+
+
+def cut_words(docs, window):
+    """{doc_id: (spans of bytes, kept)} by every window of words."""
+    found = {i: [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for i, t in docs}
+    raws = {i: (t or "").encode() for i, t in docs}
+    seen = {}
+    for i, places in found.items():
+        tokens = [raws[i][a:b].lower() for a, b in places]
+        for p in range(len(tokens) - window + 1):
+            seen.setdefault(tuple(tokens[p : p + window]), []).append((i, p))
+    gone = {i: set() for i in found}
+    for where in seen.values():
+        if len(where) > 1:
+            for i, p in where:
+                gone[i].update(range(p, p + window))
+    out = {}
+    for i, places in found.items():
+        runs = []
+        for p in sorted(gone[i]):
+            if runs and p == runs[-1][1]:
+                runs[-1][1] = p + 1
+            else:
+                runs.append([p, p + 1])
+        spans = [(places[a][0], places[b - 1][1]) for a, b in runs]
+        edges = [0, *[x for s in spans for x in s], len(raws[i])]
+        out[i] = spans, b"".join(raws[i][a:b] for a, b in zip(edges[::2], edges[1::2]))
+    return out

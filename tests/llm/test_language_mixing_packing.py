@@ -29,12 +29,12 @@ def test_text_beats_a_wrong_tag_and_priors_settle_what_text_leaves_open(spark, m
     rows = [(i, sentence(pick, lang), f"http://www.site-{lang}.{'de' if lang == 'de' else 'org'}/x", lang) for i, lang in enumerate(sorted(WORDS) * 20)]
     rows += [(100, sentence(pick, "fr"), "http://site-en.org/", "de"), (101, "d", "http://new.de/", None), (102, "d", "http://site-fr.org/", None),
              (103, "d", None, "de-AT"), (104, "  7 !", "http://site-fr.org/", "fr"), (105, None, None, None), (106, "", None, None), (0, rows[0][1], None, None)]
-    docs = spark.createDataFrame(rows, "id long, text string, url string, label string").withColumns({"language": F.lit("x"), "n": F.lit(1)})
+    docs = spark.createDataFrame(rows, "id long, text string, url string, label string").withColumns({"language": F.lit("x"), "n": F.lit(1), "_host": F.lit("h"), "_text": F.lit("t"), "_post": F.lit(3)})
     found = language.identify(docs, model, declared=docs.label, name=language.host(docs.url))
     got = defaultdict(list)
     for r in found.collect():
         got[r.id].append(r)
-    assert sum(map(len, got.values())) == len(rows)
+    assert sum(map(len, got.values())) == len(rows) and all((r._host, r._text, r._post) == ("h", "t", 3) for g in got.values() for r in g)
     assert all(got[i][0]._language == lang and got[i][0]._accepted for i, _, _, lang in rows[1:60])
     assert got[100][0]._language == "fr"  # the text against tag and host
     assert [got[i][0]._language for i in (101, 102, 103)] == ["de", "fr", "de"]  # suffix, host, tag
@@ -71,12 +71,29 @@ def test_parts_of_addresses_and_markup(spark):
 
 # --- mixing -------------------------------------------------------------------------------
 
+def shares(weights: dict[str, float], turn: int) -> dict[str, int]:
+    """Whole slots of each source in one turn, one at least, by largest remainders."""
+    turn = max(turn, 4 * len(weights))
+    total = sum(weights.values())
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("weights must be positive")
+    exact = {s: w / total * turn for s, w in weights.items()}
+    slots = {s: max(1, int(x)) for s, x in exact.items()}
+    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[: max(0, turn - sum(slots.values()))]:
+        slots[s] += 1
+    return slots
+
+
+def schedule(slots: dict[str, int]) -> list[str]:
+    """The source of every slot of a turn, in which each source has its whole slots."""
+    return [s for _, s, *_ in mixing.blocks_in_order(slots, slots)]
+
 
 def test_schedule_meets_every_deadline_with_less_than_a_block_deviation():
     pick = random.Random(3)
     for _ in range(20):
-        slots = mixing.shares({f"s{i}": pick.choice([1, 2, 5, 50, 0.3]) for i in range(pick.randint(1, 30))}, 256)
-        order = mixing.schedule(slots)
+        slots = shares({f"s{i}": pick.choice([1, 2, 5, 50, 0.3]) for i in range(pick.randint(1, 30))}, 256)
+        order = schedule(slots)
         turn, seen = len(order), Counter()
         assert turn == sum(slots.values()) and Counter(order) == slots
         for at, s in enumerate(order):
@@ -89,17 +106,17 @@ def test_schedule_meets_every_deadline_with_less_than_a_block_deviation():
 def test_mix_keeps_every_row_and_its_weights(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BIN", 50)
     rows = [(i, s) for i, s in enumerate(["a"] * 700 + ["b"] * 300 + [None] * 90 + ["c"] * 5)] + [(5, "a"), (None, "b"), (None, "b")]
-    docs = spark.createDataFrame(rows, "id long, source string").withColumns({"slot": F.lit(1), "rank": F.lit("x")})
+    docs = spark.createDataFrame(rows, "id long, source string").withColumns({"slot": F.lit(1), "rank": F.lit("x"), "_bin": F.lit(100), "_nth": F.lit(101), "_order": F.lit(102), "_source": F.lit(103)})
     weights = {"a": 5, "b": 3, "": 1, "c": 1}
     got = mixing.mix(docs, weights, docs.source, F.xxhash64("id"), block=4, turn=10).collect()
-    assert Counter((r.id, r.source) for r in got) == Counter(rows)
+    assert Counter((r.id, r.source) for r in got) == Counter(rows) and {(r._bin, r._nth, r._order) for r in got} == {(100, 101, 102)}
     places = sorted((r._slot, r._rank, r._source) for r in got)
     assert len({p[:2] for p in places}) == len(rows) and len({(s, x) for s, _, x in places}) == len({s for s, _, _ in places})
     for s in weights:
         assert sorted(r._rank for r in got if r._source == s) == list(range(sum(1 for r in rows if (r[1] or "") == s)))
-    turn = sum(mixing.shares(weights, 10).values())
+    turn = sum(shares(weights, 10).values())
     on = sorted({(r._slot, r._source) for r in got if r._on_target})
-    share = mixing.shares(weights, 10)
+    share = shares(weights, 10)
     for n in range(1, len(on) + 1):
         count = Counter(s for _, s in on[:n])
         assert all(abs(count[s] - n * share[s] / turn) < 1 for s in weights)

@@ -7,7 +7,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tests.llm.brute import cut_repeats, near_groups
+from tests.llm.brute import cut_words, near_groups
 
 KINDS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = {"en": "the and of with this from house water that have been were when stone river field light", "de": "der und von mit dies aus haus wasser dass haben wurde wenn stein fluss feld licht auch"}
@@ -24,6 +24,10 @@ def corpus():
     for i in (3, 9, 20):
         words = rows[i][1].split()
         rows[i] = (i, " ".join(words[:20]) + passage + " ".join(words[20:]), *rows[i][2:])
+    short = text("en", 55)  # under 400 bytes
+    for i in (30, 41):
+        words = rows[i][1].split()
+        rows[i] = (i, " ".join([*words[:30], short, *words[30:]]), *rows[i][2:])
     rows.append((60, rows[5][1], "en", "s0"))  # exact copy
     near = rows[7][1].split()
     near[3] = "changed"
@@ -50,11 +54,11 @@ def test_stages(spark, tmp_path):
     groups = near_groups([(-1 if i is None else i, t) for i, t in {(r[0], r[1]) for r in rows} if i not in (62, 63, 64)])
     want = {c for _, c in groups.values()} - {-1}
     assert near.keys() - {"n", None} == want and near["n"] == len(want) + 1
-    plain = cut_repeats([(i, near[i].text) for i in near if i != "n"], 400)
-    assert sum(gone > 0 for _, gone, _, _ in plain.values()) == 3
-    for i, (size, gone, _, left) in plain.items():
-        assert len(cut[i].text.encode()) - len(left) in (0, 1, 2) and left.decode(errors="ignore").replace(" ", "")[:9] == cut[i].text.replace(" ", "")[:9]
-        assert cut[i].n_chars == len(cut[i].text)
+    plain = cut_words([(i, near[i].text) for i in near if i != "n"], 50)
+    assert sum(bool(spans) for spans, _ in plain.values()) == 5  # two of them hold the passage of 55 words
+    for i, (spans, left) in plain.items():
+        assert cut[i].text == left.decode() and cut[i].n_chars == len(cut[i].text)
+    assert not any(spans for spans, _ in cut_words([(i, cut[i].text) for i in cut if i != "n"], 50).values())
     assert {i: (r.text, r.source) for i, r in mixed.items() if i != "n"} == {i: (r.text, r.source) for i, r in cut.items() if i != "n"} and mixed["n"] == cut["n"]
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     last = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()}

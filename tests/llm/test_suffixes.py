@@ -1,10 +1,11 @@
+import dataclasses
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.brute import cut_repeats
+from tests.llm.brute import cut_repeats, cut_words
 from tidemark.llm import suffixes
 
 
@@ -28,10 +29,16 @@ def made(seed, window):
     return list(enumerate(docs))
 
 
+def unit(window, gram):
+    return suffixes.Unit(1, suffixes._byte_tokens, window, gram)
+
+
 def check(spark, docs, window, gram):
-    table = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"k1": F.lit("x"), "lead": F.lit(2), "start": F.lit(None).cast("int")})
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumns(
+        {"k1": F.lit("x"), "lead": F.lit(2), "start": F.lit(None).cast("int"), "_text": F.lit("y"), "_k1": F.lit(3), "_removed": F.lit(4)})
     want = cut_repeats(docs, window)
-    rows = suffixes.remove(table, window=window, gram=gram).collect()
+    rows = suffixes.remove(table, unit=unit(window, gram)).collect()
+    assert all((r.k1, r.lead, r._text, r._k1) == ("x", 2, "y", 3) for r in rows)
     assert len(rows) == len(docs)
     for r in rows:
         size, gone, spans, kept = want[r.doc_id]
@@ -52,11 +59,11 @@ def test_hot_leads_are_cut_finer(spark, monkeypatch):
 def test_no_rows_nulls_and_repeated_rows(spark):
     t = "".join(random.Random(1).choices("abcdefghijklmnop", k=90)) + "z" * 9
     table = spark.createDataFrame([(None, t), (1, None), (2, t[:50] + "éé"), (3, "short"), (4, "y" * 3 + "é" * 30), (4, "y" * 3 + "é" * 30)], "doc_id long, text string")
-    rows = suffixes.remove(table, window=40, gram=8).collect()
+    rows = suffixes.remove(table, unit=unit(40, 8)).collect()
     assert sorted((r.doc_id or 0, len(r._kept)) for r in rows) == [(0, 49), (1, 0), (2, 4), (3, 5), (4, 0), (4, 0)]
-    whole = suffixes.remove(table, window=40, gram=8, whole_characters=True).collect()
+    whole = suffixes.remove(table, unit=unit(40, 8), whole_characters=True).collect()
     assert all(bytes(r._kept).decode() is not None for r in whole)
-    assert suffixes.remove(table.limit(0), window=40, gram=8).collect() == []
+    assert suffixes.remove(table.limit(0), unit=unit(40, 8)).collect() == []
 
 
 def test_multikey_order_and_common_prefixes():
@@ -72,4 +79,32 @@ def test_multikey_order_and_common_prefixes():
 
 def test_a_long_text_has_the_same_anchors_in_pieces():
     raw = np.random.default_rng(4).integers(97, 101, 30_000).astype(np.uint8)
-    assert (suffixes._long(raw, 100, 30, 7000) == suffixes.anchors(raw, np.array([0, len(raw)]), 100, 30)).all()
+    values = suffixes._byte_tokens(raw, None)[0]
+    assert (suffixes._long(values, 100, 30, 7000) == suffixes.anchors(values, np.array([0, len(raw)]), 100, 30)).all()
+
+
+def prose(seed, window):
+    pick = random.Random(seed)
+    fresh = lambda n: ["".join(pick.choice("abcdefé") for _ in range(pick.randint(1, 5))) for _ in range(n)]
+    passages = [fresh(n) for n in (*range(window - 2, window + 22), 2 * window, 3 * window)]
+    docs = []
+    for _ in range(150):
+        words = []
+        for _ in range(pick.randint(0, 4)):
+            words += pick.choice([fresh(pick.randint(0, 2 * window)), pick.choice(passages), pick.choice(passages)[pick.randint(0, 9):]])
+        docs.append("".join(w + pick.choice([" ", " ", "\n", " \t "]) for w in words))
+    docs += ["", None, "a " * 5 * window, "A " * window, " ".join(passages[8]), " ".join(passages[8]).upper(), " ".join(fresh(40_000) + passages[12] + fresh(40_000))]
+    return list(enumerate(docs))
+
+
+@pytest.mark.parametrize("window,gram,hot", [(50, 8, None), (20, 4, None), (20, 4, 3)])
+def test_passages_of_words_match_brute_force(spark, monkeypatch, window, gram, hot):
+    if hot:
+        monkeypatch.setattr(suffixes, "HOT", hot)
+        monkeypatch.setattr(suffixes, "BLOCK", 16)
+    docs = prose(window, window)
+    want = cut_words(docs, window)
+    assert sum(bool(s) for s, _ in want.values()) > 60
+    words = dataclasses.replace(suffixes.WORDS, window=window, gram=gram)
+    for r in suffixes.remove(spark.createDataFrame(docs, "doc_id long, text string"), unit=words).collect():
+        assert ([(x.start, x.stop) for x in r._removed], bytes(r._kept)) == want[r.doc_id], r.doc_id

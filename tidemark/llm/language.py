@@ -125,16 +125,18 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     evidence). A text without letters (also null or empty) has the language "und" and is not
     accepted; neither is a language outside ``accepted`` (null: all) or a posterior under
     ``least``. Repeated rows are equal; an empty table or model gives no rows or "und".
-    The caller's columns may have any name that doesn't begin with an underscore.
+    The caller's columns may have any name, but for the four new ones, which replace them.
     """
     spark, (languages, logs) = docs.sparkSession, model
-    own = docs.columns
-    row = docs.select("*", docs[text_col].cast("string").alias("_text"),
+    safe, named, back = text.renamed(docs)
+    made = {"_language", "_confidence", "_letters", "_accepted"}
+    own = [c for c, n in zip(back, docs.columns) if n not in made]
+    row = docs.select(*named, docs[text_col].cast("string").alias("_text"),
                       F.coalesce(name if name is not None else F.lit(""), F.lit("")).alias("_host"),
                       (tag(declared) if declared is not None else F.lit(None).cast("string")).alias("_declared"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(safe, docs.schema))
     path = fresh(spark, "language")
-    row.mapInArrow(_scores(languages, logs, own, spark),
+    row.mapInArrow(_scores(languages, logs, safe, spark),
                    f"{kinds}, _host string, _declared string, _letters long, _like array<double>").write.parquet(path)
     row = spark.read.parquet(path)
     if not languages:

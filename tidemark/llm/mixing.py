@@ -13,25 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-#: Slots of a turn when weights are wanted as whole slots. Sources at most.
+from tidemark.llm import text
+
+#: Blocks gathered at a time on the driver, and sources at most.
 TURN, MOST = 1024, 100_000
 #: Documents of a block, and documents that a numbering bin has on average.
 BLOCK, BIN = 16, 2000
 
 
-def shares(weights: dict[str, float], turn: int = TURN) -> dict[str, int]:
-    """Whole slots of each source in one turn, one at least, by largest remainders."""
-    turn = max(turn, 4 * len(weights))
-    total = sum(weights.values())
-    if any(w <= 0 for w in weights.values()):
-        raise ValueError("weights must be positive")
-    exact = {s: w / total * turn for s, w in weights.items()}
-    slots = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[: max(0, turn - sum(slots.values()))]:
-        slots[s] += 1
-    return slots
-
-
 def parts(weights: dict[str, float]) -> dict[str, int]:
     """The weights as whole numbers in exactly the same proportion."""
     if any(not w > 0 or w == math.inf for w in weights.values()):
@@ -70,11 +59,6 @@ def blocks_in_order(share: dict[str, int], blocks: dict[str, int]) -> Iterator[t
         now += 1
 
 
-def schedule(slots: dict[str, int]) -> list[str]:
-    """The source of every slot of a turn, in which each source has its whole slots."""
-    return [s for _, s, *_ in blocks_in_order(slots, slots)]
-
-
 def tempered(docs: DataFrame, source: Column, power: float = 0.5) -> dict[str, float]:
     """Target weights in proportion to a power of each source's number of documents."""
     counts = docs.groupBy(F.coalesce(source.cast("string"), F.lit("")).alias("s")).count().limit(MOST + 1).collect()
@@ -95,12 +79,13 @@ def mix(docs: DataFrame, weights: dict[str, float], source: Column, order: Colum
     slot on at which the first source has run out (one without rows: from the first), and
     later slots of that source stay free.
     Null orders come first; ties and repeated rows take any order among themselves. The
-    caller's columns may have any name that doesn't begin with an underscore.
+    caller's columns may have any name and come back as they were, but for those that have the name of a new one.
     """
-    spark, own = docs.sparkSession, docs.columns
+    spark = docs.sparkSession
+    _, named, own = text.renamed(docs)
     share = parts(weights)
     whole = sum(share.values())
-    rows = docs.select("*", F.coalesce(source.cast("string"), F.lit("")).alias("_source"), order.alias("_order"))
+    rows = docs.select(*named, F.coalesce(source.cast("string"), F.lit("")).alias("_source"), order.alias("_order"))
     many = max(1, rows.count() // BIN)
     # ranks: rows are binned by hash range, bins counted, and counts summed in order of bins
     place = F.coalesce(F.shiftrightunsigned(F.col("_order"), 1).cast("double") / float(1 << 63) * many, F.lit(0.0))
@@ -125,8 +110,9 @@ def mix(docs: DataFrame, weights: dict[str, float], source: Column, order: Colum
     rows = rows.withColumn("_nth", F.row_number().over(hashed) - 1).join(spans, ["_source", "_bin"])
     rows = rows.withColumn("_rank", F.col("_before") + F.col("_nth")).withColumn("_block", F.floor(F.col("_rank") / block).cast("long"))
     found = F.get("_blocks", (F.col("_block") - F.col("_first")).cast("int"))
+    made = {"_source", "_rank", "_block", "_slot", "_release", "_deadline", "_on_target"}
     return rows.select(
-        *own, "_source", "_rank", "_block", found["_slot"].alias("_slot"), found["_release"].alias("_release"),
+        *[c for c, n in zip(own, docs.columns) if n not in made], "_source", "_rank", "_block", found["_slot"].alias("_slot"), found["_release"].alias("_release"),
         found["_deadline"].alias("_deadline"), (found["_slot"] < horizon).alias("_on_target"))
 
 

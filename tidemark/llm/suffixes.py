@@ -1,20 +1,21 @@
 """Repeated passages by a sparse suffix array: sampled splitters, multikey sorting, common prefixes.
 
-A suffix is kept where it begins with an anchor: the place of the least hash among all grams
+Texts are rows of tokens: bytes, or words as 64-bit hashes. A suffix is kept where it begins with an anchor: the place of the least hash among all grams
 of some window. Equal windows hold equal anchors at equal offsets, so two equal strings of
-``window`` bytes always have a pair of anchors in the same place of the order. Suffixes whose
+``window`` tokens always have a pair of anchors in the same place of the order. Suffixes whose
 leading gram occurs once are dropped, those with equal surroundings counted and kept once.
-The rest is dealt by ranges of leading bytes (splitters from Spark's sample); a range ends
-between two grams, so no run of equal leading bytes lies across two buckets. Each bucket
+The rest is dealt by ranges of leading tokens (splitters from Spark's sample); a range ends
+between two grams, so no run of equal leading tokens lies across two buckets. Each bucket
 sorts its suffixes, and the reversed texts left of them, by multikey quicksort on words of
-eight bytes. Windows ``s`` bytes left of two anchors are equal just if no common prefix
+eight bytes. Windows ``s`` tokens left of two anchors are equal just if no common prefix
 between them in the one order is under window - s and none in the other order under s.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,34 @@ BLOCK, BUCKET = 4096, 20_000
 #: A leading gram of more suffixes than a bucket has its windows cut to so many finer ranges.
 HOT, PARTS = BUCKET, 8
 _NEVER = np.iinfo(np.uint64).max
+#: Bytes of text handled at once.
+STEP = 1 << 18
+
+
+@dataclass(frozen=True)
+class Unit:
+    """What texts are made of: ``bytes`` of a token in a body, a token's value to hash, and its bytes."""
+
+    bytes: int
+    #: of the bytes of texts and where each begins: values of all tokens, where each text's tokens begin, where tokens start and end
+    tokens: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None]]
+    #: tokens of one window, and of the gram that an anchor stands for
+    window: int
+    gram: int
+
+
+def _byte_tokens(raw: np.ndarray, offsets: np.ndarray):
+    return text._TABLE[raw], offsets, None, None
+
+
+def _word_tokens(raw: np.ndarray, offsets: np.ndarray):
+    values, at = text.words(raw, offsets)
+    return values, at, *text.places(raw, offsets)
+
+
+BYTES = Unit(1, _byte_tokens, WINDOW, GRAM)
+#: Words as runs of bytes other than white space, A-Z as a-z.
+WORDS = Unit(8, _word_tokens, 50, 8)
 
 
 def _sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray:
@@ -45,14 +74,14 @@ def _sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.nd
     return out[: len(values)]
 
 
-def anchors(raw: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
-    """Places of all grams that are the least of some window within a text."""
-    n = len(raw)
+def anchors(values: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
+    """Places of all grams of tokens that are the least of some window within a text."""
+    n = len(values)
     if n < window:
         return np.empty(0, np.int64)
     up, down = text._powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(text._TABLE[raw] * up[:n], out=total[1:])
+    np.cumsum(values * up[:n], out=total[1:])
     grams = np.full(n, _NEVER, np.uint64)
     grams[: n - gram + 1] = text.mix((total[gram:] - total[:-gram]) * down[: n - gram + 1])
     ends = offsets[1:]
@@ -65,9 +94,9 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: in
     return np.flatnonzero((most == grams) & (place + gram <= last))
 
 
-def _long(raw: np.ndarray, window: int, gram: int, step: int = 4 * text.CHUNK) -> np.ndarray:
+def _long(values: np.ndarray, window: int, gram: int, step: int = 4 * STEP) -> np.ndarray:
     """Anchors of one text of any length, piece by piece."""
-    found = [s + anchors(raw[s : s + step + window], np.array([0, len(raw[s : s + step + window])]), window, gram) for s in range(0, max(1, len(raw)), step)]
+    found = [s + anchors(values[s : s + step + window], np.array([0, len(values[s : s + step + window])]), window, gram) for s in range(0, max(1, len(values)), step)]
     return np.unique(np.concatenate(found))
 
 
@@ -79,19 +108,27 @@ def _longs(values) -> pa.Array:
     return pa.array(values, pa.int64())
 
 
-def _scan(window: int, gram: int):
+def _bodies(unit: Unit, raw: np.ndarray, values: np.ndarray) -> bytes:
+    """The tokens as bytes that sort and compare as tokens do."""
+    return raw.tobytes() if unit.bytes == 1 else values.astype(">u8").tobytes()
+
+
+def _scan(unit: Unit):
+    window, gram, w = unit.window, unit.gram, unit.bytes
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.chunks(batch):
-                raw, offsets = text.buffer(part.column("text"))
-                at = anchors(raw, offsets, window, gram) if len(raw) <= 4 * text.CHUNK else _long(raw, window, gram)
+            for part in text.chunks(batch, limit=STEP):
+                raw, ends = text.buffer(part.column("text"))
+                values, offsets, _, _ = unit.tokens(raw, ends)
+                at = anchors(values, offsets, window, gram) if len(values) <= 4 * STEP else _long(values, window, gram)
                 row = np.searchsorted(offsets, at, "right") - 1
                 first, last = offsets[row], offsets[row + 1]
                 left = np.minimum(at - first, window - gram)
                 stop = np.minimum(at + window, last)
-                data = raw.tobytes()
-                whole = [_hash(data[a - b : c], b.to_bytes(2, "little")) for a, b, c in zip(at.tolist(), left.tolist(), stop.tolist())]
-                lead = [_hash(data[a : a + gram]) for a in at.tolist()]
+                data = _bodies(unit, raw, values)
+                whole = [_hash(data[w * (a - b) : w * c], b.to_bytes(2, "little")) for a, b, c in zip(at.tolist(), left.tolist(), stop.tolist())]
+                lead = [_hash(data[w * a : w * (a + gram)]) for a in at.tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("k1").take(pa.array(row)), part.column("k2").take(pa.array(row)), _longs(at - first),
                      _longs(left), _longs(stop - at + left), _longs(lead), _longs(whole)],
@@ -137,23 +174,27 @@ def _matrix(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(p.ljust(width, b"\0") for p in parts), np.uint8).reshape(len(parts), width), sizes
 
 
-def repeats(bodies: list[bytes], lefts: list[int], moved: list[int], window: int, span: int) -> np.ndarray:
-    """For each body (its place ``left`` bytes in) and s of 0..span: does the window s bytes before that place equal another's?
+def _backwards(part: bytes, width: int) -> bytes:
+    return part[::-1] if width == 1 else np.frombuffer(part, f"V{width}")[::-1].tobytes()
+
 
-    Only bodies whose places were moved equally far from their anchors are compared: one window
-    of one text may be reached from two anchors, and is not its own repeat.
+def repeats(bodies: list[bytes], lefts: list[int], moved: list[int], window: int, span: int, width: int = 1) -> np.ndarray:
+    """For each body (its place ``left`` tokens in) and s of 0..span: does the window s tokens before that place equal another's?
+
+    Tokens have ``width`` bytes. Only bodies whose places were moved equally far from their anchors are
+    compared: one window of one text may be reached from two anchors, and is not its own repeat.
     """
     n = len(bodies)
-    right, right_size = _matrix([m.to_bytes(8, "big") + b[x:] for b, x, m in zip(bodies, lefts, moved)], window + 8)
-    left, left_size = _matrix([b[:x][::-1] for b, x in zip(bodies, lefts)], span)
+    right, right_size = _matrix([m.to_bytes(8, "big") + b[width * x :] for b, x, m in zip(bodies, lefts, moved)], width * window + 8)
+    left, left_size = _matrix([_backwards(b[: width * x], width) for b, x in zip(bodies, lefts)], width * span)
     order_r, common_r = multikey(right, right_size)
     order_l, common_l = multikey(left, left_size)
     out = np.zeros((n, span + 1), bool)
     class_r, class_l = np.empty(n, np.int64), np.empty(n, np.int64)
     for s in range(span + 1):
-        class_r[order_r] = np.cumsum(common_r < window - s + 8)
-        class_l[order_l] = np.cumsum(common_l < s)
-        valid = np.flatnonzero((left_size >= s) & (right_size >= window - s + 8))
+        class_r[order_r] = np.cumsum(common_r < width * (window - s) + 8)
+        class_l[order_l] = np.cumsum(common_l < width * s)
+        valid = np.flatnonzero((left_size >= width * s) & (right_size >= width * (window - s) + 8))
         key = class_r[valid] * (n + 1) + class_l[valid]
         by = np.argsort(key)
         same = key[by][1:] == key[by][:-1]
@@ -162,9 +203,11 @@ def repeats(bodies: list[bytes], lefts: list[int], moved: list[int], window: int
     return out
 
 
-def _sorted_blocks(window: int, span: int, gram: int):
+def _sorted_blocks(unit: Unit, span: int):
+    window = unit.window
+
     def settle(rows: list[tuple]) -> pa.RecordBatch:
-        found = repeats([r[4] for r in rows], [r[3] for r in rows], [r[7] for r in rows], window, span)
+        found = repeats([r[4] for r in rows], [r[3] for r in rows], [r[7] for r in rows], window, span, unit.bytes)
         out = []
         for (k1, k2, at, _, _, lone, _, _), hits in zip(rows, found):
             if lone and hits.any():
@@ -189,18 +232,21 @@ def _sorted_blocks(window: int, span: int, gram: int):
 _BODY = "k1 long, k2 long, at long, left long, body binary, lone boolean, first binary, moved long"
 
 
-def _cut(gram: int):
+def _cut(unit: Unit):
     """The surroundings of each wanted anchor of a text."""
+    w = unit.bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.chunks(batch):
+            for part in text.chunks(batch, limit=STEP):
                 rows = []
-                for k1, k2, t, wanted in zip(*[part.column(c) for c in ("k1", "k2", "text", "wanted")]):
-                    raw = t.as_buffer().to_pybytes()
-                    for w in wanted.as_py():
-                        body = raw[w["at"] - w["left"] : w["at"] - w["left"] + w["size"]]
-                        rows.append((k1.as_py(), k2.as_py(), w["at"], w["left"], body, w["lone"], body[w["left"] : w["left"] + gram], 0, w["hot"]))
+                for j in range(part.num_rows):
+                    raw, ends = text.buffer(part.column("text").slice(j, 1))
+                    data = _bodies(unit, raw, unit.tokens(raw, ends)[0] if w > 1 else raw)
+                    k1, k2 = part.column("k1")[j].as_py(), part.column("k2")[j].as_py()
+                    for x in part.column("wanted")[j].as_py():
+                        body = data[w * (x["at"] - x["left"]) : w * (x["at"] - x["left"] + x["size"])]
+                        rows.append((k1, k2, x["at"], x["left"], body, x["lone"], body[w * x["left"] : w * (x["left"] + unit.gram)], 0, x["hot"]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
                         (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.int64(), pa.bool_()))],
@@ -209,9 +255,9 @@ def _cut(gram: int):
     return run
 
 
-def _finer(window: int, span: int):
-    """Each body cut to ``PARTS`` ranges of its windows; the bytes all windows of a range share lead it."""
-    step = -(-(span + 1) // PARTS)
+def _finer(unit: Unit, span: int):
+    """Each body cut to ``PARTS`` ranges of its windows; the tokens all windows of a range share lead it."""
+    step, window, w = -(-(span + 1) // PARTS), unit.window, unit.bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,12 +265,12 @@ def _finer(window: int, span: int):
             for k1, k2, at, left, body, lone, moved in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "at", "left", "body", "lone", "moved")]):
                 for s0 in range(0, span + 1, step):
                     s1 = s0 + step - 1
-                    if left < s0 or len(body) - left < window - s1:
+                    if left < s0 or len(body) // w - left < window - s1:
                         continue
                     begin = max(0, left - s1)
-                    part, inner = body[begin : left - s0 + window], left - s0 - begin
+                    part, inner = body[w * begin : w * (left - s0 + window)], left - s0 - begin
                     far = (moved + s0).to_bytes(8, "little")
-                    first = part[inner : inner + window - (step - 1)] + far
+                    first = part[w * inner : w * (inner + window - (step - 1))] + far
                     rows.append((k1, k2, at - s0, inner, part, lone, first, moved + s0, _hash(first), _hash(part, inner.to_bytes(2, "little"), far)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
@@ -242,11 +288,11 @@ def _classes(rows: DataFrame) -> DataFrame:
     return n.join(kinds, "lead", "left").withColumn("kinds", F.coalesce("kinds", F.lit(1)))
 
 
-def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(k1, k2, start, stop) of stretches made of repeated windows; ``texts`` has k1, k2, text. They may overlap."""
+def spans(texts: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """(k1, k2, start, stop) in tokens of stretches made of repeated windows; ``texts`` has k1, k2, text. They may overlap."""
     spark = texts.sparkSession
     path = fresh(spark, "suffixes")
-    texts.mapInArrow(_scan(window, gram), "k1 long, k2 long, at long, left long, size long, lead long, whole long") \
+    texts.mapInArrow(_scan(unit), "k1 long, k2 long, at long, left long, size long, lead long, whole long") \
         .write.parquet(f"{path}/anchors")
     found = spark.read.parquet(f"{path}/anchors")
     often = cut_lineage(found.groupBy("lead").agg(F.count("*").alias("c")).where("c > 1").select("lead"))
@@ -260,23 +306,23 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
     one = kept.where("kinds > 1").groupBy("lead", "whole").agg(
         F.min(F.struct("k1", "k2", "at", "left", "size")).alias("r"), (F.first("n") == 1).alias("lone"), (F.first("kinds") > HOT).alias("hot"))
     wanted = one.groupBy("r.k1", "r.k2").agg(F.collect_list(F.struct("r.at", "r.left", "r.size", "lone", "hot")).alias("wanted"))
-    texts.join(wanted, ["k1", "k2"]).mapInArrow(_cut(gram), _BODY + ", hot boolean").write.parquet(f"{path}/bodies")
-    rows, span, level = spark.read.parquet(f"{path}/bodies"), window - gram, 0
+    texts.join(wanted, ["k1", "k2"]).mapInArrow(_cut(unit), _BODY + ", hot boolean").write.parquet(f"{path}/bodies")
+    rows, span, level = spark.read.parquet(f"{path}/bodies"), unit.window - unit.gram, 0
     while True:
         hot, rest = rows.where("hot"), rows.where("not hot").drop("hot")
         buckets = max(1, -(-rest.count() // BUCKET), spark.sparkContext.defaultParallelism)
         dealt = rest.repartitionByRange(buckets, "first").sortWithinPartitions("first")
-        out.append(dealt.mapInArrow(_sorted_blocks(window, span, gram), "k1 long, k2 long, start long, stop long"))
+        out.append(dealt.mapInArrow(_sorted_blocks(unit, span), "k1 long, k2 long, start long, stop long"))
         if hot.isEmpty():
             break
         level += 1
-        run, span = _finer(window, span)
+        run, span = _finer(unit, span)
         hot.mapInArrow(run, _BODY + ", lead long, whole long").write.parquet(f"{path}/fine{level}")
         fine = spark.read.parquet(f"{path}/fine{level}")
         known = _classes(fine)
         again = fine.join(known, ["lead", "whole"])
         out.append(again.where("n > 1 and lone").select(
-            "k1", "k2", (F.col("at") - F.col("left")).alias("start"), (F.col("at") - F.col("left") + F.length("body")).alias("stop")))
+            "k1", "k2", (F.col("at") - F.col("left")).alias("start"), (F.col("at") - F.col("left") + F.length("body") / unit.bytes).cast("long").alias("stop")))
         again.where("kinds > 1").groupBy("lead", "whole").agg(
             F.min(F.struct("k1", "k2", "at", "left", "body", "lone", "first", "moved")).alias("r"), (F.first("n") == 1).alias("single"),
             (F.first("kinds") > HOT).alias("hot")) \
@@ -289,19 +335,34 @@ def spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
     return total
 
 
-def _removed(kinds: list[str], keep_characters: bool):
+def _merged(parts: list[dict] | None) -> list[list[int]]:
+    """Spans in order, those that meet joined."""
+    runs: list[list[int]] = []
+    for a, b in sorted((p["start"], p["stop"]) for p in parts or []):
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b])
+    return runs
+
+
+def _in_bytes(unit: Unit, raw: bytes, runs: list[list[int]]) -> list[list[int]]:
+    """Spans of tokens as spans of bytes, from the first token's begin to the last one's end."""
+    if unit.bytes == 1 or not runs:
+        return runs
+    data = np.frombuffer(raw, np.uint8)
+    starts, ends = text.places(data, np.array([0, len(data)]))
+    return [[int(starts[a]), int(ends[b - 1])] for a, b in runs]
+
+
+def _removed(kinds: list[str], unit: Unit, keep_characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.chunks(batch, "_text"):
+            for part in text.chunks(batch, "_text", STEP):
                 merged, kept = [], []
                 for t, parts in zip(part.column("_text"), part.column("_spans").to_pylist()):
                     raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-                    runs: list[list[int]] = []
-                    for a, b in sorted((p["start"], p["stop"]) for p in parts or []):
-                        if runs and a <= runs[-1][1]:
-                            runs[-1][1] = max(runs[-1][1], b)
-                        else:
-                            runs.append([a, b])
+                    runs = _in_bytes(unit, raw, _merged(parts))
                     if keep_characters:
                         for r in runs:
                             while r[0] < r[1] and raw[r[0]] & 0xC0 == 0x80:
@@ -319,21 +380,24 @@ def _removed(kinds: list[str], keep_characters: bool):
     return run
 
 
-def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, whole_characters: bool = False) -> DataFrame:
+def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = BYTES, whole_characters: bool = False) -> DataFrame:
     """Every row of ``docs`` with ``_removed`` (spans of bytes) and ``_kept`` (the bytes left).
 
-    Removes each byte covered by a string of ``window`` bytes that also starts elsewhere in any
-    text, all copies alike, judged on the input. With ``whole_characters`` a span keeps
-    characters that it would cut. Null and empty texts and those under ``window`` bytes stay
-    as they are (null: no bytes). Rows with the same id and text are repeated rows: each
-    counts, so both lose their windows. Null ids are values like others. The caller's
-    columns may have any name that doesn't begin with an underscore, and k1, k2 as well.
+    Removes each token covered by a string of ``unit.window`` tokens that also starts elsewhere in any
+    text, all copies alike, judged on the input. Between the words of a removed run white space goes as well. With
+    ``whole_characters`` a span keeps characters that it would cut. Null and empty texts and those under
+    a window stay as they are (null: no bytes). Rows with the same id and text are repeated rows: each
+    counts, so both lose their windows. Null ids are values like others. The caller's columns may have any
+    name, but for ``_removed`` and ``_kept``, which are replaced.
     """
-    own = docs.columns
+    safe, named, back = text.renamed(docs)
     a, b = text.row_key(docs[id_col], docs[text_col].cast("string"))
-    keyed = docs.select("*", a.alias("_k1"), b.alias("_k2"), docs[text_col].cast("string").alias("_text"))
-    texts = keyed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_text").cast("binary").alias("text")).where(F.length("text") >= window)
-    found = spans(texts, window, gram).groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return keyed.join(found, ["_k1", "_k2"], "left").select(*own, F.col("_text").cast("binary").alias("_text"), "_spans").mapInArrow(
-        _removed(own, whole_characters), f"{kinds}, _removed array<struct<start:long,stop:long>>, _kept binary")
+    keyed = docs.select(*named, a.alias("_k1"), b.alias("_k2"), docs[text_col].cast("string").alias("_text"))
+    texts = keyed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_text").cast("binary").alias("text"))
+    # a word has a byte at least, and white space stands between two
+    texts = texts.where(F.length("text") >= (unit.window if unit.bytes == 1 else 2 * unit.window - 1))
+    found = spans(texts, unit).groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
+    kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(safe, docs.schema))
+    cut = keyed.join(found, ["_k1", "_k2"], "left").select(*safe, F.col("_text").cast("binary").alias("_text"), "_spans").mapInArrow(
+        _removed(safe, unit, whole_characters), f"{kinds}, _removed array<struct<start:long,stop:long>>, _kept binary")
+    return cut.select(*[c for c, n in zip(back, docs.columns) if n not in ("_removed", "_kept")], "_removed", "_kept")

@@ -89,19 +89,24 @@ def words(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tupl
     return hashes, at
 
 
-def beginnings(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE, cuts: tuple[int, ...] = ()) -> tuple[list[np.ndarray], np.ndarray]:
-    """As ``words``, and for each cut the hashes of the words' first bytes, so many at most."""
-    n = len(raw)
-    if not n:
-        return [np.empty(0, np.uint64)] * (1 + len(cuts)), np.zeros(len(offsets), np.int64)
-    inside = ~gap[raw]
+def places(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of all texts begin and end; no word goes on into the next text."""
+    n, inside = len(raw), ~gap[raw]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
     edges = offsets[(offsets > 0) & (offsets < n)]
     first[edges] = inside[edges]
     last[edges - 1] = inside[edges - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def beginnings(raw: np.ndarray, offsets: np.ndarray, gap: np.ndarray = SPACE, cuts: tuple[int, ...] = ()) -> tuple[list[np.ndarray], np.ndarray]:
+    """As ``words``, and for each cut the hashes of the words' first bytes, so many at most."""
+    n = len(raw)
+    if not n:
+        return [np.empty(0, np.uint64)] * (1 + len(cuts)), np.zeros(len(offsets), np.int64)
+    starts, ends = places(raw, offsets, gap)
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_TABLE[LOWER[raw]] * up[:n], out=total[1:])
@@ -118,3 +123,10 @@ def row_key(*columns: Column) -> list[Column]:
 def flat(df: DataFrame, **columns: str | Column) -> DataFrame:
     """Only the named columns, so that other columns of any name can't clash."""
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
+
+
+def renamed(docs: DataFrame) -> tuple[list[str], list[Column], list[Column]]:
+    """Names that clash with none of an operator's own, the caller's columns under them, and back under their own."""
+    safe = [f"own{i}" for i in range(len(docs.columns))]
+    # a name may hold dots, and two columns may differ in case alone
+    return safe, [F.col(f"`{c.replace('`', '``')}`").alias(n) for c, n in zip(docs.columns, safe)], [F.col(n).alias(c) for c, n in zip(docs.columns, safe)]
