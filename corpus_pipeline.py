@@ -53,8 +53,11 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages of 400 bytes that also stand elsewhere; ``n_chars`` is counted anew."""
-    cut = suffixes.remove(docs, whole_characters=True)
+    """All documents, without passages of 50 words that also stand elsewhere, same document included; no copy stays.
+
+    Words are runs without white space, A-Z as a-z. ``n_chars`` is counted anew where something went.
+    """
+    cut = suffixes.remove(docs, unit=suffixes.WORDS)
     left = F.when(F.col("text").isNotNull(), F.col("_kept").cast("string"))
     new = {"text": left, "n_chars": F.when(F.size("_removed") > 0, F.char_length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
     return cut.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
