@@ -1,4 +1,6 @@
+import contextlib
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 from tidemark.functions.generate import ColumnSpec
 from tidemark.operators import control, drift
 from tidemark.sinks import writers
-from tidemark.sources import inference, tables
+from tidemark.sources import inference, splits, tables
 
 
 def fc_of(spark, pairs):
@@ -74,7 +76,7 @@ def test_listing_reads_no_content(spark, tmp_path):
 def test_read_lines_and_columns(spark, tmp_path):
     (tmp_path / "r.txt").write_text(" a \r\nb\n")
     rows = tables.read_lines(spark, str(tmp_path)).orderBy("line_no").collect()
-    assert [(r.line_no, r.line) for r in rows] == [(0, "a"), (1, "b"), (2, "")]
+    assert [(r.line_no, r.line) for r in rows] == [(0, "a"), (1, "b")]
     described = tables.describe_columns(spark.range(1)).first()
     assert (described.ordinal, described.column_name, described.data_type) == (1, "id", "bigint")
 
@@ -108,11 +110,64 @@ def test_markers_as_unquoted_fields_are_data(spark, tmp_path):
         ("D", 'D"|H"|"x"'), ("D", 'D"|T"|"y"'), ("D", 'D"|T"|"z"'), ("H", 'H"|"f"'), ("T", 'T"|"f"|"4"')]
 
 
-def test_marker_inside_a_field_is_data(spark):
-    text = 'H"|"h"\nD"|"a"|"one\nD"|" two"\nD"|"b"|"x"\nT"|"t"\n'
-    rows = control.quoted_records(spark.createDataFrame([("f", text)], "file string, text string"), "file", "text").orderBy("record_no").collect()
-    assert [r.kind for r in rows] == ["H", "D", "D", "T"]
-    assert rows[1].record == 'D"|"a"|"one D"|" two"'
+@contextlib.contextmanager
+def splits_of(spark, size):
+    """Files are read in pieces of ``size`` bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_marker_inside_a_field_is_data(spark, tmp_path):
+    (tmp_path / "f").write_text('rubbish\nH"|"h"\nD"|"a"|"one\nD"|" two"\nD"|"b"|"x"\nD"|"c"|"say ""hi""\n\nH""|"\nT"|"t"\n')
+    for size in (1 << 20, 7):
+        with splits_of(spark, size):
+            rows = control.quoted_records(spark, str(tmp_path)).orderBy("record_no").collect()
+        assert [(r.kind, r.record) for r in rows] == [
+            ("H", 'H"|"h"'), ("D", 'D"|"a"|"one D"|" two"'), ("D", 'D"|"b"|"x"'), ("D", 'D"|"c"|"say ""hi"" H""|"'), ("T", 'T"|"t"')]
+
+
+@pytest.mark.parametrize("size", [5, 64, 999, 1 << 20])
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path, size):
+    pick = random.Random(3)
+    files = {n: ["".join(pick.choice("ab é") for _ in range(pick.randint(0, 9))) for _ in range(300)] + ["end"] for n in ("a.txt", "b.txt")}
+    for name, lines in files.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    (tmp_path / "empty.txt").write_text("")
+    with splits_of(spark, size):
+        frame = tables.read_lines(spark, str(tmp_path))
+        rows = frame.collect()
+        assert size > 999 or splits.block_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 3
+    got = {n: [r.line for r in sorted((r for r in rows if r.doc_id.endswith(n)), key=lambda r: r.line_no)] for n in files}
+    assert got == {n: [x.strip(" ") for x in lines] for n, lines in files.items()}
+    assert sorted(r.line_no for r in rows) == sorted([*range(301)] * 2)
+
+
+@pytest.mark.parametrize("size", [5, 40, 700, 1 << 20])
+def test_quoted_fields_with_line_breaks_in_splits(spark, tmp_path, size):
+    pick = random.Random(5)
+    value = lambda: "".join(pick.choice('ab,"\n\r é;') for _ in range(pick.randint(0, 30)))
+    rows = [(i, value(), pick.choice([None, value()])) for i in range(200)]
+    for name, part in (("a.csv", rows[:150]), ("b.csv", rows[150:])):
+        with open(tmp_path / name, "w", newline="") as file:
+            file.write("id,x,y\n" + "".join(
+                f"{i}," + '"' + x.replace('"', '""') + '",' + ("" if y is None else '"' + y.replace('"', '""') + '"') + "\n" for i, x, y in part) + "\n")
+    with splits_of(spark, size):
+        got = tables.read_text_columns(spark, str(tmp_path), None, tables.CsvFormat(line_breaks=True), emptyValue="").collect()
+    assert sorted((int(r.id), r.x, r.y) for r in got) == rows
+
+
+def test_only_torn_records_are_shuffled(spark, tmp_path):
+    from tests.plans import plan_of
+
+    (tmp_path / "a.csv").write_text('x\n1\n"2\n3"\n')
+    frame = splits.delimited_records(spark, str(tmp_path))
+    assert sorted((r.record_no, r.record) for r in frame.collect()) == [(1, "x"), (2, "1"), (3, '"2\n3"')]
+    assert "multiLine" not in plan_of(frame) and "wholetext" not in plan_of(frame)
 
 
 def test_audit_rows(spark):

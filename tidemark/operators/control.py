@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.sources import splits
+
 FIELD_SEPARATOR = '"|"'
 SUCCESS, FAILED = 1, 3
 
@@ -172,13 +174,16 @@ def _flat(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, r"[\r\n]+", " "))
 
 
-def quoted_records(df: DataFrame, file: str, text: str) -> DataFrame:
-    """Records of whole H/D/T texts, where a marker counts only after a closed field.
+def quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records (file, record_no, kind, record) of H/D/T files, where a marker counts only after a closed field.
 
-    A record runs to the first closing quote that is followed by a line break and the
-    next marker, or by the end; a marker inside an open quoted field stays data.
+    A record starts at a line that begins with a marker while no quoted field is open; quotes inside fields are doubled. The
+    quote of a marker that starts a record opens nothing; where a field ends with such a letter on a line of its
+    own, its quote closes the field. So behind either the other quotes of the line alone say what is open.
+    Large files are read in splits. Text before the first marker is no record.
     """
-    pattern = r'(?s)(?<![^\n])[HDT]"\|.*?"[ \t\r]*(?=\n[DT]"\||\s*\z)'
-    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    return (df.select(file, F.posexplode(found).alias("record_no", "raw"))
-            .select(file, "record_no", F.left("raw", F.lit(1)).alias("kind"), _flat(F.col("raw")).alias("record")))
+    marker = F.col("line").rlike(r'^[HDT]"\|')
+    rest = F.when(marker, F.substring("line", 3, F.char_length("line"))).otherwise(F.col("line"))
+    lines = splits.record_lines(splits.block_lines(spark, path), splits.count_of(rest, '"'), marker, resets=marker)
+    records = splits.joined_records(lines)
+    return records.select("file", "record_no", F.left("record", F.lit(1)).alias("kind"), _flat(F.col("record")).alias("record"))

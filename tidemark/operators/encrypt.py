@@ -10,7 +10,7 @@ from tidemark.functions import aes, fpe
 from tidemark.functions.hashing import secret_column
 from tidemark.session import spread_small
 from tidemark.sinks.writers import unload_csv
-from tidemark.sources.tables import CsvFormat
+from tidemark.sources.tables import CsvFormat, read_text_columns
 
 # fixed: fields treated as sensitive when no dictionary is given
 DEFAULT_DICTIONARY = {
@@ -87,10 +87,9 @@ def encrypt_csv(
     """CSV to CSV; all columns are read as strings, so leading zeros survive.
 
     Fields may hold quotes, separators and line breaks; a quoted empty field stays apart from a
-    missing one. A file is read by one task, as its fields may hold line breaks.
+    missing one. Large files are read in splits all the same.
     """
-    options = CsvFormat(line_breaks=True).options()
-    rows = spark.read.options(**options, emptyValue="", nullValue=None).csv(source)
+    rows = read_text_columns(spark, source, None, CsvFormat(line_breaks=True), emptyValue="")
     done = (decrypt_columns if decrypt else encrypt_columns)(rows, dictionary, key)
     unload_csv(done, target)
     return done

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import control, drift
+from tidemark.operators.ranks import last_so_far, ordered_scan
 from tidemark.plans.registry import query
 from tidemark.session import work_path
 from tidemark.sinks import writers
@@ -295,16 +296,18 @@ def _(t):
     return control.read_records(t.spark, path).select("kind", clean.alias("record"))
 
 
-@query("ops9_quoted_records", f"""
-SELECT conv_id || '-' || turn AS file, 1 AS record_no, 'D' AS kind, {_RECORD.replace("text", "('x' || chr(10) || 'D|' || text)")} AS record FROM conversations
-UNION ALL SELECT conv_id || '-' || turn, 0, 'H', 'H"|"' || role || '"' FROM conversations
-UNION ALL SELECT conv_id || '-' || turn, 2, 'T', 'T"|"' || turn || '"' FROM conversations""")
+@query("ops9_quoted_records", """
+SELECT 'D' AS kind, regexp_replace('D"|"' || conv_id || '"|"' || turn || '"|"x' || chr(10) || 'D|' || replace(text, '"', '""') || ' ""said""' || chr(10) || 'T"|"end"', '[\\r\\n]+', ' ', 'g') AS record FROM conversations
+UNION ALL SELECT 'H', 'H"|"' || role || '"' FROM conversations
+UNION ALL SELECT 'T', 'T"|"' || turn || '"' FROM conversations""")
 def _(t):
-    body = F.concat(F.lit('D"|"'), F.col("conv_id").cast("string"), F.lit('"|"'), F.col("turn").cast("string"),
-                    F.lit('"|"x\nD|'), F.replace(F.col("text"), F.lit('"'), F.lit("'")), F.lit('"'))
-    text = F.concat(F.lit('H"|"'), "role", F.lit('"\n'), body, F.lit('\nT"|"'), F.col("turn").cast("string"), F.lit('"\n'))
-    files = t.conversations.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("file"), text.alias("text"))
-    return control.quoted_records(files, "file", "text")
+    # quotes are doubled, fields hold line breaks before markers, and one ends with a marker's letter on a line of its own
+    said = F.concat(F.replace("text", F.lit('"'), F.lit('""')), F.lit(' ""said""'))
+    body = F.concat(F.lit('D"|"'), F.col("conv_id").cast("string"), F.lit('"|"'), F.col("turn").cast("string"), F.lit('"|"x\nD|'), said, F.lit('\nT"|"end"'))
+    text = F.concat(F.lit('H"|"'), "role", F.lit('"\n'), body, F.lit('\nT"|"'), F.col("turn").cast("string"), F.lit('"'))
+    path = work_path(t.spark, "quoted")
+    writers.unload_lines(t.conversations.select(text.alias("r")), "r", path)
+    return control.quoted_records(t.spark, path).select("kind", "record")
 
 
 @query("ops10_tagged_history", """
@@ -333,6 +336,15 @@ def _(t):
     return src.read_csv(t.spark, path, t.customer.schema)
 
 
+@query("src3_csv_line_breaks", """
+SELECT conv_id, turn, role, text || chr(10) || '"' || role || '", said' || chr(10) AS text FROM conversations""")
+def _(t):
+    path = work_path(t.spark, "csv")
+    text = F.concat("text", F.lit('\n"'), "role", F.lit('", said\n'))
+    writers.unload_csv(t.conversations.select("conv_id", "turn", "role", text.alias("text")), path)
+    return src.read_csv(t.spark, path, t.conversations.select("conv_id", "turn", "role", "text").schema, src.CsvFormat(line_breaks=True))
+
+
 @query("src5_rows_from_literals", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'one' WHEN 'O' THEN 'two' END AS word FROM orders")
 def _(t):
     words = src.from_rows(t.spark, [("F", "one"), ("O", "two")], ["o_orderstatus", "word"])
@@ -362,6 +374,18 @@ def _(t):
     return src.text_lines(t.documents, "doc_id", "text")
 
 
+@query("src9_file_lines", """
+SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no, trim(unnest(string_split(text, chr(10)))) AS line FROM documents""")
+def _(t):
+    path = work_path(t.spark, "texts")
+    writers.unload_lines(t.documents.select(F.concat(F.lit("document "), F.col("doc_id").cast("string"), F.lit("\n"), "text").alias("r")), "r", path)
+    lines = src.read_lines(t.spark, path).withColumnRenamed("doc_id", "file")
+    head = F.col("line").rlike("^document [0-9]+$")
+    named = ordered_scan(lines, ["file"], "line_no", {
+        "doc_id": last_so_far(F.when(head, F.split_part("line", F.lit(" "), F.lit(2)).cast("bigint"))), "first": last_so_far(F.when(head, F.col("line_no")))})
+    return named.where(F.col("line_no") > F.col("first")).select("doc_id", (F.col("line_no") - F.col("first") - 1).alias("line_no"), "line")
+
+
 @query("src13_history_since", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-25 00:00:00' ORDER BY ts DESC, event_id")
 def _(t):
     since = F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")

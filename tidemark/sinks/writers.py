@@ -32,8 +32,9 @@ def insert_select(df: DataFrame, name: str) -> None:
 
 
 def unload_csv(df: DataFrame, path: str, header: bool = True, single: bool = False) -> None:
-    """CSV parts, or by the caller's choice one file, which one task then writes."""
-    (df.coalesce(1) if single else df).write.mode("overwrite").csv(path, header=header, emptyValue="", escape='"')
+    """CSV parts, or by the caller's choice one file, which one task then writes. White space around values stays."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").csv(
+        path, header=header, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def unload_lines(df: DataFrame, column: str, path: str, single: bool = False) -> None:
@@ -88,9 +89,24 @@ def check_compatible(source: T.StructType, target: T.StructType) -> tuple[bool,
 
 
 def create_from_spec(spark: SparkSession, name: str, spec) -> DataFrame:
-    """An empty table from generator column specs."""
-    from tidemark.functions.generate import spec_schema
+    """An empty table from generator column specs, with their lengths, precisions and scales; one of that name is replaced.
 
-    empty = spark.createDataFrame([], spec_schema(spec))
-    empty.write.mode("overwrite").saveAsTable(name)
+    Longer texts and larger numbers than the columns hold are an error of the write.
+    """
+    from tidemark.functions.generate import spec_columns
+
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+    spark.sql(f"CREATE TABLE IDENTIFIER(:name) ({spec_columns(spec)}) USING parquet", args={"name": name})
     return spark.table(name)
+
+
+def insert_checked(df: DataFrame, name: str) -> None:
+    """Append by column name; a value that its column can't hold, or a null where none may be, ends the write before a row is kept."""
+    spark = df.sparkSession
+    columns = spark.catalog.listColumns(name)
+    required = [c.name for c in columns if not c.nullable]
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns without a value: {missing}")
+    checked = df.select(*[F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} is null"))).otherwise(F.col(c)).alias(c) if c in required else F.col(c) for c in df.columns])
+    spark.sql("INSERT INTO IDENTIFIER(:name) BY NAME SELECT * FROM {rows}", args={"name": name}, rows=checked)

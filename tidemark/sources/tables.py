@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.sources import splits
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table, or a parquet path when the name holds a slash."""
@@ -33,19 +35,40 @@ class CsvFormat:
     quote: str = '"'
     header: bool = True
     null_if: tuple[str, ...] = ("NULL", "null")
-    #: quoted fields may hold line breaks; a file is then read by one task
+    #: quoted fields may hold line breaks; records are then found by a scan of the quotes
     line_breaks: bool = False
 
     def options(self) -> dict[str, str]:
-        return {"sep": self.delimiter, "quote": self.quote, "escape": self.quote, "header": str(self.header).lower(),
-                "multiLine": str(self.line_breaks).lower()}
+        return {"sep": self.delimiter, "quote": self.quote, "escape": self.quote, "header": str(self.header).lower()}
+
+
+def read_text_columns(spark: SparkSession, path: str, names: list[str] | None, fmt: CsvFormat, **options: str) -> DataFrame:
+    """All columns of delimited files as text; without ``names`` the header gives them.
+
+    With ``line_breaks`` a file is still read in splits: lines are put together to records by the
+    parity of the quotes before them. Quotes stand in quoted fields only, doubled inside them.
+    """
+    reader = spark.read.options(**fmt.options(), **options)
+    if names is None:
+        names = reader.csv(path).columns if fmt.header else None
+    if names is None:
+        raise ValueError("name the columns of files without a header")
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if not fmt.line_breaks:
+        return reader.schema(as_text).csv(path)
+    records = splits.delimited_records(spark, path, fmt.quote)
+    if fmt.header:
+        records = records.where("record_no > 1")
+    # a field may be as long as a text; the parser would stop at a million characters
+    parsed = F.from_csv("record", ", ".join(f"`{n}` string" for n in names),
+                        {**fmt.options(), **options, "header": "false", "lineSep": "\0", "maxCharsPerColumn": "-1"})
+    return records.select(parsed.alias("r")).select(*[F.col("r")[n].alias(n) for n in names])
 
 
 def read_csv(spark: SparkSession, path: str, schema, fmt: CsvFormat = CsvFormat()) -> DataFrame:
     """CSV with a declared schema; null tokens are replaced before the cast to the declared type."""
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in declared.fields])
-    rows = spark.read.schema(as_text).options(**fmt.options()).csv(path)
+    rows = read_text_columns(spark, path, declared.names, fmt)
     return rows.select(*[
         F.when(~F.col(f.name).isin(*fmt.null_if), F.col(f.name)).cast(f.dataType).alias(f.name)
         for f in declared.fields
@@ -74,9 +97,12 @@ def classify_files(df: DataFrame, name: str, patterns: dict[str, str]) -> DataFr
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Trimmed lines (doc_id, line_no, line) of report files; one file is one row until it is split."""
-    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc_id"), "value")
-    return text_lines(text, "doc_id", "value")
+    """Trimmed lines (doc_id, line_no, line) of report files, numbered from 0; large files are read in splits.
+
+    A line ends at a line feed, a carriage return or both. A break at the end of a file begins no line.
+    """
+    lines = splits.numbered_lines(splits.block_lines(spark, path, separator=None))
+    return lines.select(F.col("file").alias("doc_id"), "line_no", F.btrim("line").alias("line"))
 
 
 def text_lines(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -91,11 +117,7 @@ def read_file_lines(spark: SparkSession, path: str) -> DataFrame:
     Large files are read in splits; ``pos`` (block offset, place in the task) orders
     the lines of one file without numbering them.
     """
-    return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place")).alias("pos"),
-        F.col("value").alias("line"),
-    )
+    return splits.block_lines(spark, path, separator=None).select("file", F.struct("block", "place").alias("pos"), "line")
 
 
 def history(df: DataFrame, time: str, *, tag: Column | None = None, since=None, limit: int | None = None) -> DataFrame:
@@ -117,3 +139,10 @@ def describe_columns(df: DataFrame) -> DataFrame:
     """(ordinal, column_name, data_type, nullable) of a frame."""
     rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
     return df.sparkSession.createDataFrame(rows, "ordinal int, column_name string, data_type string, nullable boolean")
+
+
+def describe_table(spark: SparkSession, name: str) -> DataFrame:
+    """(ordinal, column_name, data_type, nullable) of a catalog table as it was declared, lengths of texts included."""
+    declared = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE IDENTIFIER(:name)", args={"name": name}).collect()}
+    rows = [(i + 1, c.name, declared[c.name], c.nullable) for i, c in enumerate(spark.catalog.listColumns(name))]
+    return spark.createDataFrame(rows, "ordinal int, column_name string, data_type string, nullable boolean")
