@@ -1,3 +1,4 @@
+import hashlib
 import zipfile
 
 import pytest
@@ -7,6 +8,7 @@ from tidemark.functions import generate as gen
 from tidemark.functions.generate import ColumnSpec
 from tidemark.operators import mapping as mp, reports as rep, requests as req
 from tidemark.operators.mapping import Join, Mapping, Target
+from tidemark.sinks import unpack
 from tidemark.sources import archives as arc
 
 
@@ -77,8 +79,9 @@ def test_a_wrong_checksum_in_a_large_latin_member_gives_no_line(spark, tmp_path,
     read = arc.read_members(arc.select_members(members))
     assert [(r.line, r.error is None) for r in read.collect()] == [(None, False)]
     assert arc.archive_outcomes(members, read).first().outcome == "rejected"
-    written = arc.write_members(arc.select_members(members), str(tmp_path / "out"), "20240101").collect()
-    assert [(r.target, r.error is None) for r in written] == [(None, False)] and not (tmp_path / "out").exists()
+    written = unpack.unpack(spark, str(tmp_path), str(tmp_path / "out"), "20240101").collect()
+    assert [(r.target_full_csv_file_name, r.error is None, r.status) for r in written] == [(None, False, 3)]
+    assert not [p for p in (tmp_path / "out").rglob("*") if p.is_file() and "_manifest" not in str(p)]
 
 
 def test_parts_repeat_the_header_and_lose_nothing(spark, zips):
@@ -95,6 +98,64 @@ def test_parts_repeat_the_header_and_lose_nothing(spark, zips):
     assert rows == {("one.csv", True), ("dir/two.CSV", False)}
 
 
+def test_unpacked_files_hold_the_bytes_of_their_members(spark, zips, tmp_path):
+    rows = {(r.source_full_csv_file_name, r.target_full_csv_file_name): r for r in unpack.unpack(spark, zips, f"{tmp_path}/out/", "20240102", split_bytes=200).collect()}
+    out = tmp_path / "out" / "20240102"
+    assert (out / "a/dir/two.CSV").read_bytes() == "naïve\n\n  x  \nhas ATTR\nMac OS junk\n".encode("latin-1")
+    assert (out / "a/empty.csv").read_bytes() == b""
+    parts = sorted((out / "a/one").iterdir())
+    assert [p.name for p in parts[:2]] == ["one_part001.csv", "one_part002.csv"] and len(parts) > 2
+    texts = [p.read_text() for p in parts]
+    assert all(x.startswith("h\n") for x in texts) and "".join(x[2:] for x in texts) == "".join(f"row {i}\n" for i in range(100))
+    for (source, target), r in rows.items():
+        if target:
+            data = open(target, "rb").read()
+            assert (r.status, r.bytes, r.sha256, r.lines) == (1, len(data), hashlib.sha256(data).hexdigest(), data.count(b"\n"))
+    assert sorted((r.archive.rsplit("/")[-1], r.status) for (s, _), r in rows.items() if s is None) == [("bad.zip", 3), ("none.ZIP", 1)]
+    assert not [p for p in out.rglob("*") if "_staged" in str(p)]
+
+
+def test_parts_end_outside_quotes(spark, tmp_path):
+    body = "".join(f'{i},"two\nlines, ""{i}"""\n' for i in range(50))
+    (tmp_path / "in").mkdir()
+    with zipfile.ZipFile(tmp_path / "in" / "a.zip", "w") as z:
+        z.writestr("q.csv", "id,x\n" + body)
+    unpack.unpack(spark, f"{tmp_path}/in", f"{tmp_path}/out", "20240102", split_bytes=100)
+    parts = [p.read_text() for p in sorted((tmp_path / "out/20240102/a/q").iterdir())]
+    assert len(parts) > 5 and all(p.startswith("id,x\n") and p.count('"') % 4 == 0 and p.endswith('"\n') for p in parts)
+    assert "".join(p[5:] for p in parts) == body
+
+
+def test_equal_names_do_not_meet_and_a_clash_is_an_error_before_any_write(spark, tmp_path):
+    for folder, text in (("p", "1"), ("q", "2")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        with zipfile.ZipFile(tmp_path / "in" / folder / "x.zip", "w") as z:
+            z.writestr("s1/lat.csv", text)
+            z.writestr("s2/lat.csv", text * 9)
+    unpack.unpack(spark, f"{tmp_path}/in", f"{tmp_path}/out", "d")
+    got = {str(p.relative_to(tmp_path / "out/d")): p.read_text() for p in (tmp_path / "out/d").rglob("*.csv")}
+    assert got == {"p/x/s1/lat.csv": "1", "p/x/s2/lat.csv": "1" * 9, "q/x/s1/lat.csv": "2", "q/x/s2/lat.csv": "2" * 9}
+    with zipfile.ZipFile(tmp_path / "in" / "p" / "x.ZIP", "w") as z:
+        z.writestr("s1/lat.csv", "3")
+    with pytest.raises(ValueError, match="one target"):
+        unpack.unpack(spark, f"{tmp_path}/in", f"{tmp_path}/new", "d")
+    assert not (tmp_path / "new").exists()
+
+
+def test_a_whole_file_named_as_a_part_of_another_is_a_clash(spark):
+    rows = [("z.zip", "a.csv", "t/a/a_part", True), ("z.zip", "a/a_part002.csv", "t/a/a_part002.csv", False), ("z.zip", "b/b_part001.csv", "t/b/b_part001.csv", False)]
+    assert [r.sources for r in unpack.clashes(spark.createDataFrame(rows, "archive string, member string, stem string, is_split boolean")).collect()] == [2]
+
+
+def test_publishing_twice_is_harmless(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "1").write_text("abc")
+    staged = spark.createDataFrame([(f"{tmp_path}/s/1", f"{tmp_path}/t/x.csv", 3, None)], "staged string, target string, bytes long, error string")
+    assert unpack.publish(staged) == unpack.publish(staged) == 1 and (tmp_path / "t" / "x.csv").read_text() == "abc"
+    with pytest.raises(Exception, match="not staged"):
+        unpack.publish(staged.withColumn("target", F.lit(f"{tmp_path}/t/y.csv")).withColumn("bytes", F.lit(4)))
+
+
 SPEC = [ColumnSpec(k.lower(), k, True, 3) for k in gen.SPARK_TYPES]
 
 

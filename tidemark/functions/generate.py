@@ -50,23 +50,50 @@ def spec_schema(spec: list[ColumnSpec]) -> T.StructType:
     return T.StructType.fromDDL(fields)
 
 
+def column_type(c: ColumnSpec) -> str:
+    """The type of a table's column that holds what the spec says and no more: its length is a bound."""
+    length = c.length if c.length > 0 else DEFAULT_LENGTH
+    if c.type == "VARCHAR":
+        return f"varchar({max(length, len(c.pattern or ''))})"
+    if c.type == "NUMBER":
+        return f"decimal({min(38, length + 4)},4)"
+    if c.type == "INTEGER":
+        return f"decimal({min(38, length)},0)"
+    return SPARK_TYPES[c.type]
+
+
+def spec_columns(spec: list[ColumnSpec]) -> str:
+    """The spec as column definitions of a table."""
+    return ", ".join(f"`{c.name}` {column_type(c)}{'' if c.nullable else ' NOT NULL'}" for c in spec)
+
+
 class Draws:
-    """Hash draws for one row id, seed and column name."""
+    """Draws for one row id, seed and column name: the first bits of an MD5 of these and of what else names the draw.
+
+    Any engine with MD5 makes the same values.
+    """
 
     def __init__(self, row: Column, seed: int, name: str):
         self.row, self.seed, self.name = row, seed, name
 
-    def _hash(self, *salt) -> Column:
-        keys = [s if isinstance(s, Column) else F.lit(s) for s in salt]
-        return F.xxhash64(F.lit(self.seed), self.row.cast("bigint"), F.lit(self.name), *keys)
+    def _bits(self, digits: int, *salt) -> Column:
+        """A whole number from the first ``digits`` hex digits."""
+        keys = [s if isinstance(s, Column) else F.lit(s) for s in (self.seed, self.row, self.name, *salt)]
+        text = F.concat_ws(":", *[k.cast("string") for k in keys])
+        return F.conv(F.left(F.md5(text.cast("binary")), F.lit(digits)), 16, 10).cast("bigint")
 
     def below(self, n: int, *salt) -> Column:
-        """Whole number from 0 to n - 1."""
-        return F.pmod(self._hash(*salt), F.lit(n))
+        """Whole number from 0 to n - 1, for n up to 10^15."""
+        return self._bits(15, *salt) % F.lit(n).cast("bigint")
 
     def unit(self, *salt) -> Column:
-        """Number from 0 up to 1, in 2^53 steps."""
-        return F.shiftrightunsigned(self._hash(*salt), 11).cast("double") / F.lit(float(1 << 53))
+        """Number from 0 up to 1, in 2^52 steps."""
+        return self._bits(13, *salt).cast("double") / F.lit(float(1 << 52))
+
+    def digits(self, n: int, *salt) -> Column:
+        """A text of ``n`` digits."""
+        parts = [min(15, n - at) for at in range(0, n, 15)]
+        return F.concat(*[F.lpad(self.below(10**size, *salt, i).cast("string"), size, "0") for i, size in enumerate(parts)])
 
     def pick(self, alphabet: str, *salt) -> Column:
         return F.substring(F.lit(alphabet), (self.below(len(alphabet), *salt) + 1).cast("int"), F.lit(1))
@@ -100,16 +127,19 @@ def random_value(draws: Draws, kind: str, length: int) -> Column:
     if kind == "VARCHAR":
         return draws.text(ALNUM, length)
     if kind == "NUMBER":
+        # rounded half up to so many decimals, as whole ten-thousandths
+        decimals = [F.lit(10 ** (4 - d)).cast("bigint") for d in range(1, min(4, length) + 1)]
+        if length <= 11:
+            step = F.element_at(F.array(*decimals), (draws.below(len(decimals), "scale") + 1).cast("int"))
+            value = draws.below((10**length - 1) * 10**4 + 1) + F.call_function("div", step, F.lit(2))
+            return ((value - value % step).cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(38,4)")
         value = (draws.unit() * F.lit(float(10**length - 1))).cast("decimal(38,9)")
-        rounded = [F.round(value, d).cast("decimal(38,4)") for d in range(1, min(4, length) + 1)]
-        return F.element_at(F.array(*rounded), (draws.below(len(rounded), "scale") + 1).cast("int"))
+        rounded = [F.round(value, d).cast("decimal(38,4)") for d in range(1, 5)]
+        return F.element_at(F.array(*rounded), (draws.below(4, "scale") + 1).cast("int"))
     if kind == "INTEGER":
         if length > 38:
             raise ValueError("an INTEGER has at most 38 digits")
-        if length <= 18:
-            return draws.below(10**length)
-        high = draws.below(10 ** (length - 18), "high") if length <= 36 else draws.below(10**18, "high") + draws.below(10 ** (length - 36), "top") * F.lit(10**18).cast("decimal(38,0)")
-        return (high.cast("decimal(38,0)") * F.lit(10**18).cast("decimal(19,0)") + draws.below(10**18).cast("decimal(18,0)")).cast("decimal(38,0)")
+        return draws.digits(length).cast("bigint" if length <= 18 else "decimal(38,0)")
     if kind == "FLOAT":
         return draws.unit() * F.lit(length * 100.0)
     if kind == "DATE":

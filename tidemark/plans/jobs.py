@@ -18,7 +18,7 @@ from tidemark.plans import lineage as lineage_plans
 from tidemark.plans.protection import KEY, SALT
 from tidemark.plans.registry import query
 from tidemark.session import work_path
-from tidemark.sinks import writers
+from tidemark.sinks import unpack, writers
 from tidemark.sources import archives as arc, tables as src
 from tidemark.streaming import jobs
 
@@ -49,9 +49,11 @@ def _(t):
     return mp.run_mapping(mp.mapping_rows(t.spark, ORDER_MAP), "M1", _sources(t))
 
 
-@query("mp2_preview", "SELECT count(*) AS preview_rows FROM (SELECT * FROM orders LIMIT 10)")
+@query("mp2_preview", f"SELECT * FROM ({_MAPPED.replace('FROM orders', 'FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 10) orders')}) LIMIT 10")
 def _(t):
-    return mp.preview(mp.mapping_rows(t.spark, ORDER_MAP), "M1", _sources(t)).agg(F.count("*").alias("preview_rows"))
+    # the first ten orders, so that the preview has one answer; every order has a customer with a nation
+    first = t.orders.orderBy("o_orderkey").limit(10)
+    return mp.preview(mp.mapping_rows(t.spark, ORDER_MAP), "M1", _sources(t) | {"src.sales.orders": first})
 
 
 @query("mp3_auto_map", """
@@ -165,41 +167,156 @@ def _(t):
 ALL_TYPES = [ColumnSpec(k.lower(), k, False, 4) for k in gen.SPARK_TYPES] + [ColumnSpec("maybe", "INTEGER", True, 6)]
 
 
-@query("gn1_generate_columns", """
-SELECT count(*) AS n, 0 AS bad_varchar, 0 AS bad_number, 0 AS bad_integer, 0 AS bad_float, 0 AS bad_date, 0 AS bad_timestamp,
-  0 AS bad_array, 0 AS bad_object, 0 AS bad_offset, true AS nulls_near_tenth FROM orders""")
+def _draw(row, seed, name, *salt, digits=15):
+    """The generator's draw in SQL."""
+    keys = ", ".join([f"'{seed}'", f"CAST({row} AS VARCHAR)", f"'{name}'", *[f"CAST({x} AS VARCHAR)" for x in salt]])
+    return f"CAST('0x' || substr(md5(concat_ws(':', {keys})), 1, {digits}) AS BIGINT)"
+
+
+def _pick(alphabet, draw):
+    return f"substr('{alphabet}', CAST(1 + {draw} % {len(alphabet)} AS INT), 1)"
+
+
+def _letters(alphabet, length, row, seed, name, *salt):
+    return f"array_to_string(list_transform(range(1, {length + 1}), lambda z: {_pick(alphabet, _draw(row, seed, name, *salt, 'z'))}), '')"
+
+
+def _pattern(pattern, row, seed, name):
+    return " || ".join(_pick(gen.TEMPLATE[c], _draw(row, seed, name, i)) if c in gen.TEMPLATE else f"'{c}'" for i, c in enumerate(pattern))
+
+
+def _of(words, draw):
+    return f"{list(words)}[CAST(1 + {draw} % {len(words)} AS INT)]"
+
+
+def _made(t, spec, seed=7):
+    return gen.generate_for(t.orders.select("o_orderkey"), "o_orderkey", spec, seed)
+
+
+def _type(*names):
+    return [c for c in ALL_TYPES if c.name in names]
+
+
+_O = lambda name, *salt, **more: _draw("o_orderkey", 7, name, *salt, **more)
+_INT4 = f"{_O('integer', 0)} % 10000"
+_FLOAT = f"CAST({_O('float', digits=13)} AS DOUBLE) / 4503599627370496 * 400"
+_DAY = f"strftime(DATE '2000-01-01' + CAST({_O('date')} % 8766 AS INT), '%Y-%m-%d')"
+
+
+@query("gn1_generate_columns", f"SELECT o_orderkey, {_letters(gen.ALNUM, 4, 'o_orderkey', 7, 'varchar')} AS varchar, {_INT4} AS integer, {_FLOAT} AS float, {_DAY} AS date FROM orders")
+def _(t):
+    made = _made(t, _type("varchar", "integer", "float", "date"))
+    return made.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+@query("gn2_null_share", f"""
+SELECT o_orderkey, CASE WHEN CAST({_O('maybe', "'null'", digits=13)} AS DOUBLE) / 4503599627370496 >= 0.1 THEN {_O('maybe', 0)} % 1000000 END AS maybe FROM orders""")
+def _(t):
+    return _made(t, _type("maybe"))
+
+
+@query("gn3_varchar_lengths", f"""
+SELECT o_orderkey, {_letters(gen.ALNUM, 1, 'o_orderkey', 7, 'one')} AS one, {_letters(gen.ALNUM, 30, 'o_orderkey', 7, 'thirty')} AS thirty,
+  {_letters(gen.ALNUM, 5, 'o_orderkey', 7, 'unsaid')} AS unsaid FROM orders""")
 def _(t):
-    made = gen.generate_for(t.orders.select("o_orderkey"), "o_orderkey", ALL_TYPES, seed=7)
-    bad = lambda ok: F.count(F.when(~ok, 1))
-    return made.agg(
-        F.count("*").alias("n"), bad(F.col("varchar").rlike("^[A-Za-z0-9]{4}$")).alias("bad_varchar"),
-        bad(F.col("number").between(0, 9999)).alias("bad_number"), bad(F.col("integer").between(0, 9999)).alias("bad_integer"),
-        bad((F.col("float") >= 0) & (F.col("float") < 400)).alias("bad_float"),
-        bad(F.col("date").between(F.lit("2000-01-01").cast("date"), F.lit("2023-12-31").cast("date"))).alias("bad_date"),
-        bad(F.year("timestamp_ntz").between(2000, 2023)).alias("bad_timestamp"),
-        bad((F.size("array") == 4) & (F.array_max("array") <= 100) & (F.array_min("array") >= 1)).alias("bad_array"),
-        bad((F.size("object") == 4) & (F.size(F.json_object_keys(F.to_json("variant"))) == 4)).alias("bad_object"),
-        bad(F.col("timestamp_tz.offset").isin("-07:00", "-05:00", "+00:00", "+01:00", "+02:00", "+05:00", "+08:00")).alias("bad_offset"),
-        (F.abs(F.avg(F.col("maybe").isNull().cast("int")) - 0.1) < 0.03).alias("nulls_near_tenth"))
+    return _made(t, [ColumnSpec("one", length=1), ColumnSpec("thirty", length=30), ColumnSpec("unsaid", length=0)])
+
+
+def _number(name, length):
+    step = f"[1000, 100, 10, 1][CAST(1 + {_O(name, chr(39) + 'scale' + chr(39))} % {min(4, length)} AS INT)]"
+    return f"(SELECT v - v % step FROM (SELECT {step} AS step, {_O(name)} % {(10**length - 1) * 10**4 + 1} + {step} // 2 AS v))"
+
+
+@query("gn4_numbers", f"""
+SELECT o_orderkey, {_number('number', 4)} AS ten_thousandths, {_number('small', 2)} AS small, {_INT4} AS integer, {_FLOAT} AS float,
+  CAST({_O('long', 0)} % 1000000000000000 AS HUGEINT) * 100000 + {_O('long', 1)} % 100000 AS long FROM orders""")
+def _(t):
+    made = _made(t, [*_type("number", "integer", "float"), ColumnSpec("small", "NUMBER", length=2), ColumnSpec("long", "INTEGER", length=20)])
+    whole = lambda c: (F.col(c) * 10000).cast("bigint")
+    return made.select("o_orderkey", whole("number").alias("ten_thousandths"), whole("small").alias("small"), "integer", "float", "long")
+
+
+def _moment(name):
+    return f"TIMESTAMP '2000-01-01 00:00:00' + to_seconds({_O(name, chr(39) + 'second' + chr(39))} % 757382400)"
+
+
+def _zone(name):
+    return _of(gen.OFFSETS, _O(name, "'zone'"))
+
+
+@query("gn5_dates_and_times", f"""
+SELECT o_orderkey, {_DAY} AS date, strftime({_moment('timestamp')}, '%Y-%m-%d %H:%M:%S') AS timestamp, strftime({_moment('timestamp_ntz')}, '%Y-%m-%d %H:%M:%S') AS timestamp_ntz,
+  strftime({_moment('timestamp_ltz')} - to_hours({_zone('timestamp_ltz')}), '%Y-%m-%d %H:%M:%S') AS timestamp_ltz,
+  strftime({_moment('timestamp_tz')}, '%Y-%m-%d %H:%M:%S') || (CASE WHEN {_zone('timestamp_tz')} < 0 THEN '-' ELSE '+' END) || lpad(CAST(abs({_zone('timestamp_tz')}) AS VARCHAR), 2, '0') || ':00' AS timestamp_tz FROM orders""")
+def _(t):
+    made = _made(t, _type("date", "timestamp", "timestamp_ntz", "timestamp_ltz", "timestamp_tz"))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return made.select("o_orderkey", F.date_format("date", "yyyy-MM-dd").alias("date"), *[text(c).alias(c) for c in ("timestamp", "timestamp_ntz", "timestamp_ltz")],
+                       F.concat(text("timestamp_tz.ts"), "timestamp_tz.offset").alias("timestamp_tz"))
+
+
+def _object_key(name, size, *salt):
+    return f"""{_letters(gen.ALNUM, size - 1, 'o_orderkey', 7, name, "'key'", *salt)} || substr('{gen.ALNUM}', CAST({salt[-1]} % 62 + 1 AS INT), 1)"""
+
+
+_VARIANT = f"""list_transform(range(1, 5), lambda i: '"' || {_object_key('variant', 5, 'i')} || '":' || CASE {_O('variant', "'kind'", 'i')} % 3
+  WHEN 0 THEN '"' || {_letters(gen.ALNUM, 5, 'o_orderkey', 7, 'variant', "'value'", 'i')} || '"' WHEN 1 THEN CAST({_O('variant', "'value'", 'i')} % 100 + 1 AS VARCHAR)
+  ELSE CASE WHEN {_O('variant', "'value'", 'i')} % 2 = 0 THEN 'true' ELSE 'false' END END)"""
+_OBJECT = f"""list_transform(range(1, 5), lambda i: '"' || {_object_key('object', 5, 'i')} || '":{{' || array_to_string(list_transform(range(1, 2 + {_O('object', "'size'", 'i')} % 2), lambda j:
+  '"' || {_object_key('object', 3, 'i', 'j')} || '":' || ({_O('object', 'i', 'j')} % 100 + 1)), ',') || '}}')"""
+
+
+@query("gn6_nested_values", f"""
+SELECT o_orderkey, {_O('boolean')} % 2 = 0 AS boolean, array_to_string(list_transform(range(1, 5), lambda i: {_O('array', 'i')} % 100 + 1), ',') AS array,
+  '{{' || array_to_string(list_sort({_VARIANT}), ',') || '}}' AS variant, '{{' || array_to_string({_OBJECT}, ',') || '}}' AS object FROM orders""")
+def _(t):
+    made = _made(t, _type("boolean", "array", "variant", "object"))
+    return made.select("o_orderkey", "boolean", F.array_join("array", ",").alias("array"), F.to_json("variant").alias("variant"), F.to_json("object").alias("object"))
+
+
+_PERSON = lambda name, *salt: _draw("c_custkey", 42, name, *salt)
 
 
-@query("gn7_fake_people", r"""
-SELECT c_custkey, 'CUST' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS customer_id, true AS shapes, true AS copies, true AS ages FROM customer""")
+def _people(t, *columns):
+    return gen.fake_people(t.customer, "c_custkey", 42, "2024-01-01").select("c_custkey", *columns)
+
+
+_TEMPLATES = {"ssn": "999-99-9999", "credit_card": "9999-9999-9999-9999", "phone": "(999) 999-9999", "account_number": "9" * 10, "routing_number": "9" * 9}
+
+
+@query("gn7_fake_people", "SELECT c_custkey, " + ", ".join(
+    f"{_pattern(p, 'c_custkey', 42, {'credit_card': 'card', 'account_number': 'account', 'routing_number': 'routing'}.get(n, n))} AS {n}" for n, p in _TEMPLATES.items()) + f""",
+  {_letters(gen.UPPER + gen.DIGITS, 9, 'c_custkey', 42, 'passport')} AS passport, {_letters(gen.UPPER + gen.DIGITS, 8, 'c_custkey', 42, 'license')} AS drivers_license FROM customer""")
 def _(t):
-    people = gen.fake_people(t.customer, "c_custkey", 42, "2024-01-01")
-    shapes = (F.col("ssn").rlike(r"^\d{3}-\d{2}-\d{4}$") & F.col("credit_card").rlike(r"^(\d{4}-){3}\d{4}$") & F.col("phone").rlike(r"^\(\d{3}\) \d{3}-\d{4}$")
-              & F.col("account_number").rlike(r"^\d{10}$") & F.col("routing_number").rlike(r"^\d{9}$") & F.col("passport").rlike("^[A-Z0-9]{9}$")
-              & F.col("drivers_license").rlike("^[A-Z0-9]{8}$") & F.col("email").endswith("@example.com"))
-    copies = (F.col("ssn") == F.col("social_security_number")) & (F.col("phone") == F.col("phone_number")) & (F.col("dob") == F.col("date_of_birth"))
-    age = F.datediff(F.lit("2024-01-01").cast("date"), F.to_date("dob", "MM/dd/yyyy"))
-    return people.select("c_custkey", "customer_id", shapes.alias("shapes"), copies.alias("copies"), age.between(18 * 365, 80 * 365).alias("ages"))
+    return _people(t, *_TEMPLATES, "passport", "drivers_license")
 
 
-@query("gn8_copied_column", "SELECT count(*) AS n, 0 AS differing FROM customer")
+@query("gn8_copied_column", f"SELECT c_custkey, {_pattern('999-99-9999', 'c_custkey', 3, 'ssn')} AS ssn, {_pattern('999-99-9999', 'c_custkey', 3, 'ssn')} AS ssn2 FROM customer")
 def _(t):
     spec = [ColumnSpec("ssn", pattern="999-99-9999"), ColumnSpec("ssn2", copy_of="ssn")]
-    made = gen.generate_for(t.customer.select("c_custkey"), "c_custkey", spec, 3)
-    return made.agg(F.count("*").alias("n"), F.count(F.when(F.col("ssn") != F.col("ssn2"), 1)).alias("differing"))
+    return gen.generate_for(t.customer.select("c_custkey"), "c_custkey", spec, 3)
+
+
+@query("gn9_birth_date", f"""
+SELECT c_custkey, strftime(DATE '2024-01-01' - CAST({_PERSON('dob')} % 22631 + 6570 AS INT), '%m/%d/%Y') AS dob FROM customer""")
+def _(t):
+    return _people(t, "dob")
+
+
+@query("gn10_sequence_id", "SELECT c_custkey, 'CUST' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS customer_id FROM customer")
+def _(t):
+    return _people(t, "customer_id")
+
+
+_NAMES = f"{_of(gen.FIRST_NAMES, _PERSON('first'))} AS first, {_of(gen.LAST_NAMES, _PERSON('last'))} AS last"
+
+
+@query("gn11_names_and_addresses", f"""
+SELECT c_custkey, first || ' ' || last AS name, lower(first || '.' || last || c_custkey || '@example.com') AS email,
+  ({_PERSON('house')} % 9999 + 1) || ' ' || {_of(gen.STREETS, _PERSON('street'))} || ', ' || {_of(gen.TOWNS, _PERSON('town'))} || ' ' || {_pattern('AA 99999', 'c_custkey', 42, 'zip')} AS address
+FROM (SELECT c_custkey, {_NAMES} FROM customer)""")
+def _(t):
+    return _people(t, "name", "email", "address")
 
 
 # --- archives: each page is packed as one zip -------------------------------------------
@@ -283,10 +400,8 @@ FROM pages WHERE page_id % 10 <> 9 UNION ALL
 SELECT page_id, CASE WHEN octet_length(encode(html)) >= 3000 THEN 'page' ELSE 'page.csv' END, 'header: ' || string_split(html, chr(10))[1]
 FROM pages WHERE page_id % 10 <> 9""")
 def _(t):
-    members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t))), ["page.csv"])
     root = work_path(t.spark, "targets")
-    written = arc.write_members(members, root, "20020101", split_bytes=3000).filter("error IS NULL")
-    written.write.parquet(f"{root}-list")  # each file is written once
+    unpack.unpack(t.spark, page_archives(t), root, "20020101", members=["page.csv"], split_bytes=3000)
     lines = src.read_file_lines(t.spark, f"{root}/20020101/*/{{*.csv,page/*.csv}}")
     first = F.row_number().over(Window.partitionBy("file").orderBy("pos")) == 1
     page = F.regexp_extract("file", r"/a(\d+)/", 1).cast("bigint").alias("page_id")
@@ -296,6 +411,65 @@ def _(t):
     return rows.filter("NOT first").drop("first").unionByName(rows.filter("first").drop("first").distinct())
 
 
+def twin_archives(t):
+    """For each page two archives of one name in two folders, each with two members of one base name; some bytes are no UTF-8."""
+    root = work_path(t.spark, "twins")
+    system, folder = arc.shared_system(root)
+
+    def pack(frames):
+        out, _ = arc.shared_system(root)
+        for frame in frames:
+            for page, url, html in zip(frame["page_id"], frame["url"], frame["html"]):
+                for side in ("p", "q"):
+                    held = io.BytesIO()
+                    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                        z.writestr("s1/page.csv", f"{side} {html}")
+                        z.writestr("s2/page.csv", f"{side}\r\n{url} caf\xe9".encode("latin-1"))
+                    out.create_dir(f"{folder}/{side}{page}", recursive=True)
+                    with out.open_output_stream(f"{folder}/{side}{page}/x.zip") as stream:
+                        stream.write(held.getvalue())
+            yield frame[["page_id"]]
+
+    t.pages.mapInPandas(pack, "page_id long").count()
+    return root
+
+
+_TWINS = """(SELECT page_id, side, unnest(['s1/page.csv', 's2/page.csv']) AS source,
+  unnest([octet_length(encode(side || ' ' || html)), octet_length(encode(side || url)) + 7]) AS bytes FROM pages, (SELECT unnest(['p', 'q']) AS side))"""
+
+
+def _side(column):
+    return (F.regexp_extract(column, r"/([pq])\d+/x", 1).alias("side"), F.regexp_extract(column, r"/[pq](\d+)/x", 1).cast("bigint").alias("page_id"))
+
+
+@query("zip6_equal_names", """
+SELECT page_id, side, 's1/page.csv' AS source, sha256(side || ' ' || html) AS sha256 FROM pages, (SELECT unnest(['p', 'q']) AS side) UNION ALL
+SELECT page_id, side, 's2/page.csv', sha256(encode(side || chr(13) || chr(10) || url || ' caf') || '\\xE9'::BLOB) FROM pages, (SELECT unnest(['p', 'q']) AS side)""")
+def _(t):
+    root = work_path(t.spark, "targets")
+    unpack.unpack(t.spark, twin_archives(t), root, "20020101")
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(f"{root}/20020101")
+    return files.select(*_side("path"), F.regexp_extract("path", r"/x/(.*)$", 1).alias("source"), F.sha2("content", 256).alias("sha256"))
+
+
+@query("zip8_equal_names", f"SELECT page_id, side, source, '/20020101/' || side || page_id || '/x/' || source AS target, false AS is_split, bytes, 1 AS status FROM {_TWINS}")
+def _(t):
+    root = work_path(t.spark, "targets")
+    listed = unpack.unpack(t.spark, twin_archives(t), root, "20020101")
+    return listed.select(*_side("archive"), F.col("source_full_csv_file_name").alias("source"), F.regexp_extract("target_full_csv_file_name", r"(/20020101/.*)$", 1).alias("target"),
+                         "is_split", "bytes", "status")
+
+
+@query("ud4_unpack_job", """
+SELECT page_id, 'page.csv' AS source, octet_length(encode(html)) AS bytes, octet_length(encode(html)) >= 3000 AS is_split, 1 AS status FROM pages WHERE page_id % 10 <> 9 UNION ALL
+SELECT page_id, 'sub/p' || page_id || '.csv', octet_length(encode('id,url' || page_id || url)) + 4, false, 1 FROM pages WHERE page_id % 10 <> 9 UNION ALL
+SELECT page_id, NULL, NULL, NULL, 3 FROM pages WHERE page_id % 10 = 9""")
+def _(t):
+    listed = unpack.unpack(t.spark, page_archives(t), work_path(t.spark, "targets"), "20020101", split_bytes=3000, header=False)
+    files = listed.groupBy(_page(), F.col("source_full_csv_file_name").alias("source"), "is_split", "status").agg(F.sum("bytes").alias("bytes"))
+    return files.select("page_id", "source", "bytes", "is_split", "status")
+
+
 @query("zip7_route_by_size", "SELECT page_id, octet_length(encode(html)) >= 3000 AS is_split FROM pages WHERE page_id % 10 <> 9")
 def _(t):
     members = arc.select_members(arc.list_members(arc.list_archives(t.spark, page_archives(t))), ["page.csv"])
@@ -357,13 +531,17 @@ def _(t):
 
 
 @query("ss3_daily_arrivals", """
-SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS arrived FROM events
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 24 HOUR GROUP BY ALL""")
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS arrived, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_arrival FROM events GROUP BY ALL""")
 def _(t):
-    target, mark = work_path(t.spark, "daily"), work_path(t.spark, "mark")
-    daily = jobs.daily_arrivals(_event_stream(t).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type")
-    jobs.write_once(daily, target, mark).awaitTermination()
-    return t.spark.read.parquet(target).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "arrived")
+    source, target, mark = (work_path(t.spark, n) for n in ("events", "daily", "mark"))
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    # the days of the second half of a month come first, then those before: late by weeks
+    for part in ("dayofmonth(ts) >= 15", "dayofmonth(ts) < 15 AND event_id % 2 = 0", "dayofmonth(ts) < 15 AND event_id % 2 = 1"):
+        rows.filter(part).write.mode("append").parquet(source)
+        daily = jobs.daily_arrivals(t.spark.readStream.schema(rows.schema).parquet(source), "ts", "event_type")
+        jobs.store_versions(daily, target, mark).awaitTermination()
+    held = jobs.latest_versions(t.spark, target, ["day", "event_type"])
+    return held.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "event_type", "arrived", F.date_format("last_arrival", "yyyy-MM-dd HH:mm:ss").alias("last_arrival"))
 
 
 @query("ss4_masked_stream", f"""

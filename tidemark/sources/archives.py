@@ -10,6 +10,7 @@ from __future__ import annotations
 import codecs
 import io
 import itertools
+import os
 import re
 import zipfile
 import zlib
@@ -154,12 +155,12 @@ def _encoding(archive: zipfile.ZipFile, member: str) -> str:
 
 
 def member_lines(path: str, member: str, clean: bool = True, split_bytes: int | None = None, header: bool = True, drop: tuple[str, ...] = ()):
-    """(part, line_no, line) of one member; a part closes once it holds ``split_bytes``, the next repeats the header.
+    """(part, line_no, line) of one member; a part closes once it holds ``split_bytes`` and no quoted field is open, the next repeats the header.
 
     ``clean`` strips lines and leaves out blank ones, ``drop`` those that begin with one of its texts.
     """
     with open_shared(path) as handle, zipfile.ZipFile(handle) as archive:
-        encoding, part, held, head = _encoding(archive, member), 1, 0, None
+        encoding, part, held, head, quotes = _encoding(archive, member), 1, 0, None, 0
         with archive.open(member) as stream:
             for number, line in enumerate(io.TextIOWrapper(stream, encoding, newline="\n")):
                 line = line.removesuffix("\n")
@@ -172,11 +173,12 @@ def member_lines(path: str, member: str, clean: bool = True, split_bytes: int |
                 if header and number == 0:
                     head = line
                 elif split_bytes:
-                    if held >= split_bytes:
+                    if held >= split_bytes and quotes % 2 == 0:
                         part, held = part + 1, 0
                         if head is not None:
                             yield part, 0, head
                     held += len(line.encode(encoding)) + 1
+                    quotes += line.count('"')
                 yield part, number, line
 
 
@@ -242,67 +244,38 @@ def route_members(members: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFra
     return members.withColumn("is_split", F.col("size") >= split_bytes)
 
 
-def target_name(target: str, day: str, archive: Column, member: Column, part: Column, is_split: Column) -> Column:
-    """``target/day/archive/member``, or ``…/base/base_part001.csv`` for a part."""
-    zip_name = F.regexp_replace(F.split_part(archive, F.lit("/"), F.lit(-1)), r"\.[^.]*$", "")
-    base = F.regexp_replace(F.split_part(clean_name(member), F.lit("/"), F.lit(-1)), r"\.[^.]*$", "")
-    folder = F.concat_ws("/", F.lit(target.rstrip("/")), F.lit(day), zip_name)
-    number = F.when(F.length(part.cast("string")) < 3, F.lpad(part.cast("string"), 3, "0")).otherwise(part.cast("string"))
-    split = F.concat(folder, F.lit("/"), base, F.lit("/"), base, F.lit("_part"), number, F.lit(".csv"))
+def common_folder(archives: DataFrame) -> str:
+    """The folder that holds all archives, however deep: the first and the last path share what all share."""
+    ends = archives.agg(F.min("archive").alias("a"), F.max("archive").alias("b")).first()
+    return os.path.commonprefix([ends.a or "", ends.b or ""]).rpartition("/")[0]
+
+
+def target_stem(target: str, day: str, root: str, archive: Column, member: Column, is_split: Column) -> Column:
+    """Where a member goes: ``target/day/archive/member``, or ``…/member/base_part`` before the number of a part.
+
+    Archive and member keep their folders, the archive those below ``root``; so different sources have different targets.
+    """
+    below = F.when(archive.startswith(root + "/"), F.substring(archive, len(root) + 2, F.length(archive))).otherwise(F.split_part(archive, F.lit("/"), F.lit(-1)))
+    folder = F.concat_ws("/", F.lit(target.rstrip("/")), F.lit(day), F.regexp_replace(below, r"\.[^./]*$", ""))
+    name = F.regexp_replace(clean_name(member), r"\.[^./]*$", "")
+    split = F.concat_ws("/", folder, name, F.concat(F.split_part(name, F.lit("/"), F.lit(-1)), F.lit("_part")))
     return F.when(is_split, split).otherwise(F.concat_ws("/", folder, clean_name(member)))
 
 
-def split_members(members: DataFrame, target: str, day: str, split_bytes: int = SPLIT_BYTES, header: bool = True) -> DataFrame:
+def part_name(stem: Column, part: Column, is_split: Column) -> Column:
+    number = F.when(F.length(part.cast("string")) < 3, F.lpad(part.cast("string"), 3, "0")).otherwise(part.cast("string"))
+    return F.when(is_split, F.concat(stem, number, F.lit(".csv"))).otherwise(stem)
+
+
+def split_members(members: DataFrame, target: str, day: str, split_bytes: int = SPLIT_BYTES, header: bool = True, root: str | None = None) -> DataFrame:
     """Lines by target file; large members are cut at record ends and repeat their header in each part."""
+    root = common_folder(members) if root is None else root
     routed = route_members(members, split_bytes)
     whole = good_lines(read_members(routed.filter("NOT is_split"), clean=False)).withColumn("is_split", F.lit(False))
     parts = good_lines(read_members(routed.filter("is_split"), clean=False, split_bytes=split_bytes, header=header))
     lines = whole.unionByName(parts.withColumn("is_split", F.lit(True)))
-    return lines.withColumn("target", target_name(target, day, F.col("archive"), F.col("member"), F.col("part"), F.col("is_split")))
-
-
-TARGET_SCHEMA = "archive string, member string, target string, is_split boolean, lines long, error string"
-
-
-def write_members(members: DataFrame, target: str, day: str, split_bytes: int = SPLIT_BYTES, header: bool = True, tasks: int | None = None) -> DataFrame:
-    """Write each member below ``target`` as :func:`target_name` says; one row for each file written.
-
-    A task streams its member line by line into the target files, so a member of any size is
-    written by one task in bounded memory. Files are written whole or not at all: a member that
-    can't be read gives a row with ``error`` before any file is opened, and a task that runs
-    again writes the same files again.
-    """
-    tasks = tasks or 4 * members.sparkSession.sparkContext.defaultParallelism
-    routed = route_members(members, split_bytes).select(
-        "archive", "member", "is_split", target_name(target, day, F.col("archive"), F.col("member"), F.lit("#"), F.col("is_split")).alias("target"))
-
-    def copied(archive, member, is_split, name):
-        rows, out, now = [], None, None
-        try:
-            for part, _, line in member_lines(archive, member, False, split_bytes if is_split else None, header):
-                if part != now:
-                    if out is not None:
-                        out.close()
-                    path = name.replace("_part##.csv", f"_part{part:03d}.csv").replace("_part00#.csv", f"_part{part:03d}.csv") if is_split else name
-                    system, inner = shared_system(path)
-                    system.create_dir(inner.rpartition("/")[0], recursive=True)
-                    out, now = system.open_output_stream(inner), part
-                    rows.append([archive, member, path, is_split, 0, None])
-                out.write((line + "\n").encode())
-                rows[-1][4] += 1
-        except MEMBER_ERRORS as error:
-            rows = [[archive, member, None, is_split, None, f"{type(error).__name__}: {error}"]]
-        finally:
-            if out is not None:
-                out.close()
-        return rows
-
-    def run(frames):
-        for frame in frames:
-            found = itertools.chain.from_iterable(map(copied, *(frame[c] for c in ("archive", "member", "is_split", "target"))))
-            yield pd.DataFrame(found, columns=["archive", "member", "target", "is_split", "lines", "error"]).astype({"lines": "Int64"})
-
-    return routed.repartition(tasks, "archive", "member").mapInPandas(run, TARGET_SCHEMA)
+    stem = target_stem(target, day, root, F.col("archive"), F.col("member"), F.col("is_split"))
+    return lines.withColumn("target", part_name(stem, F.col("part"), F.col("is_split")))
 
 
 def manifest(lines: DataFrame) -> DataFrame:
@@ -314,7 +287,7 @@ def manifest(lines: DataFrame) -> DataFrame:
 def archive_outcomes(members: DataFrame, read: DataFrame, archive: bool = True) -> DataFrame:
     """Where each source archive goes: archived, rejected, or left in place.
 
-    ``read``: what :func:`read_members` or :func:`write_members` gave, as damage inside a member shows only there.
+    ``read``: what :func:`read_members` or a job of ``sinks.unpack`` gave, as damage inside a member shows only there.
     """
     found = members.select("archive", "member", "error")
     found = found.unionByName(member_errors(read).select("archive", F.lit(None).cast("string").alias("member"), "error"))
