@@ -22,8 +22,8 @@ ROUNDS = 10
 # an HMAC-SHA-256 has 32 bytes, one per digit of the left half; more digits take numbered blocks
 BLOCK_DIGITS = 32
 AES_ROUNDS = 6
-# halves of the AES digit cipher must fit decimal(38) after a 32-bit shift
-MAX_AES_DIGITS = 54
+# halves of more digits than fit decimal(38) after a 32-bit shift are added in groups of digits
+DECIMAL_DIGITS, GROUP_DIGITS = 27, 9
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
@@ -197,8 +197,40 @@ def _shifted(source: Column, digest: Column, sign: int) -> Column:
         return (mixed % modulus).cast("decimal(38,0)" if kind != "bigint" else kind).cast("string")
 
     # nine digits leave room for a 32-bit shift in a long
-    number = F.when(F.length(source) <= 9, fold("bigint")).otherwise(fold("decimal(28,0)"))
-    return F.lpad(number, F.length(source), F.lit("0"))
+    number = F.when(F.length(source) <= 9, fold("bigint")).when(F.length(source) <= DECIMAL_DIGITS, fold("decimal(28,0)"))
+    return F.when(F.length(source) <= DECIMAL_DIGITS, F.lpad(number, F.length(source), F.lit("0"))).otherwise(_shifted_groups(source, digest, sign))
+
+
+def _carried(items: Column, first: Column, value) -> Column:
+    """Groups of nine digits, the lowest first: ``value(item, carry)`` from the lowest up, with ``first`` carried in; the last carry is dropped."""
+    base = F.lit(10**GROUP_DIGITS).cast("bigint")
+
+    def add(done: Column, item: Column) -> Column:
+        total = value(item, done["carry"])
+        return F.struct(F.concat(done["groups"], F.array(F.pmod(total, base))).alias("groups"), F.call_function("div", total - F.pmod(total, base), base).alias("carry"))
+
+    return F.aggregate(items, F.struct(F.array().cast("array<bigint>").alias("groups"), first.alias("carry")), add, lambda done: done["groups"])
+
+
+def _digest_groups(digest: Column) -> Column:
+    """A 128-bit hex digest as five groups, by Horner's rule over 32-bit parts."""
+    parts = F.array(*[hex_limb(digest, i).cast("bigint") for i in range(4)])
+    zero = F.array(*[F.lit(0).cast("bigint")] * 5)
+    return F.aggregate(parts, zero, lambda groups, part: _carried(groups, part, lambda g, carry: g * F.lit(1 << 32) + carry))
+
+
+def _shifted_groups(source: Column, digest: Column, sign: int) -> Column:
+    """As ``_shifted``, for any number of digits from 28 on."""
+    n = F.length(source)
+    count = F.ceil(n / GROUP_DIGITS).cast("int")
+    start = lambda i: n - GROUP_DIGITS * (i + 1)
+    own = lambda i: F.substring(source, F.greatest(start(i), F.lit(0)) + 1, GROUP_DIGITS + F.least(start(i), F.lit(0))).cast("bigint")
+    pairs = F.zip_with(F.transform(F.sequence(F.lit(0), count - 1), own), _digest_groups(digest),
+                       lambda x, y: F.struct(x.alias("own"), F.coalesce(y, F.lit(0).cast("bigint")).alias("add")))
+    # a digest has five groups; those beyond the value's own are no part of it
+    groups = _carried(F.filter(pairs, lambda p: p["own"].isNotNull()), F.lit(0).cast("bigint"), lambda p, carry: p["own"] + sign * p["add"] + carry)
+    text = F.array_join(F.transform(F.reverse(groups), lambda g: F.lpad(g.cast("string"), GROUP_DIGITS, "0")), "")
+    return F.substring(text, F.length(text) - n + 1, n)
 
 
 def _aes_feistel(col: Column, key: Column, decrypt: bool) -> Column:
@@ -219,15 +251,23 @@ def _aes_feistel(col: Column, key: Column, decrypt: bool) -> Column:
     done = F.aggregate(order, start, step, lambda halves: F.concat(halves["l"], halves["r"]))
     return (
         F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(~text.rlike(f"^[0-9]{{1,{MAX_AES_DIGITS}}}$"),
-              F.raise_error(F.lit(f"expected 1 to {MAX_AES_DIGITS} digits")).cast("string"))
+        .when(~text.rlike("^[0-9]+$"), F.lit(None).cast("string"))
         .when(n == 1, text)
         .otherwise(done)
     )
 
 
+def fpe_digits_error(col: Column) -> Column:
+    """Why a value has no cipher: null for digits of any number, and for null."""
+    text = F.trim(col.cast("string"))
+    return F.when(text.isNotNull() & ~text.rlike("^[0-9]+$"), F.lit("expected digits"))
+
+
 def fpe_digits_enc(col: Column, key: Column) -> Column:
-    """Six Feistel rounds with an AES-128 round function; ``key`` is a 16-byte column."""
+    """Six Feistel rounds with an AES-128 round function; ``key`` is a 16-byte column.
+
+    Values may have any number of digits; one with other characters gives null, see :func:`fpe_digits_error`.
+    """
     return _aes_feistel(col, key, decrypt=False)
 
 

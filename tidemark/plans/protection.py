@@ -10,6 +10,7 @@ from tidemark.functions import aes, fpe, masking
 from tidemark.functions.hashing import derive_key, secret_column
 from tidemark.operators import encrypt, obfuscate as obf
 from tidemark.operators.obfuscate import Rule
+from tidemark.plans import aes_sql
 from tidemark.plans.registry import query
 from tidemark.session import spread_small, work_path
 from tidemark.sinks import writers
@@ -359,17 +360,31 @@ def _order_digits(t):
     return spread_small(t.orders.select("o_orderkey", digits.alias("digits"))).withColumn("_key", key)
 
 
-@query("fp10_aes_digits_encrypt")
+_DIGITS = "(SELECT o_orderkey, '9' || o_orderkey || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS digits FROM orders)"
+
+
+@query("fp10_aes_digits_encrypt", aes_sql.feistel_digits(_DIGITS, derive_key(PHRASE)[:16], "o_orderkey", "digits", fpe.AES_ROUNDS))
 def _(t):
     return _order_digits(t).select("o_orderkey", fpe.fpe_digits_enc(F.col("digits"), F.col("_key")).alias("digits"))
 
 
-@query("fp11_aes_digits_decrypt", "SELECT o_orderkey, '9' || o_orderkey || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS digits FROM orders")
+@query("fp11_aes_digits_decrypt", f"SELECT o_orderkey, digits FROM {_DIGITS}")
 def _(t):
     sealed = _order_digits(t).withColumn("sealed", fpe.fpe_digits_enc(F.col("digits"), F.col("_key")))
     return sealed.select("o_orderkey", fpe.fpe_digits_dec(F.col("sealed"), F.col("_key")).alias("digits"))
 
 
+@query("fp11_long_digits", """
+SELECT c_custkey, repeat(lpad(CAST(c_custkey AS VARCHAR), 10, '7'), 20) AS digits, true AS sealed, 'expected digits' AS error_of_name FROM customer""")
+def _(t):
+    long = F.repeat(F.lpad(F.col("c_custkey").cast("string"), 10, "7"), 20)
+    key = secret_column(t.spark, derive_key(PHRASE)[:16])
+    rows = spread_small(t.customer.select("c_custkey", "c_name", long.alias("digits"))).withColumn("_key", key)
+    sealed = rows.withColumn("e", fpe.fpe_digits_enc(F.col("digits"), F.col("_key")))
+    return sealed.select("c_custkey", fpe.fpe_digits_dec(F.col("e"), F.col("_key")).alias("digits"),
+                         ((F.length("e") == 200) & (F.col("e") != F.col("digits"))).alias("sealed"), fpe.fpe_digits_error(F.col("c_name")).alias("error_of_name"))
+
+
 # --- deterministic AES ------------------------------------------------------------
 
 def _aes_parts(t):
@@ -384,7 +399,11 @@ def _(t):
                          F.length("c").alias("cipher_bytes"))
 
 
-@query("ae2_encrypt_by_column")
+_SEALED = {name: aes_sql.cbc_hex(f"CAST({name.lower()} AS VARCHAR)", derive_key(PHRASE), iv) for name, iv in IVS}
+
+
+@query("ae2_encrypt_by_column", f"""
+WITH {aes_sql.tables()} SELECT * EXCLUDE (s1, s2, s3, p0, p1, p2, p3) REPLACE ({_SEALED['C_CUSTKEY']} AS c_custkey, {_SEALED['C_NAME']} AS c_name) FROM customer, aes""")
 def _(t):
     ivs = t.spark.createDataFrame(IVS, "COLUMN_NAME string, COLUMN_IV_KEY string")
     return encrypt.encrypt_by_column(t.customer, ivs, derive_key(PHRASE))
@@ -420,7 +439,8 @@ def _(t):
     return back.select("c_custkey", aes.aes_cbc_det_decrypt(F.col("cipher"), key, iv).alias("c_name"), "limbs")
 
 
-@query("ae6_key_from_alias", f"SELECT c_custkey, sha256('{PHRASE}') AS key_hex FROM customer")
+@query("ae6_key_from_alias", f"WITH {aes_sql.tables()} SELECT c_custkey, {_SEALED['C_NAME']} AS sealed FROM customer, aes")
 def _(t):
-    key = aes.key_from_alias("key1", {"key1": PHRASE, "key2": "another"})
-    return t.customer.select("c_custkey", F.lower(F.hex(secret_column(t.spark, key))).alias("key_hex"))
+    # the key stays in its subquery; that it is the right one shows in the cipher
+    key = secret_column(t.spark, aes.key_from_alias("key1", {"key1": PHRASE, "key2": "another"}))
+    return t.customer.select("c_custkey", F.hex(aes.aes_cbc_det(F.col("c_name"), key, F.lit(dict(IVS)["C_NAME"]).cast("binary"))).alias("sealed"))
