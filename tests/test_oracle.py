@@ -32,7 +32,7 @@ def test_query(spark, sf, duck, name):
     assert rows_of(df.columns, rows) == rows_of(columns, result.fetchall())
 
 
-@pytest.mark.parametrize("name", ["txt14_drop_header_rows_whole", "txt15_merge_continuations_whole", "txt18_keep_three_columns_whole"])
+@pytest.mark.parametrize("name", ["txt14_drop_header_rows", "txt15_merge_continuations", "txt18_keep_three_columns"])
 def test_whole_turns_are_read(spark, sf, name):
     ends = {r.text.strip(" ")[-20:] for r in spark.read.parquet(f"{sf}/conversations.parquet").where("length(text) > 60 and turn = 0").collect()}
     found = " ".join(r.description or "" for r in entry.queries()[name](spark, sf).collect())

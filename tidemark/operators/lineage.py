@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.ranks import global_rank
 from tidemark.operators.relational import latest_per_key
@@ -37,6 +37,32 @@ def refresh_edges(edges: DataFrame, fresh: DataFrame, load_ts) -> DataFrame:
     return new_rows(edges, fresh, EDGE_KEYS).withColumn("load_ts", F.lit(load_ts))
 
 
+EDGE_TABLE = "query_id string, query_start_time timestamp, user_name string, source_object string, target_object string, edge_type string, load_ts timestamp"
+
+_REFRESH = """
+INSERT INTO IDENTIFIER(:edges)
+SELECT query_id, first.query_start_time, first.user_name, source_object, target_object, first.edge_type, CAST(:as_of AS TIMESTAMP)
+FROM (SELECT query_id, source_object, target_object, min(struct(CAST(query_start_time AS TIMESTAMP) AS query_start_time, user_name, edge_type)) AS first
+      FROM {fresh} GROUP BY ALL) AS f
+LEFT ANTI JOIN IDENTIFIER(:edges) AS e USING (query_id, source_object, target_object)"""
+
+
+def refresh_job(spark: SparkSession, access: DataFrame, table: str, days_back: int, as_of: str) -> DataFrame:
+    """Merge the edges of the last ``days_back`` days before ``as_of`` into ``table``, which is made if it isn't there; one status row.
+
+    Every value is a parameter of the statements, and a null key is no edge. A second call adds nothing.
+    """
+    columns = ", ".join(EDGE_TABLE.split(", "))
+    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:edges) ({columns}) USING parquet", args={"edges": table})
+    before = spark.table(table).count()
+    since = spark.sql("SELECT CAST(:as_of AS TIMESTAMP) - make_interval(0, 0, 0, :days) AS since", args={"as_of": as_of, "days": days_back}).first().since
+    fresh = lineage_edges(access, since)
+    spark.sql(_REFRESH, args={"edges": table, "as_of": as_of}, fresh=fresh)
+    return spark.sql(
+        "SELECT :days AS days_back, count(*) AS edges, count(*) - :before AS inserted, min(query_start_time) >= CAST(:since AS TIMESTAMP) AS in_window, 1 AS status FROM IDENTIFIER(:edges)",
+        args={"edges": table, "days": days_back, "before": before, "since": since})
+
+
 def latest_edges(edges: DataFrame) -> DataFrame:
     """The newest edge of each key; dealing the log by ``query_id`` beforehand saves the shuffle of edges."""
     # the edge type is the same everywhere and breaks no tie

@@ -57,6 +57,48 @@ def mapping_rows(spark: SparkSession, mapping: Mapping) -> DataFrame:
     return spark.createDataFrame([(mapping.mapping_id, *r) for r in rows], MAPPING_SCHEMA)
 
 
+WIDE_SCHEMA = (
+    "TARGET_TABLE string, TARGET_COLUMN string, SOURCE_TABLE string, SOURCE_COLUMN string, TRANSFORMATION string, "
+    "JOIN_CONDITION string, TARGET_ORDINAL_POSITION int"
+)
+
+
+def wide_rows(spark: SparkSession, mapping: Mapping) -> DataFrame:
+    """The mapping in its wide form: a row for each target column, each with all joins, and none but its own source column."""
+    long = mapping_rows(spark, mapping)
+    joins = "; ".join(r["CONFIG_VALUE"] for r in long.filter("CONFIG_KEY = 'join_condition'").collect())
+    rows = []
+    for i, c in enumerate(mapping.columns, 1):
+        short, _, column = c.source.rpartition(".")
+        table = next((t for t in (mapping.source, *[j.table for j in mapping.joins]) if alias_of(t) == short), None)
+        rows.append((mapping.target, c.column, table, "" if c.transformation else column, c.transformation, joins, i))
+    rows.append((mapping.target, "", mapping.source, "", "", joins, None))
+    return spark.createDataFrame(rows, WIDE_SCHEMA)
+
+
+def long_rows(wide: DataFrame, mapping_id: str, target: str, source: str) -> DataFrame:
+    """Wide rows of one target table as the rows that :func:`read_mapping` takes; ``source`` is the table the joins start from.
+
+    A source column is named with its table where the row has one. Joins stand in every row; each counts once.
+    """
+    rows = wide.filter(F.col("TARGET_TABLE") == target)
+    text = lambda c: F.nullif(F.btrim(c), F.lit(""))
+    joins = rows.select(F.posexplode(F.split("JOIN_CONDITION", r"\s*;\s*")).alias("n", "join")).filter(text("join").isNotNull()) \
+        .groupBy("join").agg(F.min("n").alias("n"))
+    named = F.concat_ws(".", F.element_at(F.split(text("SOURCE_TABLE"), r"\."), -1), text("SOURCE_COLUMN"))
+    keys = lambda key, value: [F.lit(key).alias("CONFIG_KEY"), value.alias("CONFIG_VALUE")]
+    columns = rows.filter(text("TARGET_COLUMN").isNotNull()).select(
+        *keys("columns", F.lit(None).cast("string")), "TARGET_COLUMN", F.col("TARGET_ORDINAL_POSITION").alias("TGT_ORDIANAL_POSITION"),
+        F.when(text("SOURCE_COLUMN").isNotNull(), named).alias("SOURCE_COLUMN"), F.coalesce("TRANSFORMATION", F.lit("")).alias("TRANSFORMATION"))
+    one = rows.select(F.lit(1)).limit(1)
+    heads = [one.select(*keys("target_table_name", F.lit(target))), one.select(*keys("source_table_name", F.lit(source))),
+             joins.select(*keys("join_condition", F.col("join")), F.col("n").cast("int").alias("TGT_ORDIANAL_POSITION"))]
+    out = columns
+    for head in heads:
+        out = out.unionByName(head, allowMissingColumns=True)
+    return out.select(F.lit(mapping_id).alias("MAPPING_ID"), *[c.split()[0] for c in MAPPING_SCHEMA.split(", ")[1:]])
+
+
 # fixed: how a join is written in a mapping row
 _JOIN = re.compile(r"^\s*(?P<kind>[A-Za-z ]*?JOIN)\s+(?P<table>\S+)(?:\s+AS\s+\S+)?(?:\s+ON\s+(?P<on>.+))?\s*$", re.I | re.S)
 
@@ -68,7 +110,8 @@ def read_mapping(mapping_df: DataFrame, mapping_id: str) -> Mapping:
         raise ValueError(f"no mapping {mapping_id}")
     value = {r["CONFIG_KEY"]: r["CONFIG_VALUE"] for r in rows}
     joins = []
-    for r in rows:
+    # rows of the wide form say the place of a join; others stand in order
+    for r in sorted(rows, key=lambda r: r["TGT_ORDIANAL_POSITION"] or 0):
         if r["CONFIG_KEY"] == "join_condition":
             found = _JOIN.match(r["CONFIG_VALUE"])
             if not found:
@@ -126,21 +169,6 @@ def join_display(left: DataFrame, right: DataFrame, right_name: str, condition:
         *[F.col(f"{right_name}.{c}").alias(f"{c}_{right_name}" if c in left.columns else c) for c in right.columns])
 
 
-# fixed: catalogue of functions offered to mapping authors, name → (code, type)
-FUNCTIONS = {
-    "UPPER": ("UPPER()", "wrapper"),
-    "LOWER": ("LOWER()", "wrapper"),
-    "TRIM": ("TRIM()", "wrapper"),
-    "CURRENT_DATE": ("CURRENT_DATE()", "function"),
-    "DATE_TRUNC": ("DATE_TRUNC('MONTH', )", "wrapper"),
-    "ROUND": ("ROUND(, 2)", "wrapper"),
-    "ABS": ("ABS()", "wrapper"),
-    "CASE": ("CASE WHEN  THEN  ELSE  END", "template"),
-    "COALESCE": ("COALESCE(, )", "wrapper"),
-    "NULLIF": ("NULLIF(, )", "wrapper"),
-}
-
-
 def _fill(code: str, values: list[str]) -> str:
     """Put values into the empty argument places of a call, from left to right."""
     head, body = code.split("(", 1)

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.ranks import global_rank
+from tidemark.operators.ranks import global_rank, row_number_by
 
 # join kinds named in mapping metadata -> Spark's name; NATURAL and RIGHT SEMI/ANTI are built below
 JOIN_KINDS = {
@@ -77,6 +77,12 @@ def merge_one_to_one(left: DataFrame, right: DataFrame, keys: list[str], how: st
 KEPT_SIDES = {("left", "left"), ("right", "right"), ("left", "full"), ("right", "full")}
 
 
+def beside(left: DataFrame, right: DataFrame, keys: list[str], left_order: str, right_order: str, place: str = "place") -> DataFrame:
+    """The n-th row of one side beside the n-th of the other, for each key; the longer side goes on alone."""
+    a, b = (row_number_by(df, keys, [order], place) for df, order in ((left, left_order), (right, right_order)))
+    return a.join(b, [*keys, place], "full")
+
+
 def attach_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame, such as run parameters or a grand total.
 

@@ -141,22 +141,19 @@ def _(t):
     return found.select("page_id", "l.db", "l.schema", "l.table")
 
 
-def cells(t, whole=False):
-    """Conversation turns, whole or their first 20 characters, as table cells; every fifth row repeats the heading."""
+def cells(t):
+    """Whole conversation turns as table cells; every fifth row repeats the heading."""
     head = F.col("turn") % 5 == 4
-    text = F.col("text") if whole else F.left("text", F.lit(20))
     return t.conversations.select(
         "conv_id", "turn", F.when(head, "Column Name").when(F.col("role") == "user", F.concat(F.lit(" k"), F.col("turn").cast("string"))).alias("column_name"),
-        F.when(head, "Description").when(F.col("turn") % 7 == 6, " ").otherwise(text).alias("description"),
+        F.when(head, "Description").when(F.col("turn") % 7 == 6, " ").otherwise(F.col("text")).alias("description"),
         F.when(head, "COMMENTS / Notes").when(F.col("turn") % 7 == 6, None).otherwise(F.col("role")).alias("comments"))
 
 
 _CELLS = """(SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN 'Column Name' WHEN role = 'user' THEN ' k' || turn END AS column_name,
-  CASE WHEN turn % 5 = 4 THEN 'Description' WHEN turn % 7 = 6 THEN ' ' ELSE left(text, 20) END AS description,
+  CASE WHEN turn % 5 = 4 THEN 'Description' WHEN turn % 7 = 6 THEN ' ' ELSE text END AS description,
   CASE WHEN turn % 5 = 4 THEN 'COMMENTS / Notes' WHEN turn % 7 = 6 THEN NULL ELSE role END AS comments FROM conversations)"""
 
-
-_WHOLE_CELLS = _CELLS.replace("left(text, 20)", "text")
 _DROPPED = "SELECT * FROM {} WHERE turn % 5 <> 4"
 
 
@@ -165,11 +162,6 @@ def _(t):
     return rep.drop_header_rows(cells(t))
 
 
-@query("txt14_drop_header_rows_whole", _DROPPED.format(_WHOLE_CELLS))
-def _(t):
-    return rep.drop_header_rows(cells(t, whole=True))
-
-
 _MERGED = """
 WITH r AS (SELECT conv_id, turn, trim(coalesce(column_name, '')) AS k, trim(coalesce(description, ''), ' ') AS d, trim(coalesce(comments, '')) AS c FROM {}),
 g AS (SELECT *, sum(CASE WHEN k <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS grp FROM r)
@@ -182,11 +174,6 @@ def _(t):
     return rep.merge_continuations(cells(t), ["conv_id"], "turn", "column_name", ["description", "comments"])
 
 
-@query("txt15_merge_continuations_whole", _MERGED.format(_WHOLE_CELLS))
-def _(t):
-    return rep.merge_continuations(cells(t, whole=True), ["conv_id"], "turn", "column_name", ["description", "comments"])
-
-
 @query("txt16_words_to_lines", """
 WITH w AS (SELECT o_custkey AS page, o_orderkey AS x0, floor(o_totalprice / 1000) AS top, 'w' || o_orderkey AS text FROM orders),
 g AS (SELECT *, row_number() OVER o AS pos, CASE WHEN top - lag(top) OVER o <= 3 THEN 0 ELSE 1 END AS new FROM w WINDOW o AS (PARTITION BY page ORDER BY top, x0, text)),
@@ -227,8 +214,3 @@ FROM {} WHERE coalesce(nullif(trim(column_name), ''), nullif(trim(description),
 @query("txt18_keep_three_columns", _THREE.format(_CELLS))
 def _(t):
     return rep.keep_three_columns(cells(t))
-
-
-@query("txt18_keep_three_columns_whole", _THREE.format(_WHOLE_CELLS))
-def _(t):
-    return rep.keep_three_columns(cells(t, whole=True))
