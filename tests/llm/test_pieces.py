@@ -39,12 +39,15 @@ def test_round_trip_and_empty_table(spark, texts):
     assert pieces.encode(docs.limit(0), PATH, check=True).collect() == []
 
 
-def test_agenda_takes_the_best_score_then_the_leftmost():
+@pytest.mark.parametrize("few", [0, 32])
+def test_agenda_takes_the_best_score_then_the_leftmost(monkeypatch, few):
+    monkeypatch.setattr(pieces, "FEW", few)
     own = pieces.Pieces(open(PATH, "rb").read())
+    score = {s: x for s, x, kind in own.pieces if kind == pieces._NORMAL}
     for part in ("▁theththethan", "aaaaaaaaa", "▁▁▁▁▁▁▁in", "▁▁▁", "▁international" * 3):
         symbols = list(part)
         while True:
-            ranked = [(own.entries[a + b] >> 60, i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in own.entries]
+            ranked = [(-score[a + b], i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in score]
             if not ranked:
                 break
             i = min(ranked)[1]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,9 @@ from tidemark.llm.text import chunks
 SPACE = "▁"
 #: What an unknown piece decodes to.
 UNKNOWN = " ⁇ "
-#: Parts of texts remembered by a worker, and the longest part remembered.
-MEMORY, LONGEST = 400_000, 64
+#: Parts of texts remembered by a worker, the longest part remembered, and the longest whose agenda is a plain list.
+MEMORY, LONGEST, FEW = 500_000, 64, 32
+_NEVER = 1 << 62
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _LOADED: dict[str, tuple[Pieces, sentencepiece.SentencePieceProcessor]] = {}
 
@@ -47,91 +49,103 @@ class Pieces:
         if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces or spec.trainer_spec.treat_whitespace_as_suffix:
             raise ValueError("normalisation rules are not supported")
         self.start = SPACE if rules.add_dummy_prefix else ""
-        self.strings = [p.piece for p in spec.pieces]
-        self.kinds = [p.type for p in spec.pieces]
-        scores = sorted({p.score for p in spec.pieces}, reverse=True)
-        place = {s: i for i, s in enumerate(scores)}
-        # a piece's entry without its place in the text: place of its score, then its id
-        self.entries = {p.piece: (place[p.score] << 60) | i for i, p in enumerate(spec.pieces) if p.type == _NORMAL}
-        self.ids = {p.piece: i for i, p in enumerate(spec.pieces) if p.type == _NORMAL}
-        self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(spec.pieces) if p.type == _BYTE}
-        self.values = {i: b for b, i in self.bytes.items()}
-        self.unknown = kinds and self.kinds.index(_UNKNOWN)
+        self.pieces = [(p.piece, p.score, p.type) for p in spec.pieces]
+        self.ids = {s: i for i, (s, _, kind) in enumerate(self.pieces) if kind == _NORMAL}
+        self.bytes = {int(s[3:5], 16): i for i, (s, _, kind) in enumerate(self.pieces) if kind == _BYTE}
+        # an id that no piece has stands for a character that is none
+        self.none, self.unknown = len(self.pieces), next((i for i, p in enumerate(self.pieces) if p[2] == _UNKNOWN), 0)
+        self.base = self.none + 1
+        scores = sorted({score for _, score, _ in self.pieces}, reverse=True)
+        place = {x: i for i, x in enumerate(scores)}
+        #: two neighbours that make a piece, as first * base + second: the place of the piece's score, then its id
+        self.pairs = {
+            self.ids[s[:cut]] * self.base + self.ids[s[cut:]]: place[score] << 20 | i
+            for i, (s, score, kind) in enumerate(self.pieces) if kind == _NORMAL
+            for cut in range(1, len(s)) if s[:cut] in self.ids and s[cut:] in self.ids}
+        # what an id decodes to; a byte that is no character by itself stands as the sign that UTF-8 keeps for it
+        shown = {_CONTROL: lambda s: "", _UNKNOWN: lambda s: UNKNOWN, _NORMAL: lambda s: s.replace(SPACE, " "),
+                 _BYTE: lambda s: bytes([int(s[3:5], 16)]).decode("utf-8", "surrogateescape")}
+        self.shown = [shown[kind](s) for s, _, kind in self.pieces]
         # if no piece holds a space after another sign, nothing is ever merged across the beginning of a run of spaces
         apart = not any(SPACE in s.lstrip(SPACE) for s in self.ids)
         self.parts = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if apart else "(?s).+").findall
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
     def merge(self, part: str) -> list[int]:
         """Ids of a part of a text across whose borders nothing is merged."""
-        symbols = list(part)
-        n = len(symbols)
-        entry_of = self.entries.get
-        agenda = [e | i << 20 for i, pair in enumerate(zip(symbols, symbols[1:])) if (e := entry_of(pair[0] + pair[1])) is not None]
+        own, none = self.ids, self.none
+        ids = [own.get(c, none) for c in part]
+        if len(ids) > 1:
+            ids = self._few(ids) if len(ids) <= FEW else self._many(ids)
+        if none not in ids:
+            return ids
+        # characters that are no piece are never merged, so they follow each other as in the part
+        strange = iter([c for c in part if c not in own])
+        return [x for i in ids for x in (([self.bytes[b] for b in next(strange).encode()] if self.bytes else [self.unknown]) if i == none else [i])]
+
+    def _few(self, ids: list[int]) -> list[int]:
+        """The agenda as a list with a place for each pair, of which the least comes first: no entry gets stale."""
+        base, get, never = self.base, self.pairs.get, _NEVER
+        agenda = [get(a * base + b, never) for a, b in zip(ids, ids[1:])]
+        while agenda and (best := min(agenda)) != never:
+            i = agenda.index(best)
+            ids[i : i + 2] = [new] = [best & 0xFFFFF]
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(new * base + ids[i + 1], never)
+            if i:
+                agenda[i - 1] = get(ids[i - 1] * base + new, never)
+        return ids
+
+    def _many(self, ids: list[int]) -> list[int]:
+        """The agenda as a heap over a doubly linked list of symbols; entries that no longer hold are skipped."""
+        n, base, get = len(ids), self.base, self.pairs.get
+        entry = lambda pair, i: (pair >> 20) << 60 | i << 20 | pair & 0xFFFFF
+        agenda = [entry(p, i) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (p := get(a * base + b)) is not None]
         heapq.heapify(agenda)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         while agenda:
-            entry = heapq.heappop(agenda)
-            i, piece = (entry >> 20) & 0xFFFFFFFFFF, self.strings[entry & 0xFFFFF]
+            top = heapq.heappop(agenda)
+            i, new = (top >> 20) & 0xFFFFFFFFFF, top & 0xFFFFF
             j = after[i]
-            # symbols only grow, so another string at this place means that one of the two has grown or gone
-            if not symbols[i] or j >= n or len(symbols[i]) + len(symbols[j]) != len(piece) or symbols[i] + symbols[j] != piece:
+            # symbols only grow: another piece from here on means that one of the two has grown or gone
+            if ids[i] < 0 or j >= n or (p := get(ids[i] * base + ids[j])) is None or p & 0xFFFFF != new:
                 continue
-            symbols[i], symbols[j] = piece, ""
+            ids[i], ids[j] = new, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (e := entry_of(piece + symbols[k])) is not None:
-                    heapq.heappush(agenda, e | i << 20)
-            if (h := before[i]) >= 0 and (e := entry_of(symbols[h] + piece)) is not None:
-                heapq.heappush(agenda, e | h << 20)
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                found = self.ids.get(s)
-                out += [found] if found is not None else [self.bytes[b] for b in s.encode()] if self.bytes else [self.unknown]
-        return out
-
-    def joined(self, ids: list[int]) -> str:
-        """The pieces' strings put together; runs of byte pieces are characters of UTF-8."""
-        out, held = [], bytearray()
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == _BYTE:
-                held.append(self.values[i])
-                continue
-            if held:
-                out.append(held.decode(errors="replace"))
-                held.clear()
-            out.append("" if kind == _CONTROL else UNKNOWN if kind == _UNKNOWN else self.strings[i].replace(SPACE, " "))
-        return "".join(out) + held.decode(errors="replace")
+                if (p := get(new * base + ids[k])) is not None:
+                    heapq.heappush(agenda, entry(p, i))
+            if (h := before[i]) >= 0 and (p := get(ids[h] * base + new)) is not None:
+                heapq.heappush(agenda, entry(p, h))
+        return [i for i in ids if i >= 0]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, without the space that encoding put before it; control pieces are no text."""
-        text = self.joined(ids)
-        first = next((i for i in ids if self.kinds[i] != _CONTROL), None)
-        return text[1:] if self.start and first is not None and self.strings[first].startswith(SPACE) else text
-
-    def part(self, part: str) -> tuple[bytes, str]:
-        ids = self.merge(part)
-        out = np.array(ids, np.int32).tobytes(), self.joined(ids)
+        shown = self.shown
+        text = "".join([shown[i] for i in ids])
+        if not text.isascii():
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+        if self.start and text[:1] == " ":
+            first = next(i for i in ids if self.pieces[i][2] != _CONTROL)
+            return text[1:] if self.pieces[first][0].startswith(SPACE) else text
+        return text
+
+    def part(self, part: str) -> bytes:
+        out = struct.pack(f"<{len(ids)}i", *ids) if (ids := self.merge(part)) else b""
         if len(part) <= LONGEST:
             if len(self.known) >= MEMORY:
                 self.known.clear()
             self.known[part] = out
         return out
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids as 32-bit integers, and the text they decode to.
-
-        No run of byte pieces goes on across two parts, as each part begins with a space.
-        """
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian 32-bit integers."""
         if not text:
-            return b"", ""
+            return b""
         get, make = self.known.get, self.part
-        found = [get(p) or make(p) for p in self.parts(self.start + text.replace(" ", SPACE))]
-        decoded = "".join([x[1] for x in found])
-        return b"".join([x[0] for x in found]), decoded[1:] if self.start else decoded
+        return b"".join([get(p) or make(p) for p in self.parts(self.start + text.replace(" ", SPACE))])
 
 
 def _loaded(key: str, model: bytes) -> tuple[Pieces, sentencepiece.SentencePieceProcessor]:
@@ -159,15 +173,16 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             for part in chunks(batch):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 rows = [own.encode(t) for t in texts]
-                ends = np.cumsum([0, *[len(r[0]) // 4 for r in rows]])
-                ids = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(b"".join([r[0] for r in rows]), np.int32)))
+                ends = np.cumsum([0, *[len(r) // 4 for r in rows]])
+                flat = np.frombuffer(b"".join(rows), "<i4")
+                numbers = flat.tolist()
+                decoded = [own.decode(numbers[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 agrees = [None] * len(rows)
                 if check:
                     theirs = library.encode(texts, num_threads=1)
-                    agrees = [np.array(t, np.int32).tobytes() == r[0] and d == r[1] for t, d, r in zip(theirs, library.decode(theirs, num_threads=1), rows)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), ids.cast(pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.string()), pa.array(agrees, pa.bool_())],
-                    ["id", "ids", "decoded", "agrees"])
+                    agrees = [np.array(t, "<i4").tobytes() == r and d == o for t, d, r, o in zip(theirs, library.decode(theirs, num_threads=1), rows, decoded)]
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([part.column("id"), ids, pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())], ["id", "ids", "decoded", "agrees"])
 
     narrow = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     return narrow.mapInArrow(run, f"id {kind.simpleString()}, ids array<int>, decoded string, agrees boolean").withColumnRenamed("id", id_col)
