@@ -199,7 +199,7 @@ def test_tables(spark):
     writers.merge_new("t_one", spark.createDataFrame([(1, "b"), (2, "c"), (2, "d")], "id int, v string"), ["id"])
     assert sorted(r.id for r in spark.table("t_one").collect()) == [1, 2]
     made = writers.create_from_spec(spark, "t_three", [ColumnSpec("a", "VARCHAR", True), ColumnSpec("n", "NUMBER", True), ColumnSpec("v", "VARIANT", True)])
-    assert [f.dataType.simpleString() for f in made.schema.fields] == ["string", "decimal(38,4)", "variant"]
+    assert [f.dataType.simpleString() for f in made.schema.fields] == ["string", "decimal(9,4)", "variant"]
 
 
 def test_types_that_fit():
@@ -214,3 +214,24 @@ def test_types_that_fit():
 def test_single_file(spark, tmp_path):
     writers.unload_csv(spark.range(10), str(tmp_path / "one"), single=True)
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
+
+
+def test_a_table_from_a_spec_holds_no_more_than_it_says(spark):
+    spec = [ColumnSpec("code", "VARCHAR", False, 3), ColumnSpec("amount", "NUMBER", True, 2), ColumnSpec("n", "INTEGER", True, 2)]
+    writers.create_from_spec(spark, "typed", spec)
+    assert [(r.column_name, r.data_type) for r in tables.describe_table(spark, "typed").collect()] == [("code", "varchar(3)"), ("amount", "decimal(6,4)"), ("n", "decimal(2,0)")]
+    writers.insert_checked(spark.createDataFrame([("abc", "12.3456", 99)], "code string, amount string, n int").withColumn("amount", F.col("amount").cast("decimal(6,4)")), "typed")
+    for bad, kinds in (([("abcd", 1)], "code string, n int"), ([("a", 100)], "code string, n int"), ([(None, 1)], "code string, n int")):
+        with pytest.raises(Exception):
+            writers.insert_checked(spark.createDataFrame(bad, kinds), "typed")
+    with pytest.raises(ValueError):
+        writers.insert_checked(spark.createDataFrame([(1,)], "n int"), "typed")
+    assert [tuple(map(str, r)) for r in spark.table("typed").collect()] == [("abc", "12.3456", "99")]
+    spark.sql("DROP TABLE typed")
+
+
+def test_white_space_around_values_is_written(spark, tmp_path):
+    rows = [(" a ", "b\n"), ("\tc", " ")]
+    writers.unload_csv(spark.createDataFrame(rows, "x string, y string"), str(tmp_path / "w"))
+    got = tables.read_csv(spark, str(tmp_path / "w"), "x string, y string", tables.CsvFormat(line_breaks=True))
+    assert sorted(map(tuple, got.collect())) == sorted(rows)

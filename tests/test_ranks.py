@@ -14,6 +14,18 @@ def test_global_rank_is_a_plain_row_number_without_one_partition(spark, sf):
     assert ranked.count() == 1500
 
 
+def test_ties_and_nulls_are_numbered_once_each(spark):
+    df = spark.range(300).select(F.col("id"), F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("v"), F.lit("x").alias("rank"))
+    for order in (["v"], [F.col("v").desc()], [F.col("v").asc_nulls_last()]):
+        rows = ranks.global_rank(df, order, partitions=4).collect()
+        assert sorted(r["rank"] for r in rows) == list(range(1, 301))
+        plain = [r.v for r in df.orderBy(*order).collect()]
+        assert [r.v for r in sorted(rows, key=lambda r: r["rank"])] == plain
+    assert ranks.global_rank(df.limit(0), ["v"]).collect() == []
+    wide = df.withColumn("text", F.repeat(F.lit("long"), 9))
+    assert "heckpoint" not in plan_of(ranks.global_rank(wide, ["id"]))
+
+
 def test_hot_groups_get_the_same_numbers(spark):
     # one key holds most rows, null is a key too
     df = spark.range(400).select(F.when(F.col("id") % 4 == 0, F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 401).alias("v"))

@@ -8,6 +8,10 @@ from tidemark.sources import splits
 
 FIELD_SEPARATOR = '"|"'
 SUCCESS, FAILED = 1, 3
+# fixed: texts of the job log that its readers look for
+TRAILERS_FAILED = "ERROR: Trailer validation failed on {} files:\n"
+TRAILERS_FINE = "INFO: Trailer validation for the {} was successful"
+NO_FILE = "Source file is missing."
 
 
 def _split(column: Column, separator: str) -> Column:
@@ -70,9 +74,8 @@ def run_summary(checked: DataFrame, routed: DataFrame, snap_date: str, file: str
     return row.select(
         F.col("c.source_cnt").alias("source_cnt"), (F.col("c.source_cnt") - F.col("failed")).alias("target_cnt"),
         "failed", F.col("c.skipped_cnt").alias("skipped_cnt"), F.when(bad, FAILED).otherwise(SUCCESS).alias("status"),
-        F.when(bad, F.concat(F.lit("ERROR: Trailer validation failed on "), F.col("failed").cast("string"),
-                             F.lit(" files:\n"), F.col("lines")))
-        .otherwise(f"INFO: Trailer validation for the {snap_date} was successful").alias("message"))
+        F.when(bad, F.concat(F.replace(F.lit(TRAILERS_FAILED), F.lit("{}"), F.col("failed").cast("string")), F.col("lines")))
+        .otherwise(TRAILERS_FINE.format(snap_date)).alias("message"))
 
 
 def arrival_sla(log: DataFrame, as_of, day: int) -> DataFrame:
@@ -93,7 +96,7 @@ def arrival_sla(log: DataFrame, as_of, day: int) -> DataFrame:
         if_in("TARGET_NAME", "**").alias("TARGET_NAME"), if_in("SOURCE_RECORDS", 0).alias("SOURCE_RECORDS"),
         if_in("TARGET_RECORDS", 0).alias("TARGET_RECORDS"),
         F.when(F.col("_in"), "Success").otherwise("Failed").alias("LOAD_STATUS"),
-        F.when(F.col("_in"), "").otherwise("Source file is missing.").alias("ERROR_MESSAGE"),
+        F.when(F.col("_in"), "").otherwise(NO_FILE).alias("ERROR_MESSAGE"),
         sched.alias("DAY_OF_EMAIL"), "ETL_INSERT_TIMESTAMP", if_in("FILE_ENDTIME_EST", None).alias("FILE_ENDTIME_EST"))
 
 

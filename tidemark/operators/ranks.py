@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tidemark.session import cut_lineage
+from tidemark.session import work_path
 
 # Positions per chunk of an ordered scan; bounds the rows one window group holds.
 CHUNK_ROWS = 100_000
@@ -20,35 +22,62 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def global_rank(df: DataFrame, order: list, out: str = "rank", partitions: int | None = None) -> DataFrame:
-    """Number all rows 1..n by ``order`` with one range shuffle.
+# how a column shows the direction it carries
+DIRECTION = re.compile(r" (ASC|DESC) NULLS (FIRST|LAST)$")
+
+
+def plain(column) -> Column:
+    """The column without its direction; Spark can neither select nor sort again by a column that carries one."""
+    if isinstance(column, str):
+        return F.col(column)
+    shown = str(column).removeprefix("Column<'").removesuffix("'>")
+    return F.expr(DIRECTION.sub("", shown)) if DIRECTION.search(shown) else column
+
+
+def directed(column, name: str) -> Column:
+    """The column ``name`` in the direction that ``column`` carries."""
+    found = DIRECTION.search(str(column).removeprefix("Column<'").removesuffix("'>"))
+    ways = {("ASC", "FIRST"): F.asc_nulls_first, ("ASC", "LAST"): F.asc_nulls_last, ("DESC", "FIRST"): F.desc_nulls_first, ("DESC", "LAST"): F.desc_nulls_last}
+    return ways[found.groups()](name) if found else F.col(name)
+
+
+def _first_ranks(keys: DataFrame, order: list, partitions: int | None) -> DataFrame:
+    """The distinct keys with ``_before``, the rows before the first of each; ``order`` sorts the key columns.
 
-    ``order`` should be unique: the trailing columns are what splits a hot leading
-    value over tasks. The ranged rows are checkpointed, as range bounds come from a
-    sample and a recomputed task has to see the same rows.
+    Only keys are sorted and written, once: what is read from then on is the same for a recomputed task.
     """
-    if partitions:
-        ranged = df.repartitionByRange(partitions, *order)
+    spark, names = keys.sparkSession, keys.columns
+    counted = keys.groupBy(*names).agg(F.count("*").alias("_n"))
+    ranged = counted.repartitionByRange(partitions, *order) if partitions else counted.repartitionByRange(*order)
+    path = work_path(spark, "ranks")
+    ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumns({
+        "_part": F.shiftright("_place", 33).cast("int"), "_in": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))})
+    # one row per partition, so the driver holds a few thousand triples at most
+    parts = placed.groupBy("_part").agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).orderBy("_part").collect()
+    starts = list(itertools.accumulate((r.rows for r in parts), initial=0))
+    offsets = spark.createDataFrame([(r._part, start) for r, start in zip(parts, starts)], "_part int, _start long")
+    if all(r.most == 1 for r in parts):
+        inside = placed.withColumn("_upto", F.col("_in") + 1)
     else:
-        ranged = df.repartitionByRange(*order)
-    placed = cut_lineage(
-        ranged.sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
-    )
-    part = F.shiftright("_place", 33).cast("int")
-    # one row per partition, so the driver holds a few thousand pairs at most
-    counts = placed.groupBy(part.alias("_part")).count().orderBy("_part").collect()
-    starts, total = [], 0
-    for row in counts:
-        starts.append((row["_part"], total))
-        total += row["count"]
-    offsets = df.sparkSession.createDataFrame(starts, "_part int, _start long")
-    inner = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_start") + inner + 1)
-        .drop("_part", "_start", "_place")
-    )
+        inside = running_sum(placed, ["_part"], "_in", F.col("_n"), "_upto")
+    return inside.join(F.broadcast(offsets), "_part").select(*names, (F.col("_start") + F.col("_upto") - F.col("_n")).alias("_before"))
+
+
+def global_rank(df: DataFrame, order: list, out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """Number all rows 1..n by ``order``: the keys are ranked by a range sort, and the rows take their number from their key.
+
+    ``order`` should be unique: the trailing columns are what splits a hot leading value over tasks. Rows with
+    one key take its numbers in any order.
+    """
+    names = [f"_o{i}" for i in range(len(order))]
+    keyed = df.withColumns({n: plain(c) for n, c in zip(names, order)})
+    first = _first_ranks(keyed.select(*names), [directed(c, n) for c, n in zip(order, names)], partitions)
+    first = first.toDF(*[f"_k{i}" for i in range(len(order))], "_before")
+    match = reduce(lambda a, b: a & b, [keyed[n].eqNullSafe(first[f"_k{i}"]) for i, n in enumerate(names)])
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(*names))
+    numbered = keyed.join(first, match).withColumn("_number", F.col("_before") + place)
+    return numbered.select(*[c for c in df.columns if c != out], F.col("_number").alias(out))
 
 
 def row_number_by(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.ranks import global_rank, row_number_by
+from tidemark.operators.ranks import global_rank, plain, row_number_by
 
 # join kinds named in mapping metadata -> Spark's name; NATURAL and RIGHT SEMI/ANTI are built below
 JOIN_KINDS = {
@@ -133,27 +132,15 @@ def _top_row(df, keys, order, named):
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-# how a column shows the direction it carries
-DIRECTION = re.compile(r" (ASC|DESC) NULLS (FIRST|LAST)$")
-
-
 def sort_by(df: DataFrame, columns: list, ascending: list | None = None) -> DataFrame:
     """Sort; an ``ascending`` list wins over a direction a column already carries."""
     if ascending is None:
         return df.orderBy(*columns)
     return df.orderBy(*[
-        _plain(c).asc_nulls_last() if up else _plain(c).desc_nulls_last()
+        plain(c).asc_nulls_last() if up else plain(c).desc_nulls_last()
         for c, up in zip(columns, ascending, strict=True)])
 
 
-def _plain(column) -> Column:
-    """The column without its direction; Spark cannot sort by a column that carries two."""
-    if isinstance(column, str):
-        return F.col(column)
-    shown = str(column).removeprefix("Column<'").removesuffix("'>")
-    return F.expr(DIRECTION.sub("", shown)) if DIRECTION.search(shown) else column
-
-
 def page(df: DataFrame, order: list, limit: int, offset: int = 0) -> DataFrame:
     """Rows ``offset+1 .. offset+limit`` in order."""
     return df.orderBy(*order).offset(offset).limit(limit)

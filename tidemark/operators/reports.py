@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.ranks import (
     CHUNK_ROWS, last_before, last_so_far, ordered_scan, previous_value, row_number_by, running_sum, sum_so_far,
@@ -80,14 +80,22 @@ def section_ids(lines: DataFrame, start: str = AS_OF, end: str = TOTAL_FOR, out:
     return scanned.withColumn(out, F.when(is_open, F.col("_n")).otherwise(0)).drop("_n", "_opened", "_closed")
 
 
+def _account_name() -> Column:
+    name = F.split_part(F.get(F.split(LINE, ":", 2), F.lit(1)), F.lit("$"), F.lit(1))
+    return F.when(_contains(TOTAL_FOR), F.btrim(name))
+
+
+def _as_of_date() -> Column:
+    return F.when(_contains(AS_OF), F.get(F.split(LINE, "OF", 2), F.lit(1)))
+
+
 def account_names(lines: DataFrame) -> DataFrame:
     """Text after the first ':' and before the first '$' of the total lines."""
-    name = F.split_part(F.get(F.split(LINE, ":", 2), F.lit(1)), F.lit("$"), F.lit(1))
-    return lines.filter(_contains(TOTAL_FOR)).select(DOC, "section", F.btrim(name).alias("account_name"))
+    return lines.filter(_contains(TOTAL_FOR)).select(DOC, "section", _account_name().alias("account_name"))
 
 
 def as_of_dates(lines: DataFrame) -> DataFrame:
-    return lines.filter(_contains(AS_OF)).select(DOC, "section", F.get(F.split(LINE, "OF", 2), F.lit(1)).alias("as_of_date"))
+    return lines.filter(_contains(AS_OF)).select(DOC, "section", _as_of_date().alias("as_of_date"))
 
 
 def market_values(lines: DataFrame) -> DataFrame:
@@ -141,15 +149,16 @@ def assemble(lines: DataFrame) -> DataFrame:
              for kind, frame in ((1, fund_identifiers(lines)), (2, cash_identifiers(lines)), (3, debenture_identifiers(lines)))]
     parts.append(market_values(lines).select(DOC, "section", NO, "kind", F.lit(False).alias("named"), empty.alias("cusip"),
                                              empty.alias("security_description"), "collateral_type", "market_value"))
-    # rank by kind, then line: the kind goes above the line number in one position
-    items = reduce(DataFrame.unionByName, parts).withColumn("_at", F.shiftleft(F.col("kind").cast("bigint"), 40) + F.col(NO))
-    ranked = running_sum(cut_lineage(items), [DOC, "section", "named"], "_at", F.lit(1), "rank")
-    left = ranked.filter("named").select(DOC, "section", "rank", "cusip", "security_description")
-    right = ranked.filter("NOT named").select(DOC, "section", "rank", "collateral_type", "market_value")
-    securities = left.join(right, [DOC, "section", "rank"], "full")
-    heads = as_of_dates(lines).join(account_names(lines), [DOC, "section"], "full")
-    return heads.join(securities, [DOC, "section"], "right").select(
-        DOC, "section", "rank", "as_of_date", "account_name", "cusip", "security_description", "collateral_type", "market_value")
+    # identifiers and values of a section are numbered by kind, then line; the n-th of each meet in one row
+    order = Window.partitionBy(DOC, "section").orderBy("named", "kind", NO)
+    values = F.count_if(~F.col("named")).over(Window.partitionBy(DOC, "section"))
+    place = F.row_number().over(order)
+    ranked = reduce(DataFrame.unionByName, parts).withColumn("rank", F.when(F.col("named"), place - values).otherwise(place).cast("bigint"))
+    fields = ("cusip", "security_description", "collateral_type", "market_value")
+    securities = ranked.groupBy(DOC, "section", "rank").agg(*[F.max(c).alias(c) for c in fields])
+    heads = lines.filter(_contains(AS_OF) | _contains(TOTAL_FOR)).groupBy(DOC, "section").agg(
+        F.max(_as_of_date()).alias("as_of_date"), F.max(_account_name()).alias("account_name"))
+    return heads.join(securities, [DOC, "section"], "right").select(DOC, "section", "rank", "as_of_date", "account_name", *fields)
 
 
 def extract_report(lines: DataFrame) -> DataFrame:

@@ -33,9 +33,9 @@ def _(t):
                              (qty * disc).cast("double").alias("total_discount"))
 
 
-@query("prj3_literal", "SELECT c_custkey, 'USA' AS country FROM customer")
+@query("prj3_literal", "SELECT p_partkey, 'piece' AS unit, CAST(0.19 AS DOUBLE) AS rate, CAST(NULL AS VARCHAR) AS note FROM part")
 def _(t):
-    return t.customer.select("c_custkey", F.lit("USA").alias("country"))
+    return t.part.select("p_partkey", F.lit("piece").alias("unit"), F.lit(0.19).alias("rate"), F.lit(None).cast("string").alias("note"))
 
 
 @query("prj4_with_column", "SELECT s_suppkey, upper(s_name) AS s_name, s_nationkey, s_acctbal, s_acctbal < 0 AS overdrawn FROM supplier")
@@ -44,15 +44,14 @@ def _(t):
 
 
 @query("prj5_case_chain", """
-SELECT o_orderkey,
-       CASE WHEN o_totalprice > 300000 THEN 'HIGH' WHEN o_totalprice > 100000 THEN 'MEDIUM' ELSE 'LOW' END AS amount_category,
-       CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'open' END AS state
-FROM orders""")
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_quantity IS NULL THEN 'unknown' WHEN l_quantity < 10 THEN 'single' WHEN l_quantity < 35 THEN 'pack' ELSE 'pallet' END AS shipped_as,
+       CASE WHEN l_returnflag = 'R' THEN 0.0 ELSE l_quantity END AS quantity_kept
+FROM lineitem""")
 def _(t):
-    category = (F.when(F.col("o_totalprice") > 300000, "HIGH")
-                .when(F.col("o_totalprice") > 100000, "MEDIUM").otherwise("LOW"))
-    return t.orders.select("o_orderkey", category.alias("amount_category"),
-                           F.expr("if(o_orderstatus = 'F', 'closed', 'open')").alias("state"))
+    quantity = F.col("l_quantity")
+    shipped = F.when(quantity.isNull(), "unknown").when(quantity < 10, "single").when(quantity < 35, "pack").otherwise("pallet")
+    return t.lineitem.select("l_orderkey", "l_linenumber", shipped.alias("shipped_as"), F.expr("if(l_returnflag = 'R', 0.0D, double(l_quantity))").alias("quantity_kept"))
 
 
 @query("prj7_rename_set", """
@@ -348,14 +347,14 @@ def _(t):
 
 
 @query("ag4_chain_top_k", """
-SELECT DISTINCT c_name, tot FROM (
-  SELECT c_name, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS tot
-  FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'O' GROUP BY c_name
-) WHERE tot > 1000 ORDER BY tot DESC, c_name LIMIT 5""")
-def _(t):
-    paid = t.orders.filter("o_orderstatus = 'O'").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    totals = paid.groupBy("c_name").agg(money("o_totalprice").alias("tot")).filter("tot > 1000")
-    return totals.distinct().orderBy(F.col("tot").desc(), "c_name").limit(5)
+SELECT DISTINCT lines, CAST(quantity AS DOUBLE) AS quantity FROM (
+  SELECT l_partkey, count(*) AS lines, sum(CAST(l_quantity AS DECIMAL(18,2))) AS quantity FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_partkey HAVING count(*) > 1)
+ORDER BY lines DESC, quantity DESC LIMIT 7""")
+def _(t):
+    # the largest pairs of lines and quantity that any part reaches
+    kept = t.lineitem.filter("l_returnflag <> 'R'")
+    parts = kept.groupBy("l_partkey").agg(F.count("*").alias("lines"), money("l_quantity").alias("quantity")).filter("lines > 1")
+    return parts.select("lines", "quantity").distinct().orderBy(F.desc("lines"), F.desc("quantity")).limit(7)
 
 
 @query("ag5_avg", "SELECT o_orderpriority, round(avg(o_totalprice), 3) AS avg_amount FROM orders GROUP BY o_orderpriority")

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 # estimated input size up to which costly per-row work is spread by a shuffle
 SMALL_BYTES = 256 * 1024 * 1024
+# long texts: batches sent to Python are bounded by size, not by ten thousand rows
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024)}
 # applications that have the package already
 _SHIPPED: set[str] = set()
 
@@ -27,9 +29,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # long texts: bound a batch sent to Python by size, not by ten thousand rows
-        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-        "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
+        **BATCHES,
         # keys never reach a plan, but a caller's own literal might
         "spark.sql.redaction.string.regex": "(?i)(secret|passphrase|hexkey)[^\\s,)]*",
         **conf,
@@ -43,8 +43,10 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once, so UDFs import it wherever they run."""
+    """Send this package to the executors once, so UDFs import it wherever they run; batches for Python are bounded."""
     context = spark.sparkContext
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     if context.applicationId not in _SHIPPED:
         parent = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark")

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.operators.relational import first_per_key
 
 
+REQUIRED = "required.columns"
+
+
 def ctas(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
@@ -96,15 +99,17 @@ def create_from_spec(spark: SparkSession, name: str, spec) -> DataFrame:
     from tidemark.functions.generate import spec_columns
 
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
-    spark.sql(f"CREATE TABLE IDENTIFIER(:name) ({spec_columns(spec)}) USING parquet", args={"name": name})
+    # files keep no bound against nulls, so the table remembers its own
+    required = ",".join(c.name for c in spec if not c.nullable)
+    spark.sql(f"CREATE TABLE IDENTIFIER(:name) ({spec_columns(spec)}) USING parquet TBLPROPERTIES ('{REQUIRED}' = '{required}')", args={"name": name})
     return spark.table(name)
 
 
 def insert_checked(df: DataFrame, name: str) -> None:
     """Append by column name; a value that its column can't hold, or a null where none may be, ends the write before a row is kept."""
     spark = df.sparkSession
-    columns = spark.catalog.listColumns(name)
-    required = [c.name for c in columns if not c.nullable]
+    properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES IDENTIFIER(:name)", args={"name": name}).collect()}
+    required = [c for c in properties.get(REQUIRED, "").split(",") if c]
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"columns without a value: {missing}")

@@ -8,6 +8,7 @@ A member is one deflate stream and so one task; different members run side by si
 from __future__ import annotations
 
 import codecs
+import contextlib
 import io
 import itertools
 import os
@@ -154,32 +155,47 @@ def _encoding(archive: zipfile.ZipFile, member: str) -> str:
                 return encoding
 
 
+@contextlib.contextmanager
+def _checked_text(archive: zipfile.ZipFile, member: str):
+    """(lines, encoding) of a member whose checksum is known to hold: one within a block is inflated once, a larger one twice."""
+    if archive.getinfo(member).file_size <= READ_BLOCK:
+        data = archive.read(member)
+        try:
+            text, encoding = data.decode(), "utf-8"
+        except UnicodeDecodeError:
+            text, encoding = data.decode("latin-1"), "latin-1"
+        yield io.StringIO(text, newline="\n"), encoding
+    else:
+        encoding = _encoding(archive, member)
+        with archive.open(member) as stream:
+            yield io.TextIOWrapper(stream, encoding, newline="\n"), encoding
+
+
 def member_lines(path: str, member: str, clean: bool = True, split_bytes: int | None = None, header: bool = True, drop: tuple[str, ...] = ()):
     """(part, line_no, line) of one member; a part closes once it holds ``split_bytes`` and no quoted field is open, the next repeats the header.
 
     ``clean`` strips lines and leaves out blank ones, ``drop`` those that begin with one of its texts.
     """
-    with open_shared(path) as handle, zipfile.ZipFile(handle) as archive:
-        encoding, part, held, head, quotes = _encoding(archive, member), 1, 0, None, 0
-        with archive.open(member) as stream:
-            for number, line in enumerate(io.TextIOWrapper(stream, encoding, newline="\n")):
-                line = line.removesuffix("\n")
-                if clean:
-                    line = line.strip()
-                    if not line:
-                        continue
-                if drop and line.startswith(drop):
+    with open_shared(path) as handle, zipfile.ZipFile(handle) as archive, _checked_text(archive, member) as (stream, encoding):
+        part, held, head, quotes = 1, 0, None, 0
+        for number, line in enumerate(stream):
+            line = line.removesuffix("\n")
+            if clean:
+                line = line.strip()
+                if not line:
                     continue
-                if header and number == 0:
-                    head = line
-                elif split_bytes:
-                    if held >= split_bytes and quotes % 2 == 0:
-                        part, held = part + 1, 0
-                        if head is not None:
-                            yield part, 0, head
-                    held += len(line.encode(encoding)) + 1
-                    quotes += line.count('"')
-                yield part, number, line
+            if drop and line.startswith(drop):
+                continue
+            if header and number == 0:
+                head = line
+            elif split_bytes:
+                if held >= split_bytes and quotes % 2 == 0:
+                    part, held = part + 1, 0
+                    if head is not None:
+                        yield part, 0, head
+                held += len(line.encode(encoding)) + 1
+                quotes += line.count('"')
+            yield part, number, line
 
 
 def read_members(

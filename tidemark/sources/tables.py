@@ -61,7 +61,7 @@ def read_text_columns(spark: SparkSession, path: str, names: list[str] | None, f
         records = records.where("record_no > 1")
     # a field may be as long as a text; the parser would stop at a million characters
     parsed = F.from_csv("record", ", ".join(f"`{n}` string" for n in names),
-                        {**fmt.options(), **options, "header": "false", "lineSep": "\0", "maxCharsPerColumn": "-1"})
+                        {**fmt.options(), **options, "header": "false", "lineSep": "\0", "maxCharsPerColumn": "-1", "emptyValue": "", "nullValue": "\u0001missing\u0001"})
     return records.select(parsed.alias("r")).select(*[F.col("r")[n].alias(n) for n in names])
 
 
