@@ -1,5 +1,9 @@
+import hashlib
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -34,6 +38,64 @@ def test_edited_texts_and_likeness(spark):
     assert rows[-1].near_next == rows[0].near_edited or rows[-1].fingerprint == rows[0].fingerprint
 
 
+WORD = (1 << 64) - 1
+
+
+def spread(x):
+    """The 64-bit finaliser on a Python integer."""
+    x ^= x >> 33
+    x = x * 0xFF51AFD7ED558CCD & WORD
+    x ^= x >> 33
+    x = x * 0xC4CEB9FE1A85EC53 & WORD
+    return x ^ x >> 33
+
+
+def plain_fingerprints(texts, common):
+    """Term by term and lexicon by lexicon."""
+    def hashes(t):
+        raws = [np.frombuffer(w, np.uint8) for w in set(re.findall(rb"[a-z\x80-\xff]+", (t or "").encode().lower()))]
+        return {int(imatch.text.words(r, np.array([0, len(r)]), imatch.text.NOT_LETTER)[0][0]) for r in raws}
+
+    sets = [hashes(t) for t in texts]
+    often = Counter(h for s, t in zip(sets, texts) if t is not None for h in s)
+    most = max(imatch.RARE, math.floor(common * sum(t is not None for t in texts)))
+    step, seeds = int(imatch._STEP), [spread((k + 1) * 0xA0761D6478BD642F & WORD) for k in range(imatch.LEXICONS)]
+
+    def one(t):
+        inside = sorted(h for h in hashes(t) if imatch.RARE <= often[h] <= most)
+        if not inside:
+            return "text:" + hashlib.sha256((t or "").encode()).hexdigest()
+        scale, parts = max(0, math.floor(math.log2(len(inside) / imatch.TERMS))), []
+        for e in (scale, scale + 1):
+            shown = []
+            for seed in seeds:
+                kept = [h for h in inside if spread(h * step & WORD ^ seed) <= WORD >> e]
+                total = sum(spread((h + 1) * step + place * seed & WORD) for place, h in enumerate(kept)) & WORD
+                shown.append(f"{(spread(total) | 1) >> 32 | 1:08x}" if kept else "-")
+            parts.append(f"{e}:" + ",".join(shown))
+        return "|".join(parts)
+
+    return one
+
+
+def test_fingerprints_match_a_plain_computation(spark):
+    texts = made(120, seed=5) + [None, "", "Émile é x", "ünique", "123 !!"]
+    rows = imatch.compare(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), common=0.1).collect()
+    plain = plain_fingerprints(texts, 0.1)
+    for r in rows:
+        assert r.fingerprint == plain(texts[r.id]) and r.edited_fingerprint == plain(r.edited), r.id
+
+        def share(a, b):
+            if a == b:
+                return 1.0
+            a, b = ({p.split(":")[0]: p.split(":")[1].split(",") for p in f.split("|") if not f.startswith("text")} for f in (a, b))
+            pairs = [(x, y) for e in a.keys() & b.keys() for x, y in zip(a[e], b[e]) if (x, y) != ("-", "-")]
+            return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+        assert r.near_edited == pytest.approx(share(r.fingerprint, r.edited_fingerprint))
+        assert r.near_next == pytest.approx(share(r.fingerprint, plain(texts[(r.id + 1) % len(texts)])))
+
+
 def test_order_of_null_and_repeated_ids(spark):
     rows = [(None, "cccc"), (None, "bbbb"), (2, "aaaa"), (2, "aaaa"), (7, "dddd")]
     got = imatch.compare(spark.createDataFrame(rows, "doc_id long, text string")).collect()

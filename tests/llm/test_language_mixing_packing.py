@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -43,6 +44,61 @@ def test_text_beats_a_wrong_tag_and_priors_settle_what_text_leaves_open(spark, m
     assert [r._language for r in some] == ["fr"]
 
 
+def plain_posteriors(rows, languages, logs):
+    """(language, confidence) of rows (text, tag, host), one after another by Bayes' rule."""
+    n = len(languages)
+    posts, letters = [], []
+    for text_, tag, _ in rows:
+        raw = np.frombuffer((text_ or "").encode(), np.uint8)
+        bucket, _ = language.grams(raw, np.array([0, len(raw)]))
+        like = [language.TEMPER * sum(logs[b, j] for b in bucket) for j in range(n)]
+        told = [0.0 if tag not in languages else math.log(language.TRUST if tag == x else (1 - language.TRUST) / (n - 1)) for x in languages]
+        odds = [math.exp(a - max(like) + b) for a, b in zip(like, told)]
+        posts.append([o / sum(odds) if len(bucket) else 0.0 for o in odds])
+        letters.append(len(bucket))
+    suffix = lambda h: h.rsplit(".", 1)[1] if "." in h else ""
+    hosts, suffixes = defaultdict(lambda: [0.0] * n), defaultdict(lambda: [0.0] * n)
+    for (_, _, h), post in zip(rows, posts):
+        for table, key in ((hosts, h or ""), (suffixes, suffix(h or ""))):
+            table[key] = [a + b for a, b in zip(table[key], post)]
+    whole = [sum(s[j] for s in suffixes.values()) for j in range(n)]
+    top = [(x + 1) / (sum(whole) + n) for x in whole]
+    out = []
+    for (_, _, h), post, count in zip(rows, posts, letters):
+        prior = top
+        for level in (suffixes[suffix(h or "")], hosts[h or ""]):
+            rest = [max(0.0, a - b) for a, b in zip(level, post)]
+            prior = [(r + language.WEIGHT * p) / (sum(rest) + language.WEIGHT) for r, p in zip(rest, prior)]
+        fused = [a * b for a, b in zip(post, prior)] if count else prior
+        best = max(range(n), key=lambda j: fused[j])
+        out.append((languages[best], fused[best] / sum(fused)) if count else ("und", 0.0))
+    return out
+
+
+def test_posteriors_match_a_plain_computation(spark, model):
+    pick = random.Random(7)
+    rows = []
+    for i in range(220):
+        lang = pick.choice(sorted(WORDS))
+        words = " ".join(pick.choice(WORDS[pick.choice([lang, lang, *sorted(WORDS)])].split()) for _ in range(pick.choice([0, 1, 2, 3, 9])))
+        host = pick.choice([None, "plain", f"a.{lang}", "b.org", f"site{pick.randint(0, 5)}.{pick.choice(['de', 'org', 'fr'])}"])
+        rows.append((pick.choice([words, words, None, "7"]) if i % 9 == 0 else words, pick.choice([None, lang, "de", "xx"]), host))
+    want = plain_posteriors(rows, *model)
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, text string, tag string, host string")
+    found = {r.id: r for r in language.identify(docs, model, declared=docs.tag, name=docs.host).collect()}
+    assert {x for x, _ in want} >= {*WORDS, "und"}
+    for i, (name, sure) in enumerate(want):
+        assert found[i]._language == name and found[i]._confidence == pytest.approx(sure, abs=1e-9), rows[i]
+
+
+def test_hidden_tags_are_found_again(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) > 80")
+    hidden = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    model = language.fit(docs.where(~hidden).select("text", language.tag(docs.lang).alias("label")))
+    rows = language.identify(docs, model, declared=F.when(~hidden, docs.lang)).where(hidden).select("lang", "_language").collect()
+    assert len(rows) > 40 and sum(r.lang == r._language for r in rows) >= 0.95 * len(rows)
+
+
 def test_language_of_empty_tables(spark, model):
     docs = spark.createDataFrame([], "text string")
     assert language.identify(docs, model).collect() == []
