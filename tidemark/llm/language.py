@@ -18,6 +18,8 @@ BUCKETS, MOST = 1 << 14, 200
 WEIGHT, SMOOTH = 20.0, 0.5
 #: Trigrams overlap and depend on each other: the share of their evidence that counts.
 TEMPER = 1 / 3
+#: Bytes of text handled at once.
+STEP = 1 << 18
 #: How often a declared language that the model knows is right.
 TRUST = 0.9
 
@@ -69,7 +71,7 @@ def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in text.chunks(batch):
+            for part in text.chunks(batch, limit=STEP):
                 bucket, owner = grams(*text.buffer(part.column("text")))
                 label = part.column("label").dictionary_encode()
                 names, codes = label.dictionary.to_pylist(), np.asarray(label.indices, np.int64)
@@ -97,7 +99,7 @@ def _scores(languages: list[str], logs: np.ndarray, carried: list[str], spark):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
         for batch in batches:
-            for part in text.chunks(batch, "_text"):
+            for part in text.chunks(batch, "_text", STEP):
                 raw, offsets = text.buffer(part.column("_text"))
                 bucket, owner = grams(raw, offsets)
                 letters = np.bincount(owner, minlength=len(part))
@@ -135,7 +137,8 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
                       F.coalesce(name if name is not None else F.lit(""), F.lit("")).alias("_host"),
                       (tag(declared) if declared is not None else F.lit(None).cast("string")).alias("_declared"))
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(safe, docs.schema))
-    path = fresh(spark, "language")
+    work = fresh(spark, "language")
+    path = f"{work}/rows"
     row.mapInArrow(_scores(languages, logs, safe, spark),
                    f"{kinds}, _host string, _declared string, _letters long, _like array<double>").write.parquet(path)
     row = spark.read.parquet(path)
@@ -156,7 +159,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     total = sum(whole) + len(whole)
     top = [(x + 1) / total for x in whole]
     known = hosts.join(suffixes, "_suffix").select("_host", "_by_host", "_by_suffix")
-    row = row.join(known, "_host", "left")
+    # a written table: a join of two plain exchanges lets Spark split a host that very many rows have
+    known.write.parquet(f"{work}/hosts")
+    row = row.join(spark.read.parquet(f"{work}/hosts"), "_host", "left")
     # the row's own share is taken out of every level before it is lent to the next
     rest = lambda c: [F.greatest(F.lit(0.0), F.col(c)[j] - F.col("_post")[j]) for j in range(len(languages))]
     by_suffix, by_host = rest("_by_suffix"), rest("_by_host")

@@ -187,7 +187,9 @@ def write(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col: st
                         F.coalesce(pages[html_col].cast("string"), F.lit("")).cast("binary").alias("html"))
     rows = rows.withColumn("same", F.sha2("html", 256))
     several = rows.where(F.length("html") >= least).groupBy("same").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 and last is not null")
-    marked = rows.join(several.drop("n"), "same", "left")
+    # a written table: a join of two plain exchanges lets Spark split a payload that very many pages have
+    several.drop("n").write.parquet(f"{folder}/several")
+    marked = rows.join(spark.read.parquet(f"{folder}/several"), "same", "left")
     revisit = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     marked.select("page_id", "url", "html", F.when(revisit, F.col("last")).alias("refers_to"), revisit.alias("revisit")) \
         .mapInArrow(_writer(f"{folder}/packages"), "path string, records long").write.parquet(f"{folder}/list")
