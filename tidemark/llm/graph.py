@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.work import tasks_for
 from tidemark.session import cut_lineage
 
 
-def _stars(edges: DataFrame, small: bool) -> DataFrame:
+def _stars(edges: DataFrame, small: bool, tasks: int) -> DataFrame:
     """One step: hang neighbours on the least node around. ``edges`` has a > b.
 
     Small star: the smaller neighbours of each node. Large star: its larger neighbours.
@@ -20,7 +21,7 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
         hung = around.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
     else:
         hung = around.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return hung.where("a <> b").distinct()
+    return hung.where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -41,7 +42,10 @@ def components(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     if known is not None:
         edges = edges.select("a", "b").unionByName(known.select(F.col("node").alias("a"), F.col("label").alias("b")))
     now = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    # the stars never have more edges than these
+    tasks = tasks_for(now)
+    now = now.coalesce(tasks)
     while not _settled(now):
-        now = cut_lineage(_stars(_stars(now, small=False), small=True))
+        now = cut_lineage(_stars(_stars(now, False, tasks), True, tasks))
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text
 from tidemark.llm.graph import components
-from tidemark.llm.work import discard, fresh
-from tidemark.session import cut_lineage
+from tidemark.llm.work import discard, fresh, kept
 
 WORDS, SLOTS, ROWS = 5, 128, 4
 #: Share of two shingle sets in percent from which they are linked.
 PERCENT = 75
 _STEP = np.uint64(0x9FB21C651E98DF25)
+#: Bytes of text handled at once, and sets that a task takes.
+STEP, SETS = 1 << 18, 4096
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> list[np.ndarray]:
@@ -101,7 +102,7 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in text.chunks(batch):
+        for part in text.chunks(batch, limit=STEP):
             sets = shingles(*text.buffer(part.column("text")))
             rows = bands(signatures(sets)).view(np.int64)
             both = [_digest(s) if len(s) else (None, None) for s in sets]
@@ -114,7 +115,7 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in text.chunks(batch):
+        for part in text.chunks(batch, limit=STEP):
             sets = shingles(*text.buffer(part.column("text")))
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "hashes"])
 
@@ -169,7 +170,7 @@ def _across(now: DataFrame, split: DataFrame, sets: DataFrame) -> DataFrame:
     not written: one end is outside the largest component that the shingle is met in.
     """
     nodes = now.join(split, "band").groupBy("node").agg(F.min("label").alias("label"), F.min("m").alias("m"))
-    known = cut_lineage(sets.join(nodes, "node").select("node", "label", "m", F.size("hashes").alias("n"), "hashes"))
+    known = kept(sets.join(nodes, "node").select("node", "label", "m", F.size("hashes").alias("n"), "hashes"), SETS)
     each = known.select("node", "label", "m", "n", F.explode("hashes").alias("h"))
     rare = each.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     # of a set's n shingles those alone in it come first of all
@@ -180,7 +181,7 @@ def _across(now: DataFrame, split: DataFrame, sets: DataFrame) -> DataFrame:
     partner = F.greatest(F.col("m"), F.ceil(F.col("n") * PERCENT / 100))
     head = placed.where((100 + PERCENT) * (F.col("n") - F.col("place")) >= PERCENT * (F.col("n") + partner)).select("h", "node", "label", "n", "place")
     sizes = nodes.groupBy("label").agg(F.count("*").alias("nodes"))
-    head = cut_lineage(head.join(sizes, "label"))
+    head = kept(head.join(sizes, "label"))
     mixed = head.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max_by("label", F.struct("nodes", "label")).alias("main")) \
         .where("low <> high").select("h", "main")
     left = head.join(mixed, "h").where("label <> main")
@@ -198,7 +199,7 @@ def _able(members: DataFrame, sets: DataFrame) -> DataFrame:
     75 % of n, and no partner is smaller than the least member of the node's buckets.
     """
     nodes = members.select("node").distinct()
-    known = cut_lineage(sets.join(nodes, "node").select("node", "hashes"))
+    known = kept(sets.join(nodes, "node").select("node", "hashes"), SETS)
     alone = known.select("node", F.explode("hashes").alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")) \
         .where("c = 1").groupBy("node").agg(F.count("*").alias("u"))
     sizes = known.select("node", F.size("hashes").alias("n"))
@@ -233,11 +234,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     texts.mapInArrow(_described, "k1 long, k2 long, id long, n_shingles long, node long, more long, bands array<long>").write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
 
-    held = rows.where("node is not null").select("node", F.explode("bands").alias("band"))
+    # equal sets are one node, so however many texts share one, it has its bands once
+    nodes = rows.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
+    nodes.write.parquet(f"{path}/nodes")
+    held = spark.read.parquet(f"{path}/nodes").select("node", F.explode("bands").alias("band"))
     full = held.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band")
     # members of buckets with at least two nodes
     held.join(full, "band").distinct().write.parquet(f"{path}/held")
     held = spark.read.parquet(f"{path}/held")
+    discard(f"{path}/nodes")
     wanted = held.select("node").distinct()
     chosen = rows.join(wanted, "node").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", "k.*")
     texts.join(chosen, ["k1", "k2"]).select("node", "text").mapInArrow(_sets, "node long, hashes array<long>") \
@@ -246,15 +251,15 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     label = F.coalesce("label", "node")
     now, split = _split(held, spark.createDataFrame([], "node long, label long"), F.xxhash64("node"))
-    tried = cut_lineage(_to_leaders(now, split))
-    labels = components(cut_lineage(_verified(tried, sets)))
+    tried = kept(_to_leaders(now, split))
+    labels = components(kept(_verified(tried, sets)))
     now, split = _split(held, labels, F.xxhash64("node"))
-    held = cut_lineage(now.join(_able(now.join(split, "band"), sets), "node").drop("label"))
+    held = kept(now.join(_able(now.join(split, "band"), sets), "node").drop("label"))
     for more in (_to_central, _across):
         now, split = _split(held, labels, F.col("apart"))
-        pairs = cut_lineage(more(now, split, sets).join(tried, ["a", "b"], "left_anti"))
+        pairs = kept(more(now, split, sets).join(tried, ["a", "b"], "left_anti"))
         tried = tried.unionByName(pairs)
-        labels = components(cut_lineage(_verified(pairs, sets)), labels)
+        labels = components(kept(_verified(pairs, sets)), labels)
 
     discard(f"{path}/held", f"{path}/sets")  # the labels are checkpointed
     grouped = rows.join(labels, "node", "left").select("k1", "k2", "id", "n_shingles", label.alias("label"))

@@ -28,6 +28,8 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK) -> I
         stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
         yield batch.slice(start, stop - start)
         start = stop
+    # workers live on: what the batch needed goes back before the next one comes
+    pa.default_memory_pool().release_unused()
 
 
 def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import work_path
+from tidemark.session import cut_lineage, work_path
 from tidemark.sources.archives import shared_system
 
 #: Folders made by this driver and not yet removed.
 MADE: list[str] = []
+#: Rows of a few numbers that a task takes at least.
+TASK_ROWS = 200_000
 
 
 def fresh(spark: SparkSession, name: str) -> str:
@@ -25,3 +27,14 @@ def discard(*paths: str) -> None:
         system.delete_dir_contents(inner, missing_dir_ok=True)
         if path in MADE:
             MADE.remove(path)
+
+
+def tasks_for(rows: DataFrame, per_task: int = TASK_ROWS) -> int:
+    """Tasks that so many rows are worth, as many as there are cores at least: a task leaves files behind for each shuffle it feeds."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // per_task))
+
+
+def kept(rows: DataFrame, per_task: int = TASK_ROWS) -> DataFrame:
+    """The rows checkpointed, in as many partitions as they are worth."""
+    done = cut_lineage(rows)
+    return done.coalesce(tasks_for(done, per_task))
