@@ -24,6 +24,7 @@ def stage(fn: Stage) -> Stage:
 
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         work.discard(*_BEFORE)
         others = set(work.MADE)
         out = fn(spark, docs, sf_dir)
