@@ -61,6 +61,18 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("_letters").alias("n_letters"), F.col("_accepted").alias("kept"))
 
 
+@query
+def pages_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The model of the documents on pages: their text, the language that markup declares, and priors of host and address suffix."""
+    docs, pages = table(spark, folder, "documents"), table(spark, folder, "pages")
+    model = language.fit(docs.select("text", language.tag(docs.lang).alias("label")))
+    plain = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ")
+    rows = pages.select("page_id", "url", language.markup(F.col("html")).alias("tag"), plain.alias("text"))
+    found = language.identify(rows, model, declared=rows.tag, name=language.host(rows.url))
+    return found.select("page_id", F.col("_language").alias("language"), F.round("_confidence", 6).alias("confidence"),
+                        F.col("_letters").alias("n_letters"), F.col("_accepted").alias("kept"))
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source")
@@ -75,10 +87,13 @@ def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cut = suffixes.remove(table(spark, folder, "documents").select("doc_id", "text"))
+    cut = suffixes.remove(table(spark, folder, "documents").select("doc_id", "text"), other=suffixes.WORDS)
+    # beside the contract's columns, what stands in passages of 50 words that are met elsewhere
+    passages = F.aggregate("_also", F.lit(0).cast("long"), lambda n, x: n + x["stop"] - x["start"])
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return cut.select("doc_id", size.alias("n_bytes"), (size - F.length("_kept")).cast("long").alias("n_removed"),
-                      F.size("_removed").cast("long").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+                      F.size("_removed").cast("long").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"),
+                      passages.alias("n_passage_bytes"), F.size("_also").cast("long").alias("n_passages"))
 
 
 @query

@@ -13,12 +13,12 @@ between them in the one order is under window - s and none in the other order un
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,11 +74,11 @@ def _sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.nd
     return out[: len(values)]
 
 
-def anchors(values: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
-    """Places of all grams of tokens that are the least of some window within a text."""
+def anchors(values: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all grams of tokens that are the least of some window within a text, and the grams' hashes."""
     n = len(values)
     if n < window:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     up, down = text._powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(values * up[:n], out=total[1:])
@@ -91,23 +91,33 @@ def anchors(values: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
     least[place + window > last] = 0
     # of the windows over a place, the largest least is its own hash just if it is the least of one
     most = _sliding(least[::-1], window - gram + 1, np.maximum, 0)[::-1]
-    return np.flatnonzero((most == grams) & (place + gram <= last))
+    at = np.flatnonzero((most == grams) & (place + gram <= last))
+    return at, grams[at]
 
 
-def _long(values: np.ndarray, window: int, gram: int, step: int = 4 * STEP) -> np.ndarray:
+def _long(values: np.ndarray, window: int, gram: int, step: int = 4 * STEP) -> tuple[np.ndarray, np.ndarray]:
     """Anchors of one text of any length, piece by piece."""
-    found = [s + anchors(values[s : s + step + window], np.array([0, len(values[s : s + step + window])]), window, gram) for s in range(0, max(1, len(values)), step)]
-    return np.unique(np.concatenate(found))
+    found = []
+    for s in range(0, max(1, len(values)), step):
+        part = values[s : s + step + window]
+        at, grams = anchors(part, np.array([0, len(part)]), window, gram)
+        found.append((s + at, grams))
+    at, first = np.unique(np.concatenate([f[0] for f in found]), return_index=True)
+    return at, np.concatenate([f[1] for f in found])[first]
 
 
-def _hash(*parts: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
+def _hash(data: bytes, seed: int = 0) -> int:
+    return xxhash.xxh3_64_intdigest(data, seed)
 
 
 def _longs(values) -> pa.Array:
     return pa.array(values, pa.int64())
 
 
+def _hashes(values: list[int] | np.ndarray) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
 def _bodies(unit: Unit, raw: np.ndarray, values: np.ndarray) -> bytes:
     """The tokens as bytes that sort and compare as tokens do."""
     return raw.tobytes() if unit.bytes == 1 else values.astype(">u8").tobytes()
@@ -121,17 +131,16 @@ def _scan(unit: Unit):
             for part in text.chunks(batch, limit=STEP):
                 raw, ends = text.buffer(part.column("text"))
                 values, offsets, _, _ = unit.tokens(raw, ends)
-                at = anchors(values, offsets, window, gram) if len(values) <= 4 * STEP else _long(values, window, gram)
+                at, lead = anchors(values, offsets, window, gram) if len(values) <= 4 * STEP else _long(values, window, gram)
                 row = np.searchsorted(offsets, at, "right") - 1
                 first, last = offsets[row], offsets[row + 1]
                 left = np.minimum(at - first, window - gram)
                 stop = np.minimum(at + window, last)
                 data = _bodies(unit, raw, values)
-                whole = [_hash(data[w * (a - b) : w * c], b.to_bytes(2, "little")) for a, b, c in zip(at.tolist(), left.tolist(), stop.tolist())]
-                lead = [_hash(data[w * a : w * (a + gram)]) for a in at.tolist()]
+                whole = [_hash(data[w * (a - b) : w * c], b) for a, b, c in zip(at.tolist(), left.tolist(), stop.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("k1").take(pa.array(row)), part.column("k2").take(pa.array(row)), _longs(at - first),
-                     _longs(left), _longs(stop - at + left), _longs(lead), _longs(whole)],
+                     _longs(left), _longs(stop - at + left), _hashes(lead), _hashes(whole)],
                     ["k1", "k2", "at", "left", "size", "lead", "whole"])
 
     return run
@@ -190,11 +199,18 @@ def repeats(bodies: list[bytes], lefts: list[int], moved: list[int], window: int
     order_r, common_r = multikey(right, right_size)
     order_l, common_l = multikey(left, left_size)
     out = np.zeros((n, span + 1), bool)
+    # nothing has more in common with a body than one of its neighbours in an order; on both sides it must come to a window
+    best = np.zeros((2, n), np.int64)
+    for side, (order, common) in enumerate(((order_r, common_r), (order_l, common_l))):
+        best[side, order] = np.maximum(common, np.append(common[1:], 0))
+    may = best[0] - 8 + best[1] >= width * window
+    if not may.any():
+        return out
     class_r, class_l = np.empty(n, np.int64), np.empty(n, np.int64)
     for s in range(span + 1):
         class_r[order_r] = np.cumsum(common_r < width * (window - s) + 8)
         class_l[order_l] = np.cumsum(common_l < width * s)
-        valid = np.flatnonzero((left_size >= width * s) & (right_size >= width * (window - s) + 8))
+        valid = np.flatnonzero(may & (left_size >= width * s) & (right_size >= width * (window - s) + 8))
         key = class_r[valid] * (n + 1) + class_l[valid]
         by = np.argsort(key)
         same = key[by][1:] == key[by][:-1]
@@ -271,10 +287,10 @@ def _finer(unit: Unit, span: int):
                     part, inner = body[w * begin : w * (left - s0 + window)], left - s0 - begin
                     far = (moved + s0).to_bytes(8, "little")
                     first = part[w * inner : w * (inner + window - (step - 1))] + far
-                    rows.append((k1, k2, at - s0, inner, part, lone, first, moved + s0, _hash(first), _hash(part, inner.to_bytes(2, "little"), far)))
+                    rows.append((k1, k2, at - s0, inner, part, lone, first, moved + s0, _hash(first), _hash(part + far, inner)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
-                    (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))],
+                [*[pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
+                    (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.int64()))], *[_hashes([r[j] for r in rows]) for j in (8, 9)]],
                 ["k1", "k2", "at", "left", "body", "lone", "first", "moved", "lead", "whole"])
 
     return run, step - 1
@@ -288,10 +304,12 @@ def _classes(rows: DataFrame) -> DataFrame:
     return n.join(kinds, "lead", "left").withColumn("kinds", F.coalesce("kinds", F.lit(1)))
 
 
-def spans(texts: DataFrame, unit: Unit = BYTES) -> DataFrame:
-    """(k1, k2, start, stop) in tokens of stretches made of repeated windows; ``texts`` has k1, k2, text. They may overlap."""
+def spans(texts: DataFrame, unit: Unit, path: str) -> DataFrame:
+    """(k1, k2, start, stop) in tokens of stretches made of repeated windows; ``texts`` has k1, k2, text. They may overlap.
+
+    Work tables go below ``path``, and are read by the result.
+    """
     spark = texts.sparkSession
-    path = fresh(spark, "suffixes")
     texts.mapInArrow(_scan(unit), "k1 long, k2 long, at long, left long, size long, lead long, whole long") \
         .write.parquet(f"{path}/anchors")
     found = spark.read.parquet(f"{path}/anchors")
@@ -335,6 +353,18 @@ def spans(texts: DataFrame, unit: Unit = BYTES) -> DataFrame:
     return total
 
 
+def covered(texts: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """(_k1, _k2, spans): the stretches of each text that has any, written; its work tables are gone by then."""
+    spark = texts.sparkSession
+    work, path = fresh(spark, "suffixes"), fresh(spark, "spans")
+    # a word has a byte at least, and white space stands between two
+    long = texts.where(F.length("text") >= (unit.window if unit.bytes == 1 else 2 * unit.window - 1))
+    found = spans(long, unit, work).groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    found.write.parquet(path)
+    discard(work)
+    return spark.read.parquet(path)
+
+
 def _merged(parts: list[dict] | None) -> list[list[int]]:
     """Spans in order, those that meet joined."""
     runs: list[list[int]] = []
@@ -355,12 +385,19 @@ def _in_bytes(unit: Unit, raw: bytes, runs: list[list[int]]) -> list[list[int]]:
     return [[int(starts[a]), int(ends[b - 1])] for a, b in runs]
 
 
-def _removed(kinds: list[str], unit: Unit, keep_characters: bool):
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
+
+def _shown(runs: list[list[int]]) -> list[dict]:
+    return [{"start": a, "stop": b} for a, b in runs]
+
+
+def _removed(kinds: list[str], unit: Unit, other: Unit | None, keep_characters: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text.chunks(batch, "_text", STEP):
-                merged, kept = [], []
-                for t, parts in zip(part.column("_text"), part.column("_spans").to_pylist()):
+                merged, kept, also = [], [], []
+                for t, parts, others in zip(part.column("_text"), part.column("_spans").to_pylist(), part.column("_others").to_pylist()):
                     raw = t.as_buffer().to_pybytes() if t.is_valid else b""
                     runs = _in_bytes(unit, raw, _merged(parts))
                     if keep_characters:
@@ -372,32 +409,37 @@ def _removed(kinds: list[str], unit: Unit, keep_characters: bool):
                         runs = [r for r in runs if r[0] < r[1]]
                     edges = [0, *[x for r in runs for x in r], len(raw)]
                     kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                    merged.append([{"start": a, "stop": b} for a, b in runs])
+                    merged.append(_shown(runs))
+                    also.append(_shown(_in_bytes(other, raw, _merged(others))) if other else None)
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in kinds], pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
-                     pa.array(kept, pa.binary())], [*kinds, "_removed", "_kept"])
+                    [*[part.column(c) for c in kinds], pa.array(merged, _SPANS), pa.array(kept, pa.binary()), pa.array(also, _SPANS)], [*kinds, "_removed", "_kept", "_also"])
 
     return run
 
 
-def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = BYTES, whole_characters: bool = False) -> DataFrame:
-    """Every row of ``docs`` with ``_removed`` (spans of bytes) and ``_kept`` (the bytes left).
+def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = BYTES, other: Unit | None = None, whole_characters: bool = False) -> DataFrame:
+    """Every row of ``docs`` with ``_removed`` (spans of bytes), ``_kept`` (the bytes left) and ``_also``.
 
     Removes each token covered by a string of ``unit.window`` tokens that also starts elsewhere in any
     text, all copies alike, judged on the input. Between the words of a removed run white space goes as well. With
-    ``whole_characters`` a span keeps characters that it would cut. Null and empty texts and those under
+    ``whole_characters`` a span keeps characters that it would cut. ``_also`` are the spans of bytes that the
+    unit ``other`` would remove (null without one). Null and empty texts and those under
     a window stay as they are (null: no bytes). Rows with the same id and text are repeated rows: each
     counts, so both lose their windows. Null ids are values like others. The caller's columns may have any
-    name, but for ``_removed`` and ``_kept``, which are replaced.
+    name, but for the three new ones, which replace them.
     """
     safe, named, back = text.renamed(docs)
     a, b = text.row_key(docs[id_col], docs[text_col].cast("string"))
     keyed = docs.select(*named, a.alias("_k1"), b.alias("_k2"), docs[text_col].cast("string").alias("_text"))
     texts = keyed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_text").cast("binary").alias("text"))
-    # a word has a byte at least, and white space stands between two
-    texts = texts.where(F.length("text") >= (unit.window if unit.bytes == 1 else 2 * unit.window - 1))
-    found = spans(texts, unit).groupBy(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).agg(F.collect_set(F.struct("start", "stop")).alias("_spans"))
+    found = keyed.join(covered(texts, unit).withColumnRenamed("spans", "_spans"), ["_k1", "_k2"], "left")
+    if other:
+        found = found.join(covered(texts, other).withColumnRenamed("spans", "_others"), ["_k1", "_k2"], "left")
+    else:
+        found = found.withColumn("_others", F.lit(None).cast("array<struct<start:long,stop:long>>"))
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(safe, docs.schema))
-    cut = keyed.join(found, ["_k1", "_k2"], "left").select(*safe, F.col("_text").cast("binary").alias("_text"), "_spans").mapInArrow(
-        _removed(safe, unit, whole_characters), f"{kinds}, _removed array<struct<start:long,stop:long>>, _kept binary")
-    return cut.select(*[c for c, n in zip(back, docs.columns) if n not in ("_removed", "_kept")], "_removed", "_kept")
+    cut = found.select(*safe, F.col("_text").cast("binary").alias("_text"), "_spans", "_others").mapInArrow(
+        _removed(safe, unit, other, whole_characters),
+        f"{kinds}, _removed array<struct<start:long,stop:long>>, _kept binary, _also array<struct<start:long,stop:long>>")
+    made = ("_removed", "_kept", "_also")
+    return cut.select(*[c for c, n in zip(back, docs.columns) if n not in made], *made)
