@@ -1,4 +1,5 @@
 import hashlib
+import uuid
 import zipfile
 
 import pytest
@@ -147,6 +148,45 @@ def test_a_whole_file_named_as_a_part_of_another_is_a_clash(spark):
     assert [r.sources for r in unpack.clashes(spark.createDataFrame(rows, "archive string, member string, stem string, is_split boolean")).collect()] == [2]
 
 
+def _most_tasks(spark, run):
+    """The tasks of the largest stage of what ``run`` starts, with its result; files weigh as on a cluster of small splits."""
+    group, tracker = uuid.uuid4().hex, spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = run()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return max(s.numTasks for s in stages if s), found
+
+
+def test_tasks_of_an_unpack_job_do_not_grow_with_its_archives(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / "in" / f"{i:03d}").mkdir(parents=True)
+        with zipfile.ZipFile(tmp_path / "in" / f"{i:03d}" / "x.zip", "w") as z:
+            z.writestr("a.csv", f"{i}\n")
+    tasks, rows = _most_tasks(spark, lambda: unpack.unpack(spark, f"{tmp_path}/in", f"{tmp_path}/out", "d").collect())
+    assert len(rows) == 200 and tasks < 100
+    tasks, rows = _most_tasks(spark, lambda: arc.read_contents(arc.list_tree(spark, f"{tmp_path}/out/d").filter("path LIKE '%.csv'")).collect())
+    assert sorted(int(bytes(r.content)) for r in rows) == list(range(200)) and tasks < 100
+
+
+def test_archives_are_listed_in_rounds_as_sparks_reader_lists_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(arc, "LIST_FOLDERS", 2)
+    for name in ("a.zip", "b.ZIP", "c.txt", "p/q/r/s/d.zip", "p/q/e.zip", "p/t/f g%20.zip", "k=1/h.zip", "_k=2/i.zip", "_hidden/j.zip", ".k/l.zip", "p/_m.zip", "p/.n.zip"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode())
+    (tmp_path / "empty").mkdir()
+    spark_rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(str(tmp_path)).select("path", "length")
+    expected = sorted(map(tuple, spark_rows.collect()))
+    assert len(expected) == 7 and sorted(map(tuple, arc.list_archives(spark, str(tmp_path)).collect())) == expected
+    assert [tuple(r) for r in arc.list_archives(spark, f"file://{tmp_path}/a.zip").collect()] == [(f"file:{tmp_path}/a.zip", 5)]
+    with pytest.raises(FileNotFoundError):
+        arc.list_archives(spark, f"{tmp_path}/nowhere")
+
+
 def test_publishing_twice_is_harmless(spark, tmp_path):
     (tmp_path / "s").mkdir()
     (tmp_path / "s" / "1").write_text("abc")

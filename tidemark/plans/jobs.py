@@ -448,7 +448,7 @@ SELECT page_id, side, 's2/page.csv', sha256(encode(side || chr(13) || chr(10) ||
 def _(t):
     root = work_path(t.spark, "targets")
     unpack.unpack(t.spark, twin_archives(t), root, "20020101")
-    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(f"{root}/20020101")
+    files = arc.read_contents(arc.list_tree(t.spark, f"{root}/20020101").filter(F.col("path").endswith(".csv")))
     return files.select(*_side("path"), F.regexp_extract("path", r"/x/(.*)$", 1).alias("source"), F.sha2("content", 256).alias("sha256"))
 
 

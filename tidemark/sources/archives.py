@@ -19,9 +19,14 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.session import cut_lineage
+
 READ_BLOCK = 16 * 1024 * 1024
 SPLIT_BYTES = 250 * 1024 * 1024
 BATCH_LINES = 10_000
+# folders a task lists below one folder; those left then go to other tasks
+LIST_FOLDERS = 1_000
+FILE_SCHEMA = "path string, size long, is_folder boolean"
 MEMBER_SCHEMA = "archive string, member string, size long, compressed long, error string"
 LINE_SCHEMA = "archive string, member string, part int, line_no long, line string, error string"
 # what a damaged, encrypted or unknown member raises while it is read
@@ -75,12 +80,98 @@ def open_shared(path: str):
     return io.BufferedReader(SharedFile(system.open_input_file(inner)), 1 << 20)
 
 
+def sized_batches(rows, most: int = READ_BLOCK):
+    """Lists of rows, each closed once the last values of its rows hold ``most`` bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1]) + 100
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _is_hidden(name: str) -> bool:
+    """Names that Spark's readers leave out as well."""
+    if name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _entries(system, folder: str, most: int):
+    """(path, size, is_folder): the files below a folder, and the folders left once ``most`` are listed."""
+    from pyarrow import fs
+
+    left = [folder]
+    for _ in range(most):
+        if not left:
+            return
+        for entry in system.get_file_info(fs.FileSelector(left.pop())):
+            if _is_hidden(entry.base_name):
+                continue
+            if entry.type == fs.FileType.Directory:
+                left.append(entry.path)
+            elif entry.is_file:
+                yield entry.path, entry.size, False
+    yield from ((path, None, True) for path in left)
+
+
+def list_tree(spark: SparkSession, path: str) -> DataFrame:
+    """Files (path, size) below ``path``, listed by tasks: no name passes the driver, and the number of tasks does not grow with the files.
+
+    Spark's own reader lists on the driver and reads a few files in a task, however small they are.
+    """
+    from pyarrow import fs
+
+    path = path if re.match(r"\w+:|/", path) else os.path.abspath(path)
+    system, inner = shared_system(path)
+    inner = inner.rstrip("/") or "/"
+    scheme = "file:" if isinstance(system, fs.LocalFileSystem) else path.rstrip("/").removesuffix(inner)
+    start = system.get_file_info(inner)
+    if start.is_file:
+        return spark.createDataFrame([(scheme + inner, start.size)], "path string, size long")
+    if start.type == fs.FileType.NotFound:
+        raise FileNotFoundError(f"{path} not found")
+    tasks, most = 4 * spark.sparkContext.defaultParallelism, LIST_FOLDERS
+
+    def walk(frames):
+        system, _ = shared_system(path)
+        for frame in frames:
+            rows = itertools.chain.from_iterable(_entries(system, folder, most) for folder in frame["path"])
+            while batch := list(itertools.islice(rows, BATCH_LINES)):
+                yield pd.DataFrame(batch, columns=["path", "size", "is_folder"]).astype({"size": "Int64"})
+
+    files, left = None, spark.createDataFrame([(inner,)], "path string")
+    while files is None or not left.isEmpty():
+        # a folder with very many others is the rule: so each round deals out those that are left
+        found = cut_lineage(left.repartition(tasks, "path").mapInPandas(walk, FILE_SCHEMA))
+        left = found.filter("is_folder").select("path")
+        found = found.filter("NOT is_folder").select(F.concat(F.lit(scheme), "path").alias("path"), "size")
+        files = found if files is None else files.unionByName(found)
+    return files.repartition(tasks, "path")
+
+
+def read_contents(files: DataFrame) -> DataFrame:
+    """(path, content) of listed files; a file is one value."""
+
+    def read(frames):
+        def content(path):
+            system, inner = shared_system(path)
+            with system.open_input_stream(inner) as stream:
+                return path, stream.read()
+
+        for frame in frames:
+            for batch in sized_batches(map(content, frame["path"])):
+                yield pd.DataFrame(batch, columns=["path", "content"])
+
+    return files.select("path").mapInPandas(read, "path string, content binary")
+
+
 def list_archives(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """Zip files below ``path``, all or by base name; a name that is not there is an error."""
-    found = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]")
-        .load(path).select(F.col("path").alias("archive"), F.col("length").alias("archive_size"))
-    )
+    found = list_tree(spark, path).filter(F.lower("path").endswith(".zip")).select(F.col("path").alias("archive"), F.col("size").alias("archive_size"))
     if names is None:
         return found
     base = F.split_part("archive", F.lit("/"), F.lit(-1))
