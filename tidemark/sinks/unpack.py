@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.session import cut_lineage
 from tidemark.sources import archives as arc
 
 STAGED = "archive string, member string, target string, is_split boolean, staged string, bytes long, lines long, sha256 string, error string"
@@ -129,7 +130,8 @@ def unpack(spark: SparkSession, source: str, target: str, day: str, archives: li
     written. One row for each file (source_full_csv_file_name, target_full_csv_file_name, is_split, bytes, lines, sha256), for each member or archive
     that can't be read (error) and for each archive without a CSV member; ``status`` is 1 or 3. The rows are also the manifest ``target/day/_manifest/run``.
     """
-    found = arc.list_members(arc.list_archives(spark, source, archives))
+    # every archive is opened once for its directory; all steps below go by these rows
+    found = cut_lineage(arc.list_members(arc.list_archives(spark, source, archives)))
     chosen = arc.select_members(found, members)
     target = target.rstrip("/")
     root = arc.common_folder(found)
