@@ -321,6 +321,11 @@ def _(t):
 
 # --- archives: each page is packed as one zip -------------------------------------------
 
+def _dealt_pages(t):
+    """Pages for all cores; a few scan tasks would pack them all. Rows of one page stay in one task, as they write one file."""
+    return t.pages.select("page_id", "url", "html").repartition(4 * t.spark.sparkContext.defaultParallelism, "page_id")
+
+
 def page_archives(t):
     """Write one archive per page: two CSV members, a note and a resource fork; every tenth is cut short."""
     root = work_path(t.spark, "zips")
@@ -342,7 +347,7 @@ def page_archives(t):
                     stream.write(data[:len(data) // 2] if page % 10 == 9 else data)
             yield frame[["page_id"]]
 
-    t.pages.mapInPandas(pack, "page_id long").count()
+    _dealt_pages(t).mapInPandas(pack, "page_id long").count()
     return root
 
 
@@ -430,7 +435,7 @@ def twin_archives(t):
                         stream.write(held.getvalue())
             yield frame[["page_id"]]
 
-    t.pages.mapInPandas(pack, "page_id long").count()
+    _dealt_pages(t).mapInPandas(pack, "page_id long").count()
     return root
 
 
