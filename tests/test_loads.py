@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 from tidemark.functions.generate import ColumnSpec
 from tidemark.operators import control, drift
 from tidemark.sinks import writers
-from tidemark.sources import inference, splits, tables
+from tidemark.sources import archives, inference, splits, tables
 
 
 def fc_of(spark, pairs):
@@ -102,6 +102,25 @@ def test_trailers_of_split_files(spark, tmp_path):
     assert {r.kind: r["count"] for r in records} == {"H": 1, "D": 500, "T": 1}
 
 
+def test_lines_of_listed_files_are_those_of_sparks_reader(spark, tmp_path):
+    rng = random.Random(5)
+    texts = ["", "\n", "\r", "\r\n", "a", "a\r\r\n\nb\r", "\ufeff", "\ufeff\nx", "\ufeffä\r\nö", "x\n\ufeffy\n"]
+    texts += ["".join(rng.choices(["a", "é", "\n", "\r", "\r\n", "\U0001f600"], k=60)) for _ in range(20)]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i:03d}.txt").write_bytes(text.encode())
+
+    def lines(frame):
+        rows = sorted((r.file.rsplit("/")[-1], tuple(r.pos), r.line) for r in frame.collect())
+        return [(f, line) for f, _, line in rows]
+
+    expected = lines(tables.read_file_lines(spark, str(tmp_path)))
+    files = archives.list_tree(spark, str(tmp_path))
+    assert lines(tables.read_file_lines(spark, files)) == expected
+    for size in (1, 2, 3, 7, 64):
+        got = splits.listed_lines(files, size).select("file", F.struct("block", "place").alias("pos"), "line")
+        assert lines(got) == expected, size
+
+
 def test_markers_as_unquoted_fields_are_data(spark, tmp_path):
     (tmp_path / "a.txt").write_text('H"|"f"\nD"|H"|"x"\nD"|T"|"y"\nT"|"f"|"4"\n')
     (tmp_path / "b.txt").write_text('D"|T"|"z"\n')

@@ -407,7 +407,8 @@ FROM pages WHERE page_id % 10 <> 9""")
 def _(t):
     root = work_path(t.spark, "targets")
     unpack.unpack(t.spark, page_archives(t), root, "20020101", members=["page.csv"], split_bytes=3000)
-    lines = src.read_file_lines(t.spark, f"{root}/20020101/*/{{*.csv,page/*.csv}}")
+    files = arc.list_tree(t.spark, f"{root}/20020101").filter(F.col("path").rlike(r"/20020101/[^/]+/(page/)?[^/]+\.csv$"))
+    lines = src.read_file_lines(t.spark, files)
     first = F.row_number().over(Window.partitionBy("file").orderBy("pos")) == 1
     page = F.regexp_extract("file", r"/a(\d+)/", 1).cast("bigint").alias("page_id")
     stem = F.regexp_extract("file", r"/a\d+/([^/]+)", 1).alias("stem")

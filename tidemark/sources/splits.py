@@ -10,10 +10,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from tidemark.session import work_path
+from tidemark.sources import archives as arc
+
+# listed files are read in blocks of so many bytes
+BLOCK_BYTES = 64 * 1024 * 1024
 
 
 def block_lines(spark: SparkSession, path: str, separator: str | None = "\n") -> DataFrame:
@@ -24,6 +29,41 @@ def block_lines(spark: SparkSession, path: str, separator: str | None = "\n") ->
         F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
 
 
+def _lines_of(path: str, start: int, end: int):
+    """Lines, without their ends, of the texts between line feeds that begin in a block of a file; ends as Spark's reader knows them."""
+    with arc.open_shared(path) as handle:
+        if start:
+            handle.seek(start - 1)
+            handle.readline()
+        at = handle.tell()
+        while at < end and (text := handle.readline()):
+            if at == 0 and text.startswith(b"\xef\xbb\xbf"):
+                at, text = 3, text[3:]
+                if not text:
+                    return
+            at += len(text)
+            yield from text.removesuffix(b"\n").removesuffix(b"\r").split(b"\r")
+
+
+def listed_lines(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Lines (file, block, place, line) of listed files (path, size), as :func:`block_lines` gives those of a path.
+
+    For very many files: Spark's own reader makes a task of a few, however small they are. Here tasks stay as many
+    as the listing has, and a large file still is read in blocks by several.
+    """
+    blocks = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(block_bytes).cast("long"))).alias("block"))
+    blocks = blocks.repartition(4 * files.sparkSession.sparkContext.defaultParallelism, "path", "block")
+
+    def read(frames):
+        for frame in frames:
+            rows = ((path, block, place, line.decode("utf-8", "replace")) for path, block in zip(frame["path"], frame["block"])
+                    for place, line in enumerate(_lines_of(path, block, block + block_bytes)))
+            for batch in arc.sized_batches(rows):
+                yield pd.DataFrame(batch, columns=["file", "block", "place", "line"])
+
+    return blocks.mapInPandas(read, "file string, block long, place long, line string")
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     """A small table as a file: its size is known, so Spark can choose to broadcast it."""
     spark = df.sparkSession

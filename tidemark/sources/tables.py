@@ -111,13 +111,14 @@ def text_lines(df: DataFrame, doc: str, text: str) -> DataFrame:
     return df.select(F.col(doc), F.posexplode(lines).alias("line_no", "line")).withColumn("line", F.btrim("line"))
 
 
-def read_file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines (file, pos, line) of files of any size.
+def read_file_lines(spark: SparkSession, path: str | DataFrame) -> DataFrame:
+    """Lines (file, pos, line) of files of any size, below a path or, for very many, listed in a frame (path, size).
 
     Large files are read in splits; ``pos`` (block offset, place in the task) orders
     the lines of one file without numbering them.
     """
-    return splits.block_lines(spark, path, separator=None).select("file", F.struct("block", "place").alias("pos"), "line")
+    lines = splits.listed_lines(path) if isinstance(path, DataFrame) else splits.block_lines(spark, path, separator=None)
+    return lines.select("file", F.struct("block", "place").alias("pos"), "line")
 
 
 def history(df: DataFrame, time: str, *, tag: Column | None = None, since=None, limit: int | None = None) -> DataFrame:
