@@ -9,6 +9,8 @@ from tidemark.functions import generate as gen
 from tidemark.functions.generate import ColumnSpec
 from tidemark.operators import mapping as mp, reports as rep, requests as req
 from tidemark.operators.mapping import Join, Mapping, Target
+from tidemark.plans import jobs as plans
+from tidemark.plans.registry import Tables
 from tidemark.sinks import unpack
 from tidemark.sources import archives as arc
 
@@ -187,6 +189,28 @@ def test_archives_are_listed_in_rounds_as_sparks_reader_lists_them(spark, tmp_pa
         arc.list_archives(spark, f"{tmp_path}/nowhere")
 
 
+def test_archives_may_go_once_their_members_are_staged(spark, zips, tmp_path, monkeypatch):
+    publish = unpack.publish
+
+    def late(staged):
+        (tmp_path / "a.zip").unlink()
+        return publish(staged)
+
+    monkeypatch.setattr(unpack, "publish", late)
+    rows = unpack.unpack(spark, zips, f"{tmp_path}/out", "d").collect()
+    assert sorted((r.archive.rsplit("/")[-1], r.source_full_csv_file_name or "", r.status) for r in rows) == [
+        ("a.zip", "dir/two.CSV", 1), ("a.zip", "empty.csv", 1), ("a.zip", "one.csv", 1), ("bad.zip", "", 3), ("none.ZIP", "", 1)]
+
+
+def test_pages_are_packed_by_many_tasks(spark, tmp_path):
+    rows = [(i % 50, f"http://x/{i % 50}", "<p>\nb") for i in range(100)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    packed = plans.page_archives(Tables(spark, str(tmp_path)))
+    assert arc.list_archives(spark, packed).count() == 50
+    dealt = plans._dealt_pages(Tables(spark, str(tmp_path))).groupBy("page_id", F.spark_partition_id().alias("task")).count().collect()
+    assert len(dealt) == 50 and len({r.task for r in dealt}) > 4
+
+
 def test_publishing_twice_is_harmless(spark, tmp_path):
     (tmp_path / "s").mkdir()
     (tmp_path / "s" / "1").write_text("abc")
