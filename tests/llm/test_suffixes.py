@@ -1,7 +1,9 @@
 import dataclasses
 import random
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +115,58 @@ def test_passages_of_words_match_brute_force(spark, monkeypatch, window, gram, h
     if not hot:
         for r in suffixes.remove(table, unit=unit(100, 30), other=words).collect():
             assert [(x.start, x.stop) for x in r._also] == want[r.doc_id][0]
+
+
+def test_runs_of_all_bodies_are_found_at_once(monkeypatch):
+    n, window, gram = 600, 40, 8
+    span = window - gram
+    hits = np.random.default_rng(3).random((n, span + 1)) < 0.5
+    hits[0, 0] = hits[7, -1] = hits[8, 0] = True
+    hits[9] = False
+    lone = np.arange(n) % 5 > 0
+    lone[:1] = lone[7:10] = True
+    monkeypatch.setattr(suffixes, "repeats", lambda *_: hits)
+    batch = pa.record_batch({
+        "k1": pa.array(range(n)), "k2": pa.array(range(n, 2 * n)), "at": pa.array(range(100, 100 + n)), "left": pa.array([span] * n), "body": pa.array([b"x" * 80] * n),
+        "lone": pa.array(lone), "first": pa.array([b"x"] * n), "moved": pa.array([0] * n)})
+    want = []
+    for i in np.flatnonzero(lone).tolist():
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], hits[i].astype(int), [0]])))
+        want += [(i, n + i, 100 + i - (b - 1), 100 + i - a + window) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
+    calls = []
+    sys.setprofile(lambda frame, event, what: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        out = list(suffixes._sorted_blocks(unit(window, gram), span)(iter([batch])))
+    finally:
+        sys.setprofile(None)
+    assert [tuple(r.values()) for b in out for r in b.to_pylist()] == want
+    assert len(calls) < n  # was some twenty calls for each body
+
+
+def test_blocks_end_between_two_leads(monkeypatch):
+    monkeypatch.setattr(suffixes, "BLOCK", 4)
+    seen = []
+    monkeypatch.setattr(suffixes, "repeats", lambda bodies, *_: seen.append(bodies) or np.zeros((len(bodies), 33), bool))
+    firsts = [b"a", b"b", b"b", b"b", b"b", b"b", b"c", b"c", b"d", b"d", b"d", b"e", b"e", b"f"]
+    rows = pa.record_batch({
+        "k1": pa.array(range(14)), "k2": pa.array(range(14)), "at": pa.array(range(14)), "left": pa.array([0] * 14), "body": pa.array(firsts),
+        "lone": pa.array([True] * 14), "first": pa.array(firsts), "moved": pa.array([0] * 14)})
+    for cut in range(1, 14):
+        seen.clear()
+        list(suffixes._sorted_blocks(unit(40, 8), 32)(iter([rows.slice(0, cut), rows.slice(0, 0), rows.slice(cut)])))
+        assert seen == [firsts[:6], firsts[6:11], firsts[11:]]
+    assert list(suffixes._sorted_blocks(unit(40, 8), 32)(iter([rows.slice(0, 0)]))) == []
+
+
+def test_spans_of_a_batch_are_merged_row_by_row():
+    pick = random.Random(5)
+    rows = [None, [], *[[{"start": (a := pick.randint(0, 60)), "stop": a + pick.randint(1, 9)} for _ in range(pick.randint(0, 12))] for _ in range(80)], None]
+    want = []
+    for row in rows:
+        marked = {x for p in row or [] for x in range(2 * p["start"], 2 * p["stop"] + 1)}  # spans that touch are one
+        begins, ends = sorted(x for x in marked if x - 1 not in marked), sorted(x for x in marked if x + 1 not in marked)
+        want.append([[a // 2, b // 2] for a, b in zip(begins, ends)])
+    lists = pa.array(rows, suffixes._SPANS)
+    assert suffixes._merged(lists) == want
+    assert suffixes._merged(lists[30:60]) == want[30:60]
+    assert suffixes._merged(pa.nulls(3, suffixes._SPANS)) == [[], [], []]

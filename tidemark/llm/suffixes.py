@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ BLOCK, BUCKET = 4096, 20_000
 #: A leading gram of more suffixes than a bucket has its windows cut to so many finer ranges.
 HOT, PARTS = BUCKET, 8
 _NEVER = np.iinfo(np.uint64).max
-#: Bytes of text handled at once.
-STEP = 1 << 18
+#: Bytes of text handled at once, and those whose anchors are sought at once (the arrays stay in a core's cache).
+STEP, SCAN = 1 << 18, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -84,14 +85,14 @@ def anchors(values: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
     np.cumsum(values * up[:n], out=total[1:])
     grams = np.full(n, _NEVER, np.uint64)
     grams[: n - gram + 1] = text.mix((total[gram:] - total[:-gram]) * down[: n - gram + 1])
-    ends = offsets[1:]
-    last = np.repeat(ends, np.diff(offsets))  # the end of the text around each byte
-    place = np.arange(n)
-    least = _sliding(grams, window - gram + 1, np.minimum, _NEVER)
-    least[place + window > last] = 0
+    span = window - gram + 1
+    least = _sliding(grams, span, np.minimum, _NEVER)
+    for first, end in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        least[max(first, end - window + 1) : end] = 0  # no window begins here
     # of the windows over a place, the largest least is its own hash just if it is the least of one
-    most = _sliding(least[::-1], window - gram + 1, np.maximum, 0)[::-1]
-    at = np.flatnonzero((most == grams) & (place + gram <= last))
+    most = _sliding(np.concatenate([np.zeros(span - 1, np.uint64), least]), span, np.maximum, 0)[:n]
+    at = np.flatnonzero(most == grams)
+    at = at[at + gram <= offsets[np.searchsorted(offsets, at, "right")]]
     return at, grams[at]
 
 
@@ -128,7 +129,8 @@ def _scan(unit: Unit):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.chunks(batch, limit=STEP):
+            found = []
+            for part in text.chunks(batch, limit=SCAN):
                 raw, ends = text.buffer(part.column("text"))
                 values, offsets, _, _ = unit.tokens(raw, ends)
                 at, lead = anchors(values, offsets, window, gram) if len(values) <= 4 * STEP else _long(values, window, gram)
@@ -138,10 +140,12 @@ def _scan(unit: Unit):
                 stop = np.minimum(at + window, last)
                 data = _bodies(unit, raw, values)
                 whole = [_hash(data[w * (a - b) : w * c], b) for a, b, c in zip(at.tolist(), left.tolist(), stop.tolist())]
-                yield pa.RecordBatch.from_arrays(
+                found.append(pa.RecordBatch.from_arrays(
                     [part.column("k1").take(pa.array(row)), part.column("k2").take(pa.array(row)), _longs(at - first),
                      _longs(left), _longs(stop - at + left), _hashes(lead), _hashes(whole)],
-                    ["k1", "k2", "at", "left", "size", "lead", "whole"])
+                    ["k1", "k2", "at", "left", "size", "lead", "whole"]))
+            if found:
+                yield pa.concat_batches(found)
 
     return run
 
@@ -207,39 +211,49 @@ def repeats(bodies: list[bytes], lefts: list[int], moved: list[int], window: int
     if not may.any():
         return out
     class_r, class_l = np.empty(n, np.int64), np.empty(n, np.int64)
+    bits = int(n).bit_length()  # of a class or a body's number; a block of two million would not fit memory
     for s in range(span + 1):
         class_r[order_r] = np.cumsum(common_r < width * (window - s) + 8)
         class_l[order_l] = np.cumsum(common_l < width * s)
         valid = np.flatnonzero(may & (left_size >= width * s) & (right_size >= width * (window - s) + 8))
-        key = class_r[valid] * (n + 1) + class_l[valid]
-        by = np.argsort(key)
-        same = key[by][1:] == key[by][:-1]
-        out[valid[by[1:][same]], s] = True
-        out[valid[by[:-1][same]], s] = True
+        # both classes and the body in one number: plain numbers sort faster than places by a key
+        key = np.sort((class_r[valid] << 2 * bits) + (class_l[valid] << bits) + valid)
+        classes, body = key >> bits, key & ((1 << bits) - 1)
+        same = classes[1:] == classes[:-1]
+        out[body[1:][same], s] = True
+        out[body[:-1][same], s] = True
     return out
 
 
 def _sorted_blocks(unit: Unit, span: int):
     window = unit.window
 
-    def settle(rows: list[tuple]) -> pa.RecordBatch:
-        found = repeats([r[4] for r in rows], [r[3] for r in rows], [r[7] for r in rows], window, span, unit.bytes)
-        out = []
-        for (k1, k2, at, _, _, lone, _, _), hits in zip(rows, found):
-            if lone and hits.any():
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], hits.astype(np.int8), [0]])))
-                out += [(k1, k2, at - (b - 1), at - a + window) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
-        return pa.RecordBatch.from_arrays([_longs([o[j] for o in out]) for j in range(4)], ["k1", "k2", "start", "stop"])
+    def settle(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.concat_batches(parts)
+        found = repeats(*[rows.column(c).to_pylist() for c in ("body", "left", "moved")], window, span, unit.bytes)
+        # runs of s, of all bodies at once: an empty place stands between two bodies
+        hits = np.zeros((rows.num_rows, span + 2), bool)
+        hits[:, :-1] = found & rows.column("lone").to_numpy(zero_copy_only=False)[:, None]
+        flat = hits.ravel()
+        begin, end = np.flatnonzero(flat[1:] & ~flat[:-1]) + 1, np.flatnonzero(flat[:-1] & ~flat[1:])
+        if flat[:1].any():
+            begin = np.concatenate([[0], begin])
+        row, a, b = begin // (span + 2), begin % (span + 2), end % (span + 2)
+        k1, k2, at = (rows.column(c).to_numpy()[row] for c in ("k1", "k2", "at"))
+        return pa.RecordBatch.from_arrays([_longs(k1), _longs(k2), _longs(at - b), _longs(at - a + window)], ["k1", "k2", "start", "stop"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "at", "left", "body", "lone", "first", "moved")]):
-                if len(held) >= BLOCK and row[6] != held[-1][6]:
-                    yield settle(held)
-                    held = []
-                held.append(row)
-        if held:
+            done, firsts = 0, batch.column("first").to_pylist()
+            for j, first in enumerate(firsts):
+                if size + j - done >= BLOCK and first != (firsts[j - 1] if j else last):
+                    yield settle([*held, batch.slice(done, j - done)])
+                    held, size, done = [], 0, j
+            held.append(batch.slice(done))
+            size, last = size + batch.num_rows - done, firsts[-1] if firsts else last
+        if size:
             yield settle(held)
 
     return run
@@ -255,17 +269,19 @@ def _cut(unit: Unit):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text.chunks(batch, limit=STEP):
-                rows = []
-                for j in range(part.num_rows):
-                    raw, ends = text.buffer(part.column("text").slice(j, 1))
-                    data = _bodies(unit, raw, unit.tokens(raw, ends)[0] if w > 1 else raw)
-                    k1, k2 = part.column("k1")[j].as_py(), part.column("k2")[j].as_py()
-                    for x in part.column("wanted")[j].as_py():
-                        body = data[w * (x["at"] - x["left"]) : w * (x["at"] - x["left"] + x["size"])]
-                        rows.append((k1, k2, x["at"], x["left"], body, x["lone"], body[w * x["left"] : w * (x["left"] + unit.gram)], 0, x["hot"]))
+                raw, ends = text.buffer(part.column("text"))
+                values, offsets, _, _ = unit.tokens(raw, ends) if w > 1 else (raw, ends, None, None)
+                data = _bodies(unit, raw, values)
+                lists = part.column("wanted")
+                wanted = lists.flatten()
+                row = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
+                at, left, size = (wanted.field(c).to_numpy() for c in ("at", "left", "size"))
+                place = w * (offsets[row] + at)
+                first, begin = [data[a:b] for a, b in zip(place.tolist(), (place + w * unit.gram).tolist())], place - w * left
+                body = [data[a:b] for a, b in zip(begin.tolist(), (begin + w * size).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[j] for r in rows], kind) for j, kind in enumerate(
-                        (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.int64(), pa.bool_()))],
+                    [part.column("k1").take(pa.array(row)), part.column("k2").take(pa.array(row)), _longs(at), _longs(left), pa.array(body, pa.binary()),
+                     wanted.field("lone"), pa.array(first, pa.binary()), _longs(np.zeros(len(row), np.int64)), wanted.field("hot")],
                     ["k1", "k2", "at", "left", "body", "lone", "first", "moved", "hot"])
 
     return run
@@ -317,13 +333,15 @@ def spans(texts: DataFrame, unit: Unit, path: str) -> DataFrame:
     found.join(often, "lead").write.parquet(f"{path}/often")
     found = spark.read.parquet(f"{path}/often")
     discard(f"{path}/anchors")
-    known = _classes(found)
-    kept = found.join(known, ["lead", "whole"])
-    out = [kept.where("n > 1").select("k1", "k2", (F.col("at") - F.col("left")).alias("start"), (F.col("at") - F.col("left") + F.col("size")).alias("stop"))]
-
-    one = kept.where("kinds > 1").groupBy("lead", "whole").agg(
-        F.min(F.struct("k1", "k2", "at", "left", "size")).alias("r"), (F.first("n") == 1).alias("lone"), (F.first("kinds") > HOT).alias("hot"))
-    wanted = one.groupBy("r.k1", "r.k2").agg(F.collect_list(F.struct("r.at", "r.left", "r.size", "lone", "hot")).alias("wanted"))
+    # equal surroundings have equal left and size; any place that has them stands for all (first takes all columns of one row)
+    found.groupBy("lead", "whole").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("k1", "k2", "at", "left", "size")]).write.parquet(f"{path}/groups")
+    groups = spark.read.parquet(f"{path}/groups")
+    place = F.col("at") - F.col("left")
+    out = [found.join(groups.where("n > 1").select("lead", "whole"), ["lead", "whole"]).select("k1", "k2", place.alias("start"), (place + F.col("size")).alias("stop"))]
+
+    kinds = cut_lineage(groups.groupBy("lead").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    wanted = groups.join(kinds, "lead").groupBy("k1", "k2").agg(
+        F.collect_list(F.struct("at", "left", "size", (F.col("n") == 1).alias("lone"), (F.col("kinds") > HOT).alias("hot"))).alias("wanted"))
     texts.join(wanted, ["k1", "k2"]).mapInArrow(_cut(unit), _BODY + ", hot boolean").write.parquet(f"{path}/bodies")
     rows, span, level = spark.read.parquet(f"{path}/bodies"), unit.window - unit.gram, 0
     while True:
@@ -365,14 +383,23 @@ def covered(texts: DataFrame, unit: Unit = BYTES) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _merged(parts: list[dict] | None) -> list[list[int]]:
-    """Spans in order, those that meet joined."""
-    runs: list[list[int]] = []
-    for a, b in sorted((p["start"], p["stop"]) for p in parts or []):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], b)
-        else:
-            runs.append([a, b])
+def _merged(lists: pa.Array) -> list[list[list[int]]]:
+    """Of each row the spans in order, those that meet joined; null is none."""
+    runs: list[list[list[int]]] = [[] for _ in range(len(lists))]
+    flat = lists.flatten()
+    if not len(flat):
+        return runs
+    row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+    start, stop = (flat.field(c).to_numpy() for c in ("start", "stop"))
+    by = np.lexsort((start, row))
+    row, start, stop = row[by], start[by], stop[by]
+    far = int(stop.max()) + 1
+    stop = np.maximum.accumulate(row * far + stop) - row * far  # the furthest so far in the row
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > stop[:-1])
+    first = np.flatnonzero(new)
+    for r, x, y in zip(row[first].tolist(), start[first].tolist(), stop[np.append(first[1:], len(row)) - 1].tolist()):
+        runs[r].append([x, y])
     return runs
 
 
@@ -397,9 +424,9 @@ def _removed(kinds: list[str], unit: Unit, other: Unit | None, keep_characters:
         for batch in batches:
             for part in text.chunks(batch, "_text", STEP):
                 merged, kept, also = [], [], []
-                for t, parts, others in zip(part.column("_text"), part.column("_spans").to_pylist(), part.column("_others").to_pylist()):
+                for t, runs, others in zip(part.column("_text"), _merged(part.column("_spans")), _merged(part.column("_others"))):
                     raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-                    runs = _in_bytes(unit, raw, _merged(parts))
+                    runs = _in_bytes(unit, raw, runs)
                     if keep_characters:
                         for r in runs:
                             while r[0] < r[1] and raw[r[0]] & 0xC0 == 0x80:
@@ -410,7 +437,7 @@ def _removed(kinds: list[str], unit: Unit, other: Unit | None, keep_characters:
                     edges = [0, *[x for r in runs for x in r], len(raw)]
                     kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
                     merged.append(_shown(runs))
-                    also.append(_shown(_in_bytes(other, raw, _merged(others))) if other else None)
+                    also.append(_shown(_in_bytes(other, raw, others)) if other else None)
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in kinds], pa.array(merged, _SPANS), pa.array(kept, pa.binary()), pa.array(also, _SPANS)], [*kinds, "_removed", "_kept", "_also"])
 
